@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Extended ISO-8601 as almost every feed writes it.
-_ISO_USUAL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})?)?$"
-# The rarer spellings: compact digits, other separators, hour only, comma fraction.
+_ISO_USUAL = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:?\d{2})?)?$"
+# The rarer spellings: compact digits, other separators, no seconds, comma fraction.
 _ISO_RARE = (
     r"^(\d{4}-\d{2}-\d{2}|\d{8})"
     r"(.\d{2}((:\d{2}(:\d{2}([.,]\d+)?)?)|(\d{2}(\d{2}([.,]\d+)?)?))?"
@@ -25,17 +25,19 @@ def iso_canonical(text: Column) -> Column:
     dated = F.regexp_replace(zoned, r"^(\d{4})(\d{2})(\d{2})", r"$1-$2-$3")
     split = F.regexp_replace(dated, r"^(.{10}).", r"$1T")
     timed = F.regexp_replace(split, r"T(\d{2})(\d{2})(\d{2})?", r"T$1:$2:$3")
-    rewritten = F.regexp_replace(F.regexp_replace(timed, r":(?=[+-]|$)", ""), ",", ".")
+    minutes = F.regexp_replace(timed, r"T(\d{2})(?=[+-]|$)", r"T$1:00:00")
+    seconds = F.regexp_replace(minutes, r"T(\d{2}:\d{2}):?(?=[+-]|$)", r"T$1:00")
+    rewritten = F.replace(seconds, F.lit(","), F.lit("."))
     return F.when(text.rlike(_ISO_USUAL), text).when(zoned.rlike(_ISO_RARE), rewritten)
 
 
-def iso_timestamp(text: Column) -> Column:
-    return F.try_to_timestamp(iso_canonical(text))
+def iso_timestamp(canonical: Column) -> Column:
+    """The instant of canonical ISO text; text without an offset is UTC."""
+    return F.try_to_timestamp(canonical)
 
 
-def iso_local_date(text: Column) -> Column:
+def iso_local_date(canonical: Column) -> Column:
     """The calendar date as written, in the text's own offset, if the whole text is valid."""
-    canonical = iso_canonical(text)
     return F.when(
         F.try_to_timestamp(canonical).isNotNull(), F.substring(canonical, 1, 10).cast("date")
     )
@@ -62,22 +64,26 @@ def safe_int(text: Column) -> Column:
 def csv_width(line: Column) -> Column:
     """Number of cells: commas outside quoted cells, plus one."""
     unquoted = F.regexp_replace(line, '(^|,)"[^"]*(?:""[^"]*)*(?:"|$)', "$1")
-    return F.regexp_count(unquoted, F.lit(",")) + 1
+    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
 
 
-def csv_cells(line: Column, columns: int) -> Column:
-    """One CSV line as a struct ``c0 .. c<n-1>`` of strings plus ``width``.
+def csv_cell(cells: Column, width: Column, i: int) -> Column:
+    """Cell ``i`` of a parsed line: ``''`` if empty, NULL only past the row's width."""
+    return F.when(width > i, F.coalesce(cells[f"c{i}"], F.lit("")))
 
-    A cell inside the row's width is never NULL (empty is ``''``); a cell past
-    the width is NULL.
-    """
+
+def parse_csv(line: Column, columns: int) -> Column:
+    """One CSV line as a struct ``c0 .. c<n-1>`` of strings; empty cells come back NULL."""
     schema = ", ".join(f"c{i} string" for i in range(columns))
-    cells = F.from_csv(line, schema, {"escape": '"', "emptyValue": ""})
-    width = csv_width(line)
-    return F.struct(
-        *[
-            F.when(width > i, F.coalesce(cells[f"c{i}"], F.lit(""))).alias(f"c{i}")
-            for i in range(columns)
-        ],
-        width.alias("width"),
-    )
+    return F.from_csv(line, schema, {"escape": '"', "emptyValue": ""})
+
+
+def evaluated_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Adds columns whose expressions run once per row.
+
+    The optimizer copies an expression into every filter and projection that
+    refers to it, so a parsed line would be parsed again for each. It does not
+    look through a generator.
+    """
+    row = F.struct(*[value.alias(name) for name, value in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

@@ -32,8 +32,8 @@ def dedup_by_hash(
     return latest_per_key(keyed, ["_fingerprint"], order_column, newest=keep == "latest").drop("_fingerprint")
 
 
-def _survivor_order(df: DataFrame) -> list[Column]:
-    newest, *others = total_order(df, INGESTED)
+def _survivor_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
+    newest, *others = total_order(df, INGESTED, keys=[*keys, "record_hash"])
     # among equally new copies one with a hash survives, as the log assumes
     return [newest, F.col("record_hash").asc_nulls_last(), *others]
 
@@ -45,13 +45,15 @@ def dedup_table(df: DataFrame, spec: TableSpec, mode: str = "keep_one") -> DataF
     by (key, ingestion time): copies that share the newest time all go, and rows
     with a NULL in that tuple match nothing and all stay.
     """
+    keys = list(spec.warehouse_keys)
+    if not keys:
+        raise ValueError(f"{spec.name} has no table-level dedup rule")
+    order = _survivor_order(df, keys)
     if mode == "keep_one":
-        return first_per_key(df, spec.warehouse_keys, _survivor_order(df)).drop("rn")
+        return first_per_key(df, keys, order).drop("rn")
     if mode != "reference_delete":
         raise ValueError("mode is 'keep_one' or 'reference_delete'")
-    keys = list(spec.warehouse_keys)
     comparable = reduce(and_, [F.col(c).isNotNull() for c in [*keys, INGESTED]])
-    order = _survivor_order(df)
     top_two = first_per_key(df.where(comparable), keys, order, n=2)
     runner_up = F.lead(INGESTED).over(Window.partitionBy(*keys).orderBy(*order))
     alone_on_top = (

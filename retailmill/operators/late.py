@@ -107,10 +107,14 @@ def pending_dates(tracking: DataFrame, table_name: str) -> DataFrame:
 
 
 def rows_to_reaggregate(facts: DataFrame, date_column: str, pending: DataFrame) -> DataFrame:
-    """The facts of the affected dates only; the list of dates is at most one row per day."""
-    return facts.join(
-        pending.withColumnRenamed("affected_date", date_column), date_column, "left_semi"
-    )
+    """The facts of the affected dates only.
+
+    The dates are distinct calendar days, so at most a few million four-byte
+    values ever: small enough to broadcast, which also prunes the partitions of
+    facts stored by that date.
+    """
+    dates = F.broadcast(pending.withColumnRenamed("affected_date", date_column))
+    return facts.join(dates, date_column, "left_semi")
 
 
 def mark_processed(tracking: DataFrame, as_of: datetime | str, table_name: str | None = None) -> DataFrame:

@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 _UNORDERABLE = (T.MapType, T.VariantType)
 
 
-def total_order(df: DataFrame, order_column: str, newest: bool = True) -> list[Column]:
-    """Sort expressions on the order column (NULLs lose), ties broken by the other columns.
+def total_order(
+    df: DataFrame, order_column: str, newest: bool = True, keys: Sequence[str] = ()
+) -> list[Column]:
+    """Sort expressions on the order column (NULLs lose), ties broken by the columns other than the keys.
 
     The tiebreak makes the choice repeatable after a task retry: two rows that
     still tie are equal in every column.
@@ -22,7 +24,7 @@ def total_order(df: DataFrame, order_column: str, newest: bool = True) -> list[C
     others = [
         F.col(f.name).asc_nulls_last()
         for f in df.schema.fields
-        if f.name != order_column and not isinstance(f.dataType, _UNORDERABLE)
+        if f.name != order_column and f.name not in keys and not isinstance(f.dataType, _UNORDERABLE)
     ]
     return [first, *others]
 
@@ -41,4 +43,4 @@ def latest_per_key(
     df: DataFrame, keys: Sequence[str], order_column: str, newest: bool = True
 ) -> DataFrame:
     """Latest (or earliest) row per key; use with ``df.transform``."""
-    return first_per_key(df, keys, total_order(df, order_column, newest)).drop("rn")
+    return first_per_key(df, keys, total_order(df, order_column, newest, keys)).drop("rn")

@@ -39,8 +39,8 @@ def source_snapshot(raw_crm: DataFrame, as_of: datetime | str, lookback_days: in
         & (F.col("updated_at") >= ts_lit(as_of, days=lookback_days))
         & (F.col("dq_status").isNull() | (F.col("dq_status") == VALID))
     ).select(*columns, "ingestion_ts")
-    newest_update, *ties = total_order(recent, "updated_at")
-    order = [newest_update, F.col("ingestion_ts").desc_nulls_last(), *ties]
+    newest, *ties = total_order(recent, "updated_at", keys=["customer_id", "ingestion_ts"])
+    order = [newest, F.col("ingestion_ts").desc_nulls_last(), *ties]
     return (
         first_per_key(recent, ["customer_id"], order)
         .select(*columns)

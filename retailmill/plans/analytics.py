@@ -81,9 +81,8 @@ def active_tier_customers(
 
 def latest_transactions(transactions: DataFrame) -> DataFrame:
     """The last ingested version of each transaction; ``rn`` stays in the output."""
-    return first_per_key(
-        transactions, ["transaction_id"], total_order(transactions, "ingestion_timestamp")
-    )
+    keys = ["transaction_id"]
+    return first_per_key(transactions, keys, total_order(transactions, "ingestion_timestamp", keys=keys))
 
 
 def customer_lifetime_value(profiles: DataFrame, latest: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retailmill.operators.late import rows_to_reaggregate
 from retailmill.operators.latest import latest_per_key
 
 
@@ -143,17 +144,22 @@ def inventory_kpi(snapshot: DataFrame) -> DataFrame:
 
 def affected_daily_store_sales(sales: DataFrame, pending_dates: DataFrame) -> DataFrame:
     """The daily mart recomputed for the given dates only."""
-    dates = pending_dates.withColumnRenamed("affected_date", "sale_date")
-    return daily_store_sales(sales.join(dates, "sale_date", "left_semi"))
+    return daily_store_sales(rows_to_reaggregate(sales, "sale_date", pending_dates))
 
 
 def materialize_daily_store_sales(sales: DataFrame, path: str) -> None:
-    """Writes the daily mart by day; days present in ``sales`` replace their old version."""
+    """Writes the daily mart by month; months present in ``sales`` replace their old version.
+
+    A day of the mart is only one row per store, so days as partitions would be
+    thousands of tiny files. Pass whole months when refreshing.
+    """
     (
         daily_store_sales(sales)
-        .hint("rebalance", "sale_date")
+        .withColumn("sale_month", F.trunc("sale_date", "month"))
+        .hint("rebalance", "sale_month")
+        .sortWithinPartitions("sale_month", "sale_date", "store_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("sale_date")
+        .partitionBy("sale_month")
         .parquet(path)
     )

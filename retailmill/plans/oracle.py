@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 from retailmill.plans.queries import (
-    ALL_DAYS, LATE_NOW, POS_NOW, RETENTION_NOW, RUN_1, RUN_2, YEAR,
+    ALL_DAYS, ARCHIVE_NOW, LATE_NOW, POS_NOW, RETENTION_NOW, RUN_1, RUN_2, YEAR,
 )
 
 ORACLE: dict[str, str] = {}
@@ -657,9 +657,10 @@ WHERE order_date >= {_CUT} - 730 GROUP BY order_date""")
 _oracle("expired_partitions", "raw_ecom", f"""
 SELECT 'raw_ecom_orders' AS table_name, {_day('order_date')} AS partition_date, count(*) AS row_count FROM raw_ecom
 WHERE order_date < {_CUT} - 730 GROUP BY order_date""")
-_oracle("archive_split", "raw_inventory", f"""
-SELECT 'archived' AS part, count(*) AS row_count FROM raw_inventory WHERE CAST(last_updated AS DATE) < {_CUT} - 365
-UNION ALL SELECT 'retained', count(*) FROM raw_inventory WHERE CAST(last_updated AS DATE) >= {_CUT} - 365""")
-_oracle("compaction_roundtrip", "raw_ecom", f"""
-SELECT order_id, total_amount, {_day('order_date')} AS order_date, {_ts('ingestion_ts')} AS ingestion_ts, source_file
-FROM raw_ecom""")
+_POS_CUT = f"DATE '{ARCHIVE_NOW[:10]}'"
+_oracle("archive_split", "raw_pos", f"""
+SELECT 'archived' AS part, count(*) AS row_count FROM raw_pos WHERE event_date < {_POS_CUT} - 365
+UNION ALL SELECT 'retained', count(*) FROM raw_pos WHERE event_date IS NULL OR event_date >= {_POS_CUT} - 365""")
+_oracle("compaction_roundtrip", "raw_pos", f"""
+SELECT transaction_id, amount, {_day('event_date')} AS event_date, {_ts('ingestion_ts')} AS ingestion_ts, source_file
+FROM raw_pos""")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from retailmill import schemas
 from retailmill.functions.hashing import record_hash
 from retailmill.operators import dedup, drift, late, monitoring, quality, scd2
-from retailmill.plans import analytics, marts
+from retailmill.plans import analytics, marts, procedures
 from retailmill.session import pin_utc, scratch_dir
 from retailmill.sources import feeds, landing, star, storage
 from retailmill.streaming import pos as stream
@@ -23,6 +23,7 @@ RUN_2 = "2025-10-21 20:00:00"
 LATE_NOW = "2025-11-01 00:00:00"
 ALL_DAYS = 20_000
 RETENTION_NOW = "2000-01-01 00:00:00"
+ARCHIVE_NOW = "2025-01-15 00:00:00"
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -263,8 +264,10 @@ def _dim_after_run_1(spark, sf_dir):
 
 
 def _run_2(spark, sf_dir):
-    snapshot = scd2.source_snapshot(_crm_until(spark, sf_dir, RUN_2), RUN_2)
-    return snapshot, scd2.upsert(_dim_after_run_1(spark, sf_dir), snapshot, RUN_2)
+    """Two runs against stored tables: (dimension, monitoring row)."""
+    warehouse = procedures.Warehouse(scratch_dir(spark, "customer-dim"))
+    procedures.run_scd2(spark, warehouse, _crm_until(spark, sf_dir, RUN_1), RUN_1)
+    return procedures.run_scd2(spark, warehouse, _crm_until(spark, sf_dir, RUN_2), RUN_2, previous=RUN_1)
 
 
 @query
@@ -279,13 +282,12 @@ def scd2_initial(spark, sf_dir):
 
 @query
 def scd2_after_change(spark, sf_dir):
-    return _run_2(spark, sf_dir)[1].table
+    return _run_2(spark, sf_dir)[0]
 
 
 @query
 def scd2_metrics(spark, sf_dir):
-    snapshot, result = _run_2(spark, sf_dir)
-    return scd2.run_metrics(snapshot, result, RUN_2).drop("error_message")
+    return _run_2(spark, sf_dir)[1].drop("error_message")
 
 
 # --- late data ---------------------------------------------------------------
@@ -517,7 +519,12 @@ def daily_store_sales(spark, sf_dir):
 
 @query
 def customer_360(spark, sf_dir):
-    return marts.customer_360(_run_2(spark, sf_dir)[1].table, _sales(spark, sf_dir))
+    dim = scd2.upsert(
+        _dim_after_run_1(spark, sf_dir),
+        scd2.source_snapshot(_crm_until(spark, sf_dir, RUN_2), RUN_2),
+        RUN_2,
+    ).table
+    return marts.customer_360(dim, _sales(spark, sf_dir))
 
 
 @query
@@ -538,7 +545,7 @@ def kpi_reconciliation(spark, sf_dir):
 def materialized_daily_sales(spark, sf_dir):
     path = scratch_dir(spark, "daily-store-sales")
     marts.materialize_daily_store_sales(_sales(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("sale_month")
 
 
 # --- streaming ---------------------------------------------------------------
@@ -622,11 +629,11 @@ def expired_partitions(spark, sf_dir):
 @query
 def archive_split(spark, sf_dir):
     path = scratch_dir(spark, "archive")
-    inventory = storage.with_partition_date(star.raw_inventory(spark, sf_dir), schemas.INVENTORY)
-    storage.archive(inventory, path, schemas.INVENTORY, RETENTION_NOW)
+    pos = star.raw_pos(spark, sf_dir)
+    storage.archive(pos, path, schemas.POS, ARCHIVE_NOW)
     archived = spark.read.parquet(path).agg(F.count("*").alias("row_count")).withColumn("part", F.lit("archived"))
     kept = (
-        storage.retained(inventory, schemas.INVENTORY, RETENTION_NOW)
+        storage.retained(pos, schemas.POS, ARCHIVE_NOW)
         .agg(F.count("*").alias("row_count"))
         .withColumn("part", F.lit("retained"))
     )
@@ -636,9 +643,9 @@ def archive_split(spark, sf_dir):
 @query
 def compaction_roundtrip(spark, sf_dir):
     base = scratch_dir(spark, "compaction")
-    ecom = star.raw_ecom(spark, sf_dir)
+    pos = star.raw_pos(spark, sf_dir)
     for delivery in ("delivery_1", "delivery_2"):
-        storage.write_table(ecom.where(F.col("source_file") == delivery), f"{base}/many", schemas.ECOM)
-    storage.compact(spark, f"{base}/many", f"{base}/compacted", schemas.ECOM)
-    table = storage.read_table(spark, f"{base}/compacted", schemas.ECOM)
-    return table.select("order_id", "total_amount", "order_date", "ingestion_ts", "source_file")
+        storage.write_table(pos.where(F.col("source_file") == delivery), f"{base}/many", schemas.POS)
+    storage.compact(spark, f"{base}/many", f"{base}/compacted", schemas.POS)
+    table = storage.read_table(spark, f"{base}/compacted", schemas.POS)
+    return table.select("transaction_id", "amount", "event_date", "ingestion_ts", "source_file")

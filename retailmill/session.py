@@ -17,9 +17,16 @@ SESSION_CONF = {
 }
 
 
+def shuffle_partitions(shuffled_bytes: int, target_bytes: int = 512 << 20, at_least: int = 8) -> int:
+    """How many shuffle partitions keep each near the target size. Adaptive
+    execution merges partitions that turn out small but never adds any, so size
+    this for the largest shuffle: 100 TB at 512 MB is about 200,000."""
+    return max(at_least, -(-shuffled_bytes // target_bytes))
+
+
 def build_session(app_name: str = "retailmill", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the operators rely on. Cluster sizing
-    (executors, shuffle partitions) is left to spark-submit."""
+    """A session with the settings the operators rely on. Executors and
+    ``spark.sql.shuffle.partitions`` are left to the caller or spark-submit."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

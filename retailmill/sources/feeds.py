@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 from retailmill import schemas
 from retailmill.functions.clock import ts_lit
 from retailmill.functions.hashing import record_hash
-from retailmill.functions.parsing import csv_cells, iso_local_date, iso_timestamp, safe_float, safe_int
+from retailmill.functions.parsing import (
+    csv_cell, csv_width, evaluated_once, iso_canonical, iso_local_date, iso_timestamp, parse_csv,
+    safe_float, safe_int,
+)
 
 VALID, INVALID = "VALID", "INVALID"
 ERROR = "_error"
 
 
-def _json_fields(df: DataFrame, fields: list[str]) -> DataFrame:
-    """Adds ``_j``, a struct of the fields as text, NULL unless the line is one JSON object."""
+def _json_fields(lines: DataFrame, fields: list[str]) -> DataFrame:
+    """Adds ``_j`` with the fields as text, ``_ok``, and the canonical ``_iso`` time text."""
     schema = ", ".join(f"{name} string" for name in fields) + ", _corrupt_record string"
     parsed = F.from_json(
         "value",
@@ -36,23 +39,38 @@ def _json_fields(df: DataFrame, fields: list[str]) -> DataFrame:
             "allowSingleQuotes": "false",
         },
     )
-    text = F.regexp_replace("value", r"\s+$", "")
     # the JSON reader stops at the end of the first object: text after it must not pass
-    whole = F.col("_parsed._corrupt_record").isNull() & text.endswith("}")
-    return df.withColumn("_parsed", parsed).withColumn("_j", F.when(whole, F.col("_parsed")))
+    closed = F.rtrim("value", F.lit(" \t\r\n")).endswith("}")
+    df = evaluated_once(lines, _j=parsed, _closed=F.coalesce(closed, F.lit(False)))
+    return df.withColumn("_ok", F.col("_j._corrupt_record").isNull() & F.col("_closed")).withColumn(
+        "_iso", iso_canonical(_field("timestamp"))
+    )
+
 
+def _field(name: str) -> Column:
+    return F.when(F.col("_ok"), F.col(f"_j.{name}"))
 
-def _json_number(field: str) -> Column:
+
+def _json_number(name: str) -> Column:
     """A JSON number, number text, or a JSON boolean (1.0 / 0.0; the text "true" is not one)."""
-    text = F.col(f"_j.{field}")
+    text = _field(name)
     # only looked at for rows whose text is true / false
-    kind = F.schema_of_variant(F.variant_get(F.try_parse_json("value"), f"$.{field}", "variant"))
-    return (
-        F.when(text.isin("true", "false"), F.when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0)))
-        .otherwise(safe_float(text))
+    kind = F.schema_of_variant(F.variant_get(F.try_parse_json("value"), f"$.{name}", "variant"))
+    flag = F.when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
+    return F.when(text.isin("true", "false"), flag).otherwise(safe_float(text))
+
+
+def _csv_cells(lines: DataFrame, columns: int) -> DataFrame:
+    """Adds ``_c`` with the cells and ``_width``, the number of cells on the line."""
+    return evaluated_once(
+        lines, _c=parse_csv(F.col("value"), columns), _width=csv_width(F.col("value"))
     )
 
 
+def _cell(i: int) -> Column:
+    return csv_cell(F.col("_c"), F.col("_width"), i)
+
+
 def _finish(
     df: DataFrame,
     spec: schemas.TableSpec,
@@ -84,27 +102,27 @@ def _finish(
 def parse_pos(lines: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """Point-of-sale JSON lines."""
     df = _json_fields(lines, ["transaction_id", "store_id", "customer_id", "amount", "currency", "timestamp"])
-    columns = {name: F.col(f"_j.{name}") for name in ("transaction_id", "store_id", "customer_id")}
+    columns = {name: _field(name) for name in ("transaction_id", "store_id", "customer_id")}
     columns |= {
         "amount": _json_number("amount"),
-        "currency": F.col("_j.currency"),
-        "event_ts": iso_timestamp(F.col("_j.timestamp")),
-        "event_date": iso_local_date(F.col("_j.timestamp")),
+        "currency": _field("currency"),
+        "event_ts": iso_timestamp(F.col("_iso")),
+        "event_date": iso_local_date(F.col("_iso")),
     }
-    return _finish(df, schemas.POS, columns, F.col("_j").isNotNull(), as_of, "JSON_PARSE_ERROR")
+    return _finish(df, schemas.POS, columns, F.col("_ok"), as_of, "JSON_PARSE_ERROR")
 
 
 def parse_ecom(lines: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """E-commerce order JSON lines."""
     df = _json_fields(lines, ["order_id", "customer_id", "store_id", "total_amount", "payment_type", "timestamp"])
-    columns = {name: F.col(f"_j.{name}") for name in ("order_id", "customer_id", "store_id")}
+    columns = {name: _field(name) for name in ("order_id", "customer_id", "store_id")}
     columns |= {
         "total_amount": _json_number("total_amount"),
-        "payment_type": F.col("_j.payment_type"),
-        "order_ts": iso_timestamp(F.col("_j.timestamp")),
-        "order_date": iso_local_date(F.col("_j.timestamp")),
+        "payment_type": _field("payment_type"),
+        "order_ts": iso_timestamp(F.col("_iso")),
+        "order_date": iso_local_date(F.col("_iso")),
     }
-    return _finish(df, schemas.ECOM, columns, F.col("_j").isNotNull(), as_of, "JSON_PARSE_ERROR")
+    return _finish(df, schemas.ECOM, columns, F.col("_ok"), as_of, "JSON_PARSE_ERROR")
 
 
 def parse_crm(lines: DataFrame, as_of: datetime | str | None = None, legacy: bool = False) -> DataFrame:
@@ -112,15 +130,15 @@ def parse_crm(lines: DataFrame, as_of: datetime | str | None = None, legacy: boo
 
     ``legacy=True`` leaves ``membership_tier`` empty for every layout.
     """
-    df = lines.withColumn("_c", csv_cells(F.col("value"), 9))
-    width = F.col("_c.width")
-    updated = F.when(width == 8, F.col("_c.c7")).when(width >= 9, F.col("_c.c8"))
-    tier = F.lit(None).cast("string") if legacy else F.when(width >= 9, F.col("_c.c7"))
+    width = F.col("_width")
+    updated = F.when(width == 8, _cell(7)).when(width >= 9, _cell(8))
+    df = _csv_cells(lines, 9).withColumn("_iso", iso_canonical(updated))
+    tier = F.lit(None).cast("string") if legacy else F.when(width >= 9, _cell(7))
     names = ("customer_id", "first_name", "last_name", "email", "loyalty_status", "city", "country")
-    columns = {name: F.col(f"_c.c{i}") for i, name in enumerate(names)}
+    columns = {name: _cell(i) for i, name in enumerate(names)}
     columns |= {
         "membership_tier": tier,
-        "updated_at": iso_timestamp(updated),
+        "updated_at": iso_timestamp(F.col("_iso")),
         "raw_extra_attributes": F.lit(None).cast("string"),
     }
     return _finish(df, schemas.CRM, columns, F.col("value").isNotNull(), as_of, "CSV_PARSE_ERROR")
@@ -128,14 +146,14 @@ def parse_crm(lines: DataFrame, as_of: datetime | str | None = None, legacy: boo
 
 def parse_inventory(lines: DataFrame, as_of: datetime | str | None = None) -> DataFrame:
     """Stock snapshot CSV lines."""
-    df = lines.withColumn("_c", csv_cells(F.col("value"), 6))
+    df = _csv_cells(lines, 6).withColumn("_iso", iso_canonical(_cell(5)))
     columns = {
-        "product_id": F.col("_c.c0"),
-        "store_id": F.col("_c.c1"),
-        "product_name": F.col("_c.c2"),
-        "quantity": safe_int(F.col("_c.c3")),
-        "price": safe_float(F.col("_c.c4")),
-        "last_updated": iso_timestamp(F.col("_c.c5")),
+        "product_id": _cell(0),
+        "store_id": _cell(1),
+        "product_name": _cell(2),
+        "quantity": safe_int(_cell(3)),
+        "price": safe_float(_cell(4)),
+        "last_updated": iso_timestamp(F.col("_iso")),
     }
     return _finish(df, schemas.INVENTORY, columns, F.col("value").isNotNull(), as_of, "CSV_PARSE_ERROR")
 
