@@ -293,8 +293,8 @@ def scd2_metrics(spark, sf_dir):
 # --- late data ---------------------------------------------------------------
 
 
-def _late(spark, sf_dir, table_name="all", days=ALL_DAYS):
-    return late.late_records(star.raw_tables(spark, sf_dir), LATE_NOW, days, table_name)
+def _late(spark, sf_dir):
+    return late.late_records(star.raw_tables(spark, sf_dir, *late.TRACKED), LATE_NOW, ALL_DAYS)
 
 
 def _tracking(spark, sf_dir):
@@ -385,7 +385,8 @@ def contract_violations(spark, sf_dir):
 
 
 def _unfiltered(spark, sf_dir):
-    return {**star.raw_tables(spark, sf_dir), schemas.POS.name: star.pos_rows(spark, sf_dir)}
+    others = star.raw_tables(spark, sf_dir, schemas.ECOM, schemas.CRM, schemas.INVENTORY)
+    return {schemas.POS.name: star.pos_rows(spark, sf_dir), **others}
 
 
 @query
@@ -426,9 +427,7 @@ def failed_runs_1h(spark, sf_dir):
 
 @query
 def freshness(spark, sf_dir):
-    tables = star.raw_tables(spark, sf_dir)
-    watched = {n: tables[n] for n in (schemas.POS.name, schemas.ECOM.name)}
-    return monitoring.freshness(watched, POS_NOW)
+    return monitoring.freshness(star.raw_tables(spark, sf_dir, schemas.POS, schemas.ECOM), POS_NOW)
 
 
 @query

@@ -14,6 +14,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # building plans from Python is several times faster without call sites
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
