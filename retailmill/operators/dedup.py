@@ -35,7 +35,8 @@ def dedup_by_hash(
 def _survivor_order(df: DataFrame, keys: Sequence[str]) -> list[Column]:
     newest, *others = total_order(df, INGESTED, keys=[*keys, "record_hash"])
     # among equally new copies one with a hash survives, as the log assumes
-    return [newest, F.col("record_hash").asc_nulls_last(), *others]
+    hashed = [F.col("record_hash").asc_nulls_last()] if "record_hash" in df.columns else []
+    return [newest, *hashed, *others]
 
 
 def dedup_table(df: DataFrame, spec: TableSpec, mode: str = "keep_one") -> DataFrame:

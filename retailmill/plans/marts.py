@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from retailmill import schemas
+from retailmill.operators.dedup import dedup_table
 from retailmill.operators.late import rows_to_reaggregate
 from retailmill.operators.latest import latest_per_key
 
@@ -37,9 +39,22 @@ def sales_fact(pos: DataFrame, ecom: DataFrame) -> DataFrame:
     )
 
 
+POS_SALE = ("transaction_id", "store_id", "customer_id", "event_ts", "event_date", "amount", "ingestion_ts")
+ECOM_SALE = ("order_id", "store_id", "customer_id", "order_ts", "order_date", "total_amount", "ingestion_ts")
+
+
+def deduplicated_sales_fact(pos: DataFrame, ecom: DataFrame) -> DataFrame:
+    """The fact from raw tables: deduplicated on just the columns it needs."""
+    return sales_fact(
+        dedup_table(pos.select(*POS_SALE), schemas.POS), dedup_table(ecom.select(*ECOM_SALE), schemas.ECOM)
+    )
+
+
 def inventory_snapshot_fact(inventory: DataFrame) -> DataFrame:
     """The newest stock row per product and store, with its day."""
-    newest = latest_per_key(inventory, ["product_id", "store_id"], "last_updated")
+    # only what the fact holds, so nothing else is sorted and shuffled
+    narrow = inventory.select("product_id", "store_id", "quantity", "price", "last_updated")
+    newest = latest_per_key(narrow, ["product_id", "store_id"], "last_updated")
     return newest.select(
         F.to_date("last_updated").alias("snapshot_date"),
         "product_id",

@@ -359,6 +359,8 @@ SELECT product_id, store_id, CAST(quantity AS DOUBLE) AS quantity, price, {_ts('
 _oracle("dedup_keep_first", "raw_pos",
         _ranked("raw_pos", "record_hash", "ingestion_ts, source_file", _POS_OUT))
 _oracle("dedup_pos_table", "pos_survivors", f"SELECT {_POS_OUT} FROM pos_survivors")
+# loads arrive in order, so of two equally new copies the one stored first stays
+ORACLE["dedup_pos_incremental"] = ORACLE["dedup_pos_table"]
 _oracle("dedup_ecom_table", "ecom_survivors", f"SELECT {_ECOM_OUT} FROM ecom_survivors")
 _oracle("dedup_crm_table", "raw_crm", _ranked(
     "raw_crm", "customer_id, updated_at", "ingestion_ts DESC",

@@ -10,6 +10,8 @@ import time
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ def run_name(as_of: datetime | str) -> str:
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Directory layout: bronze loads, silver snapshots, logs; one directory per run."""
+    """Directory layout: bronze loads, silver tables, logs, work files; each run has its own directories."""
 
     root: str
 
@@ -44,6 +46,12 @@ class Warehouse:
     def silver(self, table: str, as_of: datetime | str) -> str:
         return f"{self.root}/silver/{table}/run={run_name(as_of)}"
 
+    def silver_days(self, table: str) -> str:
+        return f"{self.root}/silver/{table}"
+
+    def work(self, name: str, as_of: datetime | str) -> str:
+        return f"{self.root}/work/{name}/run={run_name(as_of)}"
+
     def log(self, table: str, as_of: datetime | str, part: str) -> str:
         return f"{self.root}/log/{table}/run={run_name(as_of)}/part={part}"
 
@@ -94,20 +102,47 @@ def read_bronze(spark: SparkSession, warehouse: Warehouse, spec: TableSpec) -> D
     return storage.read_table(spark, warehouse.bronze(spec.name), spec)
 
 
+def _days_to_redo(base: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+    """Days that incoming rows fall on, and days of stored rows they duplicate.
+
+    Only the key columns and the date of the stored table are read.
+    """
+    keys = list(spec.warehouse_keys)
+    own = storage.with_day(incoming, spec).select("day").distinct()
+    stored = storage.with_day(base, spec).select(*keys, "day").alias("s")
+    new_keys = incoming.select(*keys).distinct().alias("n")
+    same = reduce(and_, [F.col(f"s.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
+    return own.unionByName(stored.join(new_keys, same, "left_semi").select("day")).distinct()
+
+
 def run_dedup(
     spark: SparkSession,
     warehouse: Warehouse,
     spec: TableSpec,
     as_of: datetime | str,
+    previous: datetime | str | None = None,
     mode: str = "keep_one",
 ) -> DataFrame:
-    """Writes the deduplicated table and, where the table has one, its duplicate log."""
-    survivors, log = dedup.deduplicate(read_bronze(spark, warehouse, spec), spec, mode)
-    target = warehouse.silver(spec.name, as_of)
-    storage.write_table(survivors, target, spec, mode="overwrite")
+    """Adds this run's load to the deduplicated table, redoing only the days it touches.
+
+    The removed copies go to the duplicate log of the run, where the table has one.
+    """
+    path = warehouse.silver_days(spec.name)
+    incoming = storage.read_table(spark, warehouse.load(spec.name, as_of), spec).select(*spec.schema.names)
+    if previous is None:
+        days = storage.with_day(incoming, spec).select("day").distinct()
+        candidates = incoming
+    else:
+        base = storage.read_days(spark, path, spec, run_name(previous))
+        listed = warehouse.work(f"{spec.name}_days", as_of)
+        _days_to_redo(base, incoming, spec).write.mode("overwrite").parquet(listed)
+        days = spark.read.schema("day string").parquet(listed)
+        candidates = storage.read_days(spark, path, spec, run_name(previous), days).unionByName(incoming)
+    survivors, log = dedup.deduplicate(candidates, spec, mode)
     if spec is not schemas.CRM:
         log.write.mode("overwrite").parquet(warehouse.log("deduplication_log", as_of, spec.name))
-    return storage.read_table(spark, target, spec)
+    storage.write_days(survivors, days, path, spec, run_name(as_of))
+    return storage.read_days(spark, path, spec, run_name(as_of))
 
 
 def run_scd2(
@@ -129,7 +164,7 @@ def run_scd2(
     snapshot = scd2.source_snapshot(raw_crm, as_of)
     result = scd2.upsert(dim, snapshot, as_of)
     # written once, then split and counted from the file
-    staged = warehouse.silver("customer_dim_changes", as_of)
+    staged = warehouse.work("customer_dim_changes", as_of)
     result.changes.write.mode("overwrite").partitionBy("change").parquet(staged)
     staged_schema = T.StructType([*schemas.CUSTOMER_DIM.fields, T.StructField("change", T.StringType())])
     changes = spark.read.schema(staged_schema).parquet(staged)
@@ -208,7 +243,8 @@ def run_daily(
         write_run_record(warehouse, record, as_of, f"{name}_batch")
 
     tables = {
-        spec.name: run_dedup(spark, warehouse, spec, as_of) for spec in (schemas.POS, schemas.ECOM, schemas.CRM)
+        spec.name: run_dedup(spark, warehouse, spec, as_of, previous)
+        for spec in (schemas.POS, schemas.ECOM, schemas.CRM)
     }
     tables[schemas.INVENTORY.name] = read_bronze(spark, warehouse, schemas.INVENTORY)
 

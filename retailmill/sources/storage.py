@@ -13,6 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from retailmill.functions.clock import date_lit
 from retailmill.schemas import TableSpec
@@ -84,3 +85,58 @@ def compact(spark: SparkSession, path: str, target_path: str, spec: TableSpec) -
     if path.rstrip("/") == target_path.rstrip("/"):
         raise ValueError("compaction needs a target other than the table it reads")
     write_table(spark.read.parquet(path), target_path, spec, mode="overwrite")
+
+
+# --- tables kept by whole days -----------------------------------------------
+#
+# Without a table format there is no update in place. A deduplicated table is
+# therefore kept as day versions: a run writes only the days it changes, under
+# its own name, and then lists those days. A reader takes the newest listed
+# version of each day, so a failed run is invisible and a repeated one exact.
+
+UNDATED = "undated"
+
+
+def _day(spec: TableSpec):
+    source = F.col(spec.partition_column) if spec.partition_column in spec.schema.names else F.to_date(spec.event_ts)
+    return F.coalesce(F.date_format(source, "yyyy-MM-dd"), F.lit(UNDATED))
+
+
+def with_day(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """Adds ``day``, the text of the row's partition date."""
+    return df.withColumn("day", _day(spec))
+
+
+def write_days(df: DataFrame, days: DataFrame, path: str, spec: TableSpec, run: str) -> None:
+    """Writes the rows as version ``run`` of ``days``; a listed day without rows becomes empty."""
+    spark = df.sparkSession
+    listed = f"{path}/pending/run={run}"
+    days.select("day").distinct().write.mode("overwrite").parquet(listed)
+    laid_out = clustered(with_day(df, spec).withColumn("run", F.lit(run)), "day", spec.cluster_columns)
+    (
+        laid_out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "run")
+        .parquet(f"{path}/data")
+    )
+    spark.read.schema("day string").parquet(listed).write.mode("overwrite").parquet(f"{path}/versions/run={run}")
+
+
+def read_days(
+    spark: SparkSession, path: str, spec: TableSpec, run: str, days: DataFrame | None = None
+) -> DataFrame:
+    """The table as of a run, optionally only some days. The version list has one row
+    per day and run, and is what gets broadcast; it prunes the partitions read."""
+    versions = (
+        spark.read.schema("day string, run string").parquet(f"{path}/versions")
+        .where(F.col("run") <= run)
+        .groupBy("day")
+        .agg(F.max("run").alias("run"))
+    )
+    if days is not None:
+        versions = versions.join(days.select("day").distinct(), "day", "left_semi")
+    stored = T.StructType(
+        [*spec.schema.fields, T.StructField("day", T.StringType()), T.StructField("run", T.StringType())]
+    )
+    rows = spark.read.schema(stored).parquet(f"{path}/data")
+    return rows.join(F.broadcast(versions), ["day", "run"], "left_semi").select(*spec.schema.names)

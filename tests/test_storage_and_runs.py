@@ -121,3 +121,52 @@ def test_daily_chain(spark, tmp_path):
     assert counts == {"TXN002|2025-10-20 09:15:12+00": 1, "O1": 1, "O2": 1}
     dead = spark.read.parquet(f"{root}/dead_letter/raw_pos_transactions")
     assert [r.line for r in dead.collect()] == ["{bad"]
+
+
+def test_dedup_redoes_only_touched_days(spark, tmp_path):
+    warehouse = procedures.Warehouse(str(tmp_path / "wh"))
+    path = warehouse.silver_days(schemas.ECOM.name)
+
+    def order(key, time, total=1.0):
+        return '{"order_id":"%s","total_amount":%s,"timestamp":"%s"}' % (key, total, time)
+
+    def run(as_of, values, previous=None):
+        load = feeds.good_rows(feeds.parse_ecom(samples.lines(spark, values), as_of))
+        storage.write_table(load, warehouse.load(schemas.ECOM.name, as_of), schemas.ECOM, mode="overwrite")
+        table = procedures.run_dedup(spark, warehouse, schemas.ECOM, as_of, previous)
+        log = spark.read.parquet(warehouse.log("deduplication_log", as_of, schemas.ECOM.name))
+        return (
+            sorted((r.order_id, str(r.order_date), r.total_amount) for r in table.collect()),
+            {r.record_key: r["count"] for r in log.collect()},
+        )
+
+    first, second, third = "2025-01-05T00:00:00Z", "2025-01-06T00:00:00Z", "2025-01-07T00:00:00Z"
+    rows, log = run(first, [order("a", "2025-01-01T00:00:00Z"), order("b", "2025-01-02T00:00:00Z"), order("c", "2025-01-03T00:00:00Z"), order("u", "never")])
+    assert len(rows) == 4 and log == {}
+    # b moves to another day: its old day is left without rows
+    for _ in range(2):
+        rows, log = run(second, [order("b", "2025-01-04T00:00:00Z", 2.0), order("u", "never", 3.0)], first)
+        assert rows == [("a", "2025-01-01", 1.0), ("b", "2025-01-04", 2.0), ("c", "2025-01-03", 1.0), ("u", "None", 3.0)]
+        assert log == {"b": 1, "u": 1}
+    days = {p.parent.name for p in Path(path, "data").rglob("run=20250106T000000")}
+    assert days == {"day=2025-01-04", "day=undated"}
+    rows, log = run(third, [order("c", "2025-01-03T00:00:00Z", 5.0)], second)
+    assert ("c", "2025-01-03", 5.0) in rows and len(rows) == 4 and log == {"c": 1}
+    # an earlier state stays readable, and a version no run has listed is not seen
+    assert storage.read_days(spark, path, schemas.ECOM, procedures.run_name(first)).count() == 4
+    pruned = storage.read_days(spark, path, schemas.ECOM, procedures.run_name(third))._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in pruned.lower()
+
+
+def test_command_line(spark, tmp_path):
+    from retailmill import jobs
+
+    samples.write_lines(tmp_path / "in" / "a.json", samples.POS_DAY_1 + ["{bad"])
+    out = tmp_path / "out"
+    jobs.main(["--as_of", NOW, "batch", "--feed", "raw_pos_transactions", "--input_pattern", f"{tmp_path}/in/*.json",
+               "--output_table", f"{out}/pos", "--dead_letter_table", f"{out}/dead"])
+    assert storage.read_table(spark, f"{out}/pos", schemas.POS).count() == 3
+    jobs.main(["stream-pos", "--input_directory", f"{tmp_path}/in", "--output_table", f"{out}/s", "--dead_letter_table",
+               f"{out}/sd", "--windows_table", f"{out}/w", "--checkpoint", f"{out}/c", "--once"])
+    assert spark.read.parquet(f"{out}/s").count() == 3 and spark.read.parquet(f"{out}/sd").count() == 1
+    assert spark.read.parquet(f"{out}/w").agg(F.sum("sales_count")).first()[0] == 3
