@@ -80,39 +80,36 @@ def duplicate_log(df: DataFrame, spec: TableSpec) -> DataFrame:
 
     The surviving copy is not counted. Ranking whole groups would put a key with
     millions of copies into one task, so the log is put together from parts that
-    shrink before the shuffle: group totals, the group's second-newest time, and
-    the hash of the surviving row.
+    shrink before the shuffle: group totals and the group's second-newest time.
+    The hash is computed from the key, so a key has one group, or two where some
+    copies came without a hash.
     """
     keys = list(spec.warehouse_keys)
     group = [*keys, "record_hash"]
     narrow = df.select(*group, INGESTED)
-    hashed = narrow.where(F.col("record_hash").isNotNull())
-    order = [F.col(INGESTED).desc_nulls_last(), F.col("record_hash").asc_nulls_last()]
+    newest_first = [F.col(INGESTED).desc_nulls_last()]
 
-    totals = hashed.groupBy(*group).agg(
+    totals = narrow.groupBy(*group).agg(
         F.count("*").alias("copies"), F.min(INGESTED).alias("oldest"), F.max(INGESTED).alias("newest")
     )
     second = (
-        first_per_key(hashed, group, order, n=2)
+        first_per_key(narrow.where(F.col("record_hash").isNotNull()), group, newest_first, n=2)
         .where(F.col("rn") == 2)
         .select(*group, F.col(INGESTED).alias("second"))
     )
-    survivor = (
-        first_per_key(narrow, keys, order)
-        .where(F.col("record_hash").isNotNull())
-        .select(*group, F.lit(1).alias("survives"))
+    # a union regroups NULL key parts correctly, which an equi-join would not;
+    # placed by key, the groups of a key meet for the survivor without a further shuffle
+    merged = (
+        totals.unionByName(second, allowMissingColumns=True)
+        .repartition(*keys)
+        .groupBy(*group)
+        .agg(*[F.max(c).alias(c) for c in ("copies", "oldest", "newest", "second")])
     )
-    # a union regroups NULL key parts correctly, which an equi-join would not
-    parts = totals.unionByName(second, allowMissingColumns=True).unionByName(
-        survivor, allowMissingColumns=True
-    )
-    merged = parts.groupBy(*group).agg(
-        F.max("copies").alias("copies"),
-        F.max("oldest").alias("oldest"),
-        F.max("newest").alias("newest"),
-        F.max("second").alias("second"),
-        F.coalesce(F.max("survives"), F.lit(0)).alias("survives"),
+    by_survivor = Window.partitionBy(*keys).orderBy(
+        F.col("newest").desc_nulls_last(), F.col("record_hash").asc_nulls_last()
     )
+    survives = F.when(F.row_number().over(by_survivor) == 1, 1).otherwise(0)
+    merged = merged.withColumn("survives", survives).where(F.col("record_hash").isNotNull())
     extra = F.col("copies") - F.col("survives")
     return merged.where(extra > 0).select(
         F.lit(spec.name).alias("table_name"),
