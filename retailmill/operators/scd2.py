@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailmill import schemas
-from retailmill.functions.clock import instant, iso_text, ts_lit
+from retailmill.functions.clock import date_lit, instant, iso_text, ts_lit
 from retailmill.functions.hashing import attributes_hash
 from retailmill.operators.latest import first_per_key, total_order
 from retailmill.operators.monitoring import run_record
@@ -34,6 +34,9 @@ def source_snapshot(raw_crm: DataFrame, as_of: datetime | str, lookback_days: in
     update per customer is one ranking by both times.
     """
     columns = ["customer_id", *ATTRIBUTES, "updated_at"]
+    if schemas.CRM.partition_column in raw_crm.columns:
+        # implied by the lookback below; lets a stored table skip its older partitions
+        raw_crm = raw_crm.where(F.col(schemas.CRM.partition_column) >= date_lit(as_of, lookback_days))
     recent = raw_crm.where(
         F.col("updated_at").isNotNull()
         & (F.col("updated_at") >= ts_lit(as_of, days=lookback_days))

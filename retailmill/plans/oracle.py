@@ -645,7 +645,9 @@ FROM raw_pos GROUP BY date_trunc('minute', event_ts), store_id""")
 _oracle("stream_dedup", "raw_pos", f"""
 SELECT transaction_id, {_ts('event_ts')} AS event_ts, any_value(amount) AS amount
 FROM raw_pos GROUP BY transaction_id, event_ts""")
-_oracle("incremental_files", "pos_d", "SELECT delivery AS run, count(*) AS line_count FROM pos_d GROUP BY delivery")
+_oracle("stream_then_dedup", "pos_survivors", f"""
+SELECT transaction_id, {_ts('event_ts')} AS event_ts, amount, record_hash FROM pos_survivors""")
+_oracle("incremental_files", "pos_d", "SELECT CAST(delivery AS BIGINT) AS run, count(*) AS line_count FROM pos_d GROUP BY delivery")
 
 # --- storage -----------------------------------------------------------------
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import time
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 from functools import reduce
 from operator import and_
 
@@ -85,7 +85,7 @@ def run_batch(
     )
     accepted = Observation()
     good = feeds.good_rows(parsed).observe(accepted, F.count("*").alias("n"))
-    storage.write_table(dedup.dedup_batch(good, spec), output_path, spec, mode="overwrite")
+    storage.write_table(dedup.dedup_batch(good, spec), output_path, spec, mode="replace")
 
     return monitoring.run_record(
         spark.range(1),
@@ -248,7 +248,11 @@ def run_daily(
     }
     tables[schemas.INVENTORY.name] = read_bronze(spark, warehouse, schemas.INVENTORY)
 
-    dim, record = run_scd2(spark, warehouse, tables[schemas.CRM.name], as_of, previous)
+    oldest = (instant(as_of) - timedelta(days=scd2.LOOKBACK_DAYS)).date()
+    recent_crm = storage.read_days(
+        spark, warehouse.silver_days(schemas.CRM.name), schemas.CRM, run_name(as_of), since=oldest
+    )
+    dim, record = run_scd2(spark, warehouse, recent_crm, as_of, previous)
     write_run_record(warehouse, record, as_of, scd2.PIPELINE)
     tracking, record = run_late(
         spark, warehouse, tables, as_of, lookback_days=lookback_days, previous=previous

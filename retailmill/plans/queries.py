@@ -598,6 +598,16 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{out}/rows").select("transaction_id", "event_ts", "amount")
 
 
+@query
+def stream_then_dedup(spark, sf_dir):
+    """The table dedup run on what the stream has stored."""
+    out = scratch_dir(spark, "stream-table")
+    messages = _streamed(spark, sf_dir, "stream-in")
+    stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW).awaitTermination()
+    stored = spark.read.parquet(f"{out}/rows").select(*schemas.RAW_POS.names)
+    return dedup.dedup_table(stored, schemas.POS).select("transaction_id", "event_ts", "amount", "record_hash")
+
+
 @query
 def incremental_files(spark, sf_dir):
     """Two deliveries land one after the other; the second run reads only the new files."""

@@ -9,7 +9,7 @@ over many tasks, small days share one.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +33,12 @@ def clustered(df: DataFrame, partition_column: str, cluster_columns: Sequence[st
 
 
 def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "append") -> None:
-    """Writes rows into the day partitions; ``overwrite`` replaces only days present in ``df``."""
+    """Writes rows into the day partitions. ``overwrite`` replaces the days present in
+    ``df``, ``replace`` the whole directory."""
     laid_out = clustered(with_partition_date(df, spec), spec.partition_column, spec.cluster_columns)
     (
-        laid_out.write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
+        laid_out.write.mode("overwrite" if mode == "replace" else mode)
+        .option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
         .partitionBy(spec.partition_column)
         .parquet(path)
     )
@@ -122,19 +123,36 @@ def write_days(df: DataFrame, days: DataFrame, path: str, spec: TableSpec, run:
     spark.read.schema("day string").parquet(listed).write.mode("overwrite").parquet(f"{path}/versions/run={run}")
 
 
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    """The listed versions: one row per day and run that changed it."""
+    return spark.read.schema("day string, run string").parquet(f"{path}/versions")
+
+
+def superseded_versions(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """Day versions a reader as of ``run`` or later no longer needs; their directories may go."""
+    upto = _versions(spark, path).where(F.col("run") <= run)
+    newest = upto.groupBy("day").agg(F.max("run").alias("newest"))
+    return upto.join(newest, "day").where(F.col("run") < F.col("newest")).select("day", "run")
+
+
 def read_days(
-    spark: SparkSession, path: str, spec: TableSpec, run: str, days: DataFrame | None = None
+    spark: SparkSession,
+    path: str,
+    spec: TableSpec,
+    run: str,
+    days: DataFrame | None = None,
+    since: date | None = None,
 ) -> DataFrame:
-    """The table as of a run, optionally only some days. The version list has one row
-    per day and run, and is what gets broadcast; it prunes the partitions read."""
+    """The table as of a run, optionally only some days or the dated rows since a day.
+    The version list has one row per day and run, and is what gets broadcast; it
+    prunes the partitions read."""
     versions = (
-        spark.read.schema("day string, run string").parquet(f"{path}/versions")
-        .where(F.col("run") <= run)
-        .groupBy("day")
-        .agg(F.max("run").alias("run"))
+        _versions(spark, path).where(F.col("run") <= run).groupBy("day").agg(F.max("run").alias("run"))
     )
     if days is not None:
         versions = versions.join(days.select("day").distinct(), "day", "left_semi")
+    if since is not None:
+        versions = versions.where((F.col("day") >= since.isoformat()) & (F.col("day") != UNDATED))
     stored = T.StructType(
         [*spec.schema.fields, T.StructField("day", T.StringType()), T.StructField("run", T.StringType())]
     )

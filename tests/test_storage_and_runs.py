@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from retailmill import schemas
+from retailmill.operators import scd2
 from retailmill.plans import marts, procedures
 from retailmill.sources import feeds, storage
 import samples
@@ -49,6 +50,23 @@ def test_a_day_with_most_rows_is_split(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "t")).count() == 40_000
 
 
+def test_replace_leaves_nothing_behind(spark, tmp_path):
+    path = str(tmp_path / "pos")
+    storage.write_table(pos(spark), path, schemas.POS)
+    storage.write_table(pos(spark).where("event_date = DATE'2025-10-19'"), path, schemas.POS, mode="replace")
+    assert storage.read_table(spark, path, schemas.POS).count() == 1
+
+
+def test_history_lookback_prunes_partitions(spark, tmp_path):
+    path = str(tmp_path / "crm")
+    rows = feeds.good_rows(feeds.parse_crm(samples.lines(spark, samples.CRM_DAY_1 + samples.CRM_DAY_2), NOW))
+    storage.write_table(rows, path, schemas.CRM)
+    recent = scd2.source_snapshot(storage.read_table(spark, path, schemas.CRM), "2026-01-18T20:00:00Z")
+    assert {r.customer_id for r in recent.collect()} == {"C1", "C2", "C4"}
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "updated_date" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
+
+
 def test_retention_and_archive(spark, tmp_path):
     df = pos(spark)
     assert storage.retained(df, schemas.POS, "2026-10-20T00:00:00Z").count() == 5
@@ -154,6 +172,8 @@ def test_dedup_redoes_only_touched_days(spark, tmp_path):
     assert ("c", "2025-01-03", 5.0) in rows and len(rows) == 4 and log == {"c": 1}
     # an earlier state stays readable, and a version no run has listed is not seen
     assert storage.read_days(spark, path, schemas.ECOM, procedures.run_name(first)).count() == 4
+    old = storage.superseded_versions(spark, path, procedures.run_name(third)).collect()
+    assert {(r.day, r.run[:8]) for r in old} == {("2025-01-02", "20250105"), ("2025-01-03", "20250105"), ("undated", "20250105")}
     pruned = storage.read_days(spark, path, schemas.ECOM, procedures.run_name(third))._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in pruned.lower()
 
