@@ -110,7 +110,10 @@ def _pos_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts")
     delay = F.when(F.col("delivery") == 1, F.col("k") * 2).otherwise(F.col("k") * 3)
     return (
-        events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value", k.alias("k"), F.explode(times).alias("delivery"))
+        events.select(
+            "event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type", "value",
+            k.alias("k"), F.explode(times).alias("delivery"),
+        )
         .select(
             "*",
             (failed & (F.col("k") < 10)).alias("broken"),
@@ -259,7 +262,8 @@ def _crm_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             _id("City ", "c_nationkey").alias("city"),
             F.col("n_name").alias("country"),
             F.when(F.col("c_acctbal") > 5000, "Plus").otherwise("Basic").alias("membership_tier"),
-            F.when(F.col("delivery") == 1, F.lit(CRM_DAY_1)).otherwise(F.lit(CRM_DAY_2)).cast("timestamp").alias("updated_at"),
+            F.when(F.col("delivery") == 1, F.lit(CRM_DAY_1)).otherwise(F.lit(CRM_DAY_2)).cast("timestamp")
+            .alias("updated_at"),
             (F.col("c_custkey") % 5 + F.when(F.col("delivery") == 3, 6).otherwise(0)).cast("int").alias("delay"),
             "delivery",
         )
