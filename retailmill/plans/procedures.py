@@ -199,16 +199,24 @@ def run_late(
     lookback_days: int = 7,
     previous: datetime | str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """The late-arrival tracking table after this run, and the run's monitoring row."""
-    found = late.late_records(tables, as_of, lookback_days, table_name)
+    """The late-arrival tracking table after this run, and the run's monitoring row.
+
+    The ingestion time is part of the key, so only the ingestion days of what was
+    found are merged and rewritten.
+    """
+    spec = schemas.LATE_TRACKING
+    path = warehouse.silver_days(spec.name)
+    staged = warehouse.work("late_records", as_of)
+    late.late_records(tables, as_of, lookback_days, table_name).write.mode("overwrite").parquet(staged)
+    found = spark.read.parquet(staged)
+    days = storage.with_day(found, spec).select("day").distinct()
     tracking = (
-        spark.createDataFrame([], schemas.LATE_ARRIVING)
+        spark.createDataFrame([], spec.schema)
         if previous is None
-        else spark.read.schema(schemas.LATE_ARRIVING).parquet(warehouse.silver("late_arriving_data", previous))
+        else storage.read_days(spark, path, spec, run_name(previous), days)
     )
-    target = warehouse.silver("late_arriving_data", as_of)
-    late.late_upsert(tracking, found).write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target), late.late_metrics(found, as_of, table_name)
+    storage.write_days(late.late_upsert(tracking, found), days, path, spec, run_name(as_of))
+    return storage.read_days(spark, path, spec, run_name(as_of)), late.late_metrics(found, as_of, table_name)
 
 
 def write_run_record(warehouse: Warehouse, record: DataFrame, as_of: datetime | str, step: str) -> None:

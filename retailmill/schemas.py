@@ -178,6 +178,15 @@ INVENTORY = TableSpec(
     retention_days=365,
 )
 
+# not a feed: only the layout of the tracking table, kept by ingestion day (no expiry is asked of it)
+LATE_TRACKING = TableSpec(
+    name="late_arriving_data", schema=LATE_ARRIVING, required=("table_name", "record_key"),
+    hash_keys=(), batch_keys=(), batch_order="ingestion_timestamp",
+    event_ts="ingestion_timestamp", partition_column="ingestion_date",
+    cluster_columns=("table_name", "processed"),
+    retention_days=1095,
+)
+
 TABLES = {spec.name: spec for spec in (POS, ECOM, CRM, INVENTORY)}
 
 
