@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,12 +45,8 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A new, never reused directory for checkpoints and intermediate tables.
 
-    It lies in the folder every executor shares (``spark.checkpoint.dir``). Only
-    a local session without that setting may use the machine's own temp folder.
+    It lies in ``spark.checkpoint.dir`` or, where that is unset, in the warehouse
+    directory. Every executor and the driver share either of them.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{base.rstrip('/')}/retailmill-{purpose}-{uuid.uuid4().hex}"

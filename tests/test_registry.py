@@ -4,8 +4,8 @@ import pytest
 
 import __spark_entry__ as entry
 from compare import connect, difference
-
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+from retailmill.plans.oracle import ORACLE as SQL
+from retailmill.plans.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def con(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
