@@ -8,7 +8,7 @@ by word, up to six words to either side of the seed: at least ten and 60 % of th
 compared words must be equal.
 
 All work is built-in expressions on one pass over the documents. The item side is
-broadcast only if its seeds were counted to be few; else the join is a shuffled one.
+broadcast only if its seeds (24 bytes each) were counted to be few; else the join is a shuffled one.
 
 Defined cases: null and empty texts, and items of fewer than twelve words, match
 nothing; repeated rows are told apart by nothing but their id, so their hits add up;
@@ -60,28 +60,21 @@ def positions(h: Column) -> Column:
 def hits(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Verified hits: doc_id, item_id, doc_word and item_word where the seed begins,
     n_equal of n_compared words. One row for each aligned position, however many masks agree."""
-    items = benchmark.select("item_id", word_hashes(F.coalesce("text", F.lit(""))).alias("g"))
-    items = items.withColumn("j", F.explode(positions(F.col("g"))))
     c = settings.context
-    items = items.select(
-        "item_id",
-        "j",
-        F.size("g").alias("n_item"),
-        F.expr(f"slice(g, greatest(j - {c}, 0) + 1, {SPAN + 2 * c})").alias("near_item"),
-        F.explode(seeds(F.col("g"), F.col("j"))).alias("seed"),
-    )
-    items = written(items, "seeds")
-    few = items.limit(settings.broadcast_seeds + 1).count() <= settings.broadcast_seeds
+    items = written(benchmark.select("item_id", word_hashes(F.coalesce("text", F.lit(""))).alias("g")), "items")
+    at = items.select("item_id", "g", F.explode(positions(F.col("g"))).alias("j"))
+    at = written(at.select("item_id", "j", F.explode(seeds(F.col("g"), F.col("j"))).alias("seed")), "seeds")
+    few = at.limit(settings.broadcast_seeds + 1).count() <= settings.broadcast_seeds
     own = texts(docs).select("doc_id", word_hashes(F.col("text")).alias("h"))
     own = own.select("doc_id", "h", F.explode(positions(F.col("h"))).alias("i"))
     own = own.select("doc_id", "h", "i", F.explode(seeds(F.col("h"), F.col("i"))).alias("seed"))
+    near_doc = F.expr(f"slice(h, greatest(i - {c}, 0) + 1, {SPAN + 2 * c})")
     if not few:  # a shuffled join must not carry whole documents
-        own = own.select("doc_id", "i", "seed", F.expr(f"slice(h, greatest(i - {c}, 0) + 1, {SPAN + 2 * c})").alias("h0"))
+        own = own.select("doc_id", "i", "seed", near_doc.alias("h0"))
         near_doc = F.col("h0")
-    else:
-        near_doc = F.expr(f"slice(h, greatest(i - {c}, 0) + 1, {SPAN + 2 * c})")
-    found = own.join(F.broadcast(items) if few else items, "seed")
-    found = found.select("doc_id", "item_id", "i", "j", near_doc.alias("x"), F.col("near_item").alias("y"))
+    found = own.join(F.broadcast(at) if few else at, "seed").select("doc_id", "item_id", "i", "j", near_doc.alias("x"))
+    near_item = F.expr(f"slice(g, greatest(j - {c}, 0) + 1, {SPAN + 2 * c})")
+    found = found.join(items, "item_id").select("doc_id", "item_id", "i", "j", "x", near_item.alias("y"))
     # both slices begin up to ``c`` words before the seed; align their beginnings
     before = F.least(F.col("i"), F.col("j"), F.lit(c))
     x = F.expr(f"slice(x, least(i, {c}) - least(i, j, {c}) + 1, {SPAN + 2 * c})")

@@ -7,17 +7,28 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from retailmill.llm import decontaminate, jaccard, pii, sentencepiece_chunks, toxicity
+from retailmill.llm import (
+    decontaminate, jaccard, licenses, merkle, pii, preference, sentencepiece_chunks, token_count, token_files, toxicity,
+)
 from retailmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(table(spark, sf_dir, "documents"), BYTES)
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pii(table(spark, sf_dir, "documents"))
 
 
+def op3_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return preference.preference_pairs(preference.cut_reply_pairs(table(spark, sf_dir, "conversations")))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -34,7 +45,130 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read_back(token_files.write(table(spark, sf_dir, "documents"), BYTES))
+
+
 LLM_QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_pii, op4_decontaminate, op5_sentencepiece, op6_ngram_jaccard, op7_toxicity)
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_pii, op3_preference_pairs, op4_decontaminate, op5_sentencepiece, op6_ngram_jaccard,
+        op7_toxicity, op8_merkle_fingerprints, op9_license_scan, op10_token_files,
+    )
+}
+
+ROLES = """
+    SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text, s.side, side_no,
+           max(CASE WHEN role = 'assistant' THEN turn END) OVER (PARTITION BY conv_id) AS last_reply
+    FROM conversations, (VALUES ('chosen', 0), ('rejected', 1)) AS s(side, side_no)
+"""
+
+PREFERENCES = f"""
+WITH sided AS ({ROLES}),
+cut AS (
+    SELECT conv_id, turn, role, side,
+           CASE WHEN side = 'rejected' AND role = 'assistant' AND turn = last_reply
+                THEN left(text, length(text) // 2) ELSE text END AS text
+    FROM sided
+),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id, side ORDER BY turn NULLS FIRST, role, text) AS k FROM cut
+),
+alike AS (
+    SELECT c.conv_id, c.k, coalesce(c.role = r.role AND c.text = r.text, false) AS same
+    FROM (SELECT * FROM ranked WHERE side = 'chosen') c
+    JOIN (SELECT * FROM ranked WHERE side = 'rejected') r ON c.conv_id = r.conv_id AND c.k = r.k
+),
+prefix AS (
+    SELECT conv_id, coalesce(min(CASE WHEN NOT same THEN k END) - 1, count(*)) AS n FROM alike GROUP BY conv_id
+),
+shown AS (
+    SELECT ranked.conv_id, side, k, n, role, '<|' || role || '|>' || chr(10) AS head,
+           replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body
+    FROM ranked JOIN prefix ON ranked.conv_id = prefix.conv_id
+),
+placed AS (
+    SELECT *, coalesce(sum(length(head) + length(body)) OVER (
+        PARTITION BY conv_id, side, k > n ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos
+    FROM shown
+)
+SELECT conv_id AS pair_id, any_value(n) AS n_prompt_turns,
+       coalesce(string_agg(head || body, '' ORDER BY k) FILTER (WHERE side = 'chosen' AND k <= n), '') AS prompt,
+       coalesce(string_agg(head || body, '' ORDER BY k) FILTER (WHERE side = 'chosen' AND k > n), '') AS chosen,
+       coalesce(string_agg(head || body, '' ORDER BY k) FILTER (WHERE side = 'rejected' AND k > n), '') AS rejected,
+       coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head) + length(body)), ',' ORDER BY k)
+           FILTER (WHERE side = 'chosen' AND k > n AND role = 'assistant'), '') AS chosen_mask,
+       coalesce(string_agg((pos + length(head)) || ':' || (pos + length(head) + length(body)), ',' ORDER BY k)
+           FILTER (WHERE side = 'rejected' AND k > n AND role = 'assistant'), '') AS rejected_mask
+FROM placed GROUP BY conv_id
+"""
+
+
+def _seeds(source: str, key: str) -> str:
+    """SQL for every seed of a table of word lists: the words that count, as text."""
+    one = " UNION ALL ".join(
+        f"SELECT {key}, p, {m} || ' ' || " + " || ' ' || ".join(f"w[p + {k + 1}]" for k in mask) + " AS seed FROM seeded"
+        for m, mask in enumerate(decontaminate.MASKS)
+    )
+    return (
+        f"WITH seeded AS (SELECT {key}, w, unnest(range(0, len(w) - {decontaminate.SPAN - 1})) AS p FROM {source} "
+        f"WHERE len(w) >= {decontaminate.SPAN}) {one}"
+    )
+
+
+WORD_LIST = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+LEAKS = f"""
+WITH d AS (SELECT doc_id, {WORD_LIST} AS w FROM documents),
+b AS (SELECT item_id, {WORD_LIST} AS w FROM benchmark),
+ds AS ({_seeds("d", "doc_id")}),
+bs AS ({_seeds("b", "item_id")}),
+hit AS (SELECT DISTINCT doc_id, item_id, ds.p AS i, bs.p AS j FROM ds JOIN bs USING (seed)),
+compared AS (
+    SELECT doc_id, item_id, i, j, unnest(range(-least(i, j, 6), least(len(d.w) - i, len(b.w) - j, 18))) AS k, d.w AS x, b.w AS y
+    FROM hit JOIN d USING (doc_id) JOIN b USING (item_id)
+),
+verified AS (
+    SELECT doc_id, item_id, i, j, sum(CASE WHEN x[i + k + 1] = y[j + k + 1] THEN 1 ELSE 0 END) AS n_equal, count(*) AS n
+    FROM compared GROUP BY ALL
+)
+SELECT doc_id, item_id, count(*) AS n_hits, CAST(max(n_equal) AS BIGINT) AS best_equal, min(i) AS first_word
+FROM verified WHERE n_equal >= 10 AND n_equal >= 0.6 * n GROUP BY doc_id, item_id
+"""
+
+SHINGLES = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+    FROM documents
+),
+s AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(w) >= 5 THEN array_to_string(w[k:k + 4], ' ') ELSE array_to_string(w, ' ') END AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS k FROM w WHERE len(w) > 0)
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id
+),
+link AS (
+    SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+),
+reach(v, r) AS (SELECT a, a FROM link UNION SELECT v, b FROM reach JOIN link ON a = r)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(least_id, doc_id) AS component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT v, min(r) AS least_id FROM reach GROUP BY v) ON v = doc_id
+"""
+
+LLM_ORACLE: dict[str, str] = {
+    "op3_preference_pairs": PREFERENCES,
+    "op4_decontaminate": LEAKS,
+    "op6_ngram_jaccard": SHINGLES,
 }
-LLM_ORACLE: dict[str, str] = {}
