@@ -77,8 +77,8 @@ def hits(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings())
     found = found.join(items, "item_id").select("doc_id", "item_id", "i", "j", "x", near_item.alias("y"))
     # both slices begin up to ``c`` words before the seed; align their beginnings
     before = F.least(F.col("i"), F.col("j"), F.lit(c))
-    x = F.expr(f"slice(x, least(i, {c}) - least(i, j, {c}) + 1, {SPAN + 2 * c})")
-    y = F.expr(f"slice(y, least(j, {c}) - least(i, j, {c}) + 1, {SPAN + 2 * c})")
+    x = F.expr(f"slice(x, least(i, {c}) - least(i, j, {c}) + 1, least(i, j, {c}) + {SPAN + c})")
+    y = F.expr(f"slice(y, least(j, {c}) - least(i, j, {c}) + 1, least(i, j, {c}) + {SPAN + c})")
     found = found.select("doc_id", "item_id", "i", "j", x.alias("x"), y.alias("y"), before.alias("before"))
     equal = F.aggregate(
         F.zip_with("x", "y", lambda p, q: F.coalesce((p == q).cast("int"), F.lit(0))), F.lit(0), lambda n, e: n + e
