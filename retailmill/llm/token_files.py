@@ -97,20 +97,21 @@ class EliasFano(NamedTuple):
 class Encoder:
     """Ids of whole texts by a byte-level vocabulary of the tokenizers library.
 
-    Its pattern always starts anew at a blank after a character that is none, so texts
-    are cut there and each distinct piece is encoded once while it is in the table,
-    whose size is bounded. Pieces of plain Latin text are cut further by the same pattern
-    and merged by the library's model; all others go to the library whole.
+    Texts of plain Latin characters are cut into words by the vocabulary's own pattern,
+    which Python's expressions can state for them, and each distinct word is merged once by
+    the library's model while it is in the table. In other texts the pattern always starts
+    anew at a blank after a character that is none; they are cut there, and pieces that
+    are not plain go to the library whole. Two generations of the table bound its size
+    and keep frequent words.
     """
 
     CUT = re.compile(r"(?<=[\w!-~])(?= )")
-    UNSURE = re.compile(r"[^\w!-~] ")
     PLAIN = re.compile(r"[\n -~À-ÖØ-öø-ÿ]*")
     WORDS = re.compile(
         r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+"
     )
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 150_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -118,12 +119,13 @@ class Encoder:
         self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.size = self.library.get_vocab_size()
         self.most = most
-        self.pieces: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+        self.as_bytes = [i.to_bytes(4, "little") for i in range(self.size)]
         stand_in = {b: c for c, b in byte_alphabet().items()}
         self.alphabet = "".join(stand_in[b] for b in range(256))
         probe = "It's a test,  of\n\n12 Wörter.\n x"
-        plain = b"".join(map(self._word, self.WORDS.findall(probe)))
+        plain = b"".join(map(self._merged, self.WORDS.findall(probe)))
         self.by_piece = plain == self._ids(self.library.encode(probe, add_special_tokens=False).ids)
         self.specials = tuple(t.content for t in self.library.get_added_tokens_decoder().values())
 
@@ -131,40 +133,38 @@ class Encoder:
     def _ids(ids: list[int]) -> bytes:
         return np.array(ids, "<u4").tobytes()
 
-    def _word(self, word: str) -> bytes:
-        got = self.words.get(word)
-        if got is None:
-            if len(self.words) > self.most:
-                self.words.clear()
-            symbols = word.encode().decode("latin-1").translate(self.alphabet)
-            got = self.words[word] = self._ids([t.id for t in self.library.model.tokenize(symbols)])
+    def _merged(self, word: str) -> bytes:
+        symbols = word.encode().decode("latin-1").translate(self.alphabet)
+        as_bytes = self.as_bytes
+        return b"".join([as_bytes[t.id] for t in self.library.model.tokenize(symbols)])
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        got = list(map(self.known.get, words))
+        if None in got:
+            if len(self.known) > self.most:
+                self.before, self.known = self.known, {}
+            known, before = self.known, self.before
+            for i, ids in enumerate(got):
+                if ids is None:
+                    word = words[i]
+                    ids = known.get(word) or before.get(word) or self._merged(word)
+                    got[i] = known[word] = ids
         return got
 
-    def _piece(self, piece: str) -> bytes:
-        if self.PLAIN.fullmatch(piece) and not any(s in piece for s in self.specials):
-            return b"".join(map(self._word, self.WORDS.findall(piece)))
-        return self._ids(self.library.encode(piece, add_special_tokens=False).ids)
+    def _plain(self, text: str) -> bool:
+        return self.PLAIN.fullmatch(text) is not None and not any(s in text for s in self.specials)
 
     def __call__(self, text: str) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         if not self.by_piece:
             return self._ids(self.library.encode(text, add_special_tokens=False).ids)
-        if not self.UNSURE.search(text):
-            first, *cut = text.split(" ")
-            head = [self._piece(first)]
-        else:
-            head, cut = [], self.CUT.split(text)
-            if not cut[0].startswith(" "):
-                head.append(self._piece(cut.pop(0)))
-            cut = [c[1:] for c in cut]  # each of the others begins with a blank
-        table = self.pieces
-        new = set(cut).difference(table)
-        if new:
-            if len(table) + len(new) > self.most:
-                table.clear()
-                new = set(cut)
-            table.update((p, self._piece(" " + p)) for p in new)
-        return b"".join((*head, *map(table.__getitem__, cut)))
+        if self._plain(text):
+            return b"".join(self._words(self.WORDS.findall(text)))
+        return b"".join(
+            b"".join(self._words(self.WORDS.findall(piece))) if self._plain(piece)
+            else self._ids(self.library.encode(piece, add_special_tokens=False).ids)
+            for piece in self.CUT.split(text)
+        )
 
 
 BLOCK = "part int, block int, start_in_part long, n_docs long, n_ids long, id_bytes int, doc_ids binary, ends binary, ids binary"
