@@ -23,6 +23,19 @@ def date_lit(as_of: datetime | str, days_back: int = 0) -> Column:
     return F.lit((instant(as_of) - timedelta(days=days_back)).date())
 
 
+def within(column: Column, as_of: datetime | str, **back: float) -> Column:
+    """Whether an instant lies in a lookback: not after ``as_of``, nor longer before it
+    than e.g. ``hours=1``. Without a length only the upper end counts. A run repeated
+    for an earlier time thus sees what the run of that time saw."""
+    not_after = column <= ts_lit(as_of)
+    return (column >= ts_lit(as_of, **back)) & not_after if back else not_after
+
+
+def days_within(column: Column, as_of: datetime | str, days: int) -> Column:
+    """The same for a date, by calendar days."""
+    return column.between(date_lit(as_of, days), date_lit(as_of))
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     return F.timestamp_diff("SECOND", start, end)
 

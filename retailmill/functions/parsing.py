@@ -57,14 +57,26 @@ def safe_float(text: Column) -> Column:
     )
 
 
+def money(amount: Column) -> Column:
+    """An amount with two decimals. What does not fit (too large, infinite, not a number)
+    is NULL here and counted by :func:`unfit`; no value stops a job."""
+    return amount.try_cast("decimal(18,2)")
+
+
+def unfit(amount: Column) -> Column:
+    """Whether an amount is there but cannot be money."""
+    return amount.isNotNull() & money(amount).isNull()
+
+
 def safe_int(text: Column) -> Column:
     return _plain_number(text).try_cast("bigint")
 
 
 def csv_width(line: Column) -> Column:
-    """Number of cells: commas outside quoted cells, plus one."""
+    """Number of cells: commas outside quoted cells, plus one; none on a blank line."""
     unquoted = F.regexp_replace(line, '(^|,)"[^"]*(?:""[^"]*)*(?:"|$)', "$1")
-    return F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit(""))) + 1
+    commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
+    return F.when(line == "", 0).otherwise(commas + 1)
 
 
 def csv_cell(cells: Column, width: Column, i: int) -> Column:

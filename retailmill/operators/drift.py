@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from retailmill import schemas
+from retailmill.functions.parsing import evaluated_once
+
 # The customer columns every record must offer; anything else is an extra attribute.
-CRM_BASE_FIELDS = (
-    "customer_id", "first_name", "last_name", "email", "loyalty_status",
-    "city", "country", "membership_tier", "updated_at",
-)
+_OWN = {"raw_extra_attributes", "ingestion_ts", "source_file", "raw_payload", "record_hash", "dq_status", "dq_errors"}
+CRM_BASE_FIELDS = tuple(name for name in schemas.RAW_CRM.names if name not in _OWN)
 
 
 def declared_fields(spark: SparkSession, schema: T.StructType) -> DataFrame:
@@ -38,12 +40,11 @@ def json_profile(df: DataFrame, payload: str = "raw_payload") -> DataFrame:
     handful of combinations per task are shuffled. JSON nulls have no type and
     are left out.
     """
-    parsed = df.select(F.try_parse_json(payload).alias("v")).where(F.col("v").isNotNull())
+    parsed = evaluated_once(df.select(payload), v=F.try_parse_json(payload)).select("v").where(F.col("v").isNotNull())
     fields = parsed.lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    kinds = evaluated_once(fields.select("key", "value"), kind=F.schema_of_variant("value"))
     return (
-        fields.select(
-            F.col("key").alias("field"), _plain_type(F.schema_of_variant("value")).alias("type")
-        )
+        kinds.select(F.col("key").alias("field"), _plain_type(F.col("kind")).alias("type"))
         .where(F.col("field").isNotNull() & (F.col("type") != "void"))
         .groupBy("field", "type")
         .agg(F.count("*").alias("row_count"))
@@ -94,14 +95,35 @@ def merge_schemas(existing: T.StructType, incoming: T.StructType) -> T.StructTyp
     return T.StructType([*existing.fields, *added])
 
 
+def _as_declared(df: DataFrame, field: T.StructField) -> Column:
+    """A column in its declared type; NULL where it is absent or a value does not fit."""
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType)
+    if df.schema[field.name].dataType == field.dataType:
+        return F.col(field.name)
+    value = F.col(field.name).try_cast(field.dataType)
+    try:
+        df.select(value)
+    except AnalysisException:  # no value of the one type is one of the other
+        return F.lit(None).cast(field.dataType)
+    return value
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """The rows with exactly the schema's columns; columns the rows lack are NULL."""
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType)).alias(f.name)
-            for f in schema.fields
-        ]
+    """The rows with exactly the schema's columns and types; columns the rows lack are
+    NULL, and so are values that do not fit, which :func:`misfits` counts."""
+    return df.select(*[_as_declared(df, f).alias(f.name) for f in schema.fields])
+
+
+def misfits(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per column that arrives in another type than declared, how many values do not fit it."""
+    retyped = [f for f in schema.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+    if not retyped:
+        return df.sparkSession.createDataFrame([], "column_name string, misfits bigint")
+    counts = df.agg(
+        *[F.count_if(F.col(f.name).isNotNull() & _as_declared(df, f).isNull()).alias(f.name) for f in retyped]
     )
+    return counts.unpivot([], [f.name for f in retyped], "column_name", "misfits")
 
 
 def _types(schema: T.StructType) -> dict[str, T.DataType]:
@@ -114,7 +136,7 @@ def handle_drift(
     """(table rows with the incoming rows appended, whether the schema was extended).
 
     With ``auto_update`` new columns join the table. Without it the table keeps
-    its schema and new columns are left out.
+    its schema and new columns are left out. Columns are never retyped.
     """
     drifted = _types(table.schema) != _types(incoming.schema)
     updated = drifted and auto_update

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailmill import schemas
-from retailmill.functions.clock import seconds_between, ts_lit, whole_hours_between
+from retailmill.functions.clock import seconds_between, ts_lit, whole_hours_between, within
 from retailmill.operators.monitoring import run_record
 
 TRACKED = (schemas.POS, schemas.ECOM, schemas.CRM)
@@ -37,7 +37,7 @@ def late_records(
     def branch(spec: schemas.TableSpec) -> DataFrame:
         event, ingested = F.col(spec.event_ts), F.col("ingestion_ts")
         late = tables[spec.name].where(
-            (ingested >= ts_lit(as_of, days=lookback_days))
+            within(ingested, as_of, days=lookback_days)
             & event.isNotNull()
             & (whole_hours_between(event, ingested) > LATE_HOURS)
         )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailmill import schemas
-from retailmill.functions.clock import date_lit, minutes_between, ts_lit, whole_hours_between
+from retailmill.functions.clock import date_lit, days_within, minutes_between, ts_lit, whole_hours_between, within
 
 FRESHNESS_LIMIT_MINUTES = 120
 SUCCESS, FAILED = "SUCCESS", "FAILED"
@@ -49,7 +49,7 @@ def run_record(
 def execution_summary(runs: DataFrame, as_of: datetime | str, days: int = 30) -> DataFrame:
     """Runs per pipeline and day: outcomes, average volume, average and longest time."""
     return (
-        runs.where(F.col("run_date") >= date_lit(as_of, days))
+        runs.where(days_within(F.col("run_date"), as_of, days))
         .groupBy("pipeline_name", "run_date")
         .agg(
             F.count("*").alias("total_runs"),
@@ -66,7 +66,7 @@ def execution_summary(runs: DataFrame, as_of: datetime | str, days: int = 30) ->
 def failed_runs_by_day(runs: DataFrame, as_of: datetime | str, days: int = 7) -> DataFrame:
     """Pipelines that failed in the last days."""
     return (
-        runs.where((F.col("status") == FAILED) & (F.col("run_date") >= date_lit(as_of, days)))
+        runs.where((F.col("status") == FAILED) & days_within(F.col("run_date"), as_of, days))
         .groupBy("pipeline_name")
         .agg(F.count("*").alias("failed_runs"), F.max("run_timestamp").alias("last_failure"))
         .where(F.col("failed_runs") > 0)
@@ -76,7 +76,7 @@ def failed_runs_by_day(runs: DataFrame, as_of: datetime | str, days: int = 7) ->
 def failed_runs_recent(runs: DataFrame, as_of: datetime | str, hours: int = 1) -> DataFrame:
     """Pipelines that failed in the last hours, with the lexically largest error text."""
     return (
-        runs.where((F.col("status") == FAILED) & (F.col("run_timestamp") >= ts_lit(as_of, hours=hours)))
+        runs.where((F.col("status") == FAILED) & within(F.col("run_timestamp"), as_of, hours=hours))
         .groupBy("pipeline_name")
         .agg(
             F.count("*").alias("failed_runs"),
@@ -90,7 +90,7 @@ def late_summary(tracking: DataFrame, as_of: datetime | str, days: int = 30) ->
     """Late records per table and ingestion day."""
     done = F.col("processed")
     return (
-        tracking.where(F.col("ingestion_timestamp") >= ts_lit(as_of, days=days))
+        tracking.where(within(F.col("ingestion_timestamp"), as_of, days=days))
         .groupBy("table_name", F.to_date("ingestion_timestamp").alias("ingestion_date"))
         .agg(
             F.count("*").alias("total_late_records"),
@@ -134,7 +134,7 @@ def data_quality_metrics(
         )
         return (
             tables[name]
-            .where(F.col("ingestion_ts") >= ts_lit(as_of, days=days))
+            .where(within(F.col("ingestion_ts"), as_of, days=days))
             .agg(
                 F.count("*").alias("total_records"),
                 entity.alias("unique_entities"),
@@ -167,10 +167,11 @@ def freshness(
     as_of: datetime | str,
     limit_minutes: int = FRESHNESS_LIMIT_MINUTES,
 ) -> DataFrame:
-    """Minutes since the last ingestion per table; an empty table is not stale."""
+    """Minutes from the last ingestion up to ``as_of`` per table; an empty table is not stale."""
 
     def branch(name: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.max("ingestion_ts").alias("latest_ingestion")).select(
+        seen = df.where(within(F.col("ingestion_ts"), as_of))
+        return seen.agg(F.max("ingestion_ts").alias("latest_ingestion")).select(
             F.lit(name).alias("table_name"), "latest_ingestion"
         )
 
@@ -198,7 +199,7 @@ def value_check(
 def recent_duplicates(pos: DataFrame, as_of: datetime | str, hours: int = 1) -> DataFrame:
     """Rows minus distinct transaction ids among recently ingested rows."""
     return (
-        pos.where(F.col("ingestion_ts") >= ts_lit(as_of, hours=hours))
+        pos.where(within(F.col("ingestion_ts"), as_of, hours=hours))
         .agg(F.count("*").alias("n"), F.count_distinct("transaction_id").alias("ids"))
         .select((F.col("n") - F.col("ids")).alias("duplicate_count"))
     )
@@ -206,21 +207,21 @@ def recent_duplicates(pos: DataFrame, as_of: datetime | str, hours: int = 1) ->
 
 def recent_failures(runs: DataFrame, as_of: datetime | str, hours: int = 1) -> DataFrame:
     """Failed records summed over recent runs; NULL if there was none."""
-    return runs.where(F.col("run_timestamp") >= ts_lit(as_of, hours=hours)).agg(
+    return runs.where(within(F.col("run_timestamp"), as_of, hours=hours)).agg(
         F.sum("records_failed").alias("total_failures")
     )
 
 
 def recent_rows(df: DataFrame, as_of: datetime | str, hours: int = 1) -> DataFrame:
     """Rows ingested in the last hours."""
-    return df.where(F.col("ingestion_ts") >= ts_lit(as_of, hours=hours)).agg(
+    return df.where(within(F.col("ingestion_ts"), as_of, hours=hours)).agg(
         F.count("*").alias("recent_rows")
     )
 
 
 def stream_liveness(pos: DataFrame, as_of: datetime | str, minutes: int = 5) -> DataFrame:
     """Whether the stream still delivers: recent rows and the newest ingestion among them."""
-    return pos.where(F.col("ingestion_ts") >= ts_lit(as_of, minutes=minutes)).agg(
+    return pos.where(within(F.col("ingestion_ts"), as_of, minutes=minutes)).agg(
         F.count("*").alias("recent_transactions"), F.max("ingestion_ts").alias("latest_ingestion")
     )
 
@@ -241,7 +242,7 @@ def monitoring_report(
 ) -> DataFrame:
     """The monitoring row of the monitoring run itself: failures and stale tables."""
     failures = runs.where(
-        (F.col("status") == FAILED) & (F.col("run_timestamp") >= ts_lit(as_of, hours=1))
+        (F.col("status") == FAILED) & within(F.col("run_timestamp"), as_of, hours=1)
     ).agg(F.count("*").alias("pipeline_failures"))
     stale = freshness({schemas.POS.name: pos}, as_of, limit_minutes).agg(
         F.count_if("is_stale").alias("stale_tables")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from retailmill import schemas
 from retailmill.functions.clock import ts_lit
+from retailmill.functions.parsing import unfit
 
 
 def _null(column: str) -> Column:
@@ -88,6 +89,18 @@ def contract_violations(df: DataFrame, contract: T.StructType) -> DataFrame:
     return counts.unpivot([], required, "column_name", "violations")
 
 
+def unfit_amounts(amounts: Mapping[str, Column], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Per table, how many amounts are there and how many of them cannot be money."""
+
+    def branch(name: str) -> DataFrame:
+        value = amounts[name]
+        return tables[name].agg(F.count(value).alias("amounts"), F.count_if(unfit(value)).alias("unfit")).select(
+            F.lit(name).alias("table_name"), "amounts", "unfit"
+        )
+
+    return reduce(DataFrame.unionByName, [branch(name) for name in amounts])
+
+
 def reconcile(
     source: DataFrame, target: DataFrame, keys: Sequence[str], measures: Sequence[str]
 ) -> DataFrame:

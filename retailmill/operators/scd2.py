@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from retailmill import schemas
-from retailmill.functions.clock import date_lit, instant, iso_text, ts_lit
+from retailmill.functions.clock import date_lit, instant, iso_text, ts_lit, within
 from retailmill.functions.hashing import attributes_hash
 from retailmill.operators.latest import first_per_key, total_order
 from retailmill.operators.monitoring import run_record
@@ -40,6 +40,7 @@ def source_snapshot(raw_crm: DataFrame, as_of: datetime | str, lookback_days: in
     recent = raw_crm.where(
         F.col("updated_at").isNotNull()
         & (F.col("updated_at") >= ts_lit(as_of, days=lookback_days))
+        & within(F.col("ingestion_ts"), as_of)
         & (F.col("dq_status").isNull() | (F.col("dq_status") == VALID))
     ).select(*columns, "ingestion_ts")
     newest, *ties = total_order(recent, "updated_at", keys=["customer_id", "ingestion_ts"])

@@ -7,13 +7,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailmill import schemas
+from retailmill.functions.parsing import money
 from retailmill.operators.dedup import dedup_table
 from retailmill.operators.late import rows_to_reaggregate
 from retailmill.operators.latest import latest_per_key
 
 
 def _money(column: str) -> Column:
-    return F.col(column).cast("decimal(18,2)")
+    return money(F.col(column))
 
 
 def sales_fact(pos: DataFrame, ecom: DataFrame) -> DataFrame:

@@ -186,15 +186,15 @@ _PARTS: dict[str, str] = {
     "late": f"""
       SELECT 'raw_pos_transactions' AS table_name, transaction_id AS record_key, event_ts AS event_timestamp,
         ingestion_ts AS ingestion_timestamp, date_sub('second', event_ts, ingestion_ts) AS arrival_delay_seconds
-      FROM raw_pos WHERE ingestion_ts >= {_at(LATE_NOW)} - INTERVAL {ALL_DAYS} DAY
+      FROM raw_pos WHERE ingestion_ts BETWEEN {_at(LATE_NOW)} - INTERVAL {ALL_DAYS} DAY AND {_at(LATE_NOW)}
         AND event_ts IS NOT NULL AND date_sub('hour', event_ts, ingestion_ts) > 1
       UNION ALL
       SELECT 'raw_ecom_orders', order_id, order_ts, ingestion_ts, date_sub('second', order_ts, ingestion_ts)
-      FROM raw_ecom WHERE ingestion_ts >= {_at(LATE_NOW)} - INTERVAL {ALL_DAYS} DAY
+      FROM raw_ecom WHERE ingestion_ts BETWEEN {_at(LATE_NOW)} - INTERVAL {ALL_DAYS} DAY AND {_at(LATE_NOW)}
         AND order_ts IS NOT NULL AND date_sub('hour', order_ts, ingestion_ts) > 1
       UNION ALL
       SELECT 'raw_crm_customers', customer_id, updated_at, ingestion_ts, date_sub('second', updated_at, ingestion_ts)
-      FROM raw_crm WHERE ingestion_ts >= {_at(LATE_NOW)} - INTERVAL {ALL_DAYS} DAY
+      FROM raw_crm WHERE ingestion_ts BETWEEN {_at(LATE_NOW)} - INTERVAL {ALL_DAYS} DAY AND {_at(LATE_NOW)}
         AND updated_at IS NOT NULL AND date_sub('hour', updated_at, ingestion_ts) > 1""",
     "tracking": """
       SELECT table_name, record_key, event_timestamp, ingestion_timestamp,
@@ -320,8 +320,18 @@ SELECT 'Missing transaction_id' AS error, length(line) AS line_length, md5(line)
 FROM pos_lines WHERE broken OR tid IS NULL""")
 
 _oracle("dead_letter_summary", "pos_d", """
-SELECT 'Missing transaction_id' AS error, 'pos' AS source_file, count(*) AS rejected
-FROM pos_d WHERE broken OR tid IS NULL HAVING count(*) > 0""")
+SELECT 'Missing transaction_id' AS error, 'delivery_' || delivery AS source_file, count(*) AS rejected
+FROM pos_d WHERE broken OR tid IS NULL GROUP BY delivery""")
+
+_oracle("ingest_hard_lines", "pos_d", """
+, n AS (SELECT count(*) AS n FROM pos_d WHERE delivery = 2)
+SELECT dq_status, rejected, amount_kind, times * n AS line_count FROM n, (VALUES
+  ('INVALID', 'true', 'none', 4), ('VALID', 'false', 'nan', 1), ('VALID', 'false', 'infinite', 1),
+  ('VALID', 'false', 'unfit', 1)) AS k(dq_status, rejected, amount_kind, times) WHERE n > 0""")
+_oracle("ingest_hard_csv", "raw_crm", """
+SELECT rejected, marked, has_text, count(*) AS line_count FROM raw_crm,
+  (VALUES ('true', 'false', 'false'), ('false', 'true', 'true')) AS k(rejected, marked, has_text)
+WHERE delivery = 2 GROUP BY ALL""")
 
 _oracle("ingest_outcome", "pos_rows", """
 SELECT dq_status, dq_errors, count(*) AS line_count, count(*) FILTER (transaction_id IS NULL) AS rejected
@@ -361,6 +371,22 @@ _oracle("dedup_keep_first", "raw_pos",
 _oracle("dedup_pos_table", "pos_survivors", f"SELECT {_POS_OUT} FROM pos_survivors")
 # loads arrive in order, so of two equally new copies the one stored first stays
 ORACLE["dedup_pos_incremental"] = ORACLE["dedup_pos_table"]
+ORACLE["dedup_incremental_rerun"] = ORACLE["dedup_pos_table"]
+_oracle("hourly_ecom", "ecom_survivors", f"""
+SELECT order_id, total_amount, {_day("DATE '2025-10-13' + CAST(CAST(substr(order_id, 2) AS BIGINT) % 7 AS INT)")} AS order_date,
+  record_hash FROM ecom_survivors""")
+_oracle("registered_keys", "raw_pos raw_ecom raw_crm raw_inventory", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, count(*) AS row_count, count(DISTINCT struct_pack({', '.join(f'{k} := {k}' for k in keys)})) "
+    f"AS key_count FROM {source}"
+    for name, source, keys in (
+        ("raw_pos_transactions", "raw_pos", ("transaction_id", "event_ts")), ("raw_ecom_orders", "raw_ecom", ("order_id",)),
+        ("raw_crm_customers", "raw_crm", ("customer_id", "updated_at")),
+        ("raw_inventory_snapshots", "raw_inventory", ("product_id", "store_id", "last_updated")))))
+_oracle("unfit_amounts", "raw_pos raw_ecom", "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS table_name, count({value}) AS amounts, "
+    f"count(*) FILTER ({value} IS NOT NULL AND TRY_CAST({value} * {factor} AS DECIMAL(18,2)) IS NULL) AS unfit FROM {source}"
+    for name, source, value, factor in (
+        ("raw_pos_transactions", "raw_pos", "amount", "1e13"), ("raw_ecom_orders", "raw_ecom", "total_amount", "1e11"))))
 _oracle("dedup_ecom_table", "ecom_survivors", f"SELECT {_ECOM_OUT} FROM ecom_survivors")
 _oracle("dedup_crm_table", "raw_crm", _ranked(
     "raw_crm", "customer_id, updated_at", "ingestion_ts DESC",
@@ -423,7 +449,7 @@ _LATE_OUT = (
 _oracle("late_records", "late", f"SELECT {_LATE_OUT} FROM late")
 _oracle("late_records_one_table", "late", f"""
 SELECT {_LATE_OUT} FROM late WHERE table_name = 'raw_pos_transactions'
-  AND ingestion_timestamp >= {_at(POS_NOW)} - INTERVAL 7 DAY""")
+  AND ingestion_timestamp BETWEEN {_at(POS_NOW)} - INTERVAL 7 DAY AND {_at(POS_NOW)}""")
 _oracle("late_merge", "tracking", f"""
 SELECT {_LATE_OUT}, {_bool("table_name = 'raw_ecom_orders'")} AS processed,
   CASE WHEN table_name = 'raw_ecom_orders' THEN {_ts(_at(LATE_NOW))} END AS processed_timestamp
@@ -512,7 +538,7 @@ def _metrics(table: str, source: str, entity: str, missing: str, negative: str,
   {negative} AS negative_amounts, count(*) FILTER (dq_status = 'INVALID') AS dq_invalid_rows,
   count(*) FILTER (dq_status IS NULL) AS dq_status_null_rows,
   round(avg(date_sub('hour', {event}, ingestion_ts)), 6) AS avg_arrival_delay_hours
-FROM {source} WHERE ingestion_ts >= {_at(LATE_NOW)} - INTERVAL {ALL_DAYS} DAY"""
+FROM {source} WHERE ingestion_ts BETWEEN {_at(LATE_NOW)} - INTERVAL {ALL_DAYS} DAY AND {_at(LATE_NOW)}"""
 
 
 _oracle("dq_metrics", "pos_rows raw_ecom raw_crm raw_inventory", "\nUNION ALL\n".join([
@@ -532,7 +558,7 @@ SELECT pipeline_name, {_day('run_date')} AS run_date, count(*) AS total_runs,
   round(avg(records_processed), 6) AS avg_records_processed,
   round(avg(execution_time_seconds), 6) AS avg_execution_time_seconds,
   max(execution_time_seconds) AS max_execution_time_seconds
-FROM runs WHERE run_date >= DATE '{POS_NOW[:10]}' - 30 GROUP BY pipeline_name, run_date""")
+FROM runs WHERE run_date BETWEEN DATE '{POS_NOW[:10]}' - 30 AND DATE '{POS_NOW[:10]}' GROUP BY pipeline_name, run_date""")
 
 _oracle("late_summary", "tracking", f"""
 SELECT table_name, {_day('ingestion_timestamp')} AS ingestion_date, count(*) AS total_late_records,
@@ -543,46 +569,49 @@ FROM tracking GROUP BY 1, 2""")
 
 _oracle("failed_runs_7d", "runs", f"""
 SELECT pipeline_name, count(*) AS failed_runs, {_ts('max(run_timestamp)')} AS last_failure FROM runs
-WHERE status = 'FAILED' AND run_date >= DATE '{POS_NOW[:10]}' - 7 GROUP BY pipeline_name HAVING count(*) > 0""")
+WHERE status = 'FAILED' AND run_date BETWEEN DATE '{POS_NOW[:10]}' - 7 AND DATE '{POS_NOW[:10]}' GROUP BY pipeline_name HAVING count(*) > 0""")
 
 _oracle("failed_runs_1h", "runs", f"""
 SELECT pipeline_name, count(*) AS failed_runs, {_ts('max(run_timestamp)')} AS last_failure,
   max(error_message) AS latest_error FROM runs
-WHERE status = 'FAILED' AND run_timestamp >= {_at(POS_NOW)} - INTERVAL 1 HOUR GROUP BY pipeline_name""")
+WHERE status = 'FAILED' AND run_timestamp BETWEEN {_at(POS_NOW)} - INTERVAL 1 HOUR AND {_at(POS_NOW)} GROUP BY pipeline_name""")
 
 _oracle("freshness", "raw_pos raw_ecom", f"""
-, latest_by_table AS (SELECT 'raw_pos_transactions' AS table_name, max(ingestion_ts) AS m FROM raw_pos
-  UNION ALL SELECT 'raw_ecom_orders', max(ingestion_ts) FROM raw_ecom)
+, latest_by_table AS (
+  SELECT 'raw_pos_transactions' AS table_name, max(ingestion_ts) AS m FROM raw_pos WHERE ingestion_ts <= {_at(POS_NOW)}
+  UNION ALL SELECT 'raw_ecom_orders', max(ingestion_ts) FROM raw_ecom WHERE ingestion_ts <= {_at(POS_NOW)})
 SELECT table_name, {_ts('m')} AS latest_ingestion, date_sub('minute', m, {_at(POS_NOW)}) AS minutes_since_last_ingestion,
   {_bool(f"coalesce(date_sub('minute', m, {_at(POS_NOW)}) > 120, FALSE)")} AS is_stale FROM latest_by_table""")
 
 _oracle("duplicate_check", "raw_pos", f"""
 , d AS (SELECT count(*) - count(DISTINCT transaction_id) AS duplicate_count FROM raw_pos
-  WHERE ingestion_ts >= {_at(POS_NOW)} - INTERVAL 1 HOUR)
+  WHERE ingestion_ts BETWEEN {_at(POS_NOW)} - INTERVAL 1 HOUR AND {_at(POS_NOW)})
 SELECT duplicate_count, {_bool('duplicate_count BETWEEN 90 AND 110')} AS passed FROM d""")
 _oracle("duplicate_check_upper", "raw_pos", f"""
 , d AS (SELECT count(*) - count(DISTINCT transaction_id) AS duplicate_count FROM raw_pos
-  WHERE ingestion_ts >= {_at(POS_NOW)} - INTERVAL 24 HOUR)
+  WHERE ingestion_ts BETWEEN {_at(POS_NOW)} - INTERVAL 24 HOUR AND {_at(POS_NOW)})
 SELECT duplicate_count, {_bool('duplicate_count <= 110')} AS passed FROM d""")
 _oracle("error_check", "runs", f"""
 , d AS (SELECT CAST(sum(records_failed) AS BIGINT) AS total_failures FROM runs
-  WHERE run_timestamp >= {_at(POS_NOW)} - INTERVAL 24 HOUR)
+  WHERE run_timestamp BETWEEN {_at(POS_NOW)} - INTERVAL 24 HOUR AND {_at(POS_NOW)})
 SELECT total_failures, {_bool('coalesce(total_failures BETWEEN 900 AND 1100, FALSE)')} AS passed FROM d""")
 
 _oracle("monitoring_report", "runs raw_pos", "SELECT " + _run_row("monitoring_report", POS_NOW, "0", _json(
     pipeline_failures=f"(SELECT count(*) FROM runs WHERE status = 'FAILED' "
-                      f"AND run_timestamp >= {_at(POS_NOW)} - INTERVAL 1 HOUR)",
-    stale_tables=f"(SELECT count(*) FROM (SELECT max(ingestion_ts) AS m FROM raw_pos) "
+                      f"AND run_timestamp BETWEEN {_at(POS_NOW)} - INTERVAL 1 HOUR AND {_at(POS_NOW)})",
+    stale_tables=f"(SELECT count(*) FROM (SELECT max(ingestion_ts) AS m FROM raw_pos WHERE ingestion_ts <= {_at(POS_NOW)}) "
                  f"WHERE date_sub('minute', m, {_at(POS_NOW)}) > 120)")))
 
+ORACLE["monitoring_run"] = ORACLE["monitoring_report"]
 _oracle("recent_rows", "raw_pos",
-        f"SELECT count(*) AS recent_rows FROM raw_pos WHERE ingestion_ts >= {_at(POS_NOW)} - INTERVAL 1 HOUR")
+        f"SELECT count(*) AS recent_rows FROM raw_pos WHERE ingestion_ts BETWEEN {_at(POS_NOW)} - INTERVAL 1 HOUR AND {_at(POS_NOW)}")
 _oracle("stream_liveness", "raw_pos", f"""
 SELECT count(*) AS recent_transactions, {_ts('max(ingestion_ts)')} AS latest_ingestion FROM raw_pos
-WHERE ingestion_ts >= {_at(POS_NOW)} - INTERVAL 5 MINUTE""")
+WHERE ingestion_ts BETWEEN {_at(POS_NOW)} - INTERVAL 5 MINUTE AND {_at(POS_NOW)}""")
 _oracle("hourly_metric", "raw_ecom", f"""
 SELECT {_run_row('hourly_ecommerce', '1998-08-02 13:00:00',
-                 "(SELECT count(*) FROM raw_ecom WHERE ingestion_ts >= TIMESTAMP '1998-08-02 12:00:00')", None)}""")
+                 "(SELECT count(*) FROM raw_ecom WHERE ingestion_ts BETWEEN TIMESTAMP '1998-08-02 12:00:00' "
+                 "AND TIMESTAMP '1998-08-02 13:00:00')", None)}""")
 
 # --- marts -------------------------------------------------------------------
 
@@ -640,13 +669,15 @@ WHERE broken OR tid IS NULL HAVING count(*) > 0""")
 _oracle("stream_windowed_sales", "raw_pos", f"""
 SELECT {_ts("date_trunc('minute', event_ts)")} AS window_start,
   {_ts("date_trunc('minute', event_ts) + INTERVAL 1 MINUTE")} AS window_end, store_id, count(*) AS sales_count,
-  CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount
+  CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+  count(*) FILTER (amount IS NOT NULL AND TRY_CAST(amount AS DECIMAL(18,2)) IS NULL) AS unfit_amounts
 FROM raw_pos GROUP BY date_trunc('minute', event_ts), store_id""")
 _oracle("stream_dedup", "raw_pos", f"""
 SELECT transaction_id, {_ts('event_ts')} AS event_ts, any_value(amount) AS amount
 FROM raw_pos GROUP BY transaction_id, event_ts""")
 _oracle("stream_then_dedup", "pos_survivors", f"""
 SELECT transaction_id, {_ts('event_ts')} AS event_ts, amount, record_hash FROM pos_survivors""")
+ORACLE["dedup_stream_and_batch"] = ORACLE["stream_then_dedup"]
 _oracle("incremental_files", "pos_d", "SELECT CAST(delivery AS BIGINT) AS run, count(*) AS line_count FROM pos_d GROUP BY delivery")
 
 # --- storage -----------------------------------------------------------------
@@ -661,6 +692,9 @@ WHERE order_date >= {_CUT} - 730 GROUP BY order_date""")
 _oracle("expired_partitions", "raw_ecom", f"""
 SELECT 'raw_ecom_orders' AS table_name, {_day('order_date')} AS partition_date, count(*) AS row_count FROM raw_ecom
 WHERE order_date < {_CUT} - 730 GROUP BY order_date""")
+_oracle("maintenance_run", "ecom_survivors", f"""
+SELECT {_day('m')} AS order_date, CASE WHEN m < {_CUT} - 730 THEN 'archived' ELSE 'kept' END AS part,
+  count(*) AS row_count FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS m FROM ecom_survivors) GROUP BY ALL""")
 _POS_CUT = f"DATE '{ARCHIVE_NOW[:10]}'"
 _oracle("archive_split", "raw_pos", f"""
 SELECT 'archived' AS part, count(*) AS row_count FROM raw_pos WHERE event_date < {_POS_CUT} - 365

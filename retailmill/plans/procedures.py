@@ -7,12 +7,13 @@ run is repeated, so a failed or retried step leaves nothing behind twice.
 from __future__ import annotations
 
 import time
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timedelta
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,7 +21,9 @@ from pyspark.sql import types as T
 from retailmill import schemas
 from retailmill.functions.clock import instant
 from retailmill.operators import dedup, late, monitoring, quality, scd2
+from retailmill.plans import marts
 from retailmill.schemas import TableSpec
+from retailmill.session import scratch_dir
 from retailmill.sources import feeds, landing, storage
 
 
@@ -30,7 +33,8 @@ def run_name(as_of: datetime | str) -> str:
 
 @dataclass(frozen=True)
 class Warehouse:
-    """Directory layout: bronze loads, silver tables, logs, work files; each run has its own directories."""
+    """Directory layout: bronze loads, silver and gold tables, archive, logs, work files;
+    each run has its own directories."""
 
     root: str
 
@@ -49,6 +53,12 @@ class Warehouse:
     def silver_days(self, table: str) -> str:
         return f"{self.root}/silver/{table}"
 
+    def gold_days(self, table: str) -> str:
+        return f"{self.root}/gold/{table}"
+
+    def archive(self, table: str) -> str:
+        return f"{self.root}/archive/{table}"
+
     def work(self, name: str, as_of: datetime | str) -> str:
         return f"{self.root}/work/{name}/run={run_name(as_of)}"
 
@@ -62,6 +72,9 @@ def read_feed(spark: SparkSession, spec: TableSpec, pattern: str) -> DataFrame:
     return landing.read_csv_lines(spark, pattern)
 
 
+STAGED = "accepted"
+
+
 def run_batch(
     spark: SparkSession,
     spec: TableSpec,
@@ -69,31 +82,41 @@ def run_batch(
     output_path: str,
     dead_letter_path: str,
     as_of: datetime | str,
+    work_path: str | None = None,
 ) -> DataFrame:
-    """One feed load: parse, split, dedup, write. Returns the run's monitoring row.
+    """One feed load: parse, check, split, dedup, write. Returns the run's monitoring row.
 
-    Good rows and dead letters are separate passes over the text: both are
-    narrow until the dedup shuffle, and nothing of the input is kept in memory.
-    The counts are observed while writing.
+    The text is read and parsed once, into a work table split by outcome; dead
+    letters and good rows are then two reads of the one part each. Lines, and lines
+    without a value that the contract requires, are counted while writing.
     """
     started = time.monotonic()
     parsed = feeds.PARSERS[spec.name](read_feed(spark, spec, input_pattern), as_of)
-
-    rejected = Observation()
-    feeds.dead_letters(parsed).observe(rejected, F.count("*").alias("n")).write.mode("overwrite").parquet(
-        dead_letter_path
-    )
-    accepted = Observation()
-    good = feeds.good_rows(parsed).observe(accepted, F.count("*").alias("n"))
-    storage.write_table(dedup.dedup_batch(good, spec), output_path, spec, mode="replace")
-
+    work_path = work_path or scratch_dir(spark, f"{spec.name}-parsed")
+    seen = Observation()
+    broken = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in spec.required}
+    counts = {"n": F.count("*"), "rejected": F.count(feeds.ERROR), **broken}
+    staged = parsed.observe(seen, *[value.alias(name) for name, value in counts.items()])
+    (
+        staged.withColumn(STAGED, F.col(feeds.ERROR).isNull())
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(STAGED).parquet(work_path)
+    )
+    stored = spark.read.schema(
+        T.StructType([*parsed.schema.fields, T.StructField(STAGED, T.BooleanType())])
+    ).parquet(work_path)
+    accepted, rejected = (stored.where(F.col(STAGED) == ok).drop(STAGED) for ok in (True, False))
+    feeds.dead_letters(rejected).write.mode("overwrite").parquet(dead_letter_path)
+    storage.write_table(dedup.dedup_batch(feeds.good_rows(accepted), spec), output_path, spec, mode="replace")
+
+    n = seen.get
     return monitoring.run_record(
         spark.range(1),
         f"{spec.name}_batch",
         as_of,
-        records_processed=F.lit(accepted.get["n"]),
-        records_failed=F.lit(rejected.get["n"]),
+        records_processed=F.lit(n["n"] - n["rejected"]),
+        records_failed=F.lit(n["rejected"]),
         execution_seconds=round(time.monotonic() - started),
+        metadata={name: F.lit(n[name]) for name in broken},
     )
 
 
@@ -102,13 +125,31 @@ def read_bronze(spark: SparkSession, warehouse: Warehouse, spec: TableSpec) -> D
     return storage.read_table(spark, warehouse.bronze(spec.name), spec)
 
 
-def _days_to_redo(base: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+#: A day as written in local time is at most this far from any other local day of the same instant.
+LOCAL_DAYS = 2
+
+
+def _days_a_copy_can_have(own: DataFrame, spec: TableSpec) -> DataFrame | None:
+    """The days on which stored copies of rows of these days can lie; None: any.
+
+    Where the event time is part of the key, a copy has the same instant, hence the same
+    day or, if the day is a local one, one nearby.
+    """
+    if spec.event_ts not in spec.warehouse_keys:
+        return None
+    off = LOCAL_DAYS if spec.partition_column in spec.schema.names else 0
+    day = F.col("day").try_cast("date")
+    near = F.transform(F.sequence(F.lit(-off), F.lit(off)), lambda k: F.date_format(F.date_add(day, k), "yyyy-MM-dd"))
+    undated = own.sparkSession.range(1).select(F.lit(storage.UNDATED).alias("day"))
+    return own.where(day.isNotNull()).select(F.explode(near).alias("day")).unionByName(undated).distinct()
+
+
+def _days_to_redo(base: DataFrame, incoming: DataFrame, own: DataFrame, spec: TableSpec) -> DataFrame:
     """Days that incoming rows fall on, and days of stored rows they duplicate.
 
     Only the key columns and the date of the stored table are read.
     """
     keys = list(spec.warehouse_keys)
-    own = storage.with_day(incoming, spec).select("day").distinct()
     stored = storage.with_day(base, spec).select(*keys, "day").alias("s")
     new_keys = incoming.select(*keys).distinct().alias("n")
     same = reduce(and_, [F.col(f"s.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
@@ -122,21 +163,29 @@ def run_dedup(
     as_of: datetime | str,
     previous: datetime | str | None = None,
     mode: str = "keep_one",
+    streamed: DataFrame | None = None,
 ) -> DataFrame:
-    """Adds this run's load to the deduplicated table, redoing only the days it touches.
+    """Adds this run's load, and rows that were streamed since the last one, to the
+    deduplicated table, redoing only the days they touch.
 
-    The removed copies go to the duplicate log of the run, where the table has one.
+    The removed copies go to the duplicate log of the run, where the table has one. Of
+    the stored table, the key columns are read on the days where a copy can lie; for a
+    key without event time (orders) that is every day.
     """
     path = warehouse.silver_days(spec.name)
     incoming = storage.read_table(spark, warehouse.load(spec.name, as_of), spec).select(*spec.schema.names)
+    if streamed is not None:
+        incoming = incoming.unionByName(streamed.select(*spec.schema.names))
+    own = storage.with_day(incoming, spec).select("day").distinct()
+    listed = warehouse.work(f"{spec.name}_days", as_of)
     if previous is None:
-        days = storage.with_day(incoming, spec).select("day").distinct()
-        candidates = incoming
+        own.write.mode("overwrite").parquet(listed)
     else:
-        base = storage.read_days(spark, path, spec, run_name(previous))
-        listed = warehouse.work(f"{spec.name}_days", as_of)
-        _days_to_redo(base, incoming, spec).write.mode("overwrite").parquet(listed)
-        days = spark.read.schema("day string").parquet(listed)
+        near = _days_a_copy_can_have(own, spec)
+        base = storage.read_days(spark, path, spec, run_name(previous), near)
+        _days_to_redo(base, incoming, own, spec).write.mode("overwrite").parquet(listed)
+    days, candidates = spark.read.schema("day string").parquet(listed), incoming
+    if previous is not None:
         candidates = storage.read_days(spark, path, spec, run_name(previous), days).unionByName(incoming)
     survivors, log = dedup.deduplicate(candidates, spec, mode)
     if spec is not schemas.CRM:
@@ -161,7 +210,9 @@ def run_scd2(
     dim = scd2.empty_dim(spark) if previous is None else spark.read.schema(schemas.CUSTOMER_DIM).parquet(
         warehouse.silver(open_name, previous)
     )
-    snapshot = scd2.source_snapshot(raw_crm, as_of)
+    sourced = warehouse.work("customer_dim_source", as_of)
+    scd2.source_snapshot(raw_crm, as_of).write.mode("overwrite").parquet(sourced)
+    snapshot = spark.read.parquet(sourced)
     result = scd2.upsert(dim, snapshot, as_of)
     # written once, then split and counted from the file
     staged = warehouse.work("customer_dim_changes", as_of)
@@ -198,11 +249,13 @@ def run_late(
     table_name: str | None = "all",
     lookback_days: int = 7,
     previous: datetime | str | None = None,
+    refresh: Callable[[DataFrame], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The late-arrival tracking table after this run, and the run's monitoring row.
 
     The ingestion time is part of the key, so only the ingestion days of what was
-    found are merged and rewritten.
+    found are merged and rewritten. ``refresh`` is given what was found, works it into
+    whatever depends on it, and lets the rows be stored as processed.
     """
     spec = schemas.LATE_TRACKING
     path = warehouse.silver_days(spec.name)
@@ -215,10 +268,114 @@ def run_late(
         if previous is None
         else storage.read_days(spark, path, spec, run_name(previous), days)
     )
-    storage.write_days(late.late_upsert(tracking, found), days, path, spec, run_name(as_of))
+    merged = late.late_upsert(tracking, found)
+    if refresh is not None:
+        refresh(found)
+        merged = late.mark_processed(merged, as_of)
+    storage.write_days(merged, days, path, spec, run_name(as_of))
     return storage.read_days(spark, path, spec, run_name(as_of)), late.late_metrics(found, as_of, table_name)
 
 
+def run_gold(
+    spark: SparkSession, warehouse: Warehouse, tables: Mapping[str, DataFrame], days: DataFrame, as_of: datetime | str
+) -> DataFrame:
+    """The daily mart after recomputing the given sale days (``day``) from the
+    deduplicated tables; all other days keep their version."""
+    spec, path = schemas.DAILY_SALES, warehouse.gold_days(schemas.DAILY_SALES.name)
+    listed = warehouse.work("daily_sales_days", as_of)
+    days.select("day").distinct().write.mode("overwrite").parquet(listed)
+    wanted = spark.read.schema("day string").parquet(listed)
+    facts = storage.with_day(marts.sales_fact(tables[schemas.POS.name], tables[schemas.ECOM.name]), spec)
+    # one row per calendar day, as for the backfill
+    affected = facts.join(F.broadcast(wanted), "day", "left_semi")
+    storage.write_days(marts.daily_store_sales(affected), wanted, path, spec, run_name(as_of))
+    return storage.read_days(spark, path, spec, run_name(as_of))
+
+
+def run_hourly_ecom(
+    spark: SparkSession, warehouse: Warehouse, prefix: str, as_of: datetime | str, previous: datetime | str | None = None
+) -> DataFrame:
+    """One hour's orders: the hour's files are loaded and deduplicated into the table, and
+    the hour is recorded. An hour without files is recorded as empty."""
+    spec, pattern = schemas.ECOM, landing.hourly_pattern(prefix, as_of)
+    try:
+        read_feed(spark, spec, pattern)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        record = monitoring.run_record(spark.range(1), "hourly_ecommerce", as_of, records_processed=F.lit(0))
+        write_run_record(warehouse, record, as_of, "hourly_ecommerce")
+        return record
+    load = warehouse.load(spec.name, as_of)
+    run_batch(spark, spec, pattern, load, warehouse.dead_letters(spec.name, as_of), as_of, warehouse.work("hourly", as_of))
+    run_dedup(spark, warehouse, spec, as_of, previous)
+    loaded = storage.read_table(spark, load, spec)
+    record = monitoring.hourly_run_record(loaded, "hourly_ecommerce", as_of)
+    write_run_record(warehouse, record, as_of, "hourly_ecommerce")
+    return record
+
+
+def run_monitoring(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    as_of: datetime | str,
+    latest: datetime | str,
+    hours: int = 1,
+    specs: Sequence[TableSpec] = (schemas.POS, schemas.ECOM),
+) -> dict[str, DataFrame]:
+    """The monitoring run over stored tables (sales among them) as of their ``latest`` run:
+    freshness, duplicate and error checks, and its own report row, which is added to the log.
+
+    Only day versions written within the lookback are read; freshness takes those of
+    the latest day, so an older newest row counts as stale, which it is.
+    """
+    since = run_name(instant(as_of) - timedelta(hours=max(hours, 24)))
+    tables = {
+        spec.name: storage.read_days(spark, warehouse.silver_days(spec.name), spec, run_name(latest), written_since=since)
+        for spec in specs
+    }
+    pos = tables[schemas.POS.name]
+    runs = read_runs(spark, warehouse)
+    report = monitoring.monitoring_report(runs, pos, as_of)
+    out = {
+        "freshness": monitoring.freshness(tables, as_of),
+        "duplicate_check": monitoring.value_check(
+            monitoring.recent_duplicates(pos, as_of, hours), "duplicate_count", 100, 0.1
+        ),
+        "error_check": monitoring.value_check(monitoring.recent_failures(runs, as_of, hours), "total_failures", 1000, 0.1),
+        "report": report,
+    }
+    write_run_record(warehouse, report, as_of, "monitoring_report")
+    return out
+
+
+def run_maintenance(
+    spark: SparkSession,
+    warehouse: Warehouse,
+    spec: TableSpec,
+    as_of: datetime | str,
+    previous: datetime | str,
+    remove: bool = True,
+) -> DataFrame:
+    """Ages a deduplicated table: days past its retention are copied to the archive and
+    then listed as empty, and directories that no reader from this run on needs are
+    deleted. Returns the expired days with their row counts. A repeat finds nothing."""
+    path, name = warehouse.silver_days(spec.name), run_name(as_of)
+    oldest = (instant(as_of) - timedelta(days=spec.retention_days)).date()
+    old = storage.with_partition_date(
+        storage.read_days(spark, path, spec, run_name(previous), before=oldest), spec
+    )
+    staged = warehouse.work(f"{spec.name}_expired", as_of)
+    storage.expired_partitions(old, spec, as_of).write.mode("overwrite").parquet(staged)
+    expired = spark.read.parquet(staged)
+    storage.archive(old, warehouse.archive(spec.name), spec, as_of)
+    days = expired.select(F.date_format("partition_date", "yyyy-MM-dd").alias("day"))
+    storage.write_days(old.limit(0), days, path, spec, name)
+    if remove:
+        storage.remove_superseded(spark, path, name)
+    return expired
+
+
 def write_run_record(warehouse: Warehouse, record: DataFrame, as_of: datetime | str, step: str) -> None:
     """Adds a row to the monitoring table; a repeated step replaces its own row."""
     record.write.mode("overwrite").parquet(warehouse.log("pipeline_monitoring", as_of, step))
@@ -238,7 +395,8 @@ def run_daily(
     previous: datetime | str | None = None,
     lookback_days: int = 7,
 ) -> dict[str, DataFrame]:
-    """The daily chain: loads, dedup, customer history, late data, quality, health.
+    """The daily chain: loads, dedup, customer history, late data with the sales mart,
+    quality, health.
 
     ``inputs`` maps table names to input patterns; ``previous`` is the last run.
     """
@@ -246,7 +404,7 @@ def run_daily(
     for name, pattern in inputs.items():
         record = run_batch(
             spark, schemas.TABLES[name], pattern, warehouse.load(name, as_of),
-            warehouse.dead_letters(name, as_of), as_of,
+            warehouse.dead_letters(name, as_of), as_of, warehouse.work(f"{name}_parsed", as_of),
         )
         write_run_record(warehouse, record, as_of, f"{name}_batch")
 
@@ -262,8 +420,25 @@ def run_daily(
     )
     dim, record = run_scd2(spark, warehouse, recent_crm, as_of, previous)
     write_run_record(warehouse, record, as_of, scd2.PIPELINE)
+    recent = run_name(instant(as_of) - timedelta(days=lookback_days))
+    looked_at = {
+        spec.name: storage.read_days(
+            spark, warehouse.silver_days(spec.name), spec, run_name(as_of), written_since=recent
+        )
+        for spec in late.TRACKED
+    }
+
+    def refresh(found: DataFrame) -> None:
+        """The sale days of late records, and all days that dedup has redone."""
+        sales = found.where(F.col("table_name").isin(schemas.POS.name, schemas.ECOM.name))
+        touched = sales.select(F.date_format("event_timestamp", "yyyy-MM-dd").alias("day"))
+        for spec in (schemas.POS, schemas.ECOM):
+            redone = spark.read.schema("day string").parquet(warehouse.work(f"{spec.name}_days", as_of))
+            touched = touched.unionByName(redone)
+        run_gold(spark, warehouse, tables, touched, as_of)
+
     tracking, record = run_late(
-        spark, warehouse, tables, as_of, lookback_days=lookback_days, previous=previous
+        spark, warehouse, looked_at, as_of, lookback_days=lookback_days, previous=previous, refresh=refresh
     )
     write_run_record(warehouse, record, as_of, late.PIPELINE)
 
@@ -272,6 +447,9 @@ def run_daily(
         **tables,
         "customer_dim_scd2": dim,
         "late_arriving_data": tracking,
+        schemas.DAILY_SALES.name: storage.read_days(
+            spark, warehouse.gold_days(schemas.DAILY_SALES.name), schemas.DAILY_SALES, run_name(as_of)
+        ),
         "dq_scorecard": quality.dq_scorecard(tables, as_of),
         "pipeline_monitoring": runs,
         "failed_runs": monitoring.failed_runs_by_day(runs, as_of),

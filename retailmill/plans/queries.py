@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from retailmill import schemas
 from retailmill.functions.hashing import record_hash
+from retailmill.functions.parsing import unfit
 from retailmill.operators import dedup, drift, late, monitoring, quality, scd2
 from retailmill.plans import analytics, marts, procedures
 from retailmill.session import pin_utc, scratch_dir
@@ -160,8 +162,57 @@ def dead_letter_pos(spark, sf_dir):
 
 @query
 def dead_letter_summary(spark, sf_dir):
-    dead = feeds.dead_letters(_parsed_pos(spark, sf_dir)).withColumn("source_file", F.lit("pos"))
-    return quality.dead_letter_summary(dead)
+    """Rejected lines by file: each delivery lands in a folder of its own."""
+    path, lines = scratch_dir(spark, "pos-files"), star.pos_lines(spark, sf_dir)
+    for delivery in (1, 2):
+        lines.where(F.col("delivery") == delivery).select("value").write.text(f"{path}/delivery_{delivery}")
+    parsed = feeds.parse_pos(landing.read_json_lines(spark, f"{path}/*"), POS_NOW)
+    folder = F.element_at(F.split("source_file", "/"), -2)
+    return quality.dead_letter_summary(feeds.dead_letters(parsed).withColumn("source_file", folder))
+
+
+@query
+def ingest_hard_lines(spark, sf_dir):
+    """Lines that are easily lost: text after the first object, blank lines, numbers that
+    JSON does not have, amounts too large for money."""
+    lines = star.pos_lines(spark, sf_dir).where(F.col("delivery") == 2).select("value")
+
+    def amount(token: str):
+        return F.regexp_replace("value", '"amount":("[^"]*"|[^,]*)', f'"amount":{token}')
+
+    hard = F.array(
+        F.concat_ws(" ", "value", "value"), F.concat_ws(",", "value", "value"), F.concat("value", F.lit("]{}")),
+        F.lit(""), amount("NaN"), amount("Infinity"), amount("1e17"),
+    )
+    path = _land_json(spark, lines.select(F.explode(hard).alias("value")), "hard-lines")
+    parsed = feeds.parse_pos(landing.read_json_lines(spark, path), POS_NOW)
+    value = F.col("amount")
+    kind = (
+        F.when(value.isNull(), "none").when(F.isnan(value), "nan").when(value == float("inf"), "infinite")
+        .when(unfit(value), "unfit").otherwise("money")
+    )
+    rejected = F.col(feeds.ERROR).isNotNull()
+    return parsed.groupBy("dq_status", rejected.alias("rejected"), kind.alias("amount_kind")).agg(
+        F.count("*").alias("line_count")
+    )
+
+
+@query
+def ingest_hard_csv(spark, sf_dir):
+    """A blank line and a control character for each customer line of a delivery."""
+    lines = star.crm_lines(spark, sf_dir).where(F.col("delivery") == 2)
+    marked = F.regexp_replace("value", "^([^,]*),", "$1,\u0001")
+    hard = lines.select(F.explode(F.array(marked, F.lit(""))).alias("value"))
+    path = scratch_dir(spark, "hard-csv")
+    header = lines.limit(1).select(F.lit(star.CRM_HEADER).alias("value"))
+    header.write.text(path)
+    hard.write.mode("append").text(path)
+    parsed = feeds.parse_crm(landing.read_csv_lines(spark, path), RUN_2)
+    return parsed.groupBy(
+        F.col(feeds.ERROR).isNotNull().alias("rejected"),
+        F.coalesce(F.col("first_name").startswith("\u0001"), F.lit(False)).alias("marked"),
+        (F.length("raw_payload") > 0).alias("has_text"),
+    ).agg(F.count("*").alias("line_count"))
 
 
 @query
@@ -258,6 +309,34 @@ def dedup_pos_incremental(spark, sf_dir):
     return table.select(*_POS_COLUMNS)
 
 
+@query
+def dedup_incremental_rerun(spark, sf_dir):
+    """The second load first arrives with wrong times, on other days, and is run again when put right."""
+    warehouse, spec = procedures.Warehouse(scratch_dir(spark, "rerun-dedup")), schemas.POS
+    pos, table = star.raw_pos(spark, sf_dir), None
+    second = pos.where(F.col("source_file") == "delivery_2")
+    moved = second.withColumns(
+        {"event_ts": F.col("event_ts") + F.expr("INTERVAL 3 DAYS"), "event_date": F.date_add("event_date", 3)}
+    )
+    loads = ((RUN_1, pos.where(F.col("source_file") == "delivery_1"), None), (RUN_2, moved, RUN_1), (RUN_2, second, RUN_1))
+    for as_of, load, previous in loads:
+        storage.write_table(load, warehouse.load(spec.name, as_of), spec, mode="replace")
+        table = procedures.run_dedup(spark, warehouse, spec, as_of, previous)
+    return table.select(*_POS_COLUMNS)
+
+
+@query
+def registered_keys(spark, sf_dir):
+    """Rows and distinct registered keys of every raw table."""
+    parts = []
+    for name, table in star.raw_tables(spark, sf_dir).items():
+        keys = schemas.deduplication_keys(name)
+        parts.append(table.agg(
+            F.lit(name).alias("table_name"), F.count("*").alias("row_count"), F.count_distinct(F.struct(*keys)).alias("key_count")
+        ))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def dedup_reference_delete(spark, sf_dir):
     rows = dedup.dedup_table(star.raw_pos(spark, sf_dir), schemas.POS, mode="reference_delete")
@@ -389,6 +468,16 @@ def crm_extra_attributes(spark, sf_dir):
     return drift.normalize_crm(extended).select("customer_id", "last_name", "email", "raw_extra_attributes")
 
 
+@query
+def unfit_amounts(spark, sf_dir):
+    """Amounts that cannot be money, here in units that make many too large."""
+    pos = {"amount": F.col("amount") * 1e13, "total_amount": F.col("total_amount") * 1e11}
+    tables = star.raw_tables(spark, sf_dir, schemas.POS, schemas.ECOM)
+    return quality.unfit_amounts(
+        {schemas.POS.name: pos["amount"], schemas.ECOM.name: pos["total_amount"]}, tables
+    )
+
+
 @query
 def contract_violations(spark, sf_dir):
     return quality.contract_violations(star.pos_rows(spark, sf_dir), schemas.RAW_POS)
@@ -467,6 +556,37 @@ def monitoring_report(spark, sf_dir):
     return monitoring.monitoring_report(runs, pos, POS_NOW).drop("error_message")
 
 
+@query
+def monitoring_run(spark, sf_dir):
+    """The report of a monitoring run over stored tables and the stored run log."""
+    warehouse, spec = procedures.Warehouse(scratch_dir(spark, "monitoring")), schemas.POS
+    storage.write_table(star.raw_pos(spark, sf_dir), warehouse.load(spec.name, POS_NOW), spec, mode="replace")
+    procedures.run_dedup(spark, warehouse, spec, POS_NOW)
+    procedures.write_run_record(warehouse, star.pipeline_runs(spark, sf_dir), POS_NOW, spec.name)
+    out = procedures.run_monitoring(spark, warehouse, POS_NOW, POS_NOW, specs=(spec,))
+    return out["report"].drop("error_message")
+
+
+@query
+def hourly_ecom(spark, sf_dir):
+    """Two hours of order files, loaded hour by hour; a third has no files. The orders are
+    dealt over the days of a week, as an hour's orders lie on few days."""
+    warehouse = procedures.Warehouse(scratch_dir(spark, "hourly"))
+    fields = "order_id string, customer_id string, store_id string, total_amount double, payment_type string, timestamp string"
+    lines, previous = star.ecom_lines(spark, sf_dir), None
+    for hour in (20, 21, 22):
+        as_of = f"2025-10-20 {hour}:00:00"
+        if hour < 22:
+            rows = lines.where(F.col("delivery") == hour - 19).select(F.from_json("value", fields).alias("j")).select("j.*")
+            day = F.date_add(F.lit("2025-10-13").cast("date"), F.pmod(F.substring("order_id", 2, 20).cast("bigint"), F.lit(7)).cast("int"))
+            rows = rows.withColumn("timestamp", F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T08:00:00Z")))
+            rows.write.json(f"{warehouse.root}/landing/hourly/2025-10-20/{hour}")
+        procedures.run_hourly_ecom(spark, warehouse, f"{warehouse.root}/landing", as_of, previous)
+        previous = as_of
+    table = storage.read_days(spark, warehouse.silver_days(schemas.ECOM.name), schemas.ECOM, procedures.run_name(previous))
+    return table.select("order_id", "total_amount", "order_date", "record_hash")
+
+
 @query
 def recent_rows(spark, sf_dir):
     return monitoring.recent_rows(star.raw_pos(spark, sf_dir), POS_NOW)
@@ -527,12 +647,7 @@ def daily_store_sales(spark, sf_dir):
 
 @query
 def customer_360(spark, sf_dir):
-    dim = scd2.upsert(
-        _dim_after_run_1(spark, sf_dir),
-        scd2.source_snapshot(_crm_until(spark, sf_dir, RUN_2), RUN_2),
-        RUN_2,
-    ).table
-    return marts.customer_360(dim, _sales(spark, sf_dir))
+    return marts.customer_360(_run_2(spark, sf_dir)[0], _sales(spark, sf_dir))
 
 
 @query
@@ -604,10 +719,28 @@ def stream_then_dedup(spark, sf_dir):
     out = scratch_dir(spark, "stream-table")
     messages = _streamed(spark, sf_dir, "stream-in")
     stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW).awaitTermination()
-    stored = spark.read.parquet(f"{out}/rows").select(*schemas.RAW_POS.names)
+    stored = stream.read_bronze(spark, f"{out}/rows")
     return dedup.dedup_table(stored, schemas.POS).select("transaction_id", "event_ts", "amount", "record_hash")
 
 
+@query
+def dedup_stream_and_batch(spark, sf_dir):
+    """Half of the messages come by file, half by stream; one dedup run takes in both."""
+    warehouse, spec = procedures.Warehouse(scratch_dir(spark, "both-ways")), schemas.POS
+    lines = star.pos_lines(spark, sf_dir)
+    by_file = _land_json(spark, lines.where(F.col("delivery") == 1), "by-file")
+    by_stream = _land_json(spark, lines.where(F.col("delivery") == 2), "by-stream")
+    procedures.run_batch(
+        spark, spec, by_file, warehouse.load(spec.name, POS_NOW), warehouse.dead_letters(spec.name, POS_NOW), POS_NOW
+    )
+    out = f"{warehouse.root}/stream"
+    messages = landing.stream_text_lines(spark, by_stream)
+    stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW).awaitTermination()
+    streamed = stream.read_bronze(spark, f"{out}/rows")
+    table = procedures.run_dedup(spark, warehouse, spec, POS_NOW, streamed=streamed)
+    return table.select("transaction_id", "event_ts", "amount", "record_hash")
+
+
 @query
 def incremental_files(spark, sf_dir):
     """Two deliveries land one after the other; the second run reads only the new files."""
@@ -644,6 +777,24 @@ def expired_partitions(spark, sf_dir):
     return storage.expired_partitions(star.raw_ecom(spark, sf_dir), schemas.ECOM, RETENTION_NOW)
 
 
+@query
+def maintenance_run(spark, sf_dir):
+    """Days past retention move from the stored table to the archive; here the orders are
+    dated to the first of their month."""
+    warehouse, spec, loaded = procedures.Warehouse(scratch_dir(spark, "maintenance")), schemas.ECOM, "1999-12-31 00:00:00"
+    monthly = star.raw_ecom(spark, sf_dir).withColumn("order_ts", F.date_trunc("month", "order_ts"))
+    monthly = monthly.withColumn("order_date", F.to_date("order_ts"))
+    storage.write_table(monthly, warehouse.load(spec.name, loaded), spec, mode="replace")
+    procedures.run_dedup(spark, warehouse, spec, loaded)
+    procedures.run_maintenance(spark, warehouse, spec, RETENTION_NOW, loaded)
+    kept = storage.read_days(spark, warehouse.silver_days(spec.name), spec, procedures.run_name(RETENTION_NOW))
+    archived = spark.read.parquet(warehouse.archive(spec.name))
+    both = kept.select("order_date", F.lit("kept").alias("part")).unionByName(
+        archived.select("order_date", F.lit("archived").alias("part"))
+    )
+    return both.groupBy("order_date", "part").agg(F.count("*").alias("row_count"))
+
+
 @query
 def archive_split(spark, sf_dir):
     path = scratch_dir(spark, "archive")

@@ -121,7 +121,21 @@ LATE_ARRIVING = _struct(
     ("processed_timestamp", _TS),
 )
 
-DEAD_LETTER = _struct(("line", _S), ("error", _S), ("source_file", _S))
+DAILY_STORE_SALES = _struct(
+    ("store_id", _S),
+    ("sale_date", _DT),
+    ("transaction_count", _L),
+    ("total_amount", T.DecimalType(28, 2)),
+    ("refund_amount", T.DecimalType(28, 2)),
+    ("largest_amount", T.DecimalType(18, 2)),
+)
+
+#: Header lines of the CSV feeds, without blanks: customers with and without a tier, stock.
+CSV_HEADERS = (
+    "customer_id,first_name,last_name,email,loyalty_status,city,country,updated_at",
+    "customer_id,first_name,last_name,email,loyalty_status,city,country,membership_tier,updated_at",
+    "product_id,store_id,product_name,quantity,price,last_updated",
+)
 
 
 @dataclass(frozen=True)
@@ -138,7 +152,6 @@ class TableSpec:
     partition_column: str
     cluster_columns: tuple[str, ...]
     retention_days: int
-    amount: str | None = None
     warehouse_keys: tuple[str, ...] = field(default=())  # table-level dedup; empty: none defined
 
 
@@ -149,7 +162,7 @@ POS = TableSpec(
     warehouse_keys=("transaction_id", "event_ts"),
     event_ts="event_ts", partition_column="event_date",
     cluster_columns=("store_id", "customer_id", "transaction_id"),
-    retention_days=365, amount="amount",
+    retention_days=365,
 )
 ECOM = TableSpec(
     name="raw_ecom_orders", schema=RAW_ECOM, required=("order_id",),
@@ -158,7 +171,7 @@ ECOM = TableSpec(
     warehouse_keys=("order_id",),
     event_ts="order_ts", partition_column="order_date",
     cluster_columns=("customer_id", "store_id", "order_id"),
-    retention_days=730, amount="total_amount",
+    retention_days=730,
 )
 CRM = TableSpec(
     name="raw_crm_customers", schema=RAW_CRM, required=("customer_id",),
@@ -187,6 +200,13 @@ LATE_TRACKING = TableSpec(
     retention_days=1095,
 )
 
+# the daily mart, kept by sale day
+DAILY_SALES = TableSpec(
+    name="daily_store_sales", schema=DAILY_STORE_SALES, required=("store_id",),
+    hash_keys=(), batch_keys=(), batch_order="sale_date",
+    event_ts="sale_date", partition_column="sale_date", cluster_columns=("store_id",), retention_days=1095,
+)
+
 TABLES = {spec.name: spec for spec in (POS, ECOM, CRM, INVENTORY)}
 
 

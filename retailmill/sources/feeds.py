@@ -39,14 +39,26 @@ def _json_fields(lines: DataFrame, fields: list[str]) -> DataFrame:
             "allowSingleQuotes": "false",
         },
     )
-    # the JSON reader stops at the end of the first object: text after it must not pass
-    closed = F.rtrim("value", F.lit(" \t\r\n")).endswith("}")
-    df = evaluated_once(lines, _j=parsed, _closed=F.coalesce(closed, F.lit(False)))
+    df = evaluated_once(lines, _j=parsed, _closed=F.coalesce(_one_value(F.col("value")), F.lit(False)))
     return df.withColumn("_ok", F.col("_j._corrupt_record").isNull() & F.col("_closed")).withColumn(
         "_iso", iso_canonical(_field("timestamp"))
     )
 
 
+def _one_value(line: Column) -> Column:
+    """Whether nothing follows the first object, where the JSON reader stops.
+
+    With a single closing brace, at the end, nothing can. Other lines are read again in
+    two wrappings: what may go on after a value in an array and what may in an object
+    have nothing in common, so only a line of exactly one value passes both.
+    """
+    braces = F.length(line) - F.length(F.replace(line, F.lit("}"), F.lit("")))
+    elements = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>")
+    member = F.from_json(F.concat(F.lit('{"_line":'), line, F.lit(',"_end":1}')), "_line string, _end int")
+    alone = (F.size(elements) == 1) & (member["_end"] == 1)
+    return F.rtrim(line, F.lit(" \t\r\n")).endswith("}") & F.when(braces == 1, True).otherwise(alone)
+
+
 def _field(name: str) -> Column:
     return F.when(F.col("_ok"), F.col(f"_j.{name}"))
 
@@ -54,6 +66,8 @@ def _field(name: str) -> Column:
 def _json_number(name: str) -> Column:
     """A JSON number, number text, or a JSON boolean (1.0 / 0.0; the text "true" is not one)."""
     text = _field(name)
+    # the reader gives these three tokens with quotes
+    text = F.when(text.isin('"NaN"', '"Infinity"', '"-Infinity"'), F.replace(text, F.lit('"'), F.lit(""))).otherwise(text)
     # only looked at for rows whose text is true / false
     kind = F.schema_of_variant(F.variant_get(F.try_parse_json("value"), f"$.{name}", "variant"))
     flag = F.when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))

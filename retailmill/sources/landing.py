@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from retailmill.functions.clock import instant
-
-# A control character that occurs in no feed keeps the whole CSV line in one column.
-_WHOLE_LINE = {"header": "true", "sep": "\u0001", "quote": "", "encoding": "UTF-8"}
+from retailmill.schemas import CSV_HEADERS
 
 
 def _with_file(df: DataFrame) -> DataFrame:
@@ -22,9 +21,16 @@ def read_json_lines(spark: SparkSession, pattern: str | list[str]) -> DataFrame:
     return _with_file(spark.read.text(pattern))
 
 
-def read_csv_lines(spark: SparkSession, pattern: str | list[str]) -> DataFrame:
-    """CSV files with one header line each, dropped per file. Blank lines are skipped."""
-    return _with_file(spark.read.schema("value string").options(**_WHOLE_LINE).csv(pattern))
+def read_csv_lines(
+    spark: SparkSession, pattern: str | list[str], headers: Sequence[str] = CSV_HEADERS
+) -> DataFrame:
+    """All lines of CSV files, whatever they hold, without each file's header: a line in
+    a file's first block that is one of the declared headers (case, blanks and quotes
+    aside). A header that is not declared stays, as a line that fails to parse would."""
+    lines = spark.read.text(pattern).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    plain = F.regexp_replace(F.lower("value"), r"[\s\x{FEFF}\"]", "")
+    header = (F.col("file_block_start") == 0) & plain.isin(*headers)
+    return lines.where(~header).select("value", F.col("file_path").alias("source_file"))
 
 
 def hourly_pattern(prefix: str, as_of: datetime | str) -> str:

@@ -8,6 +8,7 @@ over many tasks, small days share one.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date, datetime
 
@@ -52,10 +53,6 @@ def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     return df.select(*columns, *extra)
 
 
-def write_dead_letters(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def retained(df: DataFrame, spec: TableSpec, as_of: datetime | str) -> DataFrame:
     """Rows within the table's retention; rows without a date have no age and stay."""
     day = F.col(spec.partition_column)
@@ -92,8 +89,9 @@ def compact(spark: SparkSession, path: str, target_path: str, spec: TableSpec) -
 #
 # Without a table format there is no update in place. A deduplicated table is
 # therefore kept as day versions: a run writes only the days it changes, under
-# its own name, and then lists those days. A reader takes the newest listed
-# version of each day, so a failed run is invisible and a repeated one exact.
+# its own name and a new attempt's, and then lists those days with that attempt. A
+# reader takes the newest listed version of each day. A failed run is invisible, and
+# of a repeated one only the last attempt is seen, whatever days it touched.
 
 UNDATED = "undated"
 
@@ -111,28 +109,57 @@ def with_day(df: DataFrame, spec: TableSpec) -> DataFrame:
 def write_days(df: DataFrame, days: DataFrame, path: str, spec: TableSpec, run: str) -> None:
     """Writes the rows as version ``run`` of ``days``; a listed day without rows becomes empty."""
     spark = df.sparkSession
-    listed = f"{path}/pending/run={run}"
-    days.select("day").distinct().write.mode("overwrite").parquet(listed)
-    laid_out = clustered(with_day(df, spec).withColumn("run", F.lit(run)), "day", spec.cluster_columns)
+    attempt = uuid.uuid4().hex
+    listed = f"{path}/pending/attempt={attempt}"
+    days.select("day").distinct().select("day", F.lit(attempt).alias("attempt")).write.parquet(listed)
+    named = with_day(df, spec).withColumns({"run": F.lit(run), "attempt": F.lit(attempt)})
+    laid_out = clustered(named, "day", spec.cluster_columns)
+    laid_out.write.mode("append").partitionBy("day", "run", "attempt").parquet(f"{path}/data")
     (
-        laid_out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "run")
-        .parquet(f"{path}/data")
-    )
-    spark.read.schema("day string").parquet(listed).write.mode("overwrite").parquet(f"{path}/versions/run={run}")
+        spark.read.schema("day string, attempt string").parquet(listed)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/versions/run={run}")
+    )
+
+
+_VERSION = ("day", "run", "attempt")
 
 
 def _versions(spark: SparkSession, path: str) -> DataFrame:
     """The listed versions: one row per day and run that changed it."""
-    return spark.read.schema("day string, run string").parquet(f"{path}/versions")
+    return spark.read.schema("day string, attempt string, run string").parquet(f"{path}/versions")
 
 
-def superseded_versions(spark: SparkSession, path: str, run: str) -> DataFrame:
-    """Day versions a reader as of ``run`` or later no longer needs; their directories may go."""
+def _newest(spark: SparkSession, path: str, run: str) -> DataFrame:
     upto = _versions(spark, path).where(F.col("run") <= run)
-    newest = upto.groupBy("day").agg(F.max("run").alias("newest"))
-    return upto.join(newest, "day").where(F.col("run") < F.col("newest")).select("day", "run")
+    return upto.groupBy("day").agg(F.max_by(F.struct("run", "attempt"), "run").alias("v")).select("day", "v.*")
+
+
+def superseded_versions(spark: SparkSession, path: str, run: str) -> DataFrame:
+    """Day versions a reader as of ``run`` or later no longer needs, those of given-up
+    attempts of these runs included; their directories may go."""
+    stored = spark.read.schema("day string, run string, attempt string").parquet(f"{path}/data").select(*_VERSION)
+    old = stored.where(F.col("run") <= run).distinct()
+    return old.join(_newest(spark, path, run), list(_VERSION), "left_anti")
+
+
+def remove_superseded(spark: SparkSession, path: str, run: str) -> int:
+    """Deletes the directories of superseded versions and returns their number. States
+    before ``run`` can then no longer be read; a note of that is left for readers."""
+    spark.createDataFrame([(run,)], "run string").write.mode("append").parquet(f"{path}/cleaned")
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    conf, n = spark.sparkContext._jsc.hadoopConfiguration(), 0
+    for r in superseded_versions(spark, path, run).toLocalIterator():
+        directory = hadoop(f"{path}/data/day={r.day}/run={r.run}/attempt={r.attempt}")
+        n += directory.getFileSystem(conf).delete(directory, True)
+    return n
+
+
+def _readable_since(spark: SparkSession, path: str) -> str:
+    """The oldest run whose state is complete."""
+    noted = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/cleaned")
+    if not noted.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(noted):
+        return ""  # never cleaned
+    return spark.read.schema("run string").parquet(f"{path}/cleaned").agg(F.max("run")).first()[0] or ""
 
 
 def read_days(
@@ -142,19 +169,24 @@ def read_days(
     run: str,
     days: DataFrame | None = None,
     since: date | None = None,
+    before: date | None = None,
+    written_since: str | None = None,
 ) -> DataFrame:
-    """The table as of a run, optionally only some days or the dated rows since a day.
-    The version list has one row per day and run, and is what gets broadcast; it
-    prunes the partitions read."""
-    versions = (
-        _versions(spark, path).where(F.col("run") <= run).groupBy("day").agg(F.max("run").alias("run"))
-    )
+    """The table as of a run, optionally only some days, the dated rows since or before a
+    day, or the days a run since ``written_since`` has written: rows that came in later
+    lie in no older version. The version list has one row per day and run, and is what
+    gets broadcast; it prunes the partitions read."""
+    if run < _readable_since(spark, path):
+        raise ValueError(f"versions as of {run} were removed")
+    versions = _newest(spark, path, run)
     if days is not None:
         versions = versions.join(days.select("day").distinct(), "day", "left_semi")
     if since is not None:
         versions = versions.where((F.col("day") >= since.isoformat()) & (F.col("day") != UNDATED))
-    stored = T.StructType(
-        [*spec.schema.fields, T.StructField("day", T.StringType()), T.StructField("run", T.StringType())]
-    )
+    if before is not None:
+        versions = versions.where((F.col("day") < before.isoformat()) & (F.col("day") != UNDATED))
+    if written_since is not None:
+        versions = versions.where(F.col("run") >= written_since)
+    stored = T.StructType([*spec.schema.fields, *(T.StructField(c, T.StringType()) for c in _VERSION)])
     rows = spark.read.schema(stored).parquet(f"{path}/data")
-    return rows.join(F.broadcast(versions), ["day", "run"], "left_semi").select(*spec.schema.names)
+    return rows.join(F.broadcast(versions), list(_VERSION), "left_semi").select(*spec.schema.names)

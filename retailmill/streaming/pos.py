@@ -12,9 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from retailmill import schemas
 from retailmill.functions.clock import ts_lit
+from retailmill.functions.parsing import money, unfit
 from retailmill.operators.latest import latest_per_key
 from retailmill.sources.feeds import dead_letters, good_rows, parse_pos
+from retailmill.sources.storage import clustered
 
 WINDOW_SECONDS = 60
 LATENESS_SECONDS = 3600
@@ -43,12 +46,18 @@ def start_bronze(
     as_of: datetime | str | None = None,
     **trigger,
 ) -> StreamingQuery:
-    """Appends every parsed event to bronze and every rejected message to the dead letters."""
+    """Appends every parsed event to bronze, by batch and day, and every rejected message to
+    the dead letters. Without ``as_of`` a replayed batch has a new ``ingestion_ts``; its
+    folder is replaced, so nothing is doubled."""
+    spec = schemas.POS
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            good_rows(batch).write.mode("overwrite").parquet(_batch_path(bronze_path, batch_id))
+            rows = clustered(good_rows(batch), spec.partition_column, spec.cluster_columns)
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+                spec.partition_column
+            ).parquet(_batch_path(bronze_path, batch_id))
             dead_letters(batch).write.mode("overwrite").parquet(_batch_path(dead_letter_path, batch_id))
         finally:
             batch.unpersist()
@@ -62,12 +71,26 @@ def start_bronze(
     )
 
 
+def read_bronze(spark: SparkSession, bronze_path: str, after: int = -1, upto: int | None = None) -> DataFrame:
+    """Streamed rows in the bronze table's columns, of all batches or those after one and
+    up to another: what a dedup run takes in beside its file load."""
+    batch = F.col("batch_id")
+    rows = spark.read.schema(f"{_ddl()}, batch_id int").option("basePath", bronze_path).parquet(bronze_path)
+    wanted = rows.where((batch > after) if upto is None else (batch > after) & (batch <= upto))
+    return wanted.select(*schemas.RAW_POS.names)
+
+
+def _ddl() -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.RAW_POS.fields)
+
+
 def windowed_sales(
     rows: DataFrame,
     window_seconds: int = WINDOW_SECONDS,
     lateness_seconds: int = LATENESS_SECONDS,
 ) -> DataFrame:
-    """Count and amount per store and tumbling window of event time.
+    """Count and amount per store and tumbling window of event time, with the number of
+    amounts that cannot be money and so are in no total.
 
     Rows later than the allowed lateness behind the watermark are dropped, which
     bounds the state to the windows still open.
@@ -78,7 +101,8 @@ def windowed_sales(
         .groupBy(F.window("event_time", f"{window_seconds} seconds").alias("w"), "store_id")
         .agg(
             F.count("*").alias("sales_count"),
-            F.sum(F.col("amount").cast("decimal(18,2)")).alias("total_amount"),
+            F.sum(money(F.col("amount"))).alias("total_amount"),
+            F.count_if(unfit(F.col("amount"))).alias("unfit_amounts"),
         )
         .select(
             F.col("w.start").alias("window_start"),
@@ -86,6 +110,7 @@ def windowed_sales(
             "store_id",
             "sales_count",
             "total_amount",
+            "unfit_amounts",
         )
     )
 

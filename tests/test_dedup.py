@@ -9,7 +9,7 @@ from retailmill.operators.latest import latest_per_key
 from retailmill.sources import feeds
 import samples
 
-DAY_1, DAY_2 = "2025-10-20T10:00:00Z", "2025-10-21T10:00:00Z"
+DAY_1, DAY_2 = "2025-03-11T10:00:00Z", "2025-03-12T10:00:00Z"
 
 
 def bronze(spark, day_2=DAY_2):
@@ -38,17 +38,17 @@ T1, T2, T3 = "2025-01-01 10:00:00", "2025-01-01 11:00:00", "2025-01-01 12:00:00"
 
 def test_batch_dedup_keeps_the_latest(spark):
     rows = dedup.dedup_batch(bronze(spark), schemas.POS).collect()
-    assert len(rows) == 5
-    assert next(r for r in rows if r.transaction_id == "TXN002").source_file == "day2"
+    assert len(rows) == 6
+    assert next(r for r in rows if r.transaction_id == "K-103").source_file == "day2"
 
 
 def test_table_dedup_and_log(spark):
     survivors, log = dedup.deduplicate(bronze(spark), schemas.POS)
-    assert {r.transaction_id: r.source_file for r in survivors.collect()}["TXN002"] == "day2"
+    assert {r.transaction_id: r.source_file for r in survivors.collect()}["K-103"] == "day2"
     row, = log.collect()
-    assert row.record_hash == hashlib.md5(b"TXN002|2025-10-20T09:15:12+00:00").hexdigest()
-    assert (row.record_key, row["count"]) == ("TXN002|2025-10-20 09:15:12+00", 1)
-    assert row.first_seen == row.last_seen and row.first_seen.day == 20
+    assert row.record_hash == hashlib.md5(b"K-103|2025-03-11T08:20:30+00:00").hexdigest()
+    assert (row.record_key, row["count"]) == ("K-103|2025-03-11 08:20:30+00", 1)
+    assert row.first_seen == row.last_seen and row.first_seen.day == 11
     assert log.schema.names == schemas.DEDUPLICATION_LOG.names
 
 
@@ -61,9 +61,9 @@ def test_dedup_is_idempotent(spark):
 def test_exact_tie(spark):
     tied = bronze(spark, day_2=DAY_1)
     kept = dedup.dedup_table(tied, schemas.POS)
-    assert kept.where("transaction_id = 'TXN002'").count() == 1
+    assert kept.where("transaction_id = 'K-103'").count() == 1
     deleted = dedup.dedup_table(tied, schemas.POS, mode="reference_delete")
-    assert deleted.where("transaction_id = 'TXN002'").count() == 0 and deleted.count() == 4
+    assert deleted.where("transaction_id = 'K-103'").count() == 0 and deleted.count() == 5
 
 
 def test_reference_delete_cases(spark):
@@ -133,11 +133,11 @@ def test_keep_first_and_latest(spark):
 def test_inventory_and_crm_batch_keys(spark):
     crm = feeds.good_rows(feeds.parse_crm(samples.lines(spark, samples.CRM_DAY_1 + samples.CRM_DAY_2), DAY_1))
     got = {r.customer_id: r.updated_at.day for r in dedup.dedup_batch(crm, schemas.CRM).collect()}
-    assert got == {"C1": 21, "C2": 21, "C3": 20, "C4": 21}
-    twice = samples.INVENTORY + ["P1,S1,Oat Milk,80,1.99,2025-10-20T06:00:00Z", "P1,S2,Oat Milk,5,1.99,2025-10-19T00:00:00Z"]
+    assert got == {"M-1": 12, "M-2": 11, "M-3": 12, "M-4": 11, "M-5": 12}
+    twice = samples.INVENTORY + ["B-1,PIER,Rope 20 m,9,18.9,2025-03-11T06:00:00Z", "B-1,DOCK,Rope 20 m,5,18.9,2025-03-10T00:00:00Z"]
     inv = feeds.good_rows(feeds.parse_inventory(samples.lines(spark, twice), DAY_1))
     rows = dedup.dedup_batch(inv, schemas.INVENTORY).collect()
-    assert len(rows) == 4 and {r.quantity for r in rows if r.product_id == "P1"} == {80, 5}
+    assert len(rows) == 4 and {r.quantity for r in rows if r.product_id == "B-1"} == {9, 5}
 
 
 def test_registry():

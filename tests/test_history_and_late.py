@@ -8,7 +8,7 @@ from retailmill.operators import late, scd2
 from retailmill.sources import feeds
 import samples
 
-RUN_1, RUN_2, RUN_3 = "2025-10-20T09:00:00Z", "2025-10-21T09:00:00Z", "2025-10-22T09:00:00Z"
+RUN_1, RUN_2, RUN_3 = "2025-03-11T09:00:00Z", "2025-03-12T09:00:00Z", "2025-03-13T09:00:00Z"
 
 
 def crm(spark, values, as_of, legacy=False):
@@ -24,21 +24,21 @@ def test_first_second_and_repeated_run(spark):
     day_1 = crm(spark, samples.CRM_DAY_1, RUN_1)
     both = day_1.unionByName(crm(spark, samples.CRM_DAY_2, RUN_2))
     dim_1, m_1 = scd2.scd2_upsert(scd2.empty_dim(spark), day_1, RUN_1)
-    assert counts(m_1) == (3, '{"records_inserted":3,"records_updated":0}')
+    assert counts(m_1) == (4, '{"records_inserted":4,"records_updated":0}')
     dim_2, m_2 = scd2.scd2_upsert(dim_1, both, RUN_2)
-    assert counts(m_2) == (4, '{"records_inserted":3,"records_updated":2}')
+    assert counts(m_2) == (5, '{"records_inserted":3,"records_updated":2}')
     rows = dim_2.collect()
-    assert len(rows) == 6 and sum(r.is_current for r in rows) == 4
-    c1 = sorted((r for r in rows if r.customer_id == "C1"), key=lambda r: r.effective_from)
+    assert len(rows) == 7 and sum(r.is_current for r in rows) == 5
+    c1 = sorted((r for r in rows if r.customer_id == "M-1"), key=lambda r: r.effective_from)
     assert c1[0].effective_to == c1[1].effective_from and c1[1].effective_to is None
     assert [r.is_current for r in c1] == [False, True]
-    c3 = [r for r in rows if r.customer_id == "C3"]
+    c3 = [r for r in rows if r.customer_id == "M-2"]
     assert len(c3) == 1 and c3[0].is_current  # absent on day 2: left alone
     dim_3, m_3 = scd2.scd2_upsert(dim_2, both, RUN_3)
-    assert counts(m_3) == (4, '{"records_inserted":0,"records_updated":0}')
+    assert counts(m_3) == (5, '{"records_inserted":0,"records_updated":0}')
     assert sorted(map(str, dim_3.collect())) == sorted(map(str, rows))
     assert dim_2.schema.names == schemas.CUSTOMER_DIM.names
-    assert len({r.customer_sk for r in rows}) == 6
+    assert len({r.customer_sk for r in rows}) == 7
 
 
 def test_without_tier_only_new_customers_change(spark):
@@ -46,7 +46,7 @@ def test_without_tier_only_new_customers_change(spark):
     both = day_1.unionByName(crm(spark, samples.CRM_DAY_2, RUN_2, legacy=True))
     dim_1, _ = scd2.scd2_upsert(scd2.empty_dim(spark), day_1, RUN_1)
     dim_2, metrics = scd2.scd2_upsert(dim_1, both, RUN_2)
-    assert counts(metrics) == (4, '{"records_inserted":1,"records_updated":0}') and dim_2.count() == 4
+    assert counts(metrics) == (5, '{"records_inserted":1,"records_updated":0}') and dim_2.count() == 5
 
 
 def test_row_hash_keeps_nulls(spark):
@@ -61,25 +61,31 @@ def test_row_hash_keeps_nulls(spark):
 
 
 def test_source_rules(spark):
-    base = crm(spark, ["C1,New,,,,,,2025-10-20T08:00:00Z"], "2025-10-20T08:30:00Z")
-    older_load = crm(spark, ["C1,Old,,,,,,2025-10-20T08:00:00Z"], "2025-10-20T08:10:00Z")
-    invalid = crm(spark, ["C2,x,,,,,,2025-10-20T08:00:00Z"], RUN_1).withColumn("dq_status", F.lit("INVALID"))
-    unknown = crm(spark, ["C3,x,,,,,,2025-10-20T08:00:00Z"], RUN_1).withColumn("dq_status", F.lit(None).cast("string"))
-    stale = crm(spark, ["C4,x,,,,,,2025-01-20T08:00:00Z"], RUN_1)
+    base = crm(spark, ["C1,New,,,,,,2025-03-11T08:00:00Z"], "2025-03-11T08:30:00Z")
+    older_load = crm(spark, ["C1,Old,,,,,,2025-03-11T08:00:00Z"], "2025-03-11T08:10:00Z")
+    invalid = crm(spark, ["C2,x,,,,,,2025-03-11T08:00:00Z"], RUN_1).withColumn("dq_status", F.lit("INVALID"))
+    unknown = crm(spark, ["C3,x,,,,,,2025-03-11T08:00:00Z"], RUN_1).withColumn("dq_status", F.lit(None).cast("string"))
+    stale = crm(spark, ["C4,x,,,,,,2024-10-20T08:00:00Z"], RUN_1)
     undated = crm(spark, ["C5,x,,,,,,never"], RUN_1)
     raw = base.unionByName(older_load).unionByName(invalid).unionByName(unknown).unionByName(stale).unionByName(undated)
     got = {r.customer_id: r.first_name for r in scd2.source_snapshot(raw, RUN_1).collect()}
     assert got == {"C1": "New", "C3": "x"}
 
 
-INGESTED = "2025-10-20T11:15:00Z"
+INGESTED = "2025-03-11T11:15:00Z"
+
+
+def test_an_old_run_over_fuller_tables_sees_its_own_time(spark):
+    both = crm(spark, samples.CRM_DAY_1, RUN_1).unionByName(crm(spark, samples.CRM_DAY_2, RUN_2))
+    then = scd2.source_snapshot(both, RUN_1)
+    assert {(r.customer_id, r.updated_at.day) for r in then.collect()} == {(k, 11) for k in ("M-1", "M-2", "M-3", "M-4")}
 
 
 def late_pos(spark):
     values = [
-        '{"transaction_id":"two_hours","timestamp":"2025-10-20T09:15:00Z"}',       # exactly 2 h
-        '{"transaction_id":"almost","timestamp":"2025-10-20T09:15:01Z"}',          # 1 h 59 min 59 s
-        '{"transaction_id":"day_before","timestamp":"2025-10-19T11:15:00Z"}',
+        '{"transaction_id":"two_hours","timestamp":"2025-03-11T09:15:00Z"}',       # exactly 2 h
+        '{"transaction_id":"almost","timestamp":"2025-03-11T09:15:01Z"}',          # 1 h 59 min 59 s
+        '{"transaction_id":"day_before","timestamp":"2025-03-10T11:15:00Z"}',
         '{"transaction_id":"untimed"}',
     ]
     return {schemas.POS.name: feeds.good_rows(feeds.parse_pos(samples.lines(spark, values), INGESTED))}
@@ -96,11 +102,15 @@ def test_table_choice_and_lookback(spark):
     tables = late_pos(spark)
     assert late.late_records(tables, INGESTED, 7, None).count() == 2
     assert late.late_records(tables, INGESTED, 7, "raw_pos_transactions").count() == 2
-    assert late.late_records(tables, "2025-11-20T00:00:00Z", 7).count() == 0
+    assert late.late_records(tables, "2025-04-20T00:00:00Z", 7).count() == 0
     with pytest.raises(ValueError):
         late.late_records(tables, INGESTED, 7, "raw_inventory_snapshots")
 
 
+def test_rows_of_a_later_load_are_not_late_yet(spark):
+    assert late.late_records(late_pos(spark), "2025-03-11T11:14:59Z", 7).count() == 0
+
+
 def test_late_merge(spark):
     found = late.late_records(late_pos(spark), INGESTED, 7)
     empty = spark.createDataFrame([], schemas.LATE_ARRIVING)
@@ -109,7 +119,7 @@ def test_late_merge(spark):
     done = late.mark_processed(once, RUN_2)
     again = late.late_upsert(done, found)
     assert sorted(map(str, again.collect())) == sorted(map(str, done.collect()))
-    assert {(r.processed, r.processed_timestamp) for r in again.collect()} == {(True, datetime(2025, 10, 21, 9))}
+    assert {(r.processed, r.processed_timestamp) for r in again.collect()} == {(True, datetime(2025, 3, 12, 9))}
     longer = found.withColumn("arrival_delay_seconds", F.col("arrival_delay_seconds") + 5)
     assert {r.arrival_delay_seconds for r in late.late_upsert(again, longer).collect()} == {7205, 86405}
     shorter = found.withColumn("arrival_delay_seconds", F.lit(1).cast("bigint"))
@@ -121,7 +131,7 @@ def test_backfill_dates(spark):
         spark.createDataFrame([], schemas.LATE_ARRIVING), late.late_records(late_pos(spark), INGESTED, 7)
     )
     pending = late.pending_dates(tracking, schemas.POS.name)
-    assert {str(r.affected_date) for r in pending.collect()} == {"2025-10-19", "2025-10-20"}
+    assert {str(r.affected_date) for r in pending.collect()} == {"2025-03-10", "2025-03-11"}
     assert late.pending_dates(late.mark_processed(tracking, RUN_2), schemas.POS.name).count() == 0
     partly = late.mark_processed(tracking, RUN_2, "raw_ecom_orders")
     assert late.pending_dates(partly, schemas.POS.name).count() == 2

@@ -10,7 +10,7 @@ from retailmill.functions.parsing import iso_canonical, iso_local_date, iso_time
 from retailmill.sources import feeds, landing
 import samples
 
-NOW = "2025-10-20T11:15:00+00:00"
+NOW = "2025-03-11T11:15:00+00:00"
 
 
 def pos(spark, values):
@@ -20,9 +20,9 @@ def pos(spark, values):
 def test_pos_sample(spark):
     parsed = pos(spark, samples.POS_DAY_1 + samples.POS_DAY_2)
     rows = feeds.good_rows(parsed).collect()
-    assert len(rows) == 6 and feeds.dead_letters(parsed).count() == 0
+    assert len(rows) == 7 and feeds.dead_letters(parsed).count() == 0
     assert {r.dq_status for r in rows} == {"VALID"}
-    odd = next(r for r in rows if r.transaction_id == "TXN005")
+    odd = next(r for r in rows if r.transaction_id == "K-106")
     assert (odd.amount, odd.store_id, odd.customer_id) == (None, "", None)
     assert odd.raw_payload == samples.POS_DAY_2[2]
     assert feeds.good_rows(parsed).columns == [f.name for f in schemas.RAW_POS.fields]
@@ -31,7 +31,10 @@ def test_pos_sample(spark):
 @pytest.mark.parametrize(
     "line",
     ["{bad", "", "   ", "5", '"text"', "[1]", '[{"transaction_id":"a"}]', "null", "{'transaction_id':'a'}",
-     '{"transaction_id":"a"} xyz', '{"transaction_id":"a",}'],
+     '{"transaction_id":"a"} xyz', '{"transaction_id":"a",}', '{"transaction_id":"a"} {"transaction_id":"b"}',
+     '{"transaction_id":"a"}{"transaction_id":"b"}', '{"transaction_id":"a"},{"transaction_id":"b"}',
+     '{"transaction_id":"a"}]{}', '{"transaction_id":"a"}],[{}', '{"transaction_id":"a"},"y":{}',
+     '{"transaction_id":"a"},"_end":1}{"_line":{}', '{"transaction_id":"a"}],{"x":{}', '{"transaction_id":"a","x":{}'],
 )
 def test_no_json_object_is_rejected(spark, line):
     parsed = pos(spark, [line])
@@ -53,11 +56,18 @@ def test_missing_or_null_id_is_rejected_but_empty_passes(spark):
     "amount, expected",
     [('" 1.5 "', 1.5), ('""', None), ("true", 1.0), ("false", 0.0), ('"true"', None), ("null", None),
      ("10.00", 10.0), ("1e3", 1000.0), ('"1_000"', 1000.0), ('"1d"', None), ("[1]", None), ('{"a":1}', None),
-     ('"inf"', float("inf"))],
+     ('"inf"', float("inf")), ("Infinity", float("inf")), ("-Infinity", float("-inf")), ("1e17", 1e17), ('"NaN"', "nan"),
+     ("NaN", "nan")],
 )
 def test_amount(spark, amount, expected):
     row = pos(spark, ['{"transaction_id":"a","amount":%s}' % amount]).first()
-    assert row.amount == expected and row.dq_status == "VALID"
+    assert (row.amount != row.amount if expected == "nan" else row.amount == expected) and row.dq_status == "VALID"
+
+
+@pytest.mark.parametrize("more", ['{"b":[1,{"c":"}]"}]}', '[{},[{}]]', '"}{"', '"\\"}]{"'])
+def test_braces_within_one_object_pass(spark, more):
+    row = pos(spark, ['{"transaction_id":"a","more":%s}' % more]).first()
+    assert (row.transaction_id, row.dq_status) == ("a", "VALID")
 
 
 def test_absent_amount_and_time(spark):
@@ -68,23 +78,23 @@ def test_absent_amount_and_time(spark):
 @pytest.mark.parametrize(
     "text, utc, day",
     [
-        ("2025-10-20T09:12:34Z", datetime(2025, 10, 20, 9, 12, 34), date(2025, 10, 20)),
-        ("2025-10-20T23:12:34-05:00", datetime(2025, 10, 21, 4, 12, 34), date(2025, 10, 20)),
-        ("2025-10-20T09:12:34.5+0530", datetime(2025, 10, 20, 3, 42, 34, 500000), date(2025, 10, 20)),
-        ("2025-10-20 09:12:34", datetime(2025, 10, 20, 9, 12, 34), date(2025, 10, 20)),
-        ("2025-10-20", datetime(2025, 10, 20), date(2025, 10, 20)),
-        ("2025-10-20T09", datetime(2025, 10, 20, 9), date(2025, 10, 20)),
-        ("2025-10-20T09:12", datetime(2025, 10, 20, 9, 12), date(2025, 10, 20)),
-        ("20251020T091234", datetime(2025, 10, 20, 9, 12, 34), date(2025, 10, 20)),
-        ("20251020T0912", datetime(2025, 10, 20, 9, 12), date(2025, 10, 20)),
-        ("20251020T0912+02:00", datetime(2025, 10, 20, 7, 12), date(2025, 10, 20)),
-        ("2025-10-20T09:12Z", datetime(2025, 10, 20, 9, 12), date(2025, 10, 20)),
-        ("2025-10-20T09-05:00", datetime(2025, 10, 20, 14), date(2025, 10, 20)),
-        ("2025-10-20x09:12:34,25", datetime(2025, 10, 20, 9, 12, 34, 250000), date(2025, 10, 20)),
-        ("2025-10-20T09:12:34+05", datetime(2025, 10, 20, 4, 12, 34), date(2025, 10, 20)),
+        ("2025-03-11T09:12:34Z", datetime(2025, 3, 11, 9, 12, 34), date(2025, 3, 11)),
+        ("2025-03-11T23:12:34-05:00", datetime(2025, 3, 12, 4, 12, 34), date(2025, 3, 11)),
+        ("2025-03-11T09:12:34.5+0530", datetime(2025, 3, 11, 3, 42, 34, 500000), date(2025, 3, 11)),
+        ("2025-03-11 09:12:34", datetime(2025, 3, 11, 9, 12, 34), date(2025, 3, 11)),
+        ("2025-03-11", datetime(2025, 3, 11), date(2025, 3, 11)),
+        ("2025-03-11T09", datetime(2025, 3, 11, 9), date(2025, 3, 11)),
+        ("2025-03-11T09:12", datetime(2025, 3, 11, 9, 12), date(2025, 3, 11)),
+        ("20250311T091234", datetime(2025, 3, 11, 9, 12, 34), date(2025, 3, 11)),
+        ("20250311T0912", datetime(2025, 3, 11, 9, 12), date(2025, 3, 11)),
+        ("20250311T0912+02:00", datetime(2025, 3, 11, 7, 12), date(2025, 3, 11)),
+        ("2025-03-11T09:12Z", datetime(2025, 3, 11, 9, 12), date(2025, 3, 11)),
+        ("2025-03-11T09-05:00", datetime(2025, 3, 11, 14), date(2025, 3, 11)),
+        ("2025-03-11x09:12:34,25", datetime(2025, 3, 11, 9, 12, 34, 250000), date(2025, 3, 11)),
+        ("2025-03-11T09:12:34+05", datetime(2025, 3, 11, 4, 12, 34), date(2025, 3, 11)),
         ("2025", None, None), ("2025-10", None, None), ("T09:12:34", None, None), ("garbage", None, None),
-        ("", None, None), (" 2025-10-20", None, None), ("2025-10-20T9:12:34", None, None),
-        ("2025-02-30", None, None), ("2025-10-20T24:30:00", None, None), ("2025-10-20T09:12:34 UTC", None, None),
+        ("", None, None), (" 2025-03-11", None, None), ("2025-03-11T9:12:34", None, None),
+        ("2025-02-30", None, None), ("2025-03-11T24:30:00", None, None), ("2025-03-11T09:12:34 UTC", None, None),
     ],
 )
 def test_iso(spark, text, utc, day):
@@ -97,13 +107,13 @@ def test_iso(spark, text, utc, day):
 
 
 def test_time_text(spark):
-    df = spark.createDataFrame([(t,) for t in ("2025-10-20 09:12:34", "2025-10-20 09:12:34.25", "2025-10-20 09:12:34.123456")], "t string")
+    df = spark.createDataFrame([(t,) for t in ("2025-03-11 09:12:34", "2025-03-11 09:12:34.25", "2025-03-11 09:12:34.123456")], "t string")
     ts = F.col("t").cast("timestamp")
     got = [tuple(r) for r in df.select(iso_text(ts), warehouse_text(ts)).collect()]
     assert got == [
-        ("2025-10-20T09:12:34+00:00", "2025-10-20 09:12:34+00"),
-        ("2025-10-20T09:12:34.250000+00:00", "2025-10-20 09:12:34.250+00"),
-        ("2025-10-20T09:12:34.123456+00:00", "2025-10-20 09:12:34.123456+00"),
+        ("2025-03-11T09:12:34+00:00", "2025-03-11 09:12:34+00"),
+        ("2025-03-11T09:12:34.250000+00:00", "2025-03-11 09:12:34.250+00"),
+        ("2025-03-11T09:12:34.123456+00:00", "2025-03-11 09:12:34.123456+00"),
     ]
 
 
@@ -116,22 +126,21 @@ def test_integers(spark):
 
 
 def test_record_hash(spark):
-    rows = {r.transaction_id: r.record_hash for r in pos(spark, samples.POS_DAY_1 + ['{"transaction_id":"TXN001x"}']).collect()}
-    assert rows["TXN001"] == hashlib.md5(b"TXN001|2025-10-20T09:12:34+00:00").hexdigest()
-    assert rows["TXN001"] == "edb2d5e54f63a82412fe493a3672d94d"
-    assert rows["TXN001x"] == hashlib.md5(b"TXN001x|").hexdigest()
+    rows = {r.transaction_id: r.record_hash for r in pos(spark, samples.POS_DAY_1 + ['{"transaction_id":"K-101x"}']).collect()}
+    assert rows["K-101"] == hashlib.md5(b"K-101|2025-03-11T06:05:00+00:00").hexdigest()
+    assert rows["K-101x"] == hashlib.md5(b"K-101x|").hexdigest()
 
 
 def test_ecom_sample(spark):
     rows = feeds.good_rows(feeds.parse_ecom(samples.lines(spark, samples.ECOM), NOW)).collect()
-    assert sum(r.total_amount for r in rows) == 140.75
-    assert {r.order_date for r in rows} == {date(2025, 10, 20)}
+    assert sum(r.total_amount for r in rows) == 91.5
+    assert {r.order_date for r in rows} == {date(2025, 3, 11)}
 
 
 def test_crm_layouts(spark):
     parsed = feeds.parse_crm(samples.lines(spark, samples.CRM_DAY_1 + samples.CRM_DAY_2), NOW)
     by_day = {(r.customer_id, r.updated_at.day): r.membership_tier for r in parsed.collect()}
-    assert by_day[("C1", 20)] is None and by_day[("C1", 21)] == "Gold+"
+    assert by_day[("M-1", 11)] is None and by_day[("M-1", 12)] == "Plus"
     legacy = feeds.parse_crm(samples.lines(spark, samples.CRM_DAY_2), NOW, legacy=True)
     assert {r.membership_tier for r in legacy.collect()} == {None}
 
@@ -154,10 +163,11 @@ def test_crm_cells(spark, line, expected):
 
 
 def test_inventory_rules(spark):
-    values = [*samples.INVENTORY, "P9,S1,x,85.0,abc,never", ",S1,,,,", "P1"]
+    values = [*samples.INVENTORY, "B-9,PIER,x,85.0,abc,never", ",PIER,,,,", "B-7"]
     parsed = feeds.parse_inventory(samples.lines(spark, values), NOW)
     rows = {r.raw_payload: r for r in feeds.good_rows(parsed).collect()}
-    assert sum(rows[v].quantity for v in samples.INVENTORY) == 205
+    assert sum(rows[v].quantity for v in samples.INVENTORY) == 17
+    assert rows[samples.INVENTORY[1]].product_name == "Lamp, red"
     bad = rows[values[3]]
     assert (bad.quantity, bad.price, bad.last_updated, bad.dq_status) == (None, None, None, "VALID")
     assert rows[values[4]].product_id == ""
@@ -166,22 +176,38 @@ def test_inventory_rules(spark):
 
 def test_csv_files_drop_one_header_each(spark, tmp_path):
     samples.write_lines(tmp_path / "a.csv", samples.CRM_DAY_1, samples.CRM_8_HEADER)
-    samples.write_lines(tmp_path / "b.csv", ['C9,"x, ""y""",,,,,,2025-10-21T08:00:00Z'], samples.CRM_9_HEADER)
+    samples.write_lines(tmp_path / "b.csv", ['C9,"x, ""y""",,,,,,2025-03-12T08:00:00Z'], samples.CRM_9_HEADER)
     read = landing.read_csv_lines(spark, f"{tmp_path}/*.csv")
     got = {r.value: r.source_file for r in read.collect()}
-    assert set(got) == {*samples.CRM_DAY_1, 'C9,"x, ""y""",,,,,,2025-10-21T08:00:00Z'}
+    assert set(got) == {*samples.CRM_DAY_1, 'C9,"x, ""y""",,,,,,2025-03-12T08:00:00Z'}
     assert got[samples.CRM_DAY_1[0]].endswith("/a.csv")
 
 
+def test_no_csv_line_is_lost(spark, tmp_path):
+    odd = ["", "   ", "C1,x\x01y,z", '"open', ",", "C2"]
+    samples.write_lines(tmp_path / "a.csv", [*samples.CRM_DAY_1, *odd], samples.CRM_8_HEADER)
+    samples.write_lines(tmp_path / "b.csv", [*odd, samples.CRM_9_HEADER], "\ufeff" + samples.CRM_9_HEADER.replace(",", ", ").upper())
+    samples.write_lines(tmp_path / "c.csv", odd, "unheard,of")
+    parsed = feeds.parse_crm(landing.read_csv_lines(spark, f"{tmp_path}/*.csv"), NOW)
+    rows = parsed.collect()
+    physical = sum(len(p.read_text(encoding="utf-8").splitlines()) for p in tmp_path.glob("*.csv"))
+    assert len(rows) == physical - 3  # two headers go, and the one repeated in the first block
+    marked = [r for r in rows if r.customer_id == "C1"]
+    assert len(marked) == 3 and {(r.first_name, r.raw_payload) for r in marked} == {("x\x01y", "C1,x\x01y,z")}
+    dead = feeds.dead_letters(parsed).collect()
+    assert [(r.line, r.error) for r in dead] == [("", "Missing customer_id")] * 3
+    assert feeds.good_rows(parsed).count() + len(dead) == len(rows)
+
+
 def test_json_files_and_hourly_path(spark, tmp_path):
-    assert landing.hourly_pattern("/in/", "2025-10-20T09:59:00Z") == "/in/hourly/2025-10-20/9/*.json"
-    samples.write_lines(tmp_path / "hourly/2025-10-20/9/x.json", samples.ECOM)
-    pattern = landing.hourly_pattern(str(tmp_path), "2025-10-20T09:00:00Z")
-    assert landing.read_json_lines(spark, pattern).count() == 2
+    assert landing.hourly_pattern("/in/", "2025-03-11T09:59:00Z") == "/in/hourly/2025-03-11/9/*.json"
+    samples.write_lines(tmp_path / "hourly/2025-03-11/9/x.json", samples.ECOM)
+    pattern = landing.hourly_pattern(str(tmp_path), "2025-03-11T09:00:00Z")
+    assert landing.read_json_lines(spark, pattern).count() == 3
 
 
 def test_each_line_is_parsed_once(spark):
     plan = feeds.good_rows(pos(spark, samples.POS_DAY_1))._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("from_json(") == 1
+    assert plan.count("from_json(") == 3  # the fields, and two looks at what follows the object
     crm = feeds.good_rows(feeds.parse_crm(samples.lines(spark, samples.CRM_DAY_1), NOW))
     assert crm._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1

@@ -8,9 +8,10 @@ from retailmill import schemas
 from retailmill.operators import drift, monitoring, quality
 from retailmill.plans import analytics, marts
 from retailmill.sources import feeds
+from retailmill.streaming import pos as stream
 import samples
 
-NOW = "2025-10-20T11:15:00Z"
+NOW = "2025-03-11T11:15:00Z"
 
 
 def tables(spark):
@@ -24,11 +25,11 @@ def tables(spark):
 
 
 def test_scorecard(spark):
-    row = quality.dq_scorecard(tables(spark), "2025-10-20T09:15:30Z").first().asDict()
+    row = quality.dq_scorecard(tables(spark), "2025-03-11T08:59:30Z").first().asDict()
     assert len(row) == 17
     nonzero = {k: v for k, v in row.items() if v}
     assert nonzero == {
-        "pos_negative_amount_count": 1, "pos_future_date_count": 2, "pos_duplicate_transaction_count": 1,
+        "pos_negative_amount_count": 2, "pos_future_date_count": 2, "pos_duplicate_transaction_count": 1,
         "crm_invalid_email_count": 2, "inv_negative_quantity_count": 1,
     }
 
@@ -36,7 +37,7 @@ def test_scorecard(spark):
 def test_quality_metrics(spark):
     rows = {r.table_name: r for r in monitoring.data_quality_metrics(tables(spark), NOW).collect()}
     pos = rows["raw_pos_transactions"]
-    assert (pos.total_records, pos.unique_entities, pos.duplicate_entity_count, pos.negative_amounts) == (6, 5, 1, 1)
+    assert (pos.total_records, pos.unique_entities, pos.duplicate_entity_count, pos.negative_amounts) == (7, 6, 1, 2)
     assert rows["raw_inventory_snapshots"].unique_entities == 4 and rows["raw_crm_customers"].negative_amounts == 0
     later = monitoring.data_quality_metrics(tables(spark), "2026-01-01T00:00:00Z").collect()
     assert {r.total_records for r in later} == {0}
@@ -54,13 +55,13 @@ def test_freshness(spark):
     watched = {"pos": t[schemas.POS.name], "empty": t[schemas.ECOM.name].where("false")}
     def at(as_of):
         return {r.table_name: (r.minutes_since_last_ingestion, r.is_stale) for r in monitoring.freshness(watched, as_of).collect()}
-    assert at("2025-10-20T13:15:59Z") == {"pos": (120, False), "empty": (None, False)}
-    assert at("2025-10-20T13:16:00Z")["pos"] == (121, True)
+    assert at("2025-03-11T13:15:59Z") == {"pos": (120, False), "empty": (None, False)}
+    assert at("2025-03-11T13:16:00Z")["pos"] == (121, True)
 
 
 def runs(spark):
-    rows = [("a", "2025-10-20 11:00:00", "FAILED", 5, "e1"), ("a", "2025-10-20 10:30:00", "FAILED", 7, "e2"),
-            ("b", "2025-10-20 11:00:00", "SUCCESS", 0, None), ("c", "2025-10-01 11:00:00", "FAILED", 1, "old")]
+    rows = [("a", "2025-03-11 11:00:00", "FAILED", 5, "e1"), ("a", "2025-03-11 10:30:00", "FAILED", 7, "e2"),
+            ("b", "2025-03-11 11:00:00", "SUCCESS", 0, None), ("c", "2025-02-20 11:00:00", "FAILED", 1, "old")]
     df = spark.createDataFrame(rows, "pipeline_name string, t string, status string, records_failed bigint, error_message string")
     return df.select(
         "pipeline_name", F.to_date("t").alias("run_date"), F.col("t").cast("timestamp").alias("run_timestamp"), "status",
@@ -85,10 +86,10 @@ def test_health(spark):
 
 def test_recent_rows(spark):
     pos = tables(spark)[schemas.POS.name]
-    assert monitoring.recent_rows(pos, "2025-10-20T12:00:00Z").first().recent_rows == 6
-    assert monitoring.recent_rows(pos, "2025-10-20T12:30:00Z").first().recent_rows == 0
-    live = monitoring.stream_liveness(pos, "2025-10-20T11:17:00Z").first()
-    assert live.recent_transactions == 6 and live.latest_ingestion == datetime(2025, 10, 20, 11, 15)
+    assert monitoring.recent_rows(pos, "2025-03-11T12:00:00Z").first().recent_rows == 7
+    assert monitoring.recent_rows(pos, "2025-03-11T12:30:00Z").first().recent_rows == 0
+    live = monitoring.stream_liveness(pos, "2025-03-11T11:17:00Z").first()
+    assert live.recent_transactions == 7 and live.latest_ingestion == datetime(2025, 3, 11, 11, 15)
 
 
 def test_dead_letters_and_contract(spark):
@@ -126,6 +127,46 @@ def test_handle_drift(spark):
     assert not updated and same.count() == 2
 
 
+def test_columns_are_never_retyped(spark):
+    table = spark.createDataFrame([(1, 2.0)], "a int, b double")
+    incoming = spark.createDataFrame([(5_000_000_000, "abc"), (7, "2.5"), (None, None)], "a bigint, b string")
+    for auto in (False, True):
+        rows, updated = drift.handle_drift(table, incoming, auto_update=auto)
+        assert updated == auto and rows.schema == table.schema
+        assert sorted(map(str, rows.collect())) == sorted(map(str, spark.createDataFrame(
+            [(1, 2.0), (None, None), (7, 2.5), (None, None)], "a int, b double").collect()))
+    lost = {r.column_name: r.misfits for r in drift.misfits(incoming, table.schema).collect()}
+    assert lost == {"a": 1, "b": 1}
+    listed = spark.createDataFrame([([1],)], "a array<int>")
+    assert drift.conform(listed, table.schema).first().a is None and drift.misfits(listed, table.schema).first().misfits == 1
+    assert drift.misfits(table, table.schema).count() == 0
+
+
+def test_no_amount_stops_a_job(spark):
+    values = ['{"transaction_id":"%s","store_id":"s","timestamp":"2025-03-11T09:00:00Z","amount":%s}' % x for x in
+              (("a", "1e17"), ("b", "Infinity"), ("c", "NaN"), ("d", '"1e400"'), ("e", "2.5"))]
+    rows = feeds.good_rows(feeds.parse_pos(samples.lines(spark, values), NOW))
+    ecom = tables(spark)[schemas.ECOM.name].limit(0)
+    got = {r.sale_id: r.amount for r in marts.sales_fact(rows, ecom).collect()}
+    assert {k: v and float(v) for k, v in got.items()} == {"a": None, "b": None, "c": None, "d": None, "e": 2.5}
+    count = quality.unfit_amounts({"pos": F.col("amount")}, {"pos": rows}).first()
+    assert (count.amounts, count.unfit) == (5, 4)
+    window = stream.windowed_sales(rows).first()
+    assert (window.sales_count, float(window.total_amount), window.unfit_amounts) == (5, 2.5, 4)
+
+
+def test_monitoring_of_an_earlier_time(spark):
+    """An hour's figures do not change when later rows have come in."""
+    early = feeds.good_rows(feeds.parse_pos(samples.lines(spark, samples.POS_DAY_1), NOW))
+    later = feeds.good_rows(feeds.parse_pos(samples.lines(spark, samples.POS_DAY_2), "2025-03-11T13:00:00Z"))
+    both = early.unionByName(later)
+    for look in (monitoring.recent_rows, monitoring.recent_duplicates, monitoring.stream_liveness):
+        assert look(both, NOW).collect() == look(early, NOW).collect()
+    age = monitoring.freshness({"pos": both}, "2025-03-11T12:00:00Z").first()
+    assert age.minutes_since_last_ingestion == 45
+    assert monitoring.failed_runs_recent(runs(spark), "2025-03-11T10:45:00Z").first().failed_runs == 1
+
+
 def test_feed_drift(spark):
     df = spark.createDataFrame([('{"a":"x","n":1,"extra":true}',), ('{"a":null,"n":2.5}',), ('{"a":"y","n":"bad"}',), ("{broken",)], "raw_payload string")
     declared = T.StructType.fromDDL("a string, n double, gone string")
@@ -168,9 +209,9 @@ def test_lifetime_value(spark):
 def test_marts(spark):
     t = tables(spark)
     facts = marts.sales_fact(t[schemas.POS.name], t[schemas.ECOM.name])
-    assert facts.count() == 8 and float(facts.agg(F.sum("amount")).first()[0]) == 183.0
+    assert facts.count() == 10 and float(facts.agg(F.sum("amount")).first()[0]) == 151.75
     stores = {r.store_id: (r.sells_pos, r.sells_online, r.holds_inventory) for r in marts.store_dim(facts, t[schemas.INVENTORY.name]).collect()}
-    assert stores["S1"] == (True, False, True) and stores["ONLINE"] == (False, True, False) and "" not in stores
+    assert stores["PIER"] == (True, False, True) and stores["WEB"] == (False, True, False) and "" not in stores
     kpi = {r.store_id: r.out_of_stock for r in marts.inventory_kpi(marts.inventory_snapshot_fact(t[schemas.INVENTORY.name])).collect()}
-    assert kpi == {"S1": 0, "S2": 1, "S9": 1}
+    assert kpi == {"PIER": 1, "DOCK": 0, "S9": 1}
     assert marts.date_dim(facts, "sale_date").count() == 2

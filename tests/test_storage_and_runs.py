@@ -9,7 +9,7 @@ from retailmill.plans import marts, procedures
 from retailmill.sources import feeds, storage
 import samples
 
-NOW = "2025-10-20T11:15:00Z"
+NOW = "2025-03-11T11:15:00Z"
 
 
 def pos(spark):
@@ -20,20 +20,20 @@ def test_layout_and_append(spark, tmp_path):
     path = str(tmp_path / "pos")
     storage.write_table(pos(spark), path, schemas.POS)
     storage.write_table(pos(spark), path, schemas.POS)
-    assert sorted(p.name for p in Path(path).glob("event_date=*")) == ["event_date=2025-10-19", "event_date=2025-10-20"]
+    assert sorted(p.name for p in Path(path).glob("event_date=*")) == ["event_date=2025-03-10", "event_date=2025-03-11"]
     table = storage.read_table(spark, path, schemas.POS)
-    assert table.count() == 12 and table.columns == schemas.RAW_POS.names
-    plan = table.where("event_date = DATE'2025-10-19'")._jdf.queryExecution().executedPlan().toString()
+    assert table.count() == 14 and table.columns == schemas.RAW_POS.names
+    plan = table.where("event_date = DATE'2025-03-10'")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
 
 
 def test_overwrite_replaces_only_the_days_written(spark, tmp_path):
     path = str(tmp_path / "pos")
     storage.write_table(pos(spark), path, schemas.POS)
-    one_day = pos(spark).where("event_date = DATE'2025-10-19'").withColumn("currency", F.lit("NOK"))
+    one_day = pos(spark).where("event_date = DATE'2025-03-10'").withColumn("currency", F.lit("NOK"))
     storage.write_table(one_day, path, schemas.POS, mode="overwrite")
     got = {(str(r.event_date), r.currency): r["count"] for r in storage.read_table(spark, path, schemas.POS).groupBy("event_date", "currency").count().collect()}
-    assert got == {("2025-10-19", "NOK"): 1, ("2025-10-20", "EUR"): 5}
+    assert got == {("2025-03-10", "NOK"): 1, ("2025-03-11", "EUR"): 6}
 
 
 def test_a_day_with_most_rows_is_split(spark, tmp_path):
@@ -53,7 +53,7 @@ def test_a_day_with_most_rows_is_split(spark, tmp_path):
 def test_replace_leaves_nothing_behind(spark, tmp_path):
     path = str(tmp_path / "pos")
     storage.write_table(pos(spark), path, schemas.POS)
-    storage.write_table(pos(spark).where("event_date = DATE'2025-10-19'"), path, schemas.POS, mode="replace")
+    storage.write_table(pos(spark).where("event_date = DATE'2025-03-10'"), path, schemas.POS, mode="replace")
     assert storage.read_table(spark, path, schemas.POS).count() == 1
 
 
@@ -61,20 +61,20 @@ def test_history_lookback_prunes_partitions(spark, tmp_path):
     path = str(tmp_path / "crm")
     rows = feeds.good_rows(feeds.parse_crm(samples.lines(spark, samples.CRM_DAY_1 + samples.CRM_DAY_2), NOW))
     storage.write_table(rows, path, schemas.CRM)
-    recent = scd2.source_snapshot(storage.read_table(spark, path, schemas.CRM), "2026-01-18T20:00:00Z")
-    assert {r.customer_id for r in recent.collect()} == {"C1", "C2", "C4"}
+    recent = scd2.source_snapshot(storage.read_table(spark, path, schemas.CRM), "2025-06-09T20:00:00Z")
+    assert {r.customer_id for r in recent.collect()} == {"M-1", "M-3", "M-5"}
     plan = recent._jdf.queryExecution().executedPlan().toString()
     assert "updated_date" in plan[plan.index("PartitionFilters"):plan.index("PushedFilters")]
 
 
 def test_retention_and_archive(spark, tmp_path):
     df = pos(spark)
-    assert storage.retained(df, schemas.POS, "2026-10-20T00:00:00Z").count() == 5
-    assert storage.expired(df, schemas.POS, "2026-10-20T00:00:00Z").count() == 1
+    assert storage.retained(df, schemas.POS, "2026-03-11T00:00:00Z").count() == 6
+    assert storage.expired(df, schemas.POS, "2026-03-11T00:00:00Z").count() == 1
     undated = df.withColumn("event_date", F.lit(None).cast("date"))
-    assert storage.retained(undated, schemas.POS, "2030-01-01T00:00:00Z").count() == 6
+    assert storage.retained(undated, schemas.POS, "2030-01-01T00:00:00Z").count() == 7
     for _ in range(2):
-        storage.archive(df, str(tmp_path / "a"), schemas.POS, "2026-10-20T00:00:00Z")
+        storage.archive(df, str(tmp_path / "a"), schemas.POS, "2026-03-11T00:00:00Z")
     assert spark.read.parquet(str(tmp_path / "a")).count() == 1
 
 
@@ -85,7 +85,7 @@ def test_compaction(spark, tmp_path):
     storage.compact(spark, path, target, schemas.POS)
     files = lambda p: len(list(Path(p).rglob("*.parquet")))
     assert files(target) == 2 < files(path)
-    assert storage.read_table(spark, target, schemas.POS).count() == 24
+    assert storage.read_table(spark, target, schemas.POS).count() == 28
     with pytest.raises(ValueError):
         storage.compact(spark, path, path + "/", schemas.POS)
 
@@ -95,7 +95,7 @@ def test_materialized_mart_refreshes_months(spark, tmp_path):
     for _ in range(2):
         marts.materialize_daily_store_sales(marts.sales_fact(pos(spark), ecom), str(tmp_path / "m"))
     stored = spark.read.parquet(str(tmp_path / "m"))
-    assert stored.agg(F.sum("transaction_count")).first()[0] == 8
+    assert stored.agg(F.sum("transaction_count")).first()[0] == 10
 
 
 def land(root, day, values):
@@ -116,27 +116,30 @@ def test_daily_chain(spark, tmp_path):
     day_2 = land(tmp_path, "d2", {
         "pos": ("json", None, samples.POS_DAY_2), "ecom": ("json", None, samples.ECOM),
         "crm": ("csv", samples.CRM_9_HEADER, samples.CRM_DAY_2), "inv": ("csv", samples.INVENTORY_HEADER, samples.INVENTORY)})
-    root, run_1, run_2 = str(tmp_path / "wh"), "2025-10-20T12:00:00Z", "2025-10-21T12:00:00Z"
+    root, run_1, run_2 = str(tmp_path / "wh"), "2025-03-11T12:00:00Z", "2025-03-12T12:00:00Z"
 
     out = procedures.run_daily(spark, root, day_1, run_1)
-    assert out["customer_dim_scd2"].count() == 3
+    assert out["customer_dim_scd2"].count() == 4
     batch = {r.pipeline_name: (r.records_processed, r.records_failed) for r in out["pipeline_monitoring"].collect()}
-    assert batch["raw_pos_transactions_batch"] == (3, 1) and batch["raw_inventory_snapshots_batch"] == (3, 1)
+    assert batch["raw_pos_transactions_batch"] == (4, 1) and batch["raw_inventory_snapshots_batch"] == (3, 1)
 
     for _ in range(2):  # the repeat changes nothing
         out = procedures.run_daily(spark, root, day_2, run_2, previous=run_1)
         dim = out["customer_dim_scd2"].collect()
-        assert (len(dim), sum(r.is_current for r in dim)) == (6, 4)
-        assert out[schemas.POS.name].count() == 5
-        assert out[schemas.ECOM.name].count() == 2
+        assert (len(dim), sum(r.is_current for r in dim)) == (7, 5)
+        assert out[schemas.POS.name].count() == 6
+        assert out[schemas.ECOM.name].count() == 3
         scores = out["dq_scorecard"].first()
         assert (scores.pos_duplicate_transaction_count, scores.pos_negative_amount_count) == (0, 1)
         keys = {(r.table_name, r.record_key) for r in out["late_arriving_data"].collect()}
-        assert ("raw_pos_transactions", "TXN001") in keys and ("raw_ecom_orders", "O1") in keys
+        assert ("raw_pos_transactions", "K-101") in keys and ("raw_ecom_orders", "W-1") in keys
+        assert out["late_arriving_data"].where("not processed").count() == 0
+        mart = out["daily_store_sales"].agg(F.sum("transaction_count"), F.sum("total_amount")).first()
+        assert (mart[0], float(mart[1])) == (9, 153.5)
         assert out["pipeline_monitoring"].count() == 12 and out["failed_runs"].count() == 0
     log = spark.read.parquet(f"{root}/log/deduplication_log")
-    counts = {r.record_key: r["count"] for r in log.where("run = '20251021T120000'").collect()}
-    assert counts == {"TXN002|2025-10-20 09:15:12+00": 1, "O1": 1, "O2": 1}
+    counts = {r.record_key: r["count"] for r in log.where("run = '20250312T120000'").collect()}
+    assert counts == {"K-103|2025-03-11 08:20:30+00": 1, "W-1": 1, "W-2": 1, "W-3": 1}
     dead = spark.read.parquet(f"{root}/dead_letter/raw_pos_transactions")
     assert [r.line for r in dead.collect()] == ["{bad"]
 
@@ -173,11 +176,82 @@ def test_dedup_redoes_only_touched_days(spark, tmp_path):
     # an earlier state stays readable, and a version no run has listed is not seen
     assert storage.read_days(spark, path, schemas.ECOM, procedures.run_name(first)).count() == 4
     old = storage.superseded_versions(spark, path, procedures.run_name(third)).collect()
-    assert {(r.day, r.run[:8]) for r in old} == {("2025-01-02", "20250105"), ("2025-01-03", "20250105"), ("undated", "20250105")}
+    assert {(r.day, r.run[:8]) for r in old} == {
+        ("2025-01-02", "20250105"), ("2025-01-03", "20250105"), ("undated", "20250105"),
+        ("2025-01-04", "20250106"), ("undated", "20250106"),  # of the attempt that was repeated
+    }
     pruned = storage.read_days(spark, path, schemas.ECOM, procedures.run_name(third))._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in pruned.lower()
 
 
+def ecom_order(key, time, total=1.0):
+    return '{"order_id":"%s","total_amount":%s,"timestamp":"%s"}' % (key, total, time)
+
+
+def test_a_repeat_with_other_input_replaces_the_attempt(spark, tmp_path):
+    warehouse = procedures.Warehouse(str(tmp_path / "wh"))
+    path, spec = warehouse.silver_days(schemas.ECOM.name), schemas.ECOM
+
+    def run(as_of, values, previous=None):
+        load = feeds.good_rows(feeds.parse_ecom(samples.lines(spark, values), as_of))
+        storage.write_table(load, warehouse.load(spec.name, as_of), spec, mode="replace")
+        table = procedures.run_dedup(spark, warehouse, spec, as_of, previous)
+        return sorted((r.order_id, str(r.order_date)) for r in table.collect())
+
+    first, second = "2025-01-05T00:00:00Z", "2025-01-06T00:00:00Z"
+    assert run(first, [ecom_order("b", "2025-01-01T00:00:00Z"), ecom_order("c", "2025-01-09T00:00:00Z")]) == [("b", "2025-01-01"), ("c", "2025-01-09")]
+    assert run(second, [ecom_order("b", "2025-01-02T00:00:00Z")], first) == [("b", "2025-01-02"), ("c", "2025-01-09")]
+    assert run(second, [ecom_order("b", "2025-01-03T00:00:00Z")], first) == [("b", "2025-01-03"), ("c", "2025-01-09")]
+    # what no reader needs goes; the present state stays, an earlier one says that it is gone
+    assert storage.remove_superseded(spark, path, procedures.run_name(second)) == 2
+    left = storage.read_days(spark, path, spec, procedures.run_name(second))
+    assert sorted(r.order_id for r in left.collect()) == ["b", "c"]
+    with pytest.raises(ValueError):
+        storage.read_days(spark, path, spec, procedures.run_name(first))
+
+
+def test_late_data_repeats_exactly(spark, tmp_path):
+    warehouse, as_of = procedures.Warehouse(str(tmp_path / "wh")), "2025-03-11T12:00:00Z"
+
+    def run(values):
+        rows = {schemas.POS.name: feeds.good_rows(feeds.parse_pos(samples.lines(spark, values), as_of))}
+        return sorted(r.record_key for r in procedures.run_late(spark, warehouse, rows, as_of)[0].collect())
+
+    assert run(samples.POS_DAY_1) == ["K-101", "K-102", "K-103", "K-104"]
+    assert run(samples.POS_DAY_2) == ["K-103", "K-105", "K-106"]
+
+
+def test_reads_follow_the_day_not_the_history(spark, tmp_path):
+    warehouse, spec = procedures.Warehouse(str(tmp_path / "wh")), schemas.POS
+    path, runs = warehouse.silver_days(spec.name), ["2025-03-01T00:00:00Z", "2025-03-11T12:00:00Z"]
+    for as_of, values, previous in ((runs[0], ['{"transaction_id":"old","timestamp":"2024-01-01T00:00:00Z"}'], None), (runs[1], samples.POS_DAY_1, runs[0])):
+        load = feeds.good_rows(feeds.parse_pos(samples.lines(spark, values), as_of))
+        storage.write_table(load, warehouse.load(spec.name, as_of), spec, mode="replace")
+        procedures.run_dedup(spark, warehouse, spec, as_of, previous)
+    own = spark.createDataFrame([("2025-03-11",), ("undated",)], "day string")
+    near = {r.day for r in procedures._days_a_copy_can_have(own, spec).collect()}
+    assert near == {"2025-03-09", "2025-03-10", "2025-03-11", "2025-03-12", "2025-03-13", "undated"}
+    assert procedures._days_a_copy_can_have(own, schemas.ECOM) is None
+    name = procedures.run_name(runs[1])
+    assert storage.read_days(spark, path, spec, name).count() == 5
+    recent = storage.read_days(spark, path, spec, name, written_since=procedures.run_name("2025-03-10T00:00:00Z"))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert recent.count() == 4 and "PartitionFilters: [" in plan and "dynamicpruning" in plan.lower()
+
+
+def test_maintenance(spark, tmp_path):
+    warehouse, spec, loaded, now = procedures.Warehouse(str(tmp_path / "wh")), schemas.POS, "2025-03-11T12:00:00Z", "2026-03-11T00:00:00Z"
+    storage.write_table(pos(spark), warehouse.load(spec.name, loaded), spec, mode="replace")
+    procedures.run_dedup(spark, warehouse, spec, loaded)
+    gone = procedures.run_maintenance(spark, warehouse, spec, now, loaded)
+    assert [(str(r.partition_date), r.row_count) for r in gone.collect()] == [("2025-03-10", 1)]
+    left = storage.read_days(spark, warehouse.silver_days(spec.name), spec, procedures.run_name(now))
+    assert {str(r.event_date) for r in left.collect()} == {"2025-03-11"}
+    assert spark.read.parquet(warehouse.archive(spec.name)).count() == 1
+    again = procedures.run_maintenance(spark, warehouse, spec, "2026-03-11T01:00:00Z", now)
+    assert again.count() == 0 and left.count() == 5
+
+
 def test_command_line(spark, tmp_path):
     from retailmill import jobs
 
@@ -185,8 +259,8 @@ def test_command_line(spark, tmp_path):
     out = tmp_path / "out"
     jobs.main(["--as_of", NOW, "batch", "--feed", "raw_pos_transactions", "--input_pattern", f"{tmp_path}/in/*.json",
                "--output_table", f"{out}/pos", "--dead_letter_table", f"{out}/dead"])
-    assert storage.read_table(spark, f"{out}/pos", schemas.POS).count() == 3
+    assert storage.read_table(spark, f"{out}/pos", schemas.POS).count() == 4
     jobs.main(["stream-pos", "--input_directory", f"{tmp_path}/in", "--output_table", f"{out}/s", "--dead_letter_table",
                f"{out}/sd", "--windows_table", f"{out}/w", "--checkpoint", f"{out}/c", "--once"])
-    assert spark.read.parquet(f"{out}/s").count() == 3 and spark.read.parquet(f"{out}/sd").count() == 1
-    assert spark.read.parquet(f"{out}/w").agg(F.sum("sales_count")).first()[0] == 3
+    assert spark.read.parquet(f"{out}/s").count() == 4 and spark.read.parquet(f"{out}/sd").count() == 1
+    assert spark.read.parquet(f"{out}/w").agg(F.sum("sales_count")).first()[0] == 4

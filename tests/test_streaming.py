@@ -6,7 +6,7 @@ from retailmill.sources import feeds, landing
 from retailmill.streaming import pos as stream
 import samples
 
-NOW = "2025-10-20T11:15:00Z"
+NOW = "2025-03-11T11:15:00Z"
 
 
 def message(key, time, store="S1", amount=1.0):
@@ -45,18 +45,18 @@ def test_windows_refine_and_drop_what_is_too_late(spark, tmp_path):
             for r in stream.read_windowed_sales(spark, f"{out}/w").collect()
         }
 
-    samples.write_lines(landed / "1.json", [message("a", "2025-10-20T10:00:10Z"), message("b", "2025-10-20T10:00:50Z", amount=2.5), message("c", "2025-10-20T10:01:00Z")])
+    samples.write_lines(landed / "1.json", [message("a", "2025-03-11T10:00:10Z"), message("b", "2025-03-11T10:00:50Z", amount=2.5), message("c", "2025-03-11T10:01:00Z")])
     run()
-    first, second = datetime(2025, 10, 20, 10, 0), datetime(2025, 10, 20, 10, 1)
+    first, second = datetime(2025, 3, 11, 10, 0), datetime(2025, 3, 11, 10, 1)
     assert state() == {(first, "S1"): (2, 3.5), (second, "S1"): (1, 1.0)}
     # within the allowed lateness: the window is emitted again with the new total
-    samples.write_lines(landed / "2.json", [message("d", "2025-10-20T10:00:20Z", amount=4.0), message("e", "2025-10-20T12:00:00Z")])
+    samples.write_lines(landed / "2.json", [message("d", "2025-03-11T10:00:20Z", amount=4.0), message("e", "2025-03-11T12:00:00Z")])
     run()
     assert state()[(first, "S1")] == (3, 7.5)
     # the watermark is now past 11:00, so 10:00 is closed
-    samples.write_lines(landed / "3.json", [message("f", "2025-10-20T10:00:30Z", amount=9.0), message("g", "2025-10-20T11:30:00Z")])
+    samples.write_lines(landed / "3.json", [message("f", "2025-03-11T10:00:30Z", amount=9.0), message("g", "2025-03-11T11:30:00Z")])
     run()
-    assert state()[(first, "S1")] == (3, 7.5) and state()[(datetime(2025, 10, 20, 11, 30), "S1")] == (1, 1.0)
+    assert state()[(first, "S1")] == (3, 7.5) and state()[(datetime(2025, 3, 11, 11, 30), "S1")] == (1, 1.0)
 
 
 def test_event_time_fallbacks(spark):
@@ -74,9 +74,9 @@ def test_stream_dedup(spark, tmp_path):
         rows = feeds.good_rows(stream.parse_messages(landing.stream_text_lines(spark, str(landed)), NOW))
         stream.start_append(stream.dedup_stream(rows), f"{out}/rows", f"{out}/ckpt").awaitTermination()
 
-    samples.write_lines(landed / "1.json", [message("a", "2025-10-20T10:00:00Z"), message("a", "2025-10-20T10:00:00Z"), message("b", "2025-10-20T10:00:00Z")])
+    samples.write_lines(landed / "1.json", [message("a", "2025-03-11T10:00:00Z"), message("a", "2025-03-11T10:00:00Z"), message("b", "2025-03-11T10:00:00Z")])
     run()
-    samples.write_lines(landed / "2.json", [message("a", "2025-10-20T10:00:00Z"), message("a", "2025-10-20T10:05:00Z")])
+    samples.write_lines(landed / "2.json", [message("a", "2025-03-11T10:00:00Z"), message("a", "2025-03-11T10:05:00Z")])
     run()
     got = sorted((r.transaction_id, r.event_ts.minute) for r in spark.read.parquet(f"{out}/rows").collect())
     assert got == [("a", 0), ("a", 5), ("b", 0)]
