@@ -146,10 +146,9 @@ def graph_of(text: str, spans: list[Span], most: int | None = None) -> Graph:
             g.chain.append((i - 1, i))
         before = k
         digits = _NOT_DIGIT.sub("", core)
-        for key in {core.lower(), digits if len(digits) >= 7 else core.lower()}:
-            if key in last:
-                g.skip.append((last[key], i))
-            last[key] = i
+        keys = {core.lower(), digits if len(digits) >= 7 else core.lower()}
+        g.skip += [(u, i) for u in sorted({last[key] for key in keys if key in last})]
+        last.update(dict.fromkeys(keys, i))
     return g
 
 
