@@ -6,17 +6,24 @@ set lies in the band. The scheme cuts the range of the hashes into twice as many
 the greatest difference allowed: at least half of the slices of two linked sets are
 equal. A *tile* is a band, a slice and the contents of that slice; only sets in a
 common tile are compared. Small sets enter all their tiles, so none is missed. Larger
-ones (over about 100 shingles) enter 48 slices that hashing picks: a linked pair stays
-unseen with a chance under 0.63^48 = 3e-10 at the very threshold, far less above it.
+ones (over about 130 shingles) enter the first 64 slices, in an order by hash, that hold
+something. At the very threshold at least half of these are expected to be equal, so
+that a linked pair stays unseen with a chance under 1e-9; above it, far less.
 
-Compared pairs first meet hashed bitmaps (one to two bits a shingle): bits in which
+Compared pairs first meet hashed bitmaps (four to eight bits a shingle): bits in which
 they differ bound the overlap from above. Pairs that the bound allows are settled by
 exact intersection of the sorted hash arrays.
 
-Not all pairs of a tile are compared: round one ties each set to the tile's smallest;
-components follow; round two compares only pairs of a tile that lie in different
-components. A tile of very many copies costs one comparison a set, yet no link
-between components is lost. Sets equal in all shingles are one class from the start.
+Not all pairs of a tile are compared. Round one ties each set to the tile's smallest;
+components follow. Round two compares pairs of a tile that lie in different components.
+A tile of very many copies thus costs one comparison a set, yet no link between
+components is lost. Sets equal in all shingles are one class from the start.
+
+Tiles that hold more than eight components come from a passage that many texts share.
+By counting, two linked sets share other tiles too unless common ones (and empty
+slices) make up most of a set's tiles. So only such *leaning* sets are compared there,
+in as many common tiles as counting leaves open (of a large set, the first 32), block
+against block of 1,024 sets: bitmaps first, and only pairs that they allow leave the task.
 
 Defined cases: null and empty texts have no shingles and are their own component;
 fewer than five words are one shingle; repeated rows, or a null id, follow their text
@@ -30,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailmill.llm.common import map_rows, texts, written
@@ -38,8 +45,14 @@ from retailmill.llm.components import components
 from retailmill.llm.shingles import mixed, shingle_sets
 
 PERCENT = 80
-SLICES = 48
+SLICES = 64
 BAND = 1.6
+#: Of a large set's tiles, the share that may be common ones: a linked pair then has an
+#: equal one among the others with a chance of 1 - 0.62^44.
+LEANING = 0.31
+FEW = 8
+BLOCK = 1_024
+TRIES = 32
 
 
 def band_starts(n: int) -> list[int]:
@@ -65,30 +78,37 @@ def differing(n: int) -> int:
     return (n + m) * (100 - PERCENT) // (100 + PERCENT)
 
 
-def tiles(own: np.ndarray) -> np.ndarray:
-    """The tiles that a sorted set enters."""
+def tiles(own: np.ndarray) -> list[dict]:
+    """The tiles that a sorted set enters, by band: ``allowed`` is how many of them can be
+    common ones before a linked pair might share no other; ``all_known`` says whether the
+    set entered every slice, so that this is exact."""
     out = []
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(own + np.uint64(0x632BE59BD9B4E019)))])
     for low in band_starts(len(own)):
         n = slices_of(low)
+        alike = n // 2 + 1  # slices that two linked sets have in common, at least
         step = np.uint64((1 << 64) // n)
         at = np.searchsorted(own, np.arange(1, n, dtype=np.uint64) * step)
         edge = np.concatenate([[0], at, [len(own)]])
         which = np.arange(n, dtype=np.uint64) + np.uint64(low << 32)
-        full = edge[1:] > edge[:-1]
+        taken = np.flatnonzero(edge[1:] > edge[:-1])
         if n > SLICES:
-            order = mixed(which * np.uint64(0xA24BAED4963EE407))
-            full &= order <= np.partition(order, SLICES - 1)[SLICES - 1]
-        elif n - full.sum() >= n - differing(max(low + 1, int(low * BAND)) - 1):
-            full[:] = True  # so many empty slices that a linked pair might share no other
+            order = mixed(which[taken] * np.uint64(0xA24BAED4963EE407))
+            taken = taken[np.argsort(order)[:SLICES]]
+            allowed = int(LEANING * len(taken))
+        elif n - len(taken) < alike:
+            allowed = alike - (n - len(taken)) - 1
+        else:  # so many empty slices that a linked pair might share no other
+            taken, allowed = np.arange(n), alike - 1
         content = total[edge[1:]] - total[edge[:-1]]
-        out.append(mixed(mixed(content) + which * np.uint64(0x9FB21C651E98DF25))[full])
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+        keys = mixed(mixed(content[taken]) + which[taken] * np.uint64(0x9FB21C651E98DF25))
+        out.append({"band": low, "allowed": allowed, "all_known": n <= SLICES, "tile": keys.view(np.int64).tolist()})
+    return out
 
 
 def bitmap(own: np.ndarray) -> np.ndarray:
-    """One to two bits a shingle, in words of 64 bits; at most 2^16 bits."""
-    bits = min(1 << 16, 1 << max(6, int(len(own) - 1).bit_length()))
+    """Four to eight bits a shingle, in words of 64 bits; at most 2^16 bits."""
+    bits = min(1 << 16, 1 << max(6, int(4 * len(own) - 1).bit_length()))
     flags = np.zeros(bits, np.uint8)
     flags[(own % np.uint64(bits)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").view(np.int64)
@@ -116,12 +136,13 @@ def profiles(docs: DataFrame) -> DataFrame:
                 out["n_shingles"].append(len(own))
                 out["v"].append(v)
                 out["bits"].append(bitmap(own) if new else None)
-                out["tiles"].append(tiles(own).view(np.int64) if new else None)
+                out["tiles"].append(tiles(own) if new else None)
             return out
 
         return fn
 
-    return map_rows(texts(docs), make, "doc_id long, n_shingles long, v long, bits array<long>, tiles array<long>")
+    tile = "struct<band: int, allowed: int, all_known: boolean, tile: array<long>>"
+    return map_rows(texts(docs), make, f"doc_id long, n_shingles long, v long, bits array<long>, tiles array<{tile}>")
 
 
 def folded(bits: Column, n: Column) -> Column:
@@ -162,16 +183,15 @@ def exact_links(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame
     ids = sets.join(wanted, "v").select("doc_id", "v")
 
     def make():
-        return lambda v, text: {"v": v, "own": [own.view(np.int64) for own in shingle_sets(text)]}
+        def fn(v, text):
+            # rows that repeat a doc_id with another text have another hash
+            right = [(k, own) for k, own in zip(v, shingle_sets(text)) if len(own) and set_hash(own) == k]
+            return {"v": [k for k, _ in right], "own": [own.view(np.int64) for _, own in right]}
 
-    arrays = map_rows(ids.join(texts(docs), "doc_id").select("v", "text"), make, "v long, own array<long>")
-    # rows that repeat a doc_id with another text have another hash
-    def right_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = [v == set_hash(np.array(own, np.int64).view(np.uint64)) for v, own in zip(batch.column(0).to_pylist(), batch.column(1).to_numpy(zero_copy_only=False))]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+        return fn
 
-    arrays = written(arrays.mapInArrow(right_sets, "v long, own array<long>").dropDuplicates(["v"]), "arrays")
+    arrays = map_rows(ids.join(texts(docs), "doc_id").select("v", "text"), make, "v long, own array<long>")
+    arrays = written(arrays.dropDuplicates(["v"]), "arrays")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,6 +211,85 @@ def exact_links(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame
     return both.select("a", "b", "p", "q").mapInArrow(settle, "a long, b long")
 
 
+def in_few_tiles(now: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets that share a tile of two to eight components and lie in different ones."""
+    a = now.select("tile", F.col("v").alias("a"), F.col("label").alias("label_a"))
+    b = now.select("tile", F.col("v").alias("b"), F.col("label").alias("label_b"))
+    return a.join(b, "tile").where("a < b AND label_a != label_b").select("a", "b").distinct()
+
+
+def in_common_tiles(now: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) of leaning sets that share a common tile, lie in different components
+    and may be linked by their bitmaps."""
+    by_set = Window.partitionBy("v", "band")
+    rows = now.withColumns({"h": F.count("*").over(by_set), "k": F.row_number().over(by_set.orderBy("tile"))})
+    needed = F.when(F.col("all_known"), F.col("h") - F.col("allowed")).otherwise(TRIES)
+    rows = rows.where((F.col("h") > F.col("allowed")) & (F.col("k") <= needed)).select("tile", "v", "label")
+    rows = written(rows, "leaning")
+    blocks = rows.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n")).where(F.col("n") > 0)
+    own = F.pmod(F.xxhash64("v"), F.col("n")).cast("int")
+    cells = rows.join(blocks, "tile").select(
+        "tile", "v", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
+    )
+    cells = cells.select(
+        "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "v", "label"
+    ).join(sets.select("v", "n", "bits"), "v")
+    cells = cells.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j").select(
+        "tile", "i", "j", "own", "v", "label", "n", "bits"
+    )
+
+    def compare(v, label, n, bits, x, y) -> tuple[np.ndarray, np.ndarray]:
+        """Of the index lists x and y of one cell, the pairs that may be linked."""
+        width = min(len(bits[k]) for k in (*x, *y))
+        fold = np.stack([np.bitwise_or.reduce(bits[k].reshape(-1, width)) for k in (*x, *y)])
+        p, q = fold[: len(x)], fold[len(x) :]
+        step, found = max(1, (1 << 21) // (len(y) * width)), []  # 16 MB at once
+        for a in range(0, len(x), step):
+            own = x[a : a + step]
+            differ = np.bitwise_count(p[a : a + step, None, :] ^ q[None, :, :]).sum(2, dtype=np.int64)
+            size = n[own][:, None] + n[y][None, :]
+            most = np.minimum((size - differ) // 2, np.minimum(n[own][:, None], n[y][None, :]))
+            at, to = np.nonzero((100 * most >= PERCENT * (size - most)) & (label[own][:, None] != label[y][None, :]))
+            found.append((v[own[at]], v[y[to]]))
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+
+        def cells_of(table: pa.Table, last: bool):
+            keys = np.stack([table.column(k).to_numpy() for k in (0, 1, 2)])
+            starts = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(0)])) if table.num_rows else []
+            stops = [*starts[1:], table.num_rows]
+            whole = list(zip(starts, stops)) if last else list(zip(starts, stops))[:-1]
+            return whole, (starts[-1] if len(starts) else 0)
+
+        def pairs(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+            whole, tail = cells_of(table, last)
+            own, v, label, n = (table.column(k).to_numpy() for k in (3, 4, 5, 6))
+            i, j = table.column(1).to_numpy(), table.column(2).to_numpy()
+            bits = [b.view(np.uint64) for b in table.column(7).to_pandas()] if whole else []
+            found = []
+            for a, b in whole:
+                k = np.arange(a, b)
+                x, y = k[own[k] == i[a]], k[own[k] == j[a]]
+                if len(x) and len(y):
+                    found.append(compare(v, label, n, bits, x, y))
+            p, q = (np.concatenate([f[s] for f in found]) if found else np.zeros(0, np.int64) for s in (0, 1))
+            low, high = np.minimum(p, q), np.maximum(p, q)
+            both = np.unique(np.stack([low, high], 1)[low < high], axis=0)
+            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"]), table.slice(tail)
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+            out, rest = pairs(table, False)
+            yield out
+        if rest is not None:
+            yield pairs(rest, True)[0]
+
+    return cells.mapInArrow(run, "a long, b long").distinct()
+
+
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id for every row."""
     rows = written(profiles(docs), "profiles")
@@ -199,21 +298,21 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .dropDuplicates(["v"]),
         "sets",
     )
-    entered = rows.where("tiles IS NOT NULL").select("v", F.explode("tiles").alias("tile"))
+    entered = rows.where("tiles IS NOT NULL").select("v", F.explode("tiles").alias("t"))
+    entered = entered.select("v", "t.band", "t.allowed", "t.all_known", F.explode("t.tile").alias("tile"))
     shared = entered.groupBy("tile").agg(F.min("v").alias("least"), F.max("v").alias("most")).where("least != most")
-    members = written(entered.join(shared.select("tile", "least"), "tile"), "members")
+    members = written(entered.join(shared.select("tile", "least"), "tile").distinct(), "members")
 
     first = members.where("v != least").select(F.col("least").alias("a"), F.col("v").alias("b")).distinct()
     links = written(exact_links(first, sets, docs), "links1")
     labels = components(links)
 
-    now = members.join(labels, "v", "left").select("tile", "v", F.coalesce("label", "v").alias("label"))
-    open_tiles = now.groupBy("tile").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y").select("tile")
-    rest = written(now.distinct().join(open_tiles, "tile"), "rest")
-    a = rest.select("tile", F.col("v").alias("a"), F.col("label").alias("label_a"))
-    b = rest.select("tile", F.col("v").alias("b"), F.col("label").alias("label_b"))
-    second = a.join(b, "tile").where("a < b AND label_a != label_b").select("a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    more = exact_links(second, sets, docs)
+    now = members.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    held = now.select("tile", "label").distinct().groupBy("tile").agg(F.count("*").alias("components"))
+    now = written(now.join(held.where("components > 1"), "tile").drop("least"), "open")
+    second = in_few_tiles(now.where(F.col("components") <= FEW))
+    third = in_common_tiles(now.where(F.col("components") > FEW), sets)
+    more = exact_links(second.unionByName(third).distinct().join(first, ["a", "b"], "left_anti"), sets, docs)
     labels = components(links.unionByName(more))
 
     # every class of equal sets has its smallest id; then every component of classes

@@ -32,15 +32,20 @@ class ChunkTable:
     the table; a full one starts anew, which costs time only."""
 
     def __init__(self, model_path: str, most: int = 200_000):
-        from sentencepiece import SentencePieceProcessor
-
-        self.model = SentencePieceProcessor(model_file=model_path)
+        self.model, self.by_chunk = once_a_worker(f"pieces {model_path}", lambda: self.load(model_path))
         self.most = most
         self.ids: dict[str, tuple[int, ...]] = {}
         self.decimal: dict[str, str] = {}
-        self.by_chunk = not any(
-            re.search(f"[^{MARK}]{MARK}", self.model.id_to_piece(i)) for i in range(self.model.get_piece_size())
-        ) and self.model.encode("a b") == self.model.encode(f"a{MARK}b") and self.model.encode("a  b ") != self.model.encode("a b")
+
+    @staticmethod
+    def load(model_path: str) -> tuple:
+        """The model, and whether its pieces stay within chunks."""
+        from sentencepiece import SentencePieceProcessor
+
+        model = SentencePieceProcessor(model_file=model_path)
+        within = not any(re.search(f"[^{MARK}]{MARK}", model.id_to_piece(i)) for i in range(model.get_piece_size()))
+        plain = model.encode("a b") == model.encode(f"a{MARK}b") and model.encode("a  b ") != model.encode("a b")
+        return model, within and plain
 
     def chunks(self, text: str) -> list[str]:
         if not text:
@@ -80,7 +85,7 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     """doc_id, ids for every row."""
 
     def make():
-        model = once_a_worker(f"pieces {model_path}", lambda: ChunkTable(model_path))
+        model = ChunkTable(model_path)
         return lambda ids, text: {"doc_id": ids, "ids": model.encode(text)}
 
     return map_rows(texts(docs), make, "doc_id long, ids array<int>")
@@ -90,7 +95,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """doc_id, text for rows of doc_id, ids."""
 
     def make():
-        model = once_a_worker(f"pieces {model_path}", lambda: ChunkTable(model_path))
+        model = ChunkTable(model_path)
         return lambda doc_id, ids: {"doc_id": doc_id, "text": model.decode([i or [] for i in ids])}
 
     return map_rows(encoded.select("doc_id", "ids"), make, "doc_id long, text string")
@@ -101,7 +106,7 @@ def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
     digests in place of ids and texts."""
 
     def make():
-        model = once_a_worker(f"pieces {model_path}", lambda: ChunkTable(model_path))
+        model = ChunkTable(model_path)
 
         def sha(text: str) -> str:
             return hashlib.sha256(text.encode()).hexdigest()

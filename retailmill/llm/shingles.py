@@ -65,9 +65,23 @@ class Words:
         self.first = np.searchsorted(starts, offsets)
 
 
+#: Characters that are hashed at once; the arrays take about 60 bytes for each.
+AT_ONCE = 500_000
+
+
 def shingle_sets(texts: list[str]) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its shingles; one of all its words
     if they are fewer than a shingle's, none without words."""
+    out, first, size = [], 0, 0
+    for k, text in enumerate(texts):
+        if size and size + len(text) > AT_ONCE:
+            out += _sets_of(texts[first:k])
+            first, size = k, 0
+        size += len(text)
+    return out + _sets_of(texts[first:])
+
+
+def _sets_of(texts: list[str]) -> list[np.ndarray]:
     words = Words(texts)
     h = words.hashes
     whole = np.zeros(max(0, len(h) - WIDTH + 1), np.uint64)
