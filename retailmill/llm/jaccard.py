@@ -225,17 +225,18 @@ def in_common_tiles(now: DataFrame, sets: DataFrame) -> DataFrame:
     rows = now.withColumns({"h": F.count("*").over(by_set), "k": F.row_number().over(by_set.orderBy("tile"))})
     needed = F.when(F.col("all_known"), F.col("h") - F.col("allowed")).otherwise(TRIES)
     rows = rows.where((F.col("h") > F.col("allowed")) & (F.col("k") <= needed)).select("tile", "v", "label")
+    rows = rows.withColumn("all_tiles", F.collect_set("tile").over(Window.partitionBy("v")))
     rows = written(rows, "leaning")
     blocks = rows.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n")).where(F.col("n") > 0)
     own = F.pmod(F.xxhash64("v"), F.col("n")).cast("int")
     cells = rows.join(blocks, "tile").select(
-        "tile", "v", "label", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
+        "tile", "v", "label", "all_tiles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
     )
     cells = cells.select(
-        "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "v", "label"
+        "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "v", "label", "all_tiles"
     ).join(sets.select("v", "n", "bits"), "v")
     cells = cells.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j").select(
-        "tile", "i", "j", "own", "v", "label", "n", "bits"
+        "tile", "i", "j", "own", "v", "label", "n", "bits", "all_tiles"
     )
 
     def compare(v, label, n, bits, x, y) -> tuple[np.ndarray, np.ndarray]:
@@ -250,7 +251,7 @@ def in_common_tiles(now: DataFrame, sets: DataFrame) -> DataFrame:
             size = n[own][:, None] + n[y][None, :]
             most = np.minimum((size - differ) // 2, np.minimum(n[own][:, None], n[y][None, :]))
             at, to = np.nonzero((100 * most >= PERCENT * (size - most)) & (label[own][:, None] != label[y][None, :]))
-            found.append((v[own[at]], v[y[to]]))
+            found.append((own[at], y[to]))
         return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,12 +269,17 @@ def in_common_tiles(now: DataFrame, sets: DataFrame) -> DataFrame:
             own, v, label, n = (table.column(k).to_numpy() for k in (3, 4, 5, 6))
             i, j = table.column(1).to_numpy(), table.column(2).to_numpy()
             bits = [b.view(np.uint64) for b in table.column(7).to_pandas()] if whole else []
+            entered = [frozenset(t.tolist()) for t in table.column(8).to_pandas()] if whole else []
+            tile = table.column(0).to_numpy()
             found = []
             for a, b in whole:
                 k = np.arange(a, b)
                 x, y = k[own[k] == i[a]], k[own[k] == j[a]]
                 if len(x) and len(y):
-                    found.append(compare(v, label, n, bits, x, y))
+                    p, q = compare(v, label, n, bits, x, y)
+                    # a pair is reported by the first of the tiles that both entered
+                    first = np.array([min(entered[g] & entered[h]) == tile[a] for g, h in zip(p, q)], bool)
+                    found.append((v[p[first]], v[q[first]]))
             p, q = (np.concatenate([f[s] for f in found]) if found else np.zeros(0, np.int64) for s in (0, 1))
             low, high = np.minimum(p, q), np.maximum(p, q)
             both = np.unique(np.stack([low, high], 1)[low < high], axis=0)
