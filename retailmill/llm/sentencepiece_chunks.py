@@ -14,12 +14,12 @@ follow the library; repeated rows get a row each; other columns are not read.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterable
 from itertools import chain
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from retailmill.llm.common import map_rows, once_a_worker, texts
 
@@ -28,14 +28,13 @@ CHUNK = re.compile(f"{MARK}+[^{MARK}]*")
 
 
 class ChunkTable:
-    """Chunk (without its first marker) -> (ids, their decimal text). ``most`` bounds
-    the table; a full one starts anew, which costs time only."""
+    """Chunk (without its first marker) -> ids. ``most`` bounds the table; a full one
+    starts anew, which costs time only."""
 
     def __init__(self, model_path: str, most: int = 200_000):
         self.model, self.by_chunk = once_a_worker(f"pieces {model_path}", lambda: self.load(model_path))
         self.most = most
         self.ids: dict[str, tuple[int, ...]] = {}
-        self.decimal: dict[str, str] = {}
 
     @staticmethod
     def load(model_path: str) -> tuple:
@@ -55,27 +54,26 @@ class ChunkTable:
         return [c[1:] for c in CHUNK.findall(MARK + text.replace(" ", MARK))]
 
     def learn(self, chunks: Iterable[str]) -> None:
-        new = list(set(chunks).difference(self.ids))
+        met = set(chunks)
+        new = list(met.difference(self.ids))
         if len(self.ids) + len(new) > self.most:
             self.ids.clear()
-            self.decimal.clear()
-            new = list(set(chunks))
+            new = list(met)
         some = [c for c in new if c]
         self.ids.update(zip(some, map(tuple, self.model.encode(some, num_threads=1))))
         self.ids[""] = (self.model.piece_to_id(MARK),)
-        self.decimal.update((c, ",".join(map(str, self.ids[c]))) for c in (*new, ""))
 
     def encode(self, text: list[str]) -> list[list[int]]:
-        return [ids for ids, _ in self.encode_with_decimal(text)]
+        if not self.by_chunk:
+            return self.model.encode(text, num_threads=1) if text else []
+        split = [self.chunks(t) for t in text]
+        self.learn(chain.from_iterable(split))
+        ids = self.ids.__getitem__
+        return [list(chain.from_iterable(map(ids, c))) for c in split]
 
     def encode_with_decimal(self, text: list[str]) -> list[tuple[list[int], str]]:
         """The ids and their decimal text, joined by commas."""
-        if not self.by_chunk:
-            return [(i, ",".join(map(str, i))) for i in (self.model.encode(text, num_threads=1) if text else [])]
-        split = [self.chunks(t) for t in text]
-        self.learn(list(chain.from_iterable(split)))
-        ids, decimal = self.ids.__getitem__, self.decimal.__getitem__
-        return [(list(chain.from_iterable(map(ids, c))), ",".join(map(decimal, c))) for c in split]
+        return [(i, ",".join(map(str, i))) for i in self.encode(text)]
 
     def decode(self, ids: list[list[int]]) -> list[str]:
         return [self.model.decode(i) if i else "" for i in ids]
@@ -101,25 +99,25 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     return map_rows(encoded.select("doc_id", "ids"), make, "doc_id long, text string")
 
 
-def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: both directions in one pass, with
-    digests in place of ids and texts."""
+def encoded_and_decoded(docs: DataFrame, model_path: str) -> DataFrame:
+    """doc_id, n_tokens, ids, decoded for every row: both directions in one pass."""
 
     def make():
         model = ChunkTable(model_path)
 
-        def sha(text: str) -> str:
-            return hashlib.sha256(text.encode()).hexdigest()
-
         def fn(doc_id, text):
-            got = model.encode_with_decimal(text)
-            return {
-                "doc_id": doc_id,
-                "n_tokens": [len(ids) for ids, _ in got],
-                "ids_sha256": [sha(decimal) for _, decimal in got],
-                "decoded_sha256": [sha(t) for t in model.decode([ids for ids, _ in got])],
-            }
+            ids = model.encode(text)
+            return {"doc_id": doc_id, "n_tokens": [len(i) for i in ids], "ids": ids, "decoded": model.decode(ids)}
 
         return fn
 
-    return map_rows(texts(docs), make, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_rows(texts(docs), make, "doc_id long, n_tokens long, ids array<int>, decoded string")
+
+
+def round_trip(docs: DataFrame, model_path: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256: digests of the ids (decimal, joined
+    by commas) and of the decoded text."""
+    return encoded_and_decoded(docs, model_path).select(
+        "doc_id", "n_tokens", F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )

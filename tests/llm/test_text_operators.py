@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import pytest
@@ -97,6 +98,19 @@ def test_sentencepiece_round_trip(spark, hard, empty):
     assert sentencepiece_chunks.round_trip(empty, PIECES).count() == 0
 
 
+def test_ids_and_decoded_texts_are_kept(spark, hard, empty):
+    model = sentencepiece_chunks.ChunkTable(PIECES).model
+    rows = keyed(sentencepiece_chunks.encoded_and_decoded(hard, PIECES))
+    want = sorted(HARD, key=lambda r: (r[0] is not None, r[0] or 0))
+    for (doc_id, text), r in zip(want, rows, strict=True):
+        ids = model.encode(text or "")
+        assert (r["doc_id"], r["n_tokens"], r["ids"]) == (doc_id, len(ids), ids)
+        assert r["decoded"] == (model.decode(ids) if ids else "")
+    assert sentencepiece_chunks.encoded_and_decoded(empty, PIECES).count() == 0
+    _, last = corpus_pipeline.STAGES[-1]
+    assert last(spark, hard, "").columns == ["doc_id", "n_tokens", "ids", "decoded"]
+
+
 # --- token files ---------------------------------------------------------------
 
 
