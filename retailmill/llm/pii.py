@@ -1,18 +1,23 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 Base spans come from fixed patterns. The field's nodes are the blank-separated tokens
-that hold a digit or an at sign. Chain edges join neighbouring tokens; skip edges join
-a token to the last earlier one that equals it (case aside) or has the same seven or
-more digits, at any distance. Tokens in a base span are evidence; the labels of the
-others follow by loopy sum-product message passing, so that a number recognised once
-is recognised wherever it turns up again in the document. Runs of tokens labelled
+that hold a digit or an at sign. Chain edges join neighbouring tokens. Tokens that are
+equal (case aside) or have the same seven or more digits are mentions of one thing, at
+any distance: skip edges join each to the last one before it, further ones to the first
+and to the nearest other one in a base span. Tokens in a base span are evidence; the labels of the
+others follow by loopy sum-product message passing until no message of the document
+changes any more, so that a number recognised once is recognised wherever it turns up
+again in the document. Runs of tokens labelled
 alike with enough belief become further spans; base spans stay as they are.
 
 Potentials (token features x label, label x label for either edge) are fitted by
-pseudo-likelihood on base labels of a bounded sample of documents.
+pseudo-likelihood on base labels of a bounded sample of documents; the further edges,
+which depend on these labels, take no part in it and have the potentials of skip edges.
 
 Defined cases: null and empty texts have no span; repeated rows get a row each; other
-columns are not read. Cost is linear in a text's length.
+columns are not read. Edges are linear in a text's length; the rounds of message passing
+are as many as its field needs. Fields that have not settled when messages had time to
+go from end to end several times, because they swing, are damped ever more.
 """
 
 from __future__ import annotations
@@ -21,6 +26,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from dataclasses import field as dataclass_field
 
 import numpy as np
 import pyarrow as pa
@@ -84,7 +90,7 @@ class Settings:
     max_nodes: int = 64
     steps: int = 300
     l2: float = 1e-3
-    rounds: int = 12
+    tolerance: float = 1e-4
     damping: float = 0.5
     belief: float = 0.9
 
@@ -106,20 +112,22 @@ def token_features(token: str) -> list[int]:
 
 @dataclass
 class Graph:
-    """The field of one document: token places, features, evidence (-1: none), edges."""
+    """The field of one document: token places, features, evidence (-1: none), edges:
+    of neighbours, to the last mention before, to the first and the nearest known one."""
 
     places: list[tuple[int, int]]
     features: list[list[int]]
     labels: list[int]
     chain: list[tuple[int, int]]
     skip: list[tuple[int, int]]
+    reach: list[tuple[int, int]] = dataclass_field(default_factory=list)
 
 
 def graph_of(text: str, spans: list[Span], most: int | None = None) -> Graph:
     g = Graph([], [], [], [], [])
     if not OF_INTEREST.search(text):
         return g
-    last: dict[str, int] = {}
+    mentions: dict[str, list[int]] = {}
     before, first = -2, 0
     for k, m in enumerate(TOKEN.finditer(text)):
         if not OF_INTEREST.search(m[0]):
@@ -146,12 +154,30 @@ def graph_of(text: str, spans: list[Span], most: int | None = None) -> Graph:
             g.chain.append((i - 1, i))
         before = k
         digits = _NOT_DIGIT.sub("", core)
-        keys = {core.lower(), digits if len(digits) >= 7 else core.lower()}
-        g.skip += [(u, i) for u in sorted({last[key] for key in keys if key in last})]
-        last.update(dict.fromkeys(keys, i))
+        for key in {core.lower(), digits if len(digits) >= 7 else core.lower()}:
+            mentions.setdefault(key, []).append(i)
+    g.skip = sorted({edge for alike in mentions.values() for edge in zip(alike, alike[1:])})
+    further = {edge for alike in mentions.values() for edge in further_edges(alike, g.labels)}
+    g.reach = sorted(further.difference(g.skip))
     return g
 
 
+def further_edges(alike: list[int], labels: list[int]) -> Iterator[tuple[int, int]]:
+    """For each mention of one thing an edge to the first one, and to the nearest other
+    one with evidence (the earlier of two as near)."""
+    known = [i for i in alike if labels[i] >= 0]
+    n = 0  # how many of the known are before i
+    for i in alike:
+        if i != alike[0]:
+            yield alike[0], i
+        after = n + (labels[i] >= 0)
+        near = known[max(n - 1, 0) : n] + known[after : after + 1]
+        if near:
+            j = min(near, key=lambda u: abs(u - i))
+            yield min(i, j), max(i, j)
+        n = after
+
+
 @dataclass(frozen=True)
 class Field:
     """Log potentials: features x labels, labels x labels (symmetric) for either edge."""
@@ -232,29 +258,49 @@ def beliefs(graphs: list[Graph], field: Field, settings: Settings) -> np.ndarray
     fixed = known >= 0
     node[fixed] = -50.0
     node[fixed, known[fixed]] = 0.0
-    edges = [(at + u, at + v, 0) for g, at in zip(graphs, sizes) for u, v in g.chain]
-    edges += [(at + u, at + v, 1) for g, at in zip(graphs, sizes) for u, v in g.skip]
-    if not edges:
-        p = np.exp(node - node.max(1, keepdims=True))
-        return p / p.sum(1, keepdims=True)
-    e = np.array(edges, int)
-    source, target = np.concatenate([e[:, 0], e[:, 1]]), np.concatenate([e[:, 1], e[:, 0]])
-    back = np.concatenate([np.arange(len(e)) + len(e), np.arange(len(e))])
-    pair = np.stack([field.chain, field.skip])[np.concatenate([e[:, 2], e[:, 2]])]
-    message = np.zeros((len(source), n_labels))
-    for _ in range(settings.rounds):
-        total = node.copy()
-        np.add.at(total, target, message)
-        out = (total[source] - message[back])[:, :, None] + pair
-        top = out.max(1, keepdims=True)
-        new = np.log(np.exp(out - top).sum(1)) + top[:, 0]
-        new -= new.max(1, keepdims=True)
-        message = settings.damping * message + (1 - settings.damping) * new
-    np.add.at(node, target, message)
+    edges = [(at + u, at + v, 0, k) for k, (g, at) in enumerate(zip(graphs, sizes)) for u, v in g.chain]
+    edges += [(at + u, at + v, 1, k) for k, (g, at) in enumerate(zip(graphs, sizes)) for u, v in (*g.skip, *g.reach)]
+    if edges:
+        pass_messages(node, np.array(edges, int), np.stack([field.chain, field.skip]), 100 + 4 * np.diff(sizes), settings)
     p = np.exp(node - node.max(1, keepdims=True))
     return p / p.sum(1, keepdims=True)
 
 
+def pass_messages(node: np.ndarray, edges: np.ndarray, pair: np.ndarray, patience: np.ndarray, settings: Settings) -> None:
+    """Adds to the nodes' log potentials what their edges (node, node, kind, graph) tell
+    them at last. Each graph is passed on by itself: it ends when its own messages change
+    by no more than the tolerance, whatever else is in the batch. From ``patience[graph]``
+    rounds on steps are halved every 50 rounds, so that swinging messages end as well."""
+    left = node.copy()
+    message = np.zeros((2, len(edges), node.shape[1]))  # to the second node, to the first
+    rounds = 0
+    ends, used = edges[:, :2], len(edges)
+    while len(edges):
+        rounds += 1
+        if 2 * len(edges) < used:  # go on with the nodes that are still at work
+            at, ends = np.unique(edges[:, :2], return_inverse=True)
+            left, ends, used = node[at], ends.reshape(-1, 2), len(edges)
+        total = left.copy()
+        np.add.at(total, ends[:, 1], message[0])
+        np.add.at(total, ends[:, 0], message[1])
+        out = (total[ends.T] - message[::-1])[..., None] + pair[edges[:, 2]]
+        top = out.max(2, keepdims=True)
+        new = np.log(np.exp(out - top).sum(2)) + top[:, :, 0]
+        new -= new.max(2, keepdims=True)
+        graph = edges[:, 3]
+        late = np.maximum(rounds - patience, 0)
+        step = (1 - settings.damping) * 0.5 ** (late / 50)
+        change = step[graph][:, None] * (new - message)
+        message = message + change
+        largest = np.zeros(len(patience))
+        np.maximum.at(largest, graph, np.abs(change).max((0, 2)))
+        busy = largest[graph] > settings.tolerance
+        if not busy.all():
+            np.add.at(node, edges[~busy, 1], message[0, ~busy])
+            np.add.at(node, edges[~busy, 0], message[1, ~busy])
+            edges, ends, message = edges[busy], ends[busy], message[:, busy]
+
+
 def all_spans(text: list[str], field: Field, settings: Settings) -> list[tuple[list[Span], list[Span]]]:
     """For each text its base spans and the further ones."""
     base = [base_spans(t) for t in text]

@@ -212,6 +212,36 @@ def test_skip_edges_reach_across_a_document():
     assert pii.LABELS[p[0].argmax()] == "phone" and p[0].max() > 0.9
 
 
+def test_a_number_recognised_once_is_recognised_everywhere():
+    neutral = np.zeros((pii.N_FEATURES, 5))
+    for weight in (4, 10, 20):
+        field = pii.Field(neutral, np.zeros((5, 5)), weight * np.eye(5))
+        for known in (0, 150, 299):
+            text = " x ".join("+1 212 555-0199" if k == known else "555-0199" for k in range(300))
+            graph = pii.graph_of(text, pii.base_spans(text))
+            assert len(graph.skip) + len(graph.reach) <= 3 * len(graph.places)
+            own = [i for i, (a, b) in enumerate(graph.places) if text[a:b] == "555-0199"]
+            p = pii.beliefs([graph], field, pii.Settings())[own, pii.LABELS.index("phone")]
+            assert len(own) == 300 and p.min() >= 0.9
+
+
+def test_messages_pass_until_they_rest_each_document_by_itself():
+    neutral = np.zeros((pii.N_FEATURES, 5))
+    field = pii.Field(neutral, 12 * np.eye(5), np.zeros((5, 5)))
+    n = 200
+    long = pii.Graph([(0, 1)] * n, [[0]] * n, [2] + [-1] * (n - 1), [(i, i + 1) for i in range(n - 1)], [])
+    short = pii.Graph([(0, 1)] * 3, [[0]] * 3, [-1, -1, 1], [(0, 1), (1, 2)], [])
+    alone = pii.beliefs([long], field, pii.Settings())
+    assert alone[:, 2].min() >= 0.9
+    both = pii.beliefs([short, long, short], field, pii.Settings())
+    assert (both[3 : 3 + n] == alone).all() and (both[:3] == both[-3:]).all()
+    assert (both[:3] == pii.beliefs([short], field, pii.Settings())).all()
+    ring = [(i, (i + 1) % 5) for i in range(5)]
+    swings = pii.Field(neutral, -9 * np.eye(5), np.zeros((5, 5)))
+    odd = pii.Graph([(0, 1)] * 5, [[0]] * 5, [-1] * 5, [(min(e), max(e)) for e in ring], [])
+    assert np.isfinite(pii.beliefs([odd], swings, pii.Settings())).all()
+
+
 # --- toxicity ------------------------------------------------------------------
 
 
