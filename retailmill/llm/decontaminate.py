@@ -61,9 +61,10 @@ def hits(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings())
     """Verified hits: doc_id, item_id, doc_word and item_word where the seed begins,
     n_equal of n_compared words. One row for each aligned position, however many masks agree."""
     c = settings.context
-    items = written(benchmark.select("item_id", word_hashes(F.coalesce("text", F.lit(""))).alias("g")), "items")
-    at = items.select("item_id", "g", F.explode(positions(F.col("g"))).alias("j"))
-    at = written(at.select("item_id", "j", F.explode(seeds(F.col("g"), F.col("j"))).alias("seed")), "seeds")
+    items = benchmark.select("item_id", word_hashes(F.coalesce("text", F.lit(""))).alias("g"))
+    items = written(items.select("item_id", "g", F.xxhash64("item_id", "g").alias("item")).distinct(), "items")
+    at = items.select("item", "g", F.explode(positions(F.col("g"))).alias("j"))
+    at = written(at.select("item", "j", F.explode(seeds(F.col("g"), F.col("j"))).alias("seed")), "seeds")
     few = at.limit(settings.broadcast_seeds + 1).count() <= settings.broadcast_seeds
     own = texts(docs).select("doc_id", word_hashes(F.col("text")).alias("h"))
     own = own.select("doc_id", "h", F.explode(positions(F.col("h"))).alias("i"))
@@ -72,9 +73,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings())
     if not few:  # a shuffled join must not carry whole documents
         own = own.select("doc_id", "i", "seed", near_doc.alias("h0"))
         near_doc = F.col("h0")
-    found = own.join(F.broadcast(at) if few else at, "seed").select("doc_id", "item_id", "i", "j", near_doc.alias("x"))
+    found = own.join(F.broadcast(at) if few else at, "seed").select("doc_id", "item", "i", "j", near_doc.alias("x"))
     near_item = F.expr(f"slice(g, greatest(j - {c}, 0) + 1, {SPAN + 2 * c})")
-    found = found.join(items, "item_id").select("doc_id", "item_id", "i", "j", "x", near_item.alias("y"))
+    found = found.join(items, "item").select("doc_id", "item_id", "i", "j", "x", near_item.alias("y"))
     # both slices begin up to ``c`` words before the seed; align their beginnings
     before = F.least(F.col("i"), F.col("j"), F.lit(c))
     x = F.expr(f"slice(x, least(i, {c}) - least(i, j, {c}) + 1, least(i, j, {c}) + {SPAN + c})")
@@ -101,6 +102,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, settings: Settings = Set
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents, whole and unchanged, that hold no passage of an item. Rows without
-    an id are judged by nothing and stay."""
-    gone = written(hits(docs, benchmark, settings).select("doc_id").distinct(), "leaks")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    an id are told apart by their text."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.sha2(F.coalesce("text", F.lit("")), 256)))
+    found = hits(docs.select(key.alias("doc_id"), "text"), benchmark, settings)
+    gone = written(found.select(F.col("doc_id").alias("gone_key")).distinct(), "leaks")
+    return docs.join(gone, key == F.col("gone_key"), "left_anti").select(docs.columns)

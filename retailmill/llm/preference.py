@@ -80,8 +80,9 @@ def cut_reply_pairs(conversations: DataFrame) -> DataFrame:
     """Turns of pairs made from single conversations: chosen as they are, rejected with
     the last reply of the assistant cut to the first half of its characters."""
     reply = F.col("role") == "assistant"
-    last = conversations.groupBy("conv_id").agg(F.max(F.when(reply, F.col("turn"))).alias("last_reply"))
-    rows = conversations.join(last, "conv_id").withColumn("side", F.explode(F.array(F.lit("chosen"), F.lit("rejected"))))
+    turns = conversations.select("conv_id", "turn", "role", "text")
+    last = turns.groupBy(F.col("conv_id").alias("of")).agg(F.max(F.when(reply, F.col("turn"))).alias("last_reply"))
+    rows = turns.join(last, F.col("conv_id").eqNullSafe(F.col("of"))).withColumn("side", F.explode(F.array(F.lit("chosen"), F.lit("rejected"))))
     is_cut = reply & (F.col("side") == "rejected") & (F.col("turn") == F.col("last_reply"))
     half = F.expr("substring(text, 1, int(length(text) / 2))")
     return rows.select(

@@ -171,6 +171,16 @@ def test_decontamination_of_hard_texts(spark):
     assert decontaminate.contaminated(documents(spark, HARD), bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_rows_without_ids(spark):
+    one, two = prose("one", 20, 3000), prose("two", 25, 3000)
+    bench = spark.createDataFrame([(None, one), (None, two), (3, prose("three", 20, 3000))], "item_id long, text string")
+    docs = documents(spark, [(1, f"a b {one} c"), (None, f"x {two} y z"), (None, prose("clean", 60, 3000)), (2, prose("other", 60, 3000))])
+    got = {(r.doc_id, r.item_id): r.best_equal for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {(1, None): 20, (None, None): 24}
+    kept = decontaminate.without_benchmark(docs, bench)
+    assert sorted(r.text for r in kept.collect()) == sorted([prose("clean", 60, 3000), prose("other", 60, 3000)])
+
+
 # --- preference pairs --------------------------------------------------------------
 
 
@@ -195,3 +205,12 @@ def test_preference_pairs(spark):
     assert preference.preference_pairs(df.limit(0)).count() == 0
     plan = preference.preference_pairs(df)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_turns_without_a_conversation_form_one_pair(spark):
+    rows = [(None, 0, "user", "hi"), (None, 1, "assistant", "good day"), (1, 0, "user", "u"), (1, 1, "assistant", "reply")]
+    turns = preference.cut_reply_pairs(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    got = {r.pair_id: r for r in preference.preference_pairs(turns).collect()}
+    assert set(got) == {None, 1} and got[None].prompt == "<|user|>\nhi<|end|>\n"
+    assert got[None].chosen == "<|assistant|>\ngood day<|end|>\n" and got[None].rejected == "<|assistant|>\ngood<|end|>\n"
+    assert got[1].rejected == "<|assistant|>\nre<|end|>\n"
