@@ -3,13 +3,13 @@
 Documents are dealt by id range, so that parts and the blocks within them are in
 ascending order of id. A block is one row of the file table: the ids of consecutive
 documents back to back (16 bits each where the vocabulary allows, else 32), the
-Elias-Fano code of where each document ends, and the documents' ids. Spark's own
-writer puts the blocks in place, so a lost or repeated task leaves no half-written file.
+Elias-Fano code of where each document ends, and that of the documents' ids above the
+block's first. Spark's own writer puts the blocks in place, so a lost or repeated task leaves no half-written file.
 
 Elias-Fano splits each of n non-decreasing numbers up to u: about log2(u / n) low bits are
 stored as they are, the high parts in unary as a bit vector with about two bits a
 number. The i-th number is found by selecting the i-th set bit; samples of every 64th
-say where to look. No table of 64-bit offsets exists: a part's beginning is the sum of
+say where to look. Reading asks select for each document. No table of 64-bit offsets exists: a part's beginning is the sum of
 the parts before it, a block's is kept in its row.
 
 Defined cases: null and empty texts are the end id alone; repeated rows follow one
@@ -116,7 +116,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True  # their strings in a text are ordinary text
         self.size = self.library.get_vocab_size()
         self.most = most
         self.known: dict[str, bytes] = {}
@@ -167,7 +166,12 @@ class Encoder:
         )
 
 
-BLOCK = "part int, block int, start_in_part long, n_docs long, n_ids long, id_bytes int, doc_ids binary, ends binary, ids binary"
+BLOCK = (
+    "part int, block int, start_in_part long, n_docs long, n_ids long, id_bytes int, n_null long, first_id long, "
+    "doc_ids binary, ends binary, ids binary"
+)
+#: Widest range of ids in a block; what exceeds it begins a new one.
+ID_RANGE = 1 << 62
 
 
 def blocks(docs: DataFrame, path: str, end_id: int = 2, block_ids: int = 1 << 18, ranges: int | None = None) -> DataFrame:
@@ -181,26 +185,30 @@ def blocks(docs: DataFrame, path: str, end_id: int = 2, block_ids: int = 1 << 18
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = once_a_worker(f"byte pieces {path}", lambda: Encoder(path))
         narrow = max(encode.size, end_id + 1) <= 1 << 16
-        part, block, start, own, ids, size = None, 0, 0, [], [], 0
+        part, block, start, own, ids, size, lowest = None, 0, 0, [], [], 0, None
 
         def packed() -> pa.RecordBatch:
             stops = np.cumsum([len(i) // 4 for i in ids])
             data = np.frombuffer(b"".join(ids), "<u4")
-            known = np.array([0 if d is None else d for d in own], "<i8").tobytes()
-            null = np.packbits([d is None for d in own], bitorder="little").tobytes()
-            cells = (part, block, start, len(own), int(stops[-1]), 2 if narrow else 4, known + null,
-                     EliasFano.of(stops).to_bytes(), (data.astype("<u2") if narrow else data).tobytes())
+            known = [d for d in own if d is not None]  # ascending
+            first = known[0] if known else 0
+            above = EliasFano.of(np.array([d - first for d in known], np.int64))
+            cells = (part, block, start, len(own), int(stops[-1]), 2 if narrow else 4, len(own) - len(known), first,
+                     above.to_bytes(), EliasFano.of(stops).to_bytes(),
+                     (data.astype("<u2") if narrow else data).tobytes())
             return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cells, arrow)], schema=arrow)
 
         for batch in batches:
             for doc_id, text, its_part in zip(*(c.to_pylist() for c in batch.columns)):
-                if own and (its_part != part or size >= block_ids):
+                wide = doc_id is not None and lowest is not None and doc_id - lowest >= ID_RANGE
+                if own and (its_part != part or size >= block_ids or wide):
                     yield packed()
                     block, start = block + 1, start + size
-                    own, ids, size = [], [], 0
+                    own, ids, size, lowest = [], [], 0, None
                 if its_part != part:
                     part, block, start = its_part, 0, 0
                 own.append(doc_id)
+                lowest = doc_id if lowest is None else lowest
                 ids.append(encode(text) + end)
                 size += len(ids[-1]) // 4
         if own:
@@ -229,13 +237,13 @@ def read_back(files: DataFrame) -> DataFrame:
                 row = batch.slice(at, 1).to_pylist()[0]
                 n = row["n_docs"]
                 data = np.frombuffer(row["ids"], "<u2" if row["id_bytes"] == 2 else "<u4").astype("<u4")
-                stops = EliasFano.from_bytes(row["ends"]).numbers()
+                ends, above = EliasFano.from_bytes(row["ends"]), EliasFano.from_bytes(row["doc_ids"])
+                stops = np.array([ends.select(i) for i in range(n)], np.int64)
                 begins = np.concatenate([[0], stops[:-1]])
-                known = np.frombuffer(row["doc_ids"], "<i8", n)
-                null = np.unpackbits(np.frombuffer(row["doc_ids"], np.uint8, offset=8 * n), bitorder="little")[:n].astype(bool)
+                known = [None] * row["n_null"] + [row["first_id"] + above.select(i) for i in range(above.n)]
                 crc = [zlib.crc32(data[a:b].tobytes()) for a, b in zip(begins, stops)]
                 first = starts[row["part"]] + row["start_in_part"]
-                cells = (pa.array(known, mask=null), pa.array(begins + first), pa.array(stops - begins), pa.array(crc))
+                cells = (pa.array(known, pa.int64()), pa.array(begins + first), pa.array(stops - begins), pa.array(crc))
                 yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cells, arrow)], schema=arrow)
 
     return files.mapInArrow(run, schema)
