@@ -7,7 +7,9 @@ from collections.abc import Callable, Iterator
 from types import ModuleType
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,8 @@ cloudpickle.register_pickle_by_value(retailmill)
 
 #: Rows that a mapping function gets at once; bounds its temporary arrays.
 ROWS_AT_ONCE = 256
+#: Characters of text that a mapping function gets at once, or one longer text.
+CHARS_AT_ONCE = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +61,29 @@ def map_rows(df: DataFrame, make: Callable[[], Callable[..., dict]], schema: str
     return df.mapInArrow(run, schema)
 
 
+def groups_of_rows(
+    batches: Iterator[pa.RecordBatch], text_column: int, rows: int = 4 * ROWS_AT_ONCE, chars: int = CHARS_AT_ONCE
+) -> Iterator[list[list]]:
+    """The columns of Arrow batches as lists, a bounded number of rows and bytes of text at
+    a time; a longer text comes alone."""
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(text_column)).to_numpy(zero_copy_only=False)
+        for a, b in slices_by_size(sizes, rows, chars):
+            yield [c.to_pylist() for c in batch.slice(a, b - a).columns]
+
+
+def slices_by_size(sizes: np.ndarray, rows: int, most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of at most ``rows`` items whose sizes add up to at most ``most``,
+    or of a single item."""
+    total = np.concatenate([[0], np.cumsum(np.nan_to_num(sizes), dtype=np.int64)])
+    a = 0
+    while a < len(sizes):
+        b = int(np.searchsorted(total, total[a] + most, side="right")) - 1
+        b = min(max(b, a + 1), a + rows, len(sizes))
+        yield a, b
+        a = b
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """crc32 of the id's text has remainder 2 by 4: never used for training."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from retailmill.llm import (
-    decontaminate, jaccard, licenses, merkle, pii, preference, sentencepiece_chunks, token_count, token_files, toxicity,
+    decontaminate, fill_middle, hard_negatives, jaccard, licenses, merkle, packing, pii, preference, sentencepiece_chunks,
+    token_count, token_files, toxicity,
 )
 from retailmill.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
+WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,11 +59,24 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_back(token_files.write(table(spark, sf_dir, "documents"), BYTES))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digests(table(spark, sf_dir, "documents"), WORDS)
+
+
 LLM_QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_pii, op3_preference_pairs, op4_decontaminate, op5_sentencepiece, op6_ngram_jaccard,
-        op7_toxicity, op8_merkle_fingerprints, op9_license_scan, op10_token_files,
+        op7_toxicity, op8_merkle_fingerprints, op9_license_scan, op10_token_files, op11_fill_middle,
+        op12_hard_negatives, op13_packing,
     )
 }
 
@@ -167,8 +182,67 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, coalesce(least_id,
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT v, min(r) AS least_id FROM reach GROUP BY v) ON v = doc_id
 """
 
+FILL_MIDDLE = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+           sha256('7:' || doc_id) AS h
+    FROM documents
+),
+h AS (
+    SELECT doc_id, t, u, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS a,
+           CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS b, CAST('0x' || h[17:24] AS BIGINT) % 100 AS drawn,
+           CAST('0x' || h[25:32] AS BIGINT) % 100 AS side
+    FROM d
+),
+f AS (
+    SELECT doc_id, t, n, array_to_string(u[1:least(a, b)], '') AS p,
+           array_to_string(u[least(a, b) + 1:greatest(a, b)], '') AS m, array_to_string(u[greatest(a, b) + 1:], '') AS s,
+           CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR drawn >= 100 THEN 'plain'
+                WHEN side < 50 THEN 'spm' ELSE 'psm' END AS form
+    FROM h
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM f
+"""
+
+HARD_NEGATIVES = """
+WITH e AS (
+    SELECT row_number() OVER () AS r, vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(256 * x)) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r AS other, b.vec_id AS other_id, a.label = b.label AS alike,
+           CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+    FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 100 = 0
+),
+positive AS (
+    SELECT * FROM scored WHERE alike
+    QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id NULLS LAST) <= 5
+),
+negative AS (
+    SELECT p.anchor, p.other, p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id,
+           p.score AS positive_score, n.score AS negative_score,
+           row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other_id NULLS LAST) AS rank
+    FROM positive p JOIN scored n ON p.anchor = n.anchor AND NOT n.alike
+    WHERE 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negative WHERE rank <= 10
+"""
+
 LLM_ORACLE: dict[str, str] = {
     "op3_preference_pairs": PREFERENCES,
     "op4_decontaminate": LEAKS,
     "op6_ngram_jaccard": SHINGLES,
+    "op11_fill_middle": FILL_MIDDLE,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

@@ -17,11 +17,12 @@ CONTRACTS = {
     ],
     "op9_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
     "op10_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
+    "op11_fill_middle": ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256"],
 }
 
 
 def test_names():
-    assert [int(n[2:].split("_")[0]) for n in LLM_QUERIES] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in LLM_QUERIES] == list(range(1, 14))
     assert {*LLM_QUERIES, "pipeline"} <= set(entry.queries()) and set(LLM_ORACLE) <= set(entry.oracle_sql())
 
 
