@@ -90,6 +90,17 @@ def parse_csv(line: Column, columns: int) -> Column:
     return F.from_csv(line, schema, {"escape": '"', "emptyValue": ""})
 
 
+def split_csv(line: Column) -> Column:
+    """The cells of a CSV line as an array of any length, for lines whose columns are not known beforehand."""
+    # each cell after a comma, so that no match is empty
+    pattern = F.lit(r',("[^"]*+(?:""[^"]*+)*+(?:"|$)[^,]*|[^,]*)')
+    raw = F.regexp_extract_all(F.concat(F.lit(","), line), pattern, 1)
+    unquoted = lambda c: F.replace(
+        F.regexp_replace(c, r'^"([^"]*+(?:""[^"]*+)*+)"?(.*)$', "$1$2"), F.lit('""'), F.lit('"')
+    )
+    return F.transform(raw, lambda c: F.when(c.startswith('"'), unquoted(c)).otherwise(c))
+
+
 def evaluated_once(df: DataFrame, **columns: Column) -> DataFrame:
     """Adds columns whose expressions run once per row.
 

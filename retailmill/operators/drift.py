@@ -88,6 +88,36 @@ def feed_drift(df: DataFrame, declared: T.StructType, payload: str = "raw_payloa
     return compare_fields(declared_fields(df.sparkSession, declared), json_profile(df, payload))
 
 
+def header_drift(headers: DataFrame, layouts: Sequence[str]) -> DataFrame:
+    """What the files' headers have beyond, or lack of, the declared CSV layouts: field, change,
+    declared_type, observed_type, file_count. A field of some layouts only may be absent. Files
+    without a header of their own say nothing."""
+    known = [layout.split(",") for layout in layouts]
+    every = [name for name in known[0] if all(name in names for names in known)]
+    some = sorted({name for names in known for name in names})
+
+    def literal(names: Sequence[str]) -> Column:
+        return F.array(*[F.lit(name) for name in names])
+
+    def changes(names: Column, change: str) -> Column:
+        return F.transform(names, lambda name: F.struct(name.alias("field"), F.lit(change).alias("change")))
+
+    changed = F.concat(
+        changes(F.array_except("header", literal(some)), "added"), changes(F.array_except(literal(every), "header"), "removed")
+    )
+    text = F.lit("string")
+    return (
+        headers.where(F.col("header").isNotNull())
+        .select(F.explode(changed).alias("c"))
+        .groupBy("c.field", "c.change")
+        .agg(F.count("*").alias("file_count"))
+        .select(
+            "field", "change", F.when(F.col("change") == "removed", text).alias("declared_type"),
+            F.when(F.col("change") == "added", text).alias("observed_type"), "file_count",
+        )
+    )
+
+
 def merge_schemas(existing: T.StructType, incoming: T.StructType) -> T.StructType:
     """Existing columns as they are, new ones appended as nullable; none dropped or retyped."""
     known = set(existing.fieldNames())

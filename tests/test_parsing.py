@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from retailmill import schemas
 from retailmill.functions.clock import iso_text, warehouse_text
-from retailmill.functions.parsing import iso_canonical, iso_local_date, iso_timestamp, safe_float, safe_int
+from retailmill.functions.parsing import (
+    csv_width, iso_canonical, iso_local_date, iso_timestamp, parse_csv, safe_float, safe_int, split_csv,
+)
+from retailmill.operators import drift
 from retailmill.sources import feeds, landing
 import samples
 
@@ -191,14 +194,82 @@ def test_no_csv_line_is_lost(spark, tmp_path):
     parsed = feeds.parse_crm(landing.read_csv_lines(spark, f"{tmp_path}/*.csv"), NOW)
     rows = parsed.collect()
     physical = sum(len(p.read_text(encoding="utf-8").splitlines()) for p in tmp_path.glob("*.csv"))
-    assert len(rows) == physical - 3  # two headers go, and the one repeated in the first block
+    assert len(rows) == physical - 2  # only first lines that are headers go
     marked = [r for r in rows if r.customer_id == "C1"]
     assert len(marked) == 3 and {(r.first_name, r.raw_payload) for r in marked} == {("x\x01y", "C1,x\x01y,z")}
     dead = feeds.dead_letters(parsed).collect()
-    assert [(r.line, r.error) for r in dead] == [("", "Missing customer_id")] * 3
+    assert sorted((r.line, r.error) for r in dead) == [
+        *[("", "Missing customer_id")] * 3, (samples.CRM_9_HEADER, "Repeated header"), ("unheard,of", "First line is no header"),
+    ]
     assert feeds.good_rows(parsed).count() + len(dead) == len(rows)
 
 
+@pytest.mark.parametrize("split", ["64", "500", "4096", "128MB"])
+def test_the_first_line_goes_however_files_are_split(spark, tmp_path, split):
+    body = [f"C{k},a,b,c,d,e,f,2025-03-12T08:00:00Z" for k in range(100)]
+    for name in "abc":
+        samples.write_lines(tmp_path / f"{name}.csv", [*body[:50], samples.CRM_8_HEADER, *body[50:]], samples.CRM_8_HEADER)
+    samples.write_lines(tmp_path / "d.csv", [], samples.CRM_8_HEADER)
+    (tmp_path / "e.csv").write_text("")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        parsed = feeds.parse_crm(landing.read_csv_lines(spark, f"{tmp_path}/*.csv"), NOW)
+        good, dead = feeds.good_rows(parsed).collect(), feeds.dead_letters(parsed).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted(r.raw_payload for r in good) == sorted(body * 3)
+    assert [(r.line, r.error) for r in dead] == [(samples.CRM_8_HEADER, "Repeated header")] * 3
+
+
+def test_a_files_own_header_names_its_columns(spark, tmp_path):
+    renamed = samples.CRM_8_HEADER.replace("city", "town")
+    samples.write_lines(tmp_path / "a.csv", samples.CRM_DAY_1[:2], renamed)
+    samples.write_lines(
+        tmp_path / "b.csv", ['2025-03-12T08:00:00Z,"x, ""y""",7,C9,again', "2025-03-12T09:00:00Z", ",,,customer_id"],
+        '"updated_at", Phone,email,CUSTOMER_ID,phone',
+    )
+    samples.write_lines(tmp_path / "c.csv", samples.CRM_DAY_1[2:], samples.CRM_8_HEADER)
+    lines, headers = landing.read_csv(spark, f"{tmp_path}/*.csv", headers_path=str(tmp_path / "headers"))
+    parsed = feeds.parse_crm(lines, NOW)
+    rows = {r.customer_id: r for r in feeds.good_rows(parsed).collect()}
+    assert set(rows) == {"M-1", "M-2", "M-3", "M-4", "C9"}
+    assert (rows["M-1"].city, rows["M-1"].country, rows["M-1"].raw_extra_attributes) == (None, "DE", '{"town":"Kiel"}')
+    assert (rows["C9"].email, rows["C9"].city, rows["C9"].updated_at.hour) == ("7", None, 8)
+    assert rows["C9"].raw_extra_attributes == '{"phone":"x, \\"y\\""}'
+    assert rows["M-3"].city == "Bergen" and rows["M-3"].raw_extra_attributes is None
+    dead = {(r.line, r.error) for r in feeds.dead_letters(parsed).collect()}
+    assert dead == {("2025-03-12T09:00:00Z", "Missing customer_id"), (",,,customer_id", "Repeated header")}
+    found = {(r.field, r.change): r.file_count for r in drift.header_drift(headers, schemas.CSV_HEADERS[:2]).collect()}
+    assert found[("town", "added")] == 1 and found[("city", "removed")] == 2 and found[("phone", "added")] == 1
+    assert ("membership_tier", "removed") not in found
+    stock = feeds.parse_inventory(
+        spark.createDataFrame([("9,P1,S1", "f", ["quantity", "product_id", "store_id"], False)],
+                              "value string, source_file string, header array<string>, unheaded boolean"), NOW
+    ).first()
+    assert (stock.product_id, stock.store_id, stock.quantity, stock.price) == ("P1", "S1", 9, None)
+
+
+def test_split_csv_agrees_with_the_reader(spark):
+    values = ['C1,"L, o ""q""",,x', "C1", ",b", 'C1,"a,b",c', 'C1,a "b" c,d,', "a,,", '"x","y"']
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    got = df.select(split_csv(F.col("v")).alias("n"), parse_csv(F.col("v"), 4).alias("c"), csv_width(F.col("v")).alias("w")).collect()
+    for r in got:
+        assert len(r.n) == r.w and r.n == [c or "" for c in r.c][: r.w]
+
+
+def test_wrong_types_are_counted_and_set_aside_on_demand(spark):
+    values = [samples.POS_DAY_1[0], samples.POS_DAY_2[2], '{"transaction_id":"a","amount":" ","timestamp":"noon"}', '{"amount":"x"}']
+    parsed = pos(spark, values)
+    assert {(r.field, r.rule, r.line_count) for r in feeds.misfits(parsed).collect()} == {("amount", "type", 2), ("event_ts", "type", 1)}
+    assert feeds.good_rows(parsed).count() == 3 and feeds.good_rows(parsed, strict=True).count() == 1
+    reasons = sorted(r.error for r in feeds.dead_letters(parsed, strict=True).collect())
+    assert reasons == ["Missing transaction_id", "Wrong type of amount", "Wrong type of event_ts"]
+    stock = feeds.parse_inventory(samples.lines(spark, ["B-9,PIER,x,85.0,abc,never", "B-9,PIER,x,,,"]), NOW)
+    assert sorted(r.field for r in feeds.misfits(stock).collect()) == ["last_updated", "price", "quantity"]
+
+
 def test_json_files_and_hourly_path(spark, tmp_path):
     assert landing.hourly_pattern("/in/", "2025-03-11T09:59:00Z") == "/in/hourly/2025-03-11/9/*.json"
     samples.write_lines(tmp_path / "hourly/2025-03-11/9/x.json", samples.ECOM)
