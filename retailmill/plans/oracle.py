@@ -324,14 +324,33 @@ SELECT 'Missing transaction_id' AS error, 'delivery_' || delivery AS source_file
 FROM pos_d WHERE broken OR tid IS NULL GROUP BY delivery""")
 
 _oracle("ingest_hard_lines", "pos_d", """
-, n AS (SELECT count(*) AS n FROM pos_d WHERE delivery = 2)
-SELECT dq_status, rejected, amount_kind, times * n AS line_count FROM n, (VALUES
-  ('INVALID', 'true', 'none', 4), ('VALID', 'false', 'nan', 1), ('VALID', 'false', 'infinite', 1),
-  ('VALID', 'false', 'unfit', 1)) AS k(dq_status, rejected, amount_kind, times) WHERE n > 0""")
+SELECT CASE WHEN broken OR kind = 'none' THEN 'INVALID' ELSE 'VALID' END AS dq_status,
+  CASE WHEN broken OR kind = 'none' OR tid IS NULL THEN 'true' ELSE 'false' END AS rejected,
+  CASE WHEN broken OR signed IS NULL THEN 'none' ELSE kind END AS amount_kind, sum(times)::BIGINT AS line_count
+FROM pos_d, (VALUES ('none', 4), ('nan', 1), ('infinite', 1), ('unfit', 1)) AS v(kind, times) GROUP BY ALL""")
 _oracle("ingest_hard_csv", "raw_crm", """
-SELECT rejected, marked, has_text, count(*) AS line_count FROM raw_crm,
-  (VALUES ('true', 'false', 'false'), ('false', 'true', 'true')) AS k(rejected, marked, has_text)
-WHERE delivery = 2 GROUP BY ALL""")
+SELECT reason, marked, has_text, count(*) AS line_count FROM raw_crm,
+  (VALUES ('Missing customer_id', 'false', 'false'), ('none', 'true', 'true'), ('Repeated header', 'false', 'true'))
+    AS k(reason, marked, has_text) GROUP BY ALL""")
+_oracle("parse_crm_by_header", "raw_crm", f"""
+SELECT customer_id, last_name, email, CASE WHEN delivery <> 2 THEN city END AS city, country, membership_tier,
+  {_ts('updated_at')} AS updated_at, CASE delivery WHEN 2 THEN '{{"town":"' || city || '"}}' WHEN 3 THEN '{{"phone":"x"}}' END
+    AS raw_extra_attributes
+FROM raw_crm WHERE membership_tier IS NOT NULL""")
+_oracle("csv_header_drift", "raw_crm", """
+SELECT field, change, CASE change WHEN 'removed' THEN 'string' END AS declared_type,
+  CASE change WHEN 'added' THEN 'string' END AS observed_type, 1::BIGINT AS file_count
+FROM (VALUES (2, 'town', 'added'), (2, 'city', 'removed'), (3, 'phone', 'added')) AS v(d, field, change)
+WHERE d IN (SELECT delivery FROM raw_crm WHERE membership_tier IS NOT NULL)""")
+_oracle("contract_types", "pos_d", """
+SELECT 'amount' AS field, 'type' AS rule, count(*) AS line_count FROM pos_d WHERE k = 50 AND NOT broken HAVING count(*) > 0""")
+_oracle("contract_at_load", "pos_d", """
+, d AS (SELECT broken OR tid IS NULL AS lost, k = 50 AND NOT broken AS odd FROM pos_d)
+SELECT 'Missing transaction_id' AS what, count(*) AS line_count FROM d WHERE lost HAVING count(*) > 0
+UNION ALL SELECT 'Wrong type of amount', count(*) FROM d WHERE odd AND NOT lost HAVING count(*) > 0
+UNION ALL SELECT 'null_transaction_id', count(*) FROM d WHERE lost
+UNION ALL SELECT 'type_amount', count(*) FROM d WHERE odd
+UNION ALL SELECT 'type_event_ts', 0""")
 
 _oracle("ingest_outcome", "pos_rows", """
 SELECT dq_status, dq_errors, count(*) AS line_count, count(*) FILTER (transaction_id IS NULL) AS rejected
@@ -373,8 +392,7 @@ _oracle("dedup_pos_table", "pos_survivors", f"SELECT {_POS_OUT} FROM pos_survivo
 ORACLE["dedup_pos_incremental"] = ORACLE["dedup_pos_table"]
 ORACLE["dedup_incremental_rerun"] = ORACLE["dedup_pos_table"]
 _oracle("hourly_ecom", "ecom_survivors", f"""
-SELECT order_id, total_amount, {_day("DATE '2025-10-13' + CAST(CAST(substr(order_id, 2) AS BIGINT) % 7 AS INT)")} AS order_date,
-  record_hash FROM ecom_survivors""")
+SELECT order_id, total_amount, {_day('order_date')} AS order_date, record_hash FROM ecom_survivors""")
 _oracle("registered_keys", "raw_pos raw_ecom raw_crm raw_inventory", "\nUNION ALL\n".join(
     f"SELECT '{name}' AS table_name, count(*) AS row_count, count(DISTINCT struct_pack({', '.join(f'{k} := {k}' for k in keys)})) "
     f"AS key_count FROM {source}"
@@ -388,6 +406,7 @@ _oracle("unfit_amounts", "raw_pos raw_ecom", "\nUNION ALL\n".join(
     for name, source, value, factor in (
         ("raw_pos_transactions", "raw_pos", "amount", "1e13"), ("raw_ecom_orders", "raw_ecom", "total_amount", "1e11"))))
 _oracle("dedup_ecom_table", "ecom_survivors", f"SELECT {_ECOM_OUT} FROM ecom_survivors")
+ORACLE["dedup_ecom_incremental"] = ORACLE["dedup_ecom_table"]
 _oracle("dedup_crm_table", "raw_crm", _ranked(
     "raw_crm", "customer_id, updated_at", "ingestion_ts DESC",
     f"customer_id, loyalty_status, {_ts('updated_at')} AS updated_at, "
@@ -591,18 +610,31 @@ _oracle("duplicate_check_upper", "raw_pos", f"""
 , d AS (SELECT count(*) - count(DISTINCT transaction_id) AS duplicate_count FROM raw_pos
   WHERE ingestion_ts BETWEEN {_at(POS_NOW)} - INTERVAL 24 HOUR AND {_at(POS_NOW)})
 SELECT duplicate_count, {_bool('duplicate_count <= 110')} AS passed FROM d""")
+_oracle("duplicate_sketches", "raw_pos raw_ecom", """
+SELECT 'raw_pos_transactions' AS table_name, count(*) AS row_count, count(DISTINCT transaction_id) AS ids, 'true' AS close FROM raw_pos
+UNION ALL SELECT 'raw_ecom_orders', count(*), count(DISTINCT order_id), 'true' FROM raw_ecom""")
 _oracle("error_check", "runs", f"""
 , d AS (SELECT CAST(sum(records_failed) AS BIGINT) AS total_failures FROM runs
   WHERE run_timestamp BETWEEN {_at(POS_NOW)} - INTERVAL 24 HOUR AND {_at(POS_NOW)})
 SELECT total_failures, {_bool('coalesce(total_failures BETWEEN 900 AND 1100, FALSE)')} AS passed FROM d""")
 
-_oracle("monitoring_report", "runs raw_pos", "SELECT " + _run_row("monitoring_report", POS_NOW, "0", _json(
+_REPORT = _json(
     pipeline_failures=f"(SELECT count(*) FROM runs WHERE status = 'FAILED' "
                       f"AND run_timestamp BETWEEN {_at(POS_NOW)} - INTERVAL 1 HOUR AND {_at(POS_NOW)})",
     stale_tables=f"(SELECT count(*) FROM (SELECT max(ingestion_ts) AS m FROM raw_pos WHERE ingestion_ts <= {_at(POS_NOW)}) "
-                 f"WHERE date_sub('minute', m, {_at(POS_NOW)}) > 120)")))
-
-ORACLE["monitoring_run"] = ORACLE["monitoring_report"]
+                 f"WHERE date_sub('minute', m, {_at(POS_NOW)}) > 120)")
+_oracle("monitoring_report", "runs raw_pos", "SELECT " + _run_row("monitoring_report", POS_NOW, "0", _REPORT))
+_LAST_HOUR = f"BETWEEN {_at(POS_NOW)} - INTERVAL 1 HOUR AND {_at(POS_NOW)}"
+_oracle("monitoring_run", "runs raw_pos raw_ecom pos_survivors", f"""
+, m AS (SELECT 'raw_pos_transactions' AS t, max(ingestion_ts) AS m FROM raw_pos WHERE ingestion_ts <= {_at(POS_NOW)}
+  UNION ALL SELECT 'raw_ecom_orders', max(ingestion_ts) FROM raw_ecom WHERE ingestion_ts <= {_at(POS_NOW)}),
+d AS (SELECT count(*) - count(DISTINCT transaction_id) AS n FROM pos_survivors WHERE ingestion_ts {_LAST_HOUR}),
+e AS (SELECT CAST(sum(records_failed) AS BIGINT) AS n FROM runs WHERE run_timestamp {_LAST_HOUR})
+SELECT 'freshness' AS output, t AS subject, date_sub('minute', m, {_at(POS_NOW)}) AS number,
+  {_bool(f"coalesce(date_sub('minute', m, {_at(POS_NOW)}) > 120, FALSE)")} AS flag, {_ts('m')} AS detail FROM m
+UNION ALL SELECT 'duplicate_check', 'raw_pos_transactions', n, {_bool('n BETWEEN 90 AND 110')}, NULL FROM d
+UNION ALL SELECT 'error_check', 'pipeline_monitoring', n, {_bool('coalesce(n BETWEEN 900 AND 1100, FALSE)')}, NULL FROM e
+UNION ALL SELECT 'report', 'monitoring_report', 0, 'SUCCESS', {_REPORT}""")
 _oracle("recent_rows", "raw_pos",
         f"SELECT count(*) AS recent_rows FROM raw_pos WHERE ingestion_ts BETWEEN {_at(POS_NOW)} - INTERVAL 1 HOUR AND {_at(POS_NOW)}")
 _oracle("stream_liveness", "raw_pos", f"""
@@ -692,13 +724,18 @@ WHERE order_date >= {_CUT} - 730 GROUP BY order_date""")
 _oracle("expired_partitions", "raw_ecom", f"""
 SELECT 'raw_ecom_orders' AS table_name, {_day('order_date')} AS partition_date, count(*) AS row_count FROM raw_ecom
 WHERE order_date < {_CUT} - 730 GROUP BY order_date""")
-_oracle("maintenance_run", "ecom_survivors", f"""
-SELECT {_day('m')} AS order_date, CASE WHEN m < {_CUT} - 730 THEN 'archived' ELSE 'kept' END AS part,
-  count(*) AS row_count FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS m FROM ecom_survivors) GROUP BY ALL""")
 _POS_CUT = f"DATE '{ARCHIVE_NOW[:10]}'"
+_oracle("maintenance_run", "pos_survivors raw_pos", f"""
+SELECT CASE WHEN event_date < {_POS_CUT} - 365 THEN 'archived' ELSE 'kept' END AS part, {_day('event_date')} AS day,
+  count(*) AS row_count FROM pos_survivors GROUP BY ALL
+UNION ALL SELECT 'raw', {_day('event_date')}, count(*) FROM raw_pos
+  WHERE event_date IS NULL OR event_date >= {_POS_CUT} - 365 GROUP BY ALL""")
 _oracle("archive_split", "raw_pos", f"""
 SELECT 'archived' AS part, count(*) AS row_count FROM raw_pos WHERE event_date < {_POS_CUT} - 365
 UNION ALL SELECT 'retained', count(*) FROM raw_pos WHERE event_date IS NULL OR event_date >= {_POS_CUT} - 365""")
 _oracle("compaction_roundtrip", "raw_pos", f"""
 SELECT transaction_id, amount, {_day('event_date')} AS event_date, {_ts('ingestion_ts')} AS ingestion_ts, source_file
 FROM raw_pos""")
+_oracle("compaction_run", "raw_pos", f"""
+SELECT {_day('event_date')} AS day, count(*) AS row_count, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS total_amount,
+  1::BIGINT AS file_count FROM raw_pos GROUP BY event_date""")

@@ -1,7 +1,9 @@
 """Batch loads and the daily chain, as functions a scheduler can call.
 
-Every run writes under a directory named after the run and replaces it when the
-run is repeated, so a failed or retried step leaves nothing behind twice.
+Every run writes its load under a directory named after the run and replaces it when the
+run is repeated. The deduplicated tables are plain day partitions; a run puts the days it
+touches in place as a whole, and a repeated one first puts back what its earlier attempt
+changed, from the raw loads.
 """
 
 from __future__ import annotations
@@ -9,17 +11,17 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 from functools import reduce
 from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from retailmill import schemas
-from retailmill.functions.clock import instant
+from retailmill.functions.clock import instant, ts_lit
 from retailmill.operators import dedup, late, monitoring, quality, scd2
 from retailmill.plans import marts
 from retailmill.schemas import TableSpec
@@ -27,6 +29,10 @@ from retailmill.session import scratch_dir
 from retailmill.sources import feeds, landing, storage
 
 
+#: Before any row was streamed.
+FIRST = "1970-01-01T00:00:00Z"
+
+
 def run_name(as_of: datetime | str) -> str:
     return instant(as_of).strftime("%Y%m%dT%H%M%S")
 
@@ -50,12 +56,21 @@ class Warehouse:
     def silver(self, table: str, as_of: datetime | str) -> str:
         return f"{self.root}/silver/{table}/run={run_name(as_of)}"
 
-    def silver_days(self, table: str) -> str:
+    def table(self, table: str) -> str:
         return f"{self.root}/silver/{table}"
 
-    def gold_days(self, table: str) -> str:
+    def key_days(self, table: str) -> str:
+        return f"{self.root}/silver/{table}_key_days"
+
+    def sketches(self, table: str) -> str:
+        return f"{self.root}/log/key_sketches/{table}"
+
+    def mart(self, table: str) -> str:
         return f"{self.root}/gold/{table}"
 
+    def stream(self, table: str) -> str:
+        return f"{self.root}/stream/{table}"
+
     def archive(self, table: str) -> str:
         return f"{self.root}/archive/{table}"
 
@@ -83,30 +98,41 @@ def run_batch(
     dead_letter_path: str,
     as_of: datetime | str,
     work_path: str | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """One feed load: parse, check, split, dedup, write. Returns the run's monitoring row.
 
     The text is read and parsed once, into a work table split by outcome; dead
-    letters and good rows are then two reads of the one part each. Lines, and lines
-    without a value that the contract requires, are counted while writing.
+    letters and good rows are then two reads of the one part each. Counted while writing:
+    lines, required fields without a value, typed fields with text that does not fit, and for
+    CSV the files whose header is not a declared one. ``strict`` sends lines with a wrong
+    type to the dead letters; else the value is NULL, as the feeds have always been read.
     """
     started = time.monotonic()
-    parsed = feeds.PARSERS[spec.name](read_feed(spark, spec, input_pattern), as_of)
     work_path = work_path or scratch_dir(spark, f"{spec.name}-parsed")
+    drifted = 0
+    if spec in (schemas.POS, schemas.ECOM):
+        lines = landing.read_json_lines(spark, input_pattern)
+    else:
+        lines, headers = landing.read_csv(spark, input_pattern, headers_path=f"{work_path}-headers")
+        drifted = headers.where("header IS NOT NULL AND NOT declared").count()
+    parsed = feeds.PARSERS[spec.name](lines, as_of)
     seen = Observation()
     broken = {f"null_{c}": F.count_if(F.col(c).isNull()) for c in spec.required}
-    counts = {"n": F.count("*"), "rejected": F.count(feeds.ERROR), **broken}
+    broken |= {f"type_{c}": F.count_if(F.array_contains(feeds.MISFITS, c)) for c in feeds.TYPED[spec.name]}
+    reason = feeds.rejection(parsed, strict)
+    counts = {"n": F.count("*"), "rejected": F.count(reason), **broken}
     staged = parsed.observe(seen, *[value.alias(name) for name, value in counts.items()])
     (
-        staged.withColumn(STAGED, F.col(feeds.ERROR).isNull())
+        staged.withColumn(STAGED, reason.isNull())
         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(STAGED).parquet(work_path)
     )
     stored = spark.read.schema(
         T.StructType([*parsed.schema.fields, T.StructField(STAGED, T.BooleanType())])
     ).parquet(work_path)
     accepted, rejected = (stored.where(F.col(STAGED) == ok).drop(STAGED) for ok in (True, False))
-    feeds.dead_letters(rejected).write.mode("overwrite").parquet(dead_letter_path)
-    storage.write_table(dedup.dedup_batch(feeds.good_rows(accepted), spec), output_path, spec, mode="replace")
+    feeds.dead_letters(rejected, strict).write.mode("overwrite").parquet(dead_letter_path)
+    storage.write_table(dedup.dedup_batch(feeds.good_rows(accepted, strict), spec), output_path, spec, mode="replace")
 
     n = seen.get
     return monitoring.run_record(
@@ -116,44 +142,114 @@ def run_batch(
         records_processed=F.lit(n["n"] - n["rejected"]),
         records_failed=F.lit(n["rejected"]),
         execution_seconds=round(time.monotonic() - started),
-        metadata={name: F.lit(n[name]) for name in broken},
+        metadata={**{name: F.lit(n[name]) for name in broken}, "drifted_files": F.lit(drifted)},
     )
 
 
-def read_bronze(spark: SparkSession, warehouse: Warehouse, spec: TableSpec) -> DataFrame:
-    """All loads of a table."""
-    return storage.read_table(spark, warehouse.bronze(spec.name), spec)
+def read_bronze(spark: SparkSession, warehouse: Warehouse, spec: TableSpec, streamed: bool = False) -> DataFrame:
+    """All raw rows of a table: its loads and, on demand, what was streamed."""
+    loads = storage.read_table(spark, warehouse.bronze(spec.name), spec)
+    if not streamed:
+        return loads
+    return loads.unionByName(storage.read_table(spark, warehouse.stream(spec.name), spec))
 
 
 #: A day as written in local time is at most this far from any other local day of the same instant.
 LOCAL_DAYS = 2
+#: Parts of the table that says on which days a key was seen.
+KEY_BUCKETS = 64
 
 
-def _days_a_copy_can_have(own: DataFrame, spec: TableSpec) -> DataFrame | None:
-    """The days on which stored copies of rows of these days can lie; None: any.
+def _days_nearby(days: Sequence[date | None]) -> list[date | None]:
+    """Days on which copies of rows of these days can lie when the event time is part of the key."""
+    near = {d + timedelta(days=k) for d in days if d is not None for k in range(-LOCAL_DAYS, LOCAL_DAYS + 1)}
+    return [None, *sorted(near)]
 
-    Where the event time is part of the key, a copy has the same instant, hence the same
-    day or, if the day is a local one, one nearby.
-    """
-    if spec.event_ts not in spec.warehouse_keys:
-        return None
-    off = LOCAL_DAYS if spec.partition_column in spec.schema.names else 0
-    day = F.col("day").try_cast("date")
-    near = F.transform(F.sequence(F.lit(-off), F.lit(off)), lambda k: F.date_format(F.date_add(day, k), "yyyy-MM-dd"))
-    undated = own.sparkSession.range(1).select(F.lit(storage.UNDATED).alias("day"))
-    return own.where(day.isNotNull()).select(F.explode(near).alias("day")).unionByName(undated).distinct()
 
+def _key_hash(spec: TableSpec) -> Column:
+    return F.xxhash64(*spec.warehouse_keys)
 
-def _days_to_redo(base: DataFrame, incoming: DataFrame, own: DataFrame, spec: TableSpec) -> DataFrame:
-    """Days that incoming rows fall on, and days of stored rows they duplicate.
 
-    Only the key columns and the date of the stored table are read.
-    """
+def note_key_days(rows: DataFrame, path: str, spec: TableSpec) -> None:
+    """Notes on which days the rows' keys lie: 64-bit key hashes with a day, by bucket of the hash."""
+    noted = rows.select(_key_hash(spec).alias("key_hash"), storage.day_of(rows, spec).alias("day")).distinct()
+    _write_key_days(noted.withColumn("bucket", _bucket()), path, "append")
+
+
+def _bucket() -> Column:
+    return F.pmod("key_hash", F.lit(KEY_BUCKETS)).cast("int")
+
+
+def _write_key_days(noted: DataFrame, path: str, mode: str) -> None:
+    noted.repartition("bucket").sortWithinPartitions("bucket", "key_hash").write.mode(mode).option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy("bucket").parquet(path)
+
+
+def read_key_days(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("key_hash long, day date, bucket int").parquet(path)
+
+
+def days_of_keys(spark: SparkSession, keys: DataFrame, path: str, spec: TableSpec) -> DataFrame:
+    """The days on which copies of the keys may lie. Only the buckets of these keys are read, and
+    no stored row is looked at. Equal hashes of different keys add a day in vain, nothing else."""
+    wanted = keys.select(_key_hash(spec).alias("key_hash")).distinct().withColumn("bucket", _bucket())
+    buckets = [r.bucket for r in wanted.select("bucket").distinct().collect()]  # KEY_BUCKETS at most
+    noted = read_key_days(spark, path).where(F.col("bucket").isin(*buckets) if buckets else F.lit(False))
+    return noted.join(wanted, ["bucket", "key_hash"], "left_semi").select("day").distinct()
+
+
+def compact_key_days(spark: SparkSession, path: str, staged: str, spare_files: int = 8) -> int:
+    """Rewrites the buckets of many small files without repeated entries; returns how many."""
+    files = read_key_days(spark, path).select("bucket", "_metadata.file_path").distinct()
+    full = files.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > spare_files)
+    buckets = [r.bucket for r in full.collect()]  # KEY_BUCKETS at most
+    if buckets:
+        read_key_days(spark, path).where(F.col("bucket").isin(*buckets)).distinct().write.mode("overwrite").parquet(staged)
+        _write_key_days(read_key_days(spark, staged), path, "overwrite")
+    return len(buckets)
+
+
+def _copies(stored: DataFrame, incoming: DataFrame, spec: TableSpec) -> DataFrame:
+    """The key columns and day of stored rows that incoming rows duplicate."""
     keys = list(spec.warehouse_keys)
-    stored = storage.with_day(base, spec).select(*keys, "day").alias("s")
-    new_keys = incoming.select(*keys).distinct().alias("n")
+    own = stored.select(*keys, F.col(spec.partition_column).alias("day")).alias("s")
+    new = incoming.select(*keys).distinct().alias("n")
     same = reduce(and_, [F.col(f"s.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys])
-    return own.unionByName(stored.join(new_keys, same, "left_semi").select("day")).distinct()
+    return own.join(new, same, "left_semi")
+
+
+def _days_to_redo(
+    spark: SparkSession, warehouse: Warehouse, stored: DataFrame, incoming: DataFrame, spec: TableSpec
+) -> list[date | None]:
+    """Days that incoming rows fall on, and days of stored rows they duplicate.
+
+    Where the event time is part of the key, a copy lies on a day nearby; else the key table
+    says on which days keys were seen. Of the stored table only the key columns of those days are read.
+    """
+    own = storage.day_list(storage.days_of(incoming, spec))
+    if spec.event_ts in spec.warehouse_keys:
+        candidates = _days_nearby(own)
+    else:
+        path = warehouse.key_days(spec.name)
+        candidates = storage.day_list(days_of_keys(spark, incoming, path, spec)) if storage.exists(spark, path) else []
+    copies = _copies(storage.on_days(stored, spec, candidates), incoming, spec)
+    return list({*own, *storage.day_list(copies)})
+
+
+def _put_back(
+    spark: SparkSession, warehouse: Warehouse, spec: TableSpec, run: str, days: list[date | None], others: DataFrame, mode: str
+) -> None:
+    """Makes the days that an earlier attempt of a run redid what the other loads say."""
+    own = storage.on_days(others, spec, days)
+    if spec.event_ts in spec.warehouse_keys:
+        candidates = _days_nearby(days)
+    else:
+        candidates = storage.day_list(days_of_keys(spark, own, warehouse.key_days(spec.name), spec))
+    copies = storage.on_days(others, spec, list({*days, *candidates}))
+    survivors = dedup.dedup_table(copies, spec, mode)
+    staged = f"{warehouse.root}/work/{spec.name}_put_back/run={run}"
+    storage.replace_days(storage.on_days(survivors, spec, days), days, warehouse.table(spec.name), spec, staged)
 
 
 def run_dedup(
@@ -161,37 +257,50 @@ def run_dedup(
     warehouse: Warehouse,
     spec: TableSpec,
     as_of: datetime | str,
-    previous: datetime | str | None = None,
     mode: str = "keep_one",
-    streamed: DataFrame | None = None,
+    streamed_since: datetime | str | None = None,
 ) -> DataFrame:
-    """Adds this run's load, and rows that were streamed since the last one, to the
-    deduplicated table, redoing only the days they touch.
+    """Adds this run's load to the deduplicated table, redoing only the days it touches.
 
-    The removed copies go to the duplicate log of the run, where the table has one. Of
-    the stored table, the key columns are read on the days where a copy can lie; for a
-    key without event time (orders) that is every day.
+    With ``streamed_since``, rows that the stream has stored after that time, up to ``as_of``,
+    take part, too. The removed copies go to the duplicate log of the run, where the table
+    has one. A run that is repeated, perhaps with other input, gives what it would have given
+    the first time.
     """
-    path = warehouse.silver_days(spec.name)
-    incoming = storage.read_table(spark, warehouse.load(spec.name, as_of), spec).select(*spec.schema.names)
-    if streamed is not None:
-        incoming = incoming.unionByName(streamed.select(*spec.schema.names))
-    own = storage.with_day(incoming, spec).select("day").distinct()
+    path, run = warehouse.table(spec.name), run_name(as_of)
+    with_stream = streamed_since is not None and storage.exists(spark, warehouse.stream(spec.name))
+    incoming = storage.read_table(spark, warehouse.load(spec.name, as_of), spec)
+    if with_stream:
+        rows = storage.read_table(spark, warehouse.stream(spec.name), spec)
+        new = (F.col(dedup.INGESTED) > ts_lit(streamed_since)) & (F.col(dedup.INGESTED) <= ts_lit(as_of))
+        incoming = incoming.unionByName(rows.where(new))
+
     listed = warehouse.work(f"{spec.name}_days", as_of)
-    if previous is None:
-        own.write.mode("overwrite").parquet(listed)
+    if storage.exists(spark, listed):
+        others = spark.read.schema(
+            T.StructType([*storage.stored_schema(spec).fields, T.StructField("load", T.StringType())])
+        ).parquet(warehouse.bronze(spec.name)).where(F.col("load") != run).drop("load")
+        if with_stream:
+            others = others.unionByName(rows.where(F.col(dedup.INGESTED) <= ts_lit(streamed_since)))
+        redone = storage.day_list(spark.read.schema("day date").parquet(listed))
+        _put_back(spark, warehouse, spec, run, redone, others, mode)
+
+    stored = storage.read_table(spark, path, spec) if storage.exists(spark, path) else None
+    if stored is None:
+        days, candidates = storage.day_list(storage.days_of(incoming, spec)), incoming
     else:
-        near = _days_a_copy_can_have(own, spec)
-        base = storage.read_days(spark, path, spec, run_name(previous), near)
-        _days_to_redo(base, incoming, own, spec).write.mode("overwrite").parquet(listed)
-    days, candidates = spark.read.schema("day string").parquet(listed), incoming
-    if previous is not None:
-        candidates = storage.read_days(spark, path, spec, run_name(previous), days).unionByName(incoming)
+        days = _days_to_redo(spark, warehouse, stored, incoming, spec)
+        candidates = storage.on_days(stored, spec, days).unionByName(incoming)
+    spark.createDataFrame([(d,) for d in days], "day date").write.mode("overwrite").parquet(listed)
     survivors, log = dedup.deduplicate(candidates, spec, mode)
     if spec is not schemas.CRM:
         log.write.mode("overwrite").parquet(warehouse.log("deduplication_log", as_of, spec.name))
-    storage.write_days(survivors, days, path, spec, run_name(as_of))
-    return storage.read_days(spark, path, spec, run_name(as_of))
+    sketched = f"{warehouse.sketches(spec.name)}/run={run}"
+    monitoring.key_sketches(incoming, spec.required[0]).coalesce(1).write.mode("overwrite").parquet(sketched)
+    if spec.event_ts not in spec.warehouse_keys:
+        note_key_days(incoming, warehouse.key_days(spec.name), spec)
+    storage.replace_days(survivors, days, path, spec, warehouse.work(f"{spec.name}_staged", as_of))
+    return storage.read_table(spark, path, spec)
 
 
 def run_scd2(
@@ -248,7 +357,6 @@ def run_late(
     as_of: datetime | str,
     table_name: str | None = "all",
     lookback_days: int = 7,
-    previous: datetime | str | None = None,
     refresh: Callable[[DataFrame], None] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """The late-arrival tracking table after this run, and the run's monitoring row.
@@ -257,44 +365,36 @@ def run_late(
     found are merged and rewritten. ``refresh`` is given what was found, works it into
     whatever depends on it, and lets the rows be stored as processed.
     """
-    spec = schemas.LATE_TRACKING
-    path = warehouse.silver_days(spec.name)
+    spec, path = schemas.LATE_TRACKING, warehouse.table(schemas.LATE_TRACKING.name)
     staged = warehouse.work("late_records", as_of)
     late.late_records(tables, as_of, lookback_days, table_name).write.mode("overwrite").parquet(staged)
     found = spark.read.parquet(staged)
-    days = storage.with_day(found, spec).select("day").distinct()
+    days = storage.day_list(storage.days_of(found, spec))
     tracking = (
-        spark.createDataFrame([], spec.schema)
-        if previous is None
-        else storage.read_days(spark, path, spec, run_name(previous), days)
+        storage.on_days(storage.read_table(spark, path, spec), spec, days)
+        if storage.exists(spark, path)
+        else spark.createDataFrame([], spec.schema)
     )
     merged = late.late_upsert(tracking, found)
     if refresh is not None:
         refresh(found)
         merged = late.mark_processed(merged, as_of)
-    storage.write_days(merged, days, path, spec, run_name(as_of))
-    return storage.read_days(spark, path, spec, run_name(as_of)), late.late_metrics(found, as_of, table_name)
+    storage.replace_days(merged, days, path, spec, warehouse.work("late_merged", as_of))
+    return storage.read_table(spark, path, spec), late.late_metrics(found, as_of, table_name)
 
 
 def run_gold(
-    spark: SparkSession, warehouse: Warehouse, tables: Mapping[str, DataFrame], days: DataFrame, as_of: datetime | str
-) -> DataFrame:
-    """The daily mart after recomputing the given sale days (``day``) from the
-    deduplicated tables; all other days keep their version."""
-    spec, path = schemas.DAILY_SALES, warehouse.gold_days(schemas.DAILY_SALES.name)
-    listed = warehouse.work("daily_sales_days", as_of)
-    days.select("day").distinct().write.mode("overwrite").parquet(listed)
-    wanted = spark.read.schema("day string").parquet(listed)
-    facts = storage.with_day(marts.sales_fact(tables[schemas.POS.name], tables[schemas.ECOM.name]), spec)
-    # one row per calendar day, as for the backfill
-    affected = facts.join(F.broadcast(wanted), "day", "left_semi")
-    storage.write_days(marts.daily_store_sales(affected), wanted, path, spec, run_name(as_of))
-    return storage.read_days(spark, path, spec, run_name(as_of))
-
-
-def run_hourly_ecom(
-    spark: SparkSession, warehouse: Warehouse, prefix: str, as_of: datetime | str, previous: datetime | str | None = None
+    spark: SparkSession, warehouse: Warehouse, tables: Mapping[str, DataFrame], days: Sequence[date | None], as_of: datetime | str
 ) -> DataFrame:
+    """The daily mart after recomputing the given sale days from the deduplicated tables; all
+    other days stay as they are."""
+    spec, path = schemas.DAILY_SALES, warehouse.mart(schemas.DAILY_SALES.name)
+    facts = storage.on_days(marts.sales_fact(tables[schemas.POS.name], tables[schemas.ECOM.name]), spec, days)
+    storage.replace_days(marts.daily_store_sales(facts), days, path, spec, warehouse.work("daily_sales", as_of))
+    return storage.read_table(spark, path, spec)
+
+
+def run_hourly_ecom(spark: SparkSession, warehouse: Warehouse, prefix: str, as_of: datetime | str) -> DataFrame:
     """One hour's orders: the hour's files are loaded and deduplicated into the table, and
     the hour is recorded. An hour without files is recorded as empty."""
     spec, pattern = schemas.ECOM, landing.hourly_pattern(prefix, as_of)
@@ -308,7 +408,7 @@ def run_hourly_ecom(
         return record
     load = warehouse.load(spec.name, as_of)
     run_batch(spark, spec, pattern, load, warehouse.dead_letters(spec.name, as_of), as_of, warehouse.work("hourly", as_of))
-    run_dedup(spark, warehouse, spec, as_of, previous)
+    run_dedup(spark, warehouse, spec, as_of)
     loaded = storage.read_table(spark, load, spec)
     record = monitoring.hourly_run_record(loaded, "hourly_ecommerce", as_of)
     write_run_record(warehouse, record, as_of, "hourly_ecommerce")
@@ -319,21 +419,18 @@ def run_monitoring(
     spark: SparkSession,
     warehouse: Warehouse,
     as_of: datetime | str,
-    latest: datetime | str,
     hours: int = 1,
     specs: Sequence[TableSpec] = (schemas.POS, schemas.ECOM),
 ) -> dict[str, DataFrame]:
-    """The monitoring run over stored tables (sales among them) as of their ``latest`` run:
-    freshness, duplicate and error checks, and its own report row, which is added to the log.
+    """The monitoring run over stored tables (sales among them): freshness, duplicate and error
+    checks, and its own report row, which is added to the log. What came in twice before dedup, in
+    the last hours and the last week, is estimated from the loads' key sketches alone.
 
-    Only day versions written within the lookback are read; freshness takes those of
-    the latest day, so an older newest row counts as stale, which it is.
+    The checks look back over ingestion times, which reach the scan as a filter that leaves
+    out row groups by their statistics. Freshness reads that column alone, a few bytes a load
+    as all rows of a load share its time.
     """
-    since = run_name(instant(as_of) - timedelta(hours=max(hours, 24)))
-    tables = {
-        spec.name: storage.read_days(spark, warehouse.silver_days(spec.name), spec, run_name(latest), written_since=since)
-        for spec in specs
-    }
+    tables = {spec.name: storage.read_table(spark, warehouse.table(spec.name), spec) for spec in specs}
     pos = tables[schemas.POS.name]
     runs = read_runs(spark, warehouse)
     report = monitoring.monitoring_report(runs, pos, as_of)
@@ -345,35 +442,63 @@ def run_monitoring(
         "error_check": monitoring.value_check(monitoring.recent_failures(runs, as_of, hours), "total_failures", 1000, 0.1),
         "report": report,
     }
+    sketched = warehouse.sketches(schemas.POS.name)
+    if storage.exists(spark, sketched):
+        sketches = spark.read.parquet(sketched)
+        for name, back in (("delivered_twice", hours), ("delivered_twice_in_a_week", 7 * 24)):
+            out[name] = monitoring.estimated_duplicates(sketches, as_of, back)
     write_run_record(warehouse, report, as_of, "monitoring_report")
     return out
 
 
 def run_maintenance(
-    spark: SparkSession,
-    warehouse: Warehouse,
-    spec: TableSpec,
-    as_of: datetime | str,
-    previous: datetime | str,
-    remove: bool = True,
+    spark: SparkSession, warehouse: Warehouse, spec: TableSpec, as_of: datetime | str, target_bytes: int = 256 << 20
 ) -> DataFrame:
-    """Ages a deduplicated table: days past its retention are copied to the archive and
-    then listed as empty, and directories that no reader from this run on needs are
-    deleted. Returns the expired days with their row counts. A repeat finds nothing."""
-    path, name = warehouse.silver_days(spec.name), run_name(as_of)
-    oldest = (instant(as_of) - timedelta(days=spec.retention_days)).date()
-    old = storage.with_partition_date(
-        storage.read_days(spark, path, spec, run_name(previous), before=oldest), spec
-    )
+    """Ages and compacts a table. Days past its retention leave the deduplicated table (of stock,
+    which has none, the raw loads) for the archive; the raw loads and the streamed rows of
+    such days are dropped; days of many small files are rewritten. Returns what was done:
+    table_name, action, partition_date, amount (rows, or files before). A repeat finds nothing."""
+    raw, table, streamed = warehouse.bronze(spec.name), warehouse.table(spec.name), warehouse.stream(spec.name)
+    kept_in = table if spec.warehouse_keys else raw
     staged = warehouse.work(f"{spec.name}_expired", as_of)
-    storage.expired_partitions(old, spec, as_of).write.mode("overwrite").parquet(staged)
-    expired = spark.read.parquet(staged)
-    storage.archive(old, warehouse.archive(spec.name), spec, as_of)
-    days = expired.select(F.date_format("partition_date", "yyyy-MM-dd").alias("day"))
-    storage.write_days(old.limit(0), days, path, spec, name)
-    if remove:
-        storage.remove_superseded(spark, path, name)
-    return expired
+    parts = {"archived": kept_in}
+    parts |= {"raw_dropped": raw} if spec.warehouse_keys else {}
+    parts |= {"stream_dropped": streamed}
+    parts = {action: path for action, path in parts.items() if storage.exists(spark, path)}
+    if not parts:
+        return spark.createDataFrame([], "table_name string, action string, partition_date date, amount long")
+    counted = [
+        storage.expired_partitions(storage.read_table(spark, path, spec), spec, as_of)
+        .select("table_name", F.lit(action).alias("action"), "partition_date", F.col("row_count").alias("amount"))
+        for action, path in parts.items()
+    ]
+    reduce(DataFrame.unionByName, counted).write.mode("overwrite").parquet(staged)
+    if "archived" in parts:
+        storage.archive(storage.read_table(spark, kept_in, spec), warehouse.archive(spec.name), spec, as_of)
+    for action, path in parts.items():
+        old = storage.expired(storage.read_table(spark, path, spec), spec, as_of)
+        days = [(spec.partition_column, d) for d in storage.day_list(storage.days_of(old, spec))]
+        for load in _loads(spark, path) if path == raw else [""]:
+            storage.drop_partitions(spark, path, days, load)
+    done = spark.read.parquet(staged)
+    if spec.warehouse_keys and "archived" in parts:
+        rewritten = storage.compact_days(spark, table, spec, warehouse.work(f"{spec.name}_compact", as_of), target_bytes)
+        done = done.unionByName(
+            rewritten.select(
+                F.lit(spec.name).alias("table_name"), F.lit("compacted").alias("action"), F.col("day").alias("partition_date"),
+                F.col("file_count").alias("amount"),
+            )
+        )
+    if storage.exists(spark, warehouse.key_days(spec.name)):
+        compact_key_days(spark, warehouse.key_days(spec.name), warehouse.work(f"{spec.name}_keys", as_of))
+    return done
+
+
+def _loads(spark: SparkSession, raw: str) -> list[str]:
+    """The load folders of a raw table, one a run."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(raw)
+    listed = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)
+    return [f.getPath().getName() for f in listed if f.isDirectory()]
 
 
 def write_run_record(warehouse: Warehouse, record: DataFrame, as_of: datetime | str, step: str) -> None:
@@ -398,7 +523,8 @@ def run_daily(
     """The daily chain: loads, dedup, customer history, late data with the sales mart,
     quality, health.
 
-    ``inputs`` maps table names to input patterns; ``previous`` is the last run.
+    ``inputs`` maps table names to input patterns; ``previous`` is the last run. Sales that
+    were streamed into the warehouse since then take part like the file load.
     """
     warehouse = Warehouse(root.rstrip("/"))
     for name, pattern in inputs.items():
@@ -408,38 +534,30 @@ def run_daily(
         )
         write_run_record(warehouse, record, as_of, f"{name}_batch")
 
+    # what was streamed since the last run joins the file load
+    since = previous or FIRST
     tables = {
-        spec.name: run_dedup(spark, warehouse, spec, as_of, previous)
+        spec.name: run_dedup(spark, warehouse, spec, as_of, streamed_since=since if spec is schemas.POS else None)
         for spec in (schemas.POS, schemas.ECOM, schemas.CRM)
     }
     tables[schemas.INVENTORY.name] = read_bronze(spark, warehouse, schemas.INVENTORY)
 
-    oldest = (instant(as_of) - timedelta(days=scd2.LOOKBACK_DAYS)).date()
-    recent_crm = storage.read_days(
-        spark, warehouse.silver_days(schemas.CRM.name), schemas.CRM, run_name(as_of), since=oldest
-    )
+    oldest = F.lit((instant(as_of) - timedelta(days=scd2.LOOKBACK_DAYS)).date())
+    recent_crm = tables[schemas.CRM.name].where(F.col(schemas.CRM.partition_column) >= oldest)
     dim, record = run_scd2(spark, warehouse, recent_crm, as_of, previous)
     write_run_record(warehouse, record, as_of, scd2.PIPELINE)
-    recent = run_name(instant(as_of) - timedelta(days=lookback_days))
-    looked_at = {
-        spec.name: storage.read_days(
-            spark, warehouse.silver_days(spec.name), spec, run_name(as_of), written_since=recent
-        )
-        for spec in late.TRACKED
-    }
 
     def refresh(found: DataFrame) -> None:
         """The sale days of late records, and all days that dedup has redone."""
         sales = found.where(F.col("table_name").isin(schemas.POS.name, schemas.ECOM.name))
-        touched = sales.select(F.date_format("event_timestamp", "yyyy-MM-dd").alias("day"))
+        touched = sales.select(F.to_date("event_timestamp").alias("day"))
         for spec in (schemas.POS, schemas.ECOM):
-            redone = spark.read.schema("day string").parquet(warehouse.work(f"{spec.name}_days", as_of))
+            redone = spark.read.schema("day date").parquet(warehouse.work(f"{spec.name}_days", as_of))
             touched = touched.unionByName(redone)
-        run_gold(spark, warehouse, tables, touched, as_of)
+        run_gold(spark, warehouse, tables, storage.day_list(touched), as_of)
 
-    tracking, record = run_late(
-        spark, warehouse, looked_at, as_of, lookback_days=lookback_days, previous=previous, refresh=refresh
-    )
+    looked_at = {spec.name: tables[spec.name] for spec in late.TRACKED}
+    tracking, record = run_late(spark, warehouse, looked_at, as_of, lookback_days=lookback_days, refresh=refresh)
     write_run_record(warehouse, record, as_of, late.PIPELINE)
 
     runs = read_runs(spark, warehouse)
@@ -447,8 +565,8 @@ def run_daily(
         **tables,
         "customer_dim_scd2": dim,
         "late_arriving_data": tracking,
-        schemas.DAILY_SALES.name: storage.read_days(
-            spark, warehouse.gold_days(schemas.DAILY_SALES.name), schemas.DAILY_SALES, run_name(as_of)
+        schemas.DAILY_SALES.name: storage.read_table(
+            spark, warehouse.mart(schemas.DAILY_SALES.name), schemas.DAILY_SALES
         ),
         "dq_scorecard": quality.dq_scorecard(tables, as_of),
         "pipeline_monitoring": runs,

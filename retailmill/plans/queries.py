@@ -175,7 +175,7 @@ def dead_letter_summary(spark, sf_dir):
 def ingest_hard_lines(spark, sf_dir):
     """Lines that are easily lost: text after the first object, blank lines, numbers that
     JSON does not have, amounts too large for money."""
-    lines = star.pos_lines(spark, sf_dir).where(F.col("delivery") == 2).select("value")
+    lines = star.pos_lines(spark, sf_dir).select("value")
 
     def amount(token: str):
         return F.regexp_replace("value", '"amount":("[^"]*"|[^,]*)', f'"amount":{token}')
@@ -199,22 +199,77 @@ def ingest_hard_lines(spark, sf_dir):
 
 @query
 def ingest_hard_csv(spark, sf_dir):
-    """A blank line and a control character for each customer line of a delivery."""
-    lines = star.crm_lines(spark, sf_dir).where(F.col("delivery") == 2)
+    """A blank line, a control character and a repeated header for each customer line, in files
+    that begin with a header."""
+    lines = star.crm_lines(spark, sf_dir)
     marked = F.regexp_replace("value", "^([^,]*),", "$1,\u0001")
-    hard = lines.select(F.explode(F.array(marked, F.lit(""))).alias("value"))
+    hard = lines.select(F.pmod(F.xxhash64("value"), F.lit(4)).alias("part"), F.explode(F.array(marked, F.lit(""), F.lit(star.CRM_HEADER))).alias("value"))
+    header = hard.select("part").distinct().select("part", F.lit(0).alias("place"), F.lit(star.CRM_HEADER).alias("value"))
     path = scratch_dir(spark, "hard-csv")
-    header = lines.limit(1).select(F.lit(star.CRM_HEADER).alias("value"))
-    header.write.text(path)
-    hard.write.mode("append").text(path)
+    (
+        header.unionByName(hard.withColumn("place", F.lit(1))).repartition("part").sortWithinPartitions("part", "place")
+        .select("part", "value").write.partitionBy("part").text(path)
+    )
     parsed = feeds.parse_crm(landing.read_csv_lines(spark, path), RUN_2)
     return parsed.groupBy(
-        F.col(feeds.ERROR).isNotNull().alias("rejected"),
+        F.coalesce(feeds.ERROR, F.lit("none")).alias("reason"),
         F.coalesce(F.col("first_name").startswith("\u0001"), F.lit(False)).alias("marked"),
         (F.length("raw_payload") > 0).alias("has_text"),
     ).agg(F.count("*").alias("line_count"))
 
 
+def _crm_by_name(spark, sf_dir):
+    """The exports in three folders: as declared, with another name for the city, and with the
+    columns turned round and one more."""
+    path, lines = scratch_dir(spark, "crm-by-name"), star.crm_lines(spark, sf_dir)
+    nine = lines.where("delivery != 2 OR value NOT LIKE 'B%'")
+    names = star.CRM_HEADER.split(",")
+    turned = F.concat_ws(",", F.element_at(F.split("value", ","), -1), F.lit("x,y"), "value")
+    headers = {1: star.CRM_HEADER, 2: star.CRM_HEADER.replace("city", "town"), 3: ",".join(["updated_at", "phone", "updated_at", *names])}
+    for delivery, header in headers.items():
+        value = turned if delivery == 3 else F.col("value")
+        part = nine.where(F.col("delivery") == delivery).select(value.alias(header))
+        part.write.options(header="true", sep="\u0001", quote="", emptyValue="").csv(f"{path}/delivery_{delivery}")
+    return landing.read_csv(spark, f"{path}/*")
+
+
+@query
+def parse_crm_by_header(spark, sf_dir):
+    """Customers from files whose headers are not the declared ones: columns go by name, and
+    what is not declared goes into the extra attributes."""
+    rows = feeds.good_rows(feeds.parse_crm(_crm_by_name(spark, sf_dir)[0], RUN_2))
+    return rows.select(
+        "customer_id", "last_name", "email", "city", "country", "membership_tier", "updated_at", "raw_extra_attributes"
+    )
+
+
+@query
+def csv_header_drift(spark, sf_dir):
+    """What the headers of these files add and lack; a file counts once, so counts are made plain."""
+    found = drift.header_drift(_crm_by_name(spark, sf_dir)[1], schemas.CSV_HEADERS[:2])
+    return found.withColumn("file_count", (F.col("file_count") > 0).cast("int"))
+
+
+@query
+def contract_types(spark, sf_dir):
+    """Typed fields of the sales feed whose text does not fit."""
+    return feeds.misfits(_parsed_pos(spark, sf_dir))
+
+
+@query
+def contract_at_load(spark, sf_dir):
+    """A strict load: lines of a wrong type are set aside with the reason, and the run reports
+    counts by field and rule."""
+    warehouse, spec = procedures.Warehouse(scratch_dir(spark, "strict-load")), schemas.POS
+    path = _land_json(spark, star.pos_lines(spark, sf_dir), "strict-in")
+    dead = warehouse.dead_letters(spec.name, POS_NOW)
+    record = procedures.run_batch(spark, spec, path, warehouse.load(spec.name, POS_NOW), dead, POS_NOW, strict=True)
+    reasons = spark.read.parquet(dead).groupBy(F.col("error").alias("what")).agg(F.count("*").alias("line_count"))
+    counted = F.from_json("metadata", "null_transaction_id long, type_amount long, type_event_ts long")
+    report = record.select(counted.alias("m")).select("m.*")
+    return reasons.unionByName(report.unpivot([], report.columns, "what", "line_count"))
+
+
 @query
 def ingest_outcome(spark, sf_dir):
     return _parsed_pos(spark, sf_dir).groupBy("dq_status", "dq_errors").agg(
@@ -299,14 +354,23 @@ def dedup_crm_table(spark, sf_dir):
 @query
 def dedup_pos_incremental(spark, sf_dir):
     """Two loads one after the other; the second redoes only the days it touches."""
-    warehouse = procedures.Warehouse(scratch_dir(spark, "incremental-dedup"))
-    pos, previous = star.raw_pos(spark, sf_dir), None
+    return _two_loads(spark, star.raw_pos(spark, sf_dir), schemas.POS, "incremental-dedup").select(*_POS_COLUMNS)
+
+
+def _two_loads(spark, rows, spec, purpose):
+    warehouse = procedures.Warehouse(scratch_dir(spark, purpose))
     for as_of, delivery in ((RUN_1, "delivery_1"), (RUN_2, "delivery_2")):
-        load = pos.where(F.col("source_file") == delivery)
-        storage.write_table(load, warehouse.load(schemas.POS.name, as_of), schemas.POS, mode="overwrite")
-        table = procedures.run_dedup(spark, warehouse, schemas.POS, as_of, previous)
-        previous = as_of
-    return table.select(*_POS_COLUMNS)
+        load = rows.where(F.col("source_file") == delivery)
+        storage.write_table(load, warehouse.load(spec.name, as_of), spec, mode="replace")
+        table = procedures.run_dedup(spark, warehouse, spec, as_of)
+    return table
+
+
+@query
+def dedup_ecom_incremental(spark, sf_dir):
+    """The same for orders, whose ids hold no time: the key table names the days to look at."""
+    table = _two_loads(spark, star.raw_ecom(spark, sf_dir), schemas.ECOM, "incremental-orders")
+    return table.select("order_id", "total_amount", "order_ts", "ingestion_ts", "source_file")
 
 
 @query
@@ -318,10 +382,10 @@ def dedup_incremental_rerun(spark, sf_dir):
     moved = second.withColumns(
         {"event_ts": F.col("event_ts") + F.expr("INTERVAL 3 DAYS"), "event_date": F.date_add("event_date", 3)}
     )
-    loads = ((RUN_1, pos.where(F.col("source_file") == "delivery_1"), None), (RUN_2, moved, RUN_1), (RUN_2, second, RUN_1))
-    for as_of, load, previous in loads:
+    loads = ((RUN_1, pos.where(F.col("source_file") == "delivery_1")), (RUN_2, moved), (RUN_2, second))
+    for as_of, load in loads:
         storage.write_table(load, warehouse.load(spec.name, as_of), spec, mode="replace")
-        table = procedures.run_dedup(spark, warehouse, spec, as_of, previous)
+        table = procedures.run_dedup(spark, warehouse, spec, as_of)
     return table.select(*_POS_COLUMNS)
 
 
@@ -544,6 +608,26 @@ def duplicate_check_upper(spark, sf_dir):
     return monitoring.value_check(observed, "duplicate_count", 100, 0.1, upper_bound_only=True)
 
 
+@query
+def duplicate_sketches(spark, sf_dir):
+    """Distinct ids of sales and orders by merged hourly sketches, against the exact count."""
+    parts = []
+    for spec in (schemas.POS, schemas.ECOM):
+        rows, key = star.raw_tables(spark, sf_dir, spec)[spec.name], spec.required[0]
+        path = scratch_dir(spark, "sketches")
+        monitoring.key_sketches(rows, key).write.parquet(path)
+        estimated = monitoring.estimated_duplicates(spark.read.parquet(path), LATE_NOW, 24 * ALL_DAYS)
+        both = estimated.select("row_count", "duplicate_count", F.lit(None).cast("long").alias("ids")).unionByName(
+            rows.agg(F.count_distinct(key).alias("ids")).select(
+                F.lit(None).cast("long").alias("row_count"), F.lit(None).cast("long").alias("duplicate_count"), "ids"
+            )
+        )
+        found = both.agg(*[F.max(c).alias(c) for c in both.columns])
+        close = F.abs(F.col("row_count") - F.col("duplicate_count") - F.col("ids")) <= 0.03 * F.col("ids")
+        parts.append(found.select(F.lit(spec.name).alias("table_name"), "row_count", "ids", close.alias("close")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query
 def error_check(spark, sf_dir):
     observed = monitoring.recent_failures(star.pipeline_runs(spark, sf_dir), POS_NOW, hours=24)
@@ -558,32 +642,41 @@ def monitoring_report(spark, sf_dir):
 
 @query
 def monitoring_run(spark, sf_dir):
-    """The report of a monitoring run over stored tables and the stored run log."""
-    warehouse, spec = procedures.Warehouse(scratch_dir(spark, "monitoring")), schemas.POS
-    storage.write_table(star.raw_pos(spark, sf_dir), warehouse.load(spec.name, POS_NOW), spec, mode="replace")
-    procedures.run_dedup(spark, warehouse, spec, POS_NOW)
-    procedures.write_run_record(warehouse, star.pipeline_runs(spark, sf_dir), POS_NOW, spec.name)
-    out = procedures.run_monitoring(spark, warehouse, POS_NOW, POS_NOW, specs=(spec,))
-    return out["report"].drop("error_message")
+    """A monitoring run over stored sales and orders and the stored run log: all four outputs."""
+    warehouse = procedures.Warehouse(scratch_dir(spark, "monitoring"))
+    for spec, rows in ((schemas.POS, star.raw_pos(spark, sf_dir)), (schemas.ECOM, star.raw_ecom(spark, sf_dir))):
+        storage.write_table(dedup.dedup_table(rows, spec), warehouse.table(spec.name), spec)
+    procedures.write_run_record(warehouse, star.pipeline_runs(spark, sf_dir), POS_NOW, "runs")
+    out = procedures.run_monitoring(spark, warehouse, POS_NOW)
+
+    def rows_of(name, subject, number, flag, detail):
+        return comparable(out[name]).select(
+            F.lit(name).alias("output"), subject.alias("subject"), number.cast("bigint").alias("number"),
+            flag.alias("flag"), detail.alias("detail"),
+        )
+
+    none, c = F.lit(None).cast("string"), F.col
+    parts = (
+        rows_of("freshness", c("table_name"), c("minutes_since_last_ingestion"), c("is_stale"), c("latest_ingestion")),
+        rows_of("duplicate_check", F.lit(schemas.POS.name), c("duplicate_count"), c("passed"), none),
+        rows_of("error_check", F.lit("pipeline_monitoring"), c("total_failures"), c("passed"), none),
+        rows_of("report", c("pipeline_name"), c("records_processed"), c("status"), c("metadata")),
+    )
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
 def hourly_ecom(spark, sf_dir):
-    """Two hours of order files, loaded hour by hour; a third has no files. The orders are
-    dealt over the days of a week, as an hour's orders lie on few days."""
+    """Two hours of order files, loaded hour by hour; a third has no files."""
     warehouse = procedures.Warehouse(scratch_dir(spark, "hourly"))
     fields = "order_id string, customer_id string, store_id string, total_amount double, payment_type string, timestamp string"
-    lines, previous = star.ecom_lines(spark, sf_dir), None
+    lines = star.ecom_lines(spark, sf_dir)
     for hour in (20, 21, 22):
-        as_of = f"2025-10-20 {hour}:00:00"
         if hour < 22:
             rows = lines.where(F.col("delivery") == hour - 19).select(F.from_json("value", fields).alias("j")).select("j.*")
-            day = F.date_add(F.lit("2025-10-13").cast("date"), F.pmod(F.substring("order_id", 2, 20).cast("bigint"), F.lit(7)).cast("int"))
-            rows = rows.withColumn("timestamp", F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T08:00:00Z")))
             rows.write.json(f"{warehouse.root}/landing/hourly/2025-10-20/{hour}")
-        procedures.run_hourly_ecom(spark, warehouse, f"{warehouse.root}/landing", as_of, previous)
-        previous = as_of
-    table = storage.read_days(spark, warehouse.silver_days(schemas.ECOM.name), schemas.ECOM, procedures.run_name(previous))
+        procedures.run_hourly_ecom(spark, warehouse, f"{warehouse.root}/landing", f"2025-10-20 {hour}:00:00")
+    table = storage.read_table(spark, warehouse.table(schemas.ECOM.name), schemas.ECOM)
     return table.select("order_id", "total_amount", "order_date", "record_hash")
 
 
@@ -647,7 +740,9 @@ def daily_store_sales(spark, sf_dir):
 
 @query
 def customer_360(spark, sf_dir):
-    return marts.customer_360(_run_2(spark, sf_dir)[0], _sales(spark, sf_dir))
+    snapshot = scd2.source_snapshot(_crm_until(spark, sf_dir, RUN_2), RUN_2)
+    dim = scd2.upsert(_dim_after_run_1(spark, sf_dir), snapshot, RUN_2).table
+    return marts.customer_360(dim, _sales(spark, sf_dir))
 
 
 @query
@@ -683,7 +778,7 @@ def _streamed(spark, sf_dir, purpose):
 def stream_pos_bronze(spark, sf_dir):
     out = scratch_dir(spark, "stream-bronze")
     messages = _streamed(spark, sf_dir, "stream-in")
-    stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW).awaitTermination()
+    stream.finish(stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW))
     return spark.read.parquet(f"{out}/rows").select(
         "transaction_id", "store_id", "customer_id", "amount", "event_ts", "event_date", "record_hash"
     )
@@ -693,7 +788,7 @@ def stream_pos_bronze(spark, sf_dir):
 def stream_pos_dead_letter(spark, sf_dir):
     out = scratch_dir(spark, "stream-dead")
     messages = _streamed(spark, sf_dir, "stream-in")
-    stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW).awaitTermination()
+    stream.finish(stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW))
     return spark.read.parquet(f"{out}/dead").groupBy("error").agg(F.count("*").alias("rejected"))
 
 
@@ -701,7 +796,7 @@ def stream_pos_dead_letter(spark, sf_dir):
 def stream_windowed_sales(spark, sf_dir):
     out = scratch_dir(spark, "stream-windows")
     rows = feeds.good_rows(stream.parse_messages(_streamed(spark, sf_dir, "stream-in"), POS_NOW))
-    stream.start_windowed_sales(stream.windowed_sales(rows), f"{out}/windows", f"{out}/ckpt").awaitTermination()
+    stream.finish(stream.start_windowed_sales(stream.windowed_sales(rows), f"{out}/windows", f"{out}/ckpt"))
     return stream.read_windowed_sales(spark, f"{out}/windows")
 
 
@@ -718,7 +813,7 @@ def stream_then_dedup(spark, sf_dir):
     """The table dedup run on what the stream has stored."""
     out = scratch_dir(spark, "stream-table")
     messages = _streamed(spark, sf_dir, "stream-in")
-    stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW).awaitTermination()
+    stream.finish(stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW))
     stored = stream.read_bronze(spark, f"{out}/rows")
     return dedup.dedup_table(stored, schemas.POS).select("transaction_id", "event_ts", "amount", "record_hash")
 
@@ -733,11 +828,10 @@ def dedup_stream_and_batch(spark, sf_dir):
     procedures.run_batch(
         spark, spec, by_file, warehouse.load(spec.name, POS_NOW), warehouse.dead_letters(spec.name, POS_NOW), POS_NOW
     )
-    out = f"{warehouse.root}/stream"
     messages = landing.stream_text_lines(spark, by_stream)
-    stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt", POS_NOW).awaitTermination()
-    streamed = stream.read_bronze(spark, f"{out}/rows")
-    table = procedures.run_dedup(spark, warehouse, spec, POS_NOW, streamed=streamed)
+    dead, progress = f"{warehouse.root}/stream/dead", f"{warehouse.root}/stream/progress"
+    stream.finish(stream.start_bronze(messages, warehouse.stream(spec.name), dead, progress, POS_NOW))
+    table = procedures.run_dedup(spark, warehouse, spec, POS_NOW, streamed_since=procedures.FIRST)
     return table.select("transaction_id", "event_ts", "amount", "record_hash")
 
 
@@ -779,20 +873,18 @@ def expired_partitions(spark, sf_dir):
 
 @query
 def maintenance_run(spark, sf_dir):
-    """Days past retention move from the stored table to the archive; here the orders are
-    dated to the first of their month."""
-    warehouse, spec, loaded = procedures.Warehouse(scratch_dir(spark, "maintenance")), schemas.ECOM, "1999-12-31 00:00:00"
-    monthly = star.raw_ecom(spark, sf_dir).withColumn("order_ts", F.date_trunc("month", "order_ts"))
-    monthly = monthly.withColumn("order_date", F.to_date("order_ts"))
-    storage.write_table(monthly, warehouse.load(spec.name, loaded), spec, mode="replace")
-    procedures.run_dedup(spark, warehouse, spec, loaded)
-    procedures.run_maintenance(spark, warehouse, spec, RETENTION_NOW, loaded)
-    kept = storage.read_days(spark, warehouse.silver_days(spec.name), spec, procedures.run_name(RETENTION_NOW))
-    archived = spark.read.parquet(warehouse.archive(spec.name))
-    both = kept.select("order_date", F.lit("kept").alias("part")).unionByName(
-        archived.select("order_date", F.lit("archived").alias("part"))
-    )
-    return both.groupBy("order_date", "part").agg(F.count("*").alias("row_count"))
+    """Ageing of sales: days past retention leave the stored table for the archive, and the raw loads."""
+    warehouse, spec = procedures.Warehouse(scratch_dir(spark, "maintenance")), schemas.POS
+    storage.write_table(star.raw_pos(spark, sf_dir), warehouse.load(spec.name, POS_NOW), spec, mode="replace")
+    procedures.run_dedup(spark, warehouse, spec, POS_NOW)
+    procedures.run_maintenance(spark, warehouse, spec, ARCHIVE_NOW)
+    places = {"raw": warehouse.bronze(spec.name), "kept": warehouse.table(spec.name), "archived": warehouse.archive(spec.name)}
+    parts = [
+        storage.read_table(spark, path, spec)
+        .groupBy(F.lit(part).alias("part"), F.col("event_date").alias("day")).agg(F.count("*").alias("row_count"))
+        for part, path in places.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query
@@ -818,3 +910,17 @@ def compaction_roundtrip(spark, sf_dir):
     storage.compact(spark, f"{base}/many", f"{base}/compacted", schemas.POS)
     table = storage.read_table(spark, f"{base}/compacted", schemas.POS)
     return table.select("transaction_id", "amount", "event_date", "ingestion_ts", "source_file")
+
+
+@query
+def compaction_run(spark, sf_dir):
+    """Sales appended in six small loads; the days of many files are rewritten in place."""
+    path, spec = scratch_dir(spark, "many-files"), schemas.POS
+    pos = star.raw_pos(spark, sf_dir)
+    for k in range(6):
+        storage.write_table(pos.where(F.pmod(F.xxhash64("transaction_id"), F.lit(6)) == k), path, spec)
+    storage.compact_days(spark, path, spec, f"{path}-staged", spare_files=1)
+    rows = storage.read_table(spark, path, spec).groupBy(F.col("event_date").alias("day")).agg(
+        F.count("*").alias("row_count"), F.sum(F.col("amount").cast("decimal(18,2)")).alias("total_amount")
+    )
+    return rows.join(storage.file_sizes(spark, path, spec).drop("total_bytes"), "day")

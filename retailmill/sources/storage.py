@@ -8,11 +8,11 @@ over many tasks, small days share one.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,20 +37,53 @@ def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "append")
     """Writes rows into the day partitions. ``overwrite`` replaces the days present in
     ``df``, ``replace`` the whole directory."""
     laid_out = clustered(with_partition_date(df, spec), spec.partition_column, spec.cluster_columns)
-    (
-        laid_out.write.mode("overwrite" if mode == "replace" else mode)
-        .option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
-        .partitionBy(spec.partition_column)
-        .parquet(path)
-    )
+    with uncoalesced(df.sparkSession):
+        (
+            laid_out.write.mode("overwrite" if mode == "replace" else mode)
+            .option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
+            .partitionBy(spec.partition_column)
+            .parquet(path)
+        )
+
+
+@contextmanager
+def uncoalesced(spark: SparkSession) -> Iterator[None]:
+    """Small shuffle partitions stay apart meanwhile. Rows are dealt by day, so a day is in one
+    partition (or, if large, split) anyhow: merging them would not save a file, but have one
+    task write the files of all small days one after the other."""
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def stored_schema(spec: TableSpec) -> T.StructType:
+    """The table's columns and, where it derives it, the partition column."""
+    if spec.partition_column in spec.schema.names:
+        return spec.schema
+    return T.StructType([*spec.schema.fields, T.StructField(spec.partition_column, T.DateType())])
 
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """The table with its declared column order; the partition column is kept for pruning."""
-    df = spark.read.parquet(path)
-    columns = [f.name for f in spec.schema.fields]
-    extra = [] if spec.partition_column in columns else [spec.partition_column]
-    return df.select(*columns, *extra)
+    """The table with its declared column order; the partition column is kept for pruning.
+    A table without any file is empty; files that retention has deleted since a stream's commit
+    log listed them are passed over."""
+    stored = stored_schema(spec)
+    return spark.read.schema(stored).option("ignoreMissingFiles", "true").parquet(path).select(*stored.names)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder; whether there was one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def retained(df: DataFrame, spec: TableSpec, as_of: datetime | str) -> DataFrame:
@@ -85,108 +118,82 @@ def compact(spark: SparkSession, path: str, target_path: str, spec: TableSpec) -
     write_table(spark.read.parquet(path), target_path, spec, mode="overwrite")
 
 
-# --- tables kept by whole days -----------------------------------------------
-#
-# Without a table format there is no update in place. A deduplicated table is
-# therefore kept as day versions: a run writes only the days it changes, under
-# its own name and a new attempt's, and then lists those days with that attempt. A
-# reader takes the newest listed version of each day. A failed run is invisible, and
-# of a repeated one only the last attempt is seen, whatever days it touched.
-
-UNDATED = "undated"
+# --- day partitions kept up to date ------------------------------------------
 
 
-def _day(spec: TableSpec):
-    source = F.col(spec.partition_column) if spec.partition_column in spec.schema.names else F.to_date(spec.event_ts)
-    return F.coalesce(F.date_format(source, "yyyy-MM-dd"), F.lit(UNDATED))
+def day_of(df: DataFrame, spec: TableSpec) -> Column:
+    """The partition day of a row: the table's column or, for rows without it, derived."""
+    return F.col(spec.partition_column) if spec.partition_column in df.columns else F.to_date(spec.event_ts)
 
 
-def with_day(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Adds ``day``, the text of the row's partition date."""
-    return df.withColumn("day", _day(spec))
+def days_of(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The days that rows fall on: ``day``, a date; NULL stands for rows without one."""
+    return df.select(day_of(df, spec).alias("day")).distinct()
 
 
-def write_days(df: DataFrame, days: DataFrame, path: str, spec: TableSpec, run: str) -> None:
-    """Writes the rows as version ``run`` of ``days``; a listed day without rows becomes empty."""
-    spark = df.sparkSession
-    attempt = uuid.uuid4().hex
-    listed = f"{path}/pending/attempt={attempt}"
-    days.select("day").distinct().select("day", F.lit(attempt).alias("attempt")).write.parquet(listed)
-    named = with_day(df, spec).withColumns({"run": F.lit(run), "attempt": F.lit(attempt)})
-    laid_out = clustered(named, "day", spec.cluster_columns)
-    laid_out.write.mode("append").partitionBy("day", "run", "attempt").parquet(f"{path}/data")
-    (
-        spark.read.schema("day string, attempt string").parquet(listed)
-        .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/versions/run={run}")
-    )
+def day_list(days: DataFrame) -> list[date | None]:
+    """Days as a list for pruning partitions: calendar days, a few thousand at most."""
+    return [r.day for r in days.select("day").distinct().collect()]
 
 
-_VERSION = ("day", "run", "attempt")
+def on_days(df: DataFrame, spec: TableSpec, days: Sequence[date | None]) -> DataFrame:
+    """The rows of some days; of a stored table, only their partitions are listed and read."""
+    day, dated = day_of(df, spec), [d for d in days if d is not None]
+    wanted = day.isin(*dated) if dated else F.lit(False)
+    return df.where(wanted | day.isNull() if None in days else wanted)
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame:
-    """The listed versions: one row per day and run that changed it."""
-    return spark.read.schema("day string, attempt string, run string").parquet(f"{path}/versions")
+def replace_days(df: DataFrame, days: Sequence[date | None], path: str, spec: TableSpec, staged: str) -> None:
+    """Makes the rows the whole contents of ``days``.
 
-
-def _newest(spark: SparkSession, path: str, run: str) -> DataFrame:
-    upto = _versions(spark, path).where(F.col("run") <= run)
-    return upto.groupBy("day").agg(F.max_by(F.struct("run", "attempt"), "run").alias("v")).select("day", "v.*")
+    The rows are written to ``staged`` first, as they may have been read from the table; from
+    there Spark's dynamic partition overwrite puts them in place, and listed days that got no
+    row are dropped. Doing it again changes nothing.
+    """
+    spark = df.sparkSession
+    with_partition_date(df, spec).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
+    rows = read_table(spark, staged, spec)
+    write_table(rows, path, spec, mode="overwrite")
+    filled = set(day_list(days_of(rows, spec)))
+    drop_partitions(spark, path, [(spec.partition_column, d) for d in days if d not in filled])
+
+
+def drop_partitions(spark: SparkSession, path: str, partitions: Sequence[tuple[str, date | None]], inside: str = "") -> int:
+    """Deletes partition folders of a table, and returns how many there were."""
+    n = 0
+    for column, day in partitions:
+        name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
+        n += remove(spark, "/".join(p for p in (path, inside, f"{column}={name}") if p))
+    return n
 
 
-def superseded_versions(spark: SparkSession, path: str, run: str) -> DataFrame:
-    """Day versions a reader as of ``run`` or later no longer needs, those of given-up
-    attempts of these runs included; their directories may go."""
-    stored = spark.read.schema("day string, run string, attempt string").parquet(f"{path}/data").select(*_VERSION)
-    old = stored.where(F.col("run") <= run).distinct()
-    return old.join(_newest(spark, path, run), list(_VERSION), "left_anti")
+# --- file sizes ----------------------------------------------------------------
 
 
-def remove_superseded(spark: SparkSession, path: str, run: str) -> int:
-    """Deletes the directories of superseded versions and returns their number. States
-    before ``run`` can then no longer be read; a note of that is left for readers."""
-    spark.createDataFrame([(run,)], "run string").write.mode("append").parquet(f"{path}/cleaned")
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path
-    conf, n = spark.sparkContext._jsc.hadoopConfiguration(), 0
-    for r in superseded_versions(spark, path, run).toLocalIterator():
-        directory = hadoop(f"{path}/data/day={r.day}/run={r.run}/attempt={r.attempt}")
-        n += directory.getFileSystem(conf).delete(directory, True)
-    return n
+def file_sizes(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+    """Per day the number of files and their bytes: day, file_count, total_bytes. No column is read."""
+    files = spark.read.schema(stored_schema(spec)).parquet(path).select(
+        F.col(spec.partition_column).alias("day"), "_metadata.file_path", "_metadata.file_size"
+    )
+    return files.distinct().groupBy("day").agg(F.count("*").alias("file_count"), F.sum("file_size").alias("total_bytes"))
 
 
-def _readable_since(spark: SparkSession, path: str) -> str:
-    """The oldest run whose state is complete."""
-    noted = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/cleaned")
-    if not noted.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(noted):
-        return ""  # never cleaned
-    return spark.read.schema("run string").parquet(f"{path}/cleaned").agg(F.max("run")).first()[0] or ""
+def days_to_compact(
+    spark: SparkSession, path: str, spec: TableSpec, target_bytes: int = 256 << 20, spare_files: int = 4
+) -> DataFrame:
+    """The days that hold at least ``spare_files`` more files than their bytes need."""
+    needed = F.ceil(F.col("total_bytes") / target_bytes)
+    return file_sizes(spark, path, spec).where(F.col("file_count") - needed >= spare_files)
 
 
-def read_days(
-    spark: SparkSession,
-    path: str,
-    spec: TableSpec,
-    run: str,
-    days: DataFrame | None = None,
-    since: date | None = None,
-    before: date | None = None,
-    written_since: str | None = None,
+def compact_days(
+    spark: SparkSession, path: str, spec: TableSpec, staged: str, target_bytes: int = 256 << 20, spare_files: int = 4
 ) -> DataFrame:
-    """The table as of a run, optionally only some days, the dated rows since or before a
-    day, or the days a run since ``written_since`` has written: rows that came in later
-    lie in no older version. The version list has one row per day and run, and is what
-    gets broadcast; it prunes the partitions read."""
-    if run < _readable_since(spark, path):
-        raise ValueError(f"versions as of {run} were removed")
-    versions = _newest(spark, path, run)
-    if days is not None:
-        versions = versions.join(days.select("day").distinct(), "day", "left_semi")
-    if since is not None:
-        versions = versions.where((F.col("day") >= since.isoformat()) & (F.col("day") != UNDATED))
-    if before is not None:
-        versions = versions.where((F.col("day") < before.isoformat()) & (F.col("day") != UNDATED))
-    if written_since is not None:
-        versions = versions.where(F.col("run") >= written_since)
-    stored = T.StructType([*spec.schema.fields, *(T.StructField(c, T.StringType()) for c in _VERSION)])
-    rows = spark.read.schema(stored).parquet(f"{path}/data")
-    return rows.join(F.broadcast(versions), list(_VERSION), "left_semi").select(*spec.schema.names)
+    """Rewrites, in place, only the days of many small files; returns these with their counts
+    before. Adaptive execution cuts each into files of its advisory size."""
+    found = days_to_compact(spark, path, spec, target_bytes, spare_files).collect()  # a row a day
+    planned = spark.createDataFrame(found, "day date, file_count long, total_bytes long")
+    if found:
+        days = [r.day for r in found]
+        replace_days(on_days(read_table(spark, path, spec), spec, days), days, path, spec, staged)
+    return planned

@@ -215,3 +215,22 @@ def test_marts(spark):
     kpi = {r.store_id: r.out_of_stock for r in marts.inventory_kpi(marts.inventory_snapshot_fact(t[schemas.INVENTORY.name])).collect()}
     assert kpi == {"PIER": 1, "DOCK": 0, "S9": 1}
     assert marts.date_dim(facts, "sale_date").count() == 2
+
+
+def test_key_sketches_merge_and_stay_within_their_error(spark):
+    """Sketches of loads and hours give the same estimate as one over all rows, within 3 % of the truth."""
+    from retailmill.operators import monitoring
+
+    rows = spark.range(0, 60_000).selectExpr(
+        "concat('k', id % 40000) AS transaction_id", "timestamp'2025-03-11 00:00:00' + make_interval(0, 0, 0, 0, id % 24) AS ingestion_ts"
+    )
+    parts = [monitoring.key_sketches(rows.where(f"hash(transaction_id) % 3 = {k}"), "transaction_id") for k in (-2, -1, 0, 1, 2)]
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    at, whole = "2025-03-11T23:30:00Z", monitoring.key_sketches(rows, "transaction_id")
+    day, same = (monitoring.estimated_duplicates(df, at, 24).first() for df in (merged, whole))
+    assert day == same and day.row_count == 60_000 and abs(day.duplicate_count - 20_000) < 0.03 * 40_000
+    hour = monitoring.estimated_duplicates(merged, at, 1).first()
+    assert hour.row_count == 2_500 and hour.duplicate_count < 0.03 * 2_500
+    assert tuple(monitoring.estimated_duplicates(merged, "2024-01-01T00:00:00Z", 5).first()) == (0, 0)

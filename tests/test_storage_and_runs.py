@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from retailmill import schemas
 from retailmill.operators import scd2
 from retailmill.plans import marts, procedures
-from retailmill.sources import feeds, storage
+from retailmill.sources import feeds, landing, storage
+from retailmill.streaming import pos as stream
 import samples
 
 NOW = "2025-03-11T11:15:00Z"
@@ -144,112 +145,157 @@ def test_daily_chain(spark, tmp_path):
     assert [r.line for r in dead.collect()] == ["{bad"]
 
 
-def test_dedup_redoes_only_touched_days(spark, tmp_path):
-    warehouse = procedures.Warehouse(str(tmp_path / "wh"))
-    path = warehouse.silver_days(schemas.ECOM.name)
+def order(key, time, total=1.0):
+    return '{"order_id":"%s","total_amount":%s,"timestamp":"%s"}' % (key, total, time)
+
 
-    def order(key, time, total=1.0):
-        return '{"order_id":"%s","total_amount":%s,"timestamp":"%s"}' % (key, total, time)
+def order_run(spark, warehouse):
+    """Loads orders and deduplicates them: the table's rows and the run's log."""
+    spec = schemas.ECOM
 
-    def run(as_of, values, previous=None):
+    def run(as_of, values):
         load = feeds.good_rows(feeds.parse_ecom(samples.lines(spark, values), as_of))
-        storage.write_table(load, warehouse.load(schemas.ECOM.name, as_of), schemas.ECOM, mode="overwrite")
-        table = procedures.run_dedup(spark, warehouse, schemas.ECOM, as_of, previous)
-        log = spark.read.parquet(warehouse.log("deduplication_log", as_of, schemas.ECOM.name))
+        storage.write_table(load, warehouse.load(spec.name, as_of), spec, mode="replace")
+        table = procedures.run_dedup(spark, warehouse, spec, as_of)
+        log = spark.read.parquet(warehouse.log("deduplication_log", as_of, spec.name))
         return (
             sorted((r.order_id, str(r.order_date), r.total_amount) for r in table.collect()),
             {r.record_key: r["count"] for r in log.collect()},
         )
 
-    first, second, third = "2025-01-05T00:00:00Z", "2025-01-06T00:00:00Z", "2025-01-07T00:00:00Z"
-    rows, log = run(first, [order("a", "2025-01-01T00:00:00Z"), order("b", "2025-01-02T00:00:00Z"), order("c", "2025-01-03T00:00:00Z"), order("u", "never")])
+    return run
+
+
+FIRST, SECOND, THIRD = "2025-01-05T00:00:00Z", "2025-01-06T00:00:00Z", "2025-01-07T00:00:00Z"
+
+
+def test_dedup_redoes_only_touched_days(spark, tmp_path):
+    warehouse = procedures.Warehouse(str(tmp_path / "wh"))
+    run, path = order_run(spark, warehouse), Path(warehouse.table(schemas.ECOM.name))
+    rows, log = run(FIRST, [order("a", "2025-01-01T00:00:00Z"), order("b", "2025-01-02T00:00:00Z"), order("c", "2025-01-03T00:00:00Z"), order("u", "never")])
     assert len(rows) == 4 and log == {}
+    untouched = {p for p in path.rglob("*.parquet") if "-01-01" in str(p) or "-01-03" in str(p)}
     # b moves to another day: its old day is left without rows
     for _ in range(2):
-        rows, log = run(second, [order("b", "2025-01-04T00:00:00Z", 2.0), order("u", "never", 3.0)], first)
+        rows, log = run(SECOND, [order("b", "2025-01-04T00:00:00Z", 2.0), order("u", "never", 3.0)])
         assert rows == [("a", "2025-01-01", 1.0), ("b", "2025-01-04", 2.0), ("c", "2025-01-03", 1.0), ("u", "None", 3.0)]
         assert log == {"b": 1, "u": 1}
-    days = {p.parent.name for p in Path(path, "data").rglob("run=20250106T000000")}
-    assert days == {"day=2025-01-04", "day=undated"}
-    rows, log = run(third, [order("c", "2025-01-03T00:00:00Z", 5.0)], second)
+    assert untouched <= set(path.rglob("*.parquet")) and not (path / "order_date=2025-01-02").exists()
+    rows, log = run(THIRD, [order("c", "2025-01-03T00:00:00Z", 5.0)])
     assert ("c", "2025-01-03", 5.0) in rows and len(rows) == 4 and log == {"c": 1}
-    # an earlier state stays readable, and a version no run has listed is not seen
-    assert storage.read_days(spark, path, schemas.ECOM, procedures.run_name(first)).count() == 4
-    old = storage.superseded_versions(spark, path, procedures.run_name(third)).collect()
-    assert {(r.day, r.run[:8]) for r in old} == {
-        ("2025-01-02", "20250105"), ("2025-01-03", "20250105"), ("undated", "20250105"),
-        ("2025-01-04", "20250106"), ("undated", "20250106"),  # of the attempt that was repeated
-    }
-    pruned = storage.read_days(spark, path, schemas.ECOM, procedures.run_name(third))._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in pruned.lower()
 
 
-def ecom_order(key, time, total=1.0):
-    return '{"order_id":"%s","total_amount":%s,"timestamp":"%s"}' % (key, total, time)
+def test_a_repeat_with_other_input_gives_what_the_first_would_have(spark, tmp_path):
+    run = order_run(spark, procedures.Warehouse(str(tmp_path / "wh")))
+    days = lambda got: [(k, d) for k, d, _ in got[0]]
+    assert days(run(FIRST, [order("b", "2025-01-01T00:00:00Z"), order("c", "2025-01-09T00:00:00Z")])) == [("b", "2025-01-01"), ("c", "2025-01-09")]
+    assert days(run(SECOND, [order("b", "2025-01-02T00:00:00Z")])) == [("b", "2025-01-02"), ("c", "2025-01-09")]
+    assert days(run(SECOND, [order("b", "2025-01-03T00:00:00Z")])) == [("b", "2025-01-03"), ("c", "2025-01-09")]
+    # without b, the first load's copy is back
+    rows, log = run(SECOND, [order("d", "2025-01-03T00:00:00Z")])
+    assert [(k, d) for k, d, _ in rows] == [("b", "2025-01-01"), ("c", "2025-01-09"), ("d", "2025-01-03")] and log == {}
+    assert days(run(FIRST, [order("e", "2025-01-01T00:00:00Z")])) == [("d", "2025-01-03"), ("e", "2025-01-01")]
 
 
-def test_a_repeat_with_other_input_replaces_the_attempt(spark, tmp_path):
+def test_a_run_that_broke_off_is_repeated(spark, tmp_path, monkeypatch):
+    """Lost between taking the old days away and putting the new ones in place."""
     warehouse = procedures.Warehouse(str(tmp_path / "wh"))
-    path, spec = warehouse.silver_days(schemas.ECOM.name), schemas.ECOM
-
-    def run(as_of, values, previous=None):
-        load = feeds.good_rows(feeds.parse_ecom(samples.lines(spark, values), as_of))
-        storage.write_table(load, warehouse.load(spec.name, as_of), spec, mode="replace")
-        table = procedures.run_dedup(spark, warehouse, spec, as_of, previous)
-        return sorted((r.order_id, str(r.order_date)) for r in table.collect())
-
-    first, second = "2025-01-05T00:00:00Z", "2025-01-06T00:00:00Z"
-    assert run(first, [ecom_order("b", "2025-01-01T00:00:00Z"), ecom_order("c", "2025-01-09T00:00:00Z")]) == [("b", "2025-01-01"), ("c", "2025-01-09")]
-    assert run(second, [ecom_order("b", "2025-01-02T00:00:00Z")], first) == [("b", "2025-01-02"), ("c", "2025-01-09")]
-    assert run(second, [ecom_order("b", "2025-01-03T00:00:00Z")], first) == [("b", "2025-01-03"), ("c", "2025-01-09")]
-    # what no reader needs goes; the present state stays, an earlier one says that it is gone
-    assert storage.remove_superseded(spark, path, procedures.run_name(second)) == 2
-    left = storage.read_days(spark, path, spec, procedures.run_name(second))
-    assert sorted(r.order_id for r in left.collect()) == ["b", "c"]
-    with pytest.raises(ValueError):
-        storage.read_days(spark, path, spec, procedures.run_name(first))
-
-
-def test_late_data_repeats_exactly(spark, tmp_path):
+    run = order_run(spark, warehouse)
+    run(FIRST, [order("b", "2025-01-01T00:00:00Z"), order("c", "2025-01-01T00:00:00Z")])
+    whole = storage.replace_days
+
+    def breaks_off(df, days, path, spec, staged):
+        storage.drop_partitions(spark, path, [(spec.partition_column, d) for d in days])
+        raise RuntimeError
+
+    monkeypatch.setattr(storage, "replace_days", breaks_off)
+    with pytest.raises(RuntimeError):
+        run(SECOND, [order("b", "2025-01-02T00:00:00Z")])
+    monkeypatch.setattr(storage, "replace_days", whole)
+    rows, log = run(SECOND, [order("b", "2025-01-02T00:00:00Z")])
+    assert [(k, d) for k, d, _ in rows] == [("b", "2025-01-02"), ("c", "2025-01-01")] and log == {"b": 1}
+
+
+def test_order_ids_of_candidate_days_only_are_read(spark, tmp_path):
+    warehouse, spec = procedures.Warehouse(str(tmp_path / "wh")), schemas.ECOM
+    run = order_run(spark, warehouse)
+    run(FIRST, [order(f"o{d}{k}", f"2025-01-{d:02d}T00:00:00Z") for d in range(1, 10) for k in range(3)])
+    incoming = feeds.good_rows(feeds.parse_ecom(samples.lines(spark, [order("o41", "2025-02-01T00:00:00Z")]), SECOND))
+    keys = warehouse.key_days(spec.name)
+    assert [str(d) for d in storage.day_list(procedures.days_of_keys(spark, incoming, keys, spec))] == ["2025-01-04"]
+    plan = procedures.days_of_keys(spark, incoming, keys, spec)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "ReadSchema: struct<key_hash:bigint,day:date>" in plan
+    stored = storage.on_days(storage.read_table(spark, warehouse.table(spec.name), spec), spec, storage.day_list(procedures.days_of_keys(spark, incoming, keys, spec)))
+    assert len(stored.inputFiles()) == 9 and stored.count() == 3
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "2025-01-04" in plan or "20092" in plan
+    for k in range(10):  # an entry for every run; compaction leaves one for each key and day
+        procedures.note_key_days(incoming, keys, spec)
+    before = procedures.read_key_days(spark, keys).count()
+    assert procedures.compact_key_days(spark, keys, str(tmp_path / "staged"), spare_files=4) == 1
+    assert before - procedures.read_key_days(spark, keys).count() == 9
+
+
+def test_late_data_accumulates_and_repeats(spark, tmp_path):
     warehouse, as_of = procedures.Warehouse(str(tmp_path / "wh")), "2025-03-11T12:00:00Z"
 
     def run(values):
         rows = {schemas.POS.name: feeds.good_rows(feeds.parse_pos(samples.lines(spark, values), as_of))}
         return sorted(r.record_key for r in procedures.run_late(spark, warehouse, rows, as_of)[0].collect())
 
-    assert run(samples.POS_DAY_1) == ["K-101", "K-102", "K-103", "K-104"]
-    assert run(samples.POS_DAY_2) == ["K-103", "K-105", "K-106"]
+    for _ in range(2):
+        assert run(samples.POS_DAY_1) == ["K-101", "K-102", "K-103", "K-104"]
+    assert run(samples.POS_DAY_2) == ["K-101", "K-102", "K-103", "K-104", "K-105", "K-106"]
 
 
-def test_reads_follow_the_day_not_the_history(spark, tmp_path):
-    warehouse, spec = procedures.Warehouse(str(tmp_path / "wh")), schemas.POS
-    path, runs = warehouse.silver_days(spec.name), ["2025-03-01T00:00:00Z", "2025-03-11T12:00:00Z"]
-    for as_of, values, previous in ((runs[0], ['{"transaction_id":"old","timestamp":"2024-01-01T00:00:00Z"}'], None), (runs[1], samples.POS_DAY_1, runs[0])):
-        load = feeds.good_rows(feeds.parse_pos(samples.lines(spark, values), as_of))
-        storage.write_table(load, warehouse.load(spec.name, as_of), spec, mode="replace")
-        procedures.run_dedup(spark, warehouse, spec, as_of, previous)
-    own = spark.createDataFrame([("2025-03-11",), ("undated",)], "day string")
-    near = {r.day for r in procedures._days_a_copy_can_have(own, spec).collect()}
-    assert near == {"2025-03-09", "2025-03-10", "2025-03-11", "2025-03-12", "2025-03-13", "undated"}
-    assert procedures._days_a_copy_can_have(own, schemas.ECOM) is None
-    name = procedures.run_name(runs[1])
-    assert storage.read_days(spark, path, spec, name).count() == 5
-    recent = storage.read_days(spark, path, spec, name, written_since=procedures.run_name("2025-03-10T00:00:00Z"))
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert recent.count() == 4 and "PartitionFilters: [" in plan and "dynamicpruning" in plan.lower()
+def test_sales_look_for_copies_on_days_nearby(spark):
+    from datetime import date
+
+    near = procedures._days_nearby([date(2025, 3, 11), None])
+    assert [str(d) for d in near] == ["None", "2025-03-09", "2025-03-10", "2025-03-11", "2025-03-12", "2025-03-13"]
 
 
 def test_maintenance(spark, tmp_path):
     warehouse, spec, loaded, now = procedures.Warehouse(str(tmp_path / "wh")), schemas.POS, "2025-03-11T12:00:00Z", "2026-03-11T00:00:00Z"
     storage.write_table(pos(spark), warehouse.load(spec.name, loaded), spec, mode="replace")
-    procedures.run_dedup(spark, warehouse, spec, loaded)
-    gone = procedures.run_maintenance(spark, warehouse, spec, now, loaded)
-    assert [(str(r.partition_date), r.row_count) for r in gone.collect()] == [("2025-03-10", 1)]
-    left = storage.read_days(spark, warehouse.silver_days(spec.name), spec, procedures.run_name(now))
-    assert {str(r.event_date) for r in left.collect()} == {"2025-03-11"}
+    samples.write_lines(tmp_path / "in" / "a.json", samples.POS_DAY_2)
+    messages = landing.stream_text_lines(spark, str(tmp_path / "in"))
+    stream.finish(stream.start_bronze(messages, warehouse.stream(spec.name), f"{tmp_path}/dead", f"{tmp_path}/ckpt", loaded))
+    procedures.run_dedup(spark, warehouse, spec, loaded, streamed_since=procedures.FIRST)
+    for k in range(6):  # small files on the day that is kept
+        more = pos(spark).where("event_date = DATE'2025-03-11'").withColumn("transaction_id", F.lit(f"more{k}")).limit(1)
+        storage.write_table(more, warehouse.table(spec.name), spec)
+    done = procedures.run_maintenance(spark, warehouse, spec, now)
+    assert {(r.action, str(r.partition_date), r.amount) for r in done.collect()} == {
+        ("archived", "2025-03-10", 1), ("raw_dropped", "2025-03-10", 1), ("stream_dropped", "2025-03-10", 1), ("compacted", "2025-03-11", 7),
+    }
+    for path in (warehouse.table(spec.name), warehouse.bronze(spec.name), warehouse.stream(spec.name)):
+        assert {str(r.event_date) for r in storage.read_table(spark, path, spec).collect()} == {"2025-03-11"}
+    assert storage.read_table(spark, warehouse.table(spec.name), spec).count() == 11
+    assert len(list(Path(warehouse.table(spec.name)).rglob("*.parquet"))) == 1
     assert spark.read.parquet(warehouse.archive(spec.name)).count() == 1
-    again = procedures.run_maintenance(spark, warehouse, spec, "2026-03-11T01:00:00Z", now)
-    assert again.count() == 0 and left.count() == 5
+    again = procedures.run_maintenance(spark, warehouse, spec, "2026-03-11T01:00:00Z")
+    assert again.count() == 0
+    # stock has no deduplicated table: its raw loads are archived
+    stock = feeds.good_rows(feeds.parse_inventory(samples.lines(spark, samples.INVENTORY), loaded))
+    storage.write_table(stock, warehouse.load(schemas.INVENTORY.name, loaded), schemas.INVENTORY, mode="replace")
+    gone = procedures.run_maintenance(spark, warehouse, schemas.INVENTORY, "2027-01-01T00:00:00Z")
+    assert [(r.action, r.amount) for r in gone.collect()] == [("archived", 3)]
+    assert storage.read_table(spark, warehouse.bronze(schemas.INVENTORY.name), schemas.INVENTORY).count() == 0
+    assert spark.read.parquet(warehouse.archive(schemas.INVENTORY.name)).count() == 3
+
+
+def test_compaction_leaves_days_of_few_files_alone(spark, tmp_path):
+    path, spec = str(tmp_path / "t"), schemas.POS
+    storage.write_table(pos(spark), path, spec)
+    for _ in range(5):
+        storage.write_table(pos(spark).where("event_date = DATE'2025-03-11'"), path, spec)
+    alone = set(Path(path).rglob("event_date=2025-03-10/*.parquet"))
+    planned = storage.compact_days(spark, path, spec, str(tmp_path / "staged"))
+    assert [(str(r.day), r.file_count) for r in planned.collect()] == [("2025-03-11", 6)]
+    assert set(Path(path).rglob("event_date=2025-03-10/*.parquet")) == alone
+    assert {(str(r.day), r.file_count) for r in storage.file_sizes(spark, path, spec).collect()} == {("2025-03-10", 1), ("2025-03-11", 1)}
+    assert storage.read_table(spark, path, spec).count() == 37
 
 
 def test_command_line(spark, tmp_path):
@@ -263,4 +309,30 @@ def test_command_line(spark, tmp_path):
     jobs.main(["stream-pos", "--input_directory", f"{tmp_path}/in", "--output_table", f"{out}/s", "--dead_letter_table",
                f"{out}/sd", "--windows_table", f"{out}/w", "--checkpoint", f"{out}/c", "--once"])
     assert spark.read.parquet(f"{out}/s").count() == 4 and spark.read.parquet(f"{out}/sd").count() == 1
-    assert spark.read.parquet(f"{out}/w").agg(F.sum("sales_count")).first()[0] == 4
+    assert stream.read_windowed_sales(spark, f"{out}/w").agg(F.sum("sales_count")).first()[0] == 4
+
+
+def test_command_line_runs_of_a_warehouse(spark, tmp_path):
+    """The stream, the daily chain, an hour of orders, monitoring and maintenance, from the shell."""
+    from retailmill import jobs
+
+    root = str(tmp_path / "wh")
+    inputs = land(tmp_path, "d1", {
+        "pos": ("json", None, samples.POS_DAY_1), "ecom": ("json", None, samples.ECOM),
+        "crm": ("csv", samples.CRM_8_HEADER, samples.CRM_DAY_1), "inv": ("csv", samples.INVENTORY_HEADER, samples.INVENTORY)})
+    samples.write_lines(tmp_path / "messages" / "a.json", samples.POS_DAY_2)
+    jobs.main(["--as_of", NOW, "stream-pos", "--input_directory", f"{tmp_path}/messages", "--root", root, "--once"])
+    daily = [f"--input={name}={path}" for name, path in inputs.items()]
+    jobs.main(["--as_of", "2025-03-11T12:00:00Z", "daily", "--root", root, *daily])
+    sales = storage.read_table(spark, f"{root}/silver/raw_pos_transactions", schemas.POS)
+    assert {r.transaction_id for r in sales.collect()} == {f"K-10{k}" for k in range(1, 7)}
+    mart = storage.read_table(spark, f"{root}/gold/daily_store_sales", schemas.DAILY_SALES)
+    assert mart.agg(F.sum("transaction_count")).first()[0] == 9
+    samples.write_lines(tmp_path / "shop/hourly/2025-03-11/13/x.json", [order("W-9", "2025-03-11T12:30:00Z")])
+    jobs.main(["--as_of", "2025-03-11T13:00:00Z", "hourly-ecom", "--root", root, "--prefix", f"{tmp_path}/shop"])
+    assert storage.read_table(spark, f"{root}/silver/raw_ecom_orders", schemas.ECOM).count() == 4
+    jobs.main(["--as_of", "2025-03-11T14:00:00Z", "monitoring", "--root", root])
+    jobs.main(["--as_of", "2026-03-12T00:00:00Z", "maintenance", "--root", root])
+    assert storage.read_table(spark, f"{root}/silver/raw_pos_transactions", schemas.POS).count() == 0
+    names = {r.pipeline_name for r in spark.read.parquet(f"{root}/log/pipeline_monitoring").collect()}
+    assert {"hourly_ecommerce", "monitoring_report", "raw_pos_transactions_batch"} <= names

@@ -16,9 +16,9 @@ def message(key, time, store="S1", amount=1.0):
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     landed, out = tmp_path / "in", str(tmp_path / "out")
     samples.write_lines(landed / "1.json", samples.POS_DAY_1 + ["{bad", '{"amount":1}'])
-    run = lambda: stream.start_bronze(
+    run = lambda: stream.finish(stream.start_bronze(
         landing.stream_text_lines(spark, str(landed)), f"{out}/rows", f"{out}/dead", f"{out}/ckpt", NOW
-    ).awaitTermination()
+    ))
     run()
     samples.write_lines(landed / "2.json", samples.POS_DAY_2)
     run()
@@ -29,7 +29,25 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert got == sorted(map(str, feeds.good_rows(batch).select(*columns).collect()))
     dead = spark.read.parquet(f"{out}/dead")
     assert sorted(r.line for r in dead.collect()) == sorted(["{bad", '{"amount":1}'])
-    assert {r.batch_id for r in spark.read.parquet(f"{out}/rows").collect()} == {0, 1}
+    # day partitions, and a date filter prunes
+    day = stream.read_bronze(spark, f"{out}/rows").where("event_date = DATE'2025-03-10'")
+    assert [r.transaction_id for r in day.collect()] == ["K-105"]
+    assert "PartitionFilters: [isnotnull(event_date" in day._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_replayed_batch_is_stored_once(spark, tmp_path):
+    """The commit of the last batch is lost, so it runs again; the sink's log knows it."""
+    landed, out = tmp_path / "in", tmp_path / "out"
+    for k, values in enumerate((samples.POS_DAY_1, samples.POS_DAY_2)):
+        samples.write_lines(landed / f"{k}.json", values)
+        messages = landing.stream_text_lines(spark, str(landed))
+        stream.finish(stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt"))
+    before = sorted(map(str, stream.read_bronze(spark, f"{out}/rows").collect()))
+    for commit in (out / "ckpt" / "rows" / "commits").glob("*1*"):
+        commit.unlink()
+    messages = landing.stream_text_lines(spark, str(landed))
+    stream.finish(stream.start_bronze(messages, f"{out}/rows", f"{out}/dead", f"{out}/ckpt"))
+    assert sorted(map(str, stream.read_bronze(spark, f"{out}/rows").collect())) == before and len(before) == 7
 
 
 def test_windows_refine_and_drop_what_is_too_late(spark, tmp_path):
@@ -37,7 +55,7 @@ def test_windows_refine_and_drop_what_is_too_late(spark, tmp_path):
 
     def run():
         rows = feeds.good_rows(stream.parse_messages(landing.stream_text_lines(spark, str(landed)), NOW))
-        stream.start_windowed_sales(stream.windowed_sales(rows), f"{out}/w", f"{out}/ckpt").awaitTermination()
+        stream.finish(stream.start_windowed_sales(stream.windowed_sales(rows), f"{out}/w", f"{out}/ckpt"))
 
     def state():
         return {
@@ -57,6 +75,16 @@ def test_windows_refine_and_drop_what_is_too_late(spark, tmp_path):
     samples.write_lines(landed / "3.json", [message("f", "2025-03-11T10:00:30Z", amount=9.0), message("g", "2025-03-11T11:30:00Z")])
     run()
     assert state()[(first, "S1")] == (3, 7.5) and state()[(datetime(2025, 3, 11, 11, 30), "S1")] == (1, 1.0)
+    # final windows were stored once, and the state of open ones holds none that is long final
+    closed = spark.read.parquet(f"{out}/w/closed")
+    assert sorted(r.window_start for r in closed.collect()) == [first, second]
+    samples.write_lines(landed / "4.json", [message("h", "2025-03-11T18:00:00Z")])
+    run()
+    assert len(state()) == 5 and len(list((tmp_path / "out" / "w" / "open").glob("batch=*"))) <= 2
+    newest = max((tmp_path / "out" / "w" / "open").glob("batch=*"), key=lambda p: int(p.name[6:]))
+    assert spark.read.parquet(str(newest)).count() == 1
+    plan = stream.read_windowed_sales(spark, f"{out}/w")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan.replace("window_", "")
 
 
 def test_event_time_fallbacks(spark):
@@ -80,3 +108,17 @@ def test_stream_dedup(spark, tmp_path):
     run()
     got = sorted((r.transaction_id, r.event_ts.minute) for r in spark.read.parquet(f"{out}/rows").collect())
     assert got == [("a", 0), ("a", 5), ("b", 0)]
+
+
+def test_stream_dedup_of_a_hot_key(spark, tmp_path):
+    """One transaction makes up half of a batch of many files: it is thinned out where it is read."""
+    landed, out = tmp_path / "in", str(tmp_path / "out")
+    for k in range(8):
+        hot = [message("hot", "2025-03-11T10:00:00Z")] * 200
+        samples.write_lines(landed / f"{k}.json", hot + [message(f"t{k}-{i}", "2025-03-11T10:00:00Z") for i in range(200)])
+    rows = feeds.good_rows(stream.parse_messages(landing.stream_text_lines(spark, str(landed)), NOW))
+    query = stream.start_append(stream.dedup_stream(rows), f"{out}/rows", f"{out}/ckpt")
+    query.awaitTermination()
+    assert spark.read.parquet(f"{out}/rows").count() == 1601
+    first, second = sorted(query.lastProgress["stateOperators"], key=lambda o: -o["numRowsTotal"])
+    assert second["numRowsTotal"] == 1601 <= first["numRowsTotal"] <= 1600 + stream.SALTS
