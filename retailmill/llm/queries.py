@@ -100,7 +100,7 @@ ranked AS (
 alike AS (
     SELECT c.conv_id, c.k, coalesce(c.role = r.role AND c.text = r.text, false) AS same
     FROM (SELECT * FROM ranked WHERE side = 'chosen') c
-    JOIN (SELECT * FROM ranked WHERE side = 'rejected') r ON c.conv_id = r.conv_id AND c.k = r.k
+    JOIN (SELECT * FROM ranked WHERE side = 'rejected') r ON c.conv_id IS NOT DISTINCT FROM r.conv_id AND c.k = r.k
 ),
 prefix AS (
     SELECT conv_id, coalesce(min(CASE WHEN NOT same THEN k END) - 1, count(*)) AS n FROM alike GROUP BY conv_id
@@ -108,7 +108,7 @@ prefix AS (
 shown AS (
     SELECT ranked.conv_id, side, k, n, role, '<|' || role || '|>' || chr(10) AS head,
            replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body
-    FROM ranked JOIN prefix ON ranked.conv_id = prefix.conv_id
+    FROM ranked JOIN prefix ON ranked.conv_id IS NOT DISTINCT FROM prefix.conv_id
 ),
 placed AS (
     SELECT *, coalesce(sum(length(head) + length(body)) OVER (
@@ -151,11 +151,19 @@ compared AS (
     FROM hit JOIN d USING (doc_id) JOIN b USING (item_id)
 ),
 verified AS (
-    SELECT doc_id, item_id, i, j, sum(CASE WHEN x[i + k + 1] = y[j + k + 1] THEN 1 ELSE 0 END) AS n_equal, count(*) AS n
+    SELECT doc_id, item_id, i, j, sum(CASE WHEN x[i + k + 1] = y[j + k + 1] THEN 1 ELSE 0 END) AS n_equal, count(*) AS n,
+           sum(CASE WHEN k BETWEEN 0 AND 11 AND x[i + k + 1] = y[j + k + 1] THEN 1 ELSE 0 END) AS own
     FROM compared GROUP BY ALL
+),
+short AS (SELECT item_id, len(w) AS n, array_to_string(w, ' ') AS t FROM b WHERE len(w) BETWEEN 5 AND 11),
+found AS (
+    SELECT doc_id, item_id, i, n_equal FROM verified WHERE n_equal >= 10 AND n_equal >= 0.6 * n OR own >= 11
+    UNION ALL
+    SELECT doc_id, item_id, i, n FROM short
+    JOIN (SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM d WHERE EXISTS (SELECT 1 FROM short)) ON array_to_string(w[i + 1:i + n], ' ') = t
 )
-SELECT doc_id, item_id, count(*) AS n_hits, CAST(max(n_equal) AS BIGINT) AS best_equal, min(i) AS first_word
-FROM verified WHERE n_equal >= 10 AND n_equal >= 0.6 * n GROUP BY doc_id, item_id
+SELECT doc_id, item_id, count(DISTINCT i) AS n_hits, CAST(max(n_equal) AS BIGINT) AS best_equal, min(i) AS first_word
+FROM found GROUP BY doc_id, item_id
 """
 
 SHINGLES = r"""
