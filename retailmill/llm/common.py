@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Callable, Iterator
 from types import ModuleType
@@ -24,7 +26,7 @@ cloudpickle.register_pickle_by_value(retailmill)
 
 #: Rows that a mapping function gets at once; bounds its temporary arrays.
 ROWS_AT_ONCE = 256
-#: Characters of text that a mapping function gets at once, or one longer text.
+#: Bytes of text that a mapping function gets at once, or one longer row.
 CHARS_AT_ONCE = 500_000
 
 
@@ -45,31 +47,72 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables written to the shared folder on the way to a result, and discarded together
+    once that is written itself."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def written(self, df: DataFrame, purpose: str) -> DataFrame:
+        self.paths.append(scratch_dir(self.spark, purpose))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def discard(self, keep: int = 0) -> None:
+        """Deletes all tables but the last ``keep``."""
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        gone = self.paths[: len(self.paths) - keep]
+        for path in gone:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
+        self.paths = self.paths[len(gone) :]
+
+
 def map_rows(df: DataFrame, make: Callable[[], Callable[..., dict]], schema: str) -> DataFrame:
-    """Maps groups of rows in Arrow. ``make()`` is called once a task and gives the
-    function, which gets a list for each column of df and returns lists or arrays
-    for those of ``schema``."""
+    """Maps groups of rows in Arrow, bounded in rows and in bytes of text. ``make()`` is called
+    once a task and gives the function, which gets a list for each column of df and returns
+    lists or arrays for those of ``schema``."""
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
-            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                got = fn(*(c.to_pylist() for c in batch.slice(at, ROWS_AT_ONCE).columns))
-                yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in arrow], schema=arrow)
+        for part in slices(batches):
+            got = fn(*(c.to_pylist() for c in part.columns))
+            yield pa.RecordBatch.from_arrays([pa.array(got[f.name], f.type) for f in arrow], schema=arrow)
+        del fn
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
-def groups_of_rows(
-    batches: Iterator[pa.RecordBatch], text_column: int, rows: int = 4 * ROWS_AT_ONCE, chars: int = CHARS_AT_ONCE
-) -> Iterator[list[list]]:
-    """The columns of Arrow batches as lists, a bounded number of rows and bytes of text at
-    a time; a longer text comes alone."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = ROWS_AT_ONCE, chars: int = CHARS_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """Arrow batches cut so that each has a bounded number of rows and bytes of text, or is one longer row."""
     for batch in batches:
-        sizes = pc.binary_length(batch.column(text_column)).to_numpy(zero_copy_only=False)
+        sizes = np.zeros(batch.num_rows)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+                sizes += np.nan_to_num(pc.binary_length(column).to_numpy(zero_copy_only=False).astype(float))
         for a, b in slices_by_size(sizes, rows, chars):
-            yield [c.to_pylist() for c in batch.slice(a, b - a).columns]
+            yield batch.slice(a, b - a)
+
+
+def give_back() -> None:
+    """At a task's end: returns freed memory to the system, which an idle worker would keep."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        return
+
+
+def groups_of_rows(
+    batches: Iterator[pa.RecordBatch], rows: int = 4 * ROWS_AT_ONCE, chars: int = CHARS_AT_ONCE
+) -> Iterator[list[list]]:
+    """The columns of Arrow batches as lists, a bounded number of rows and bytes of text at a time."""
+    for part in slices(batches, rows, chars):
+        yield [c.to_pylist() for c in part.columns]
 
 
 def slices_by_size(sizes: np.ndarray, rows: int, most: int) -> Iterator[tuple[int, int]]:
@@ -116,8 +159,10 @@ def range_of(doc_id: Column, cuts: list[int]) -> Column:
 
 def once_a_worker(key: str, make: Callable[[], Any]) -> Any:
     """What ``make()`` gives, kept for later tasks of the same Python worker: for
-    vocabularies, which are read-only and of fixed size."""
-    kept = sys.modules.setdefault("_retailmill_worker", ModuleType("_retailmill_worker")).__dict__
+    vocabularies, which are read-only and of fixed size. One is kept at a time, so that a
+    worker that goes on to another stage holds no more than that stage needs."""
+    kept = sys.modules.setdefault("_retailmill_worker", ModuleType("_retailmill_worker")).__dict__.setdefault("kept", {})
     if key not in kept:
+        kept.clear()
         kept[key] = make()
     return kept[key]

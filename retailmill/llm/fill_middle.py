@@ -12,7 +12,7 @@ the text itself: where it is empty, holds one of the three marks, or is not draw
 ``Settings.percent``. No mark can arise at a seam, as none begins the way another ends;
 so ``restore`` splits at the marks and is exact.
 
-One pass, no shuffle. Texts are worked on in groups of half a million characters; a
+One pass, no shuffle. Texts are worked on in groups of half a million bytes; a
 longer one is a group of its own, at about 40 bytes a character.
 
 Defined cases: null and empty texts are plain and empty; equal rows have equal results; a
@@ -103,7 +103,7 @@ def fill_in_middle(docs: DataFrame, settings: Settings = Settings()) -> DataFram
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, text, drawn in groups_of_rows(batches, text_column=1):
+        for ids, text, drawn in groups_of_rows(batches):
             units = Units(text, settings.unit)
             h = np.array(drawn, np.int64).reshape(-1, 4)
             a, b = (h[:, k] % (units.n + 1) for k in (0, 1))

@@ -15,20 +15,23 @@ they differ bound the overlap from above. Pairs that the bound allows are settle
 exact intersection of the sorted hash arrays.
 
 Not all pairs of a tile are compared. Round one ties each set to the tile's smallest;
-components follow. Round two compares pairs of a tile that lie in different components.
-A tile of very many copies thus costs one comparison a set, yet no link between
-components is lost. Sets equal in all shingles are one class from the start.
-
-Tiles that hold more than eight components come from a passage that many texts share.
-By counting, two linked sets share other tiles too unless common ones (and empty
-slices) make up most of a set's tiles. So only such *leaning* sets are compared there,
-in as many common tiles as counting leaves open (of a large set, the first 32), block
-against block of 1,024 sets: bitmaps first, and only pairs that they allow leave the task.
+components follow. What is then compared are pairs of a tile that lie in different
+components. A tile of very many copies thus costs few comparisons a set, yet no link
+between components is lost. Sets equal in all shingles are one class from the start.
+
+Tiles with few pairs between components are compared whole. The others are *common*:
+a passage that many texts share, or near copies that are not linked. By counting, two
+linked sets share other tiles too unless common ones (and empty slices) make up most of
+a set's tiles. So only such *leaning* sets are compared there, in as many common tiles
+as counting leaves open (of a large set, the first 32; ``exact``: all slices and tiles),
+block against block of 8,192 sets: bitmaps first, and only pairs that they allow leave the
+task. Of these a block first reports a forest between components; once it is verified
+and components follow, it reports what is still apart.
 
 Defined cases: null and empty texts have no shingles and are their own component;
 fewer than five words are one shingle; repeated rows, or a null id, follow their text
-(the component is the smallest non-null id among the linked rows). Other columns are
-not read.
+(the component is the smallest non-null id among the linked rows; null where all are
+null). Other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,8 +43,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from retailmill.llm.common import map_rows, texts, written
-from retailmill.llm.components import components
+from retailmill.llm.common import Scratch, map_rows, written
+from retailmill.llm.components import components, joined_up
 from retailmill.llm.shingles import mixed, shingle_sets
 
 PERCENT = 80
@@ -50,8 +53,9 @@ BAND = 1.6
 #: Of a large set's tiles, the share that may be common ones: a linked pair then has an
 #: equal one among the others with a chance of 1 - 0.62^44.
 LEANING = 0.31
-FEW = 8
-BLOCK = 1_024
+#: Pairs between components up to which a tile is compared whole.
+FEW_PAIRS = 28
+BLOCK = 8_192
 TRIES = 32
 
 
@@ -78,7 +82,7 @@ def differing(n: int) -> int:
     return (n + m) * (100 - PERCENT) // (100 + PERCENT)
 
 
-def tiles(own: np.ndarray) -> list[dict]:
+def tiles(own: np.ndarray, most: int = SLICES) -> list[dict]:
     """The tiles that a sorted set enters, by band: ``allowed`` is how many of them can be
     common ones before a linked pair might share no other; ``all_known`` says whether the
     set entered every slice, so that this is exact."""
@@ -92,9 +96,9 @@ def tiles(own: np.ndarray) -> list[dict]:
         edge = np.concatenate([[0], at, [len(own)]])
         which = np.arange(n, dtype=np.uint64) + np.uint64(low << 32)
         taken = np.flatnonzero(edge[1:] > edge[:-1])
-        if n > SLICES:
+        if n > most:
             order = mixed(which[taken] * np.uint64(0xA24BAED4963EE407))
-            taken = taken[np.argsort(order)[:SLICES]]
+            taken = taken[np.argsort(order)[:most]]
             allowed = int(LEANING * len(taken))
         elif n - len(taken) < alike:
             allowed = alike - (n - len(taken)) - 1
@@ -102,7 +106,7 @@ def tiles(own: np.ndarray) -> list[dict]:
             taken, allowed = np.arange(n), alike - 1
         content = total[edge[1:]] - total[edge[:-1]]
         keys = mixed(mixed(content[taken]) + which[taken] * np.uint64(0x9FB21C651E98DF25))
-        out.append({"band": low, "allowed": allowed, "all_known": n <= SLICES, "tile": keys.view(np.int64).tolist()})
+        out.append({"band": low, "allowed": allowed, "all_known": n <= most, "tile": keys.view(np.int64).tolist()})
     return out
 
 
@@ -118,31 +122,37 @@ def set_hash(own: np.ndarray) -> int:
     return int(mixed(np.array([mixed(own).sum() + np.uint64(len(own))], np.uint64)).view(np.int64)[0])
 
 
-def profiles(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, v (hash of the whole set, null without shingles), bits, tiles.
-    Within a task only the first copy of a set has bits and tiles."""
+def row_key() -> Column:
+    """Never null; equal only for rows equal in id and text."""
+    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+
+
+def profiles(docs: DataFrame, most: int = SLICES) -> DataFrame:
+    """doc_id, k (row key), n_shingles, v (hash of the whole set, null without shingles), bits, tiles.
+    Within a task mostly only the first copy of a set has bits and tiles."""
 
     def make():
         seen: set[int] = set()
 
-        def fn(ids, text):
-            out = {"doc_id": ids, "n_shingles": [], "v": [], "bits": [], "tiles": []}
+        def fn(ids, text, key):
+            out = {"doc_id": ids, "k": key, "n_shingles": [], "v": [], "bits": [], "tiles": []}
             for own in shingle_sets(text):
                 v = set_hash(own) if len(own) else None
                 new = v is not None and v not in seen
-                if len(seen) > 1_000_000:
+                if len(seen) > 100_000:
                     seen.clear()
                 seen.add(v)
                 out["n_shingles"].append(len(own))
                 out["v"].append(v)
                 out["bits"].append(bitmap(own) if new else None)
-                out["tiles"].append(tiles(own) if new else None)
+                out["tiles"].append(tiles(own, most) if new else None)
             return out
 
         return fn
 
     tile = "struct<band: int, allowed: int, all_known: boolean, tile: array<long>>"
-    return map_rows(texts(docs), make, f"doc_id long, n_shingles long, v long, bits array<long>, tiles array<{tile}>")
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), row_key().alias("k"))
+    return map_rows(rows, make, f"doc_id long, k long, n_shingles long, v long, bits array<long>, tiles array<{tile}>")
 
 
 def folded(bits: Column, n: Column) -> Column:
@@ -173,25 +183,30 @@ def may_link(a: str, b: str) -> Column:
     return 100 * most >= PERCENT * (n - most)
 
 
-def exact_links(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) of set hashes that are linked. ``sets``: v, doc_id, n, bits."""
-    light = sets.select(F.col("v"), F.struct("n", "bits").alias("s"))
+def likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of the pairs (a, b) of set hashes that sizes and bitmaps allow."""
+    light = sets.select("v", F.struct("n", "bits").alias("s"))
     left = light.select(F.col("v").alias("a"), F.col("s").alias("x"))
     right = light.select(F.col("v").alias("b"), F.col("s").alias("y"))
-    near = written(pairs.join(left, "a").join(right, "b").where(may_link("x", "y")).select("a", "b"), "near")
+    return pairs.join(left, "a").join(right, "b").where(may_link("x", "y")).select("a", "b")
+
+
+def exact_links(near: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Those of the pairs (a, b) of set hashes that are linked, by their sorted arrays. ``sets``
+    names a row (k) that holds a set (v)."""
     wanted = near.select(F.col("a").alias("v")).unionByName(near.select(F.col("b").alias("v"))).distinct()
-    ids = sets.join(wanted, "v").select("doc_id", "v")
+    keys = sets.select("k", "v").join(wanted, "v")
 
     def make():
         def fn(v, text):
-            # rows that repeat a doc_id with another text have another hash
-            right = [(k, own) for k, own in zip(v, shingle_sets(text)) if len(own) and set_hash(own) == k]
-            return {"v": [k for k, _ in right], "own": [own.view(np.int64) for _, own in right]}
+            return {"v": v, "own": [own.view(np.int64) for own in shingle_sets(text)]}
 
         return fn
 
-    arrays = map_rows(ids.join(texts(docs), "doc_id").select("v", "text"), make, "v long, own array<long>")
-    arrays = written(arrays.dropDuplicates(["v"]), "arrays")
+    rows = docs.select(row_key().alias("k"), F.coalesce("text", F.lit("")).alias("text")).join(keys, "k")
+    # rows equal in id and text have the same key
+    own = rows.groupBy("v").agg(F.min("text").alias("text"))
+    arrays = scratch.written(map_rows(own, make, "v long, own array<long>"), "arrays")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -211,23 +226,41 @@ def exact_links(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame
     return both.select("a", "b", "p", "q").mapInArrow(settle, "a long, b long")
 
 
-def in_few_tiles(now: DataFrame) -> DataFrame:
-    """Pairs (a, b) of sets that share a tile of two to eight components and lie in different ones."""
+def apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of tiles that hold several components, with their label and the number of
+    pairs between components in the tile."""
+    now = members.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    own = now.groupBy("tile", "label").agg(F.count("*").cast("double").alias("n"))
+    held = own.groupBy("tile").agg(((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("pairs"))
+    return now.join(held.where("pairs > 0"), "tile")
+
+
+def in_few_pairs(now: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets in different components that share a tile with few such pairs."""
     a = now.select("tile", F.col("v").alias("a"), F.col("label").alias("label_a"))
     b = now.select("tile", F.col("v").alias("b"), F.col("label").alias("label_b"))
     return a.join(b, "tile").where("a < b AND label_a != label_b").select("a", "b").distinct()
 
 
-def in_common_tiles(now: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) of leaning sets that share a common tile, lie in different components
-    and may be linked by their bitmaps."""
+def leaning(now: DataFrame, scratch: Scratch, exact: bool = False) -> DataFrame:
+    """The sets of common tiles that may share no other tile with a linked one: tile, v,
+    all_tiles (the common tiles that the set is compared in)."""
     by_set = Window.partitionBy("v", "band")
     rows = now.withColumns({"h": F.count("*").over(by_set), "k": F.row_number().over(by_set.orderBy("tile"))})
-    needed = F.when(F.col("all_known"), F.col("h") - F.col("allowed")).otherwise(TRIES)
-    rows = rows.where((F.col("h") > F.col("allowed")) & (F.col("k") <= needed)).select("tile", "v", "label")
-    rows = rows.withColumn("all_tiles", F.collect_set("tile").over(Window.partitionBy("v")))
-    rows = written(rows, "leaning")
-    blocks = rows.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n")).where(F.col("n") > 0)
+    needed = F.when(F.col("all_known"), F.col("h") - F.col("allowed")).otherwise(F.col("h") if exact else F.lit(TRIES))
+    rows = rows.where((F.col("h") > F.col("allowed")) & (F.col("k") <= needed)).select("tile", "v").distinct()
+    return scratch.written(rows.withColumn("all_tiles", F.collect_set("tile").over(Window.partitionBy("v"))), "leaning")
+
+
+def in_common_tiles(rows: DataFrame, labels: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
+    """Pairs (a, b) of leaning sets that share a common tile, lie in different components
+    and may be linked by their bitmaps. ``forest``: of a block only pairs that tie
+    components not yet tied in it."""
+    rows = rows.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
+    blocks = rows.groupBy("tile").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("n"), F.min("label").alias("least"), F.max("label").alias("most")
+    )
+    blocks = blocks.where("least != most").select("tile", "n")
     own = F.pmod(F.xxhash64("v"), F.col("n")).cast("int")
     cells = rows.join(blocks, "tile").select(
         "tile", "v", "label", "all_tiles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
@@ -239,6 +272,24 @@ def in_common_tiles(now: DataFrame, sets: DataFrame) -> DataFrame:
         "tile", "i", "j", "own", "v", "label", "n", "bits", "all_tiles"
     )
 
+    def tied(p: np.ndarray, q: np.ndarray, label: np.ndarray) -> np.ndarray:
+        """Places of the pairs that tie components which those before them have not tied."""
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        keep = []
+        for k, (a, b) in enumerate(zip(label[p].tolist(), label[q].tolist())):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                keep.append(k)
+        return np.array(keep, np.int64)
+
     def compare(v, label, n, bits, x, y) -> tuple[np.ndarray, np.ndarray]:
         """Of the index lists x and y of one cell, the pairs that may be linked."""
         width = min(len(bits[k]) for k in (*x, *y))
@@ -279,7 +330,11 @@ def in_common_tiles(now: DataFrame, sets: DataFrame) -> DataFrame:
                     p, q = compare(v, label, n, bits, x, y)
                     # a pair is reported by the first of the tiles that both entered
                     first = np.array([min(entered[g] & entered[h]) == tile[a] for g, h in zip(p, q)], bool)
-                    found.append((v[p[first]], v[q[first]]))
+                    p, q = p[first], q[first]
+                    if forest:
+                        keep = tied(p, q, label)
+                        p, q = p[keep], q[keep]
+                    found.append((v[p], v[q]))
             p, q = (np.concatenate([f[s] for f in found]) if found else np.zeros(0, np.int64) for s in (0, 1))
             low, high = np.minimum(p, q), np.maximum(p, q)
             both = np.unique(np.stack([low, high], 1)[low < high], axis=0)
@@ -296,44 +351,60 @@ def in_common_tiles(now: DataFrame, sets: DataFrame) -> DataFrame:
     return cells.mapInArrow(run, "a long, b long").distinct()
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row."""
-    rows = written(profiles(docs), "profiles")
-    sets = written(
-        rows.where("bits IS NOT NULL AND doc_id IS NOT NULL").select("v", "doc_id", F.col("n_shingles").alias("n"), "bits")
-        .dropDuplicates(["v"]),
-        "sets",
-    )
+def labelled(docs: DataFrame, exact: bool = False) -> DataFrame:
+    """doc_id, k (row key), n_shingles, v (hash of the set), label (of its component) of every row."""
+    scratch = Scratch(docs.sparkSession)
+    rows = scratch.written(profiles(docs, 1 << 31 if exact else SLICES), "profiles")
+    sets = scratch.written(
+        rows.where("bits IS NOT NULL").select("v", "k", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["v"]), "sets"
+    )
     entered = rows.where("tiles IS NOT NULL").select("v", F.explode("tiles").alias("t"))
     entered = entered.select("v", "t.band", "t.allowed", "t.all_known", F.explode("t.tile").alias("tile"))
     shared = entered.groupBy("tile").agg(F.min("v").alias("least"), F.max("v").alias("most")).where("least != most")
-    members = written(entered.join(shared.select("tile", "least"), "tile").distinct(), "members")
+    members = scratch.written(entered.join(shared.select("tile", "least"), "tile").distinct(), "members")
 
     first = members.where("v != least").select(F.col("least").alias("a"), F.col("v").alias("b")).distinct()
-    links = written(exact_links(first, sets, docs), "links1")
-    labels = components(links)
+    near = scratch.written(likely(first, sets), "near")
+    labels = components(exact_links(near, sets, docs, scratch))
+    now = scratch.written(apart(members.drop("least"), labels), "apart")
+
+    few = in_few_pairs(now.where(F.col("pairs") <= FEW_PAIRS)).join(first, ["a", "b"], "left_anti")
+    rest = leaning(now.where(F.col("pairs") > FEW_PAIRS), scratch, exact)
+    forest = in_common_tiles(rest, labels, sets, True).join(near, ["a", "b"], "left_anti")
+    pairs = scratch.written(likely(few, sets).unionByName(forest).distinct(), "pairs")
+    labels = scratch.written(joined_up(labels, exact_links(pairs, sets, docs, scratch)), "labels")
+    # what is still apart after that
+    late = in_common_tiles(rest, labels, sets, False).join(near.unionByName(pairs), ["a", "b"], "left_anti")
+    late = scratch.written(late, "late")
+    labels = joined_up(labels, exact_links(late, sets, docs, scratch))
+
+    named = rows.select("v").where("v IS NOT NULL").distinct().join(labels, "v", "left")
+    named = named.select("v", F.coalesce("label", "v").alias("label"))
+    out = scratch.written(rows.select("doc_id", "k", "n_shingles", "v").join(named, "v", "left"), "labelled")
+    scratch.discard(keep=1)
+    return out
 
-    now = members.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
-    held = now.select("tile", "label").distinct().groupBy("tile").agg(F.count("*").alias("components"))
-    now = written(now.join(held.where("components > 1"), "tile").drop("least"), "open")
-    second = in_few_tiles(now.where(F.col("components") <= FEW))
-    third = in_common_tiles(now.where(F.col("components") > FEW), sets)
-    more = exact_links(second.unionByName(third).distinct().join(first, ["a", "b"], "left_anti"), sets, docs)
-    labels = components(links.unionByName(more))
-
-    # every class of equal sets has its smallest id; then every component of classes
-    classes = rows.where("v IS NOT NULL").groupBy("v").agg(F.min("doc_id").alias("least_id"))
-    named = classes.join(labels, "v", "left").select("v", F.coalesce("label", "v").alias("label"), "least_id")
-    names = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
-    of_set = named.join(names, "label").select("v", "component_id")
-    out = rows.select("doc_id", "n_shingles", "v").join(of_set, "v", "left")
+
+def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row. ``exact`` leaves nothing to chance: every
+    set enters all its tiles, whatever its size."""
+    rows = labelled(docs, exact)
+    names = rows.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    out = rows.join(names, "label", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Of each component the document with the smallest id, whole and unchanged; rows
-    without an id stay."""
-    found = jaccard_components(docs)
-    gone = found.where("doc_id != component_id").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    return left.select(docs.columns)
+    """Of each component one row, whole and unchanged: the one with the smallest id, or, if all
+    ids are null, the smallest row key; of rows equal in id and text any one. Rows without
+    shingles stay."""
+    rows = labelled(docs)
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "k")
+    kept = rows.where("label IS NOT NULL").groupBy("label").agg(F.min(order).alias("first")).select("first.k")
+    kept = kept.unionByName(rows.where("label IS NULL").select("k").distinct())
+    times = rows.where("label IS NOT NULL").groupBy("k").agg(F.count("*").alias("times"))
+    kept = written(kept.join(times, "k", "left").select(F.col("k").alias("_k"), (F.coalesce("times", F.lit(1)) > 1).alias("again")), "kept")
+    keyed = docs.withColumn("_k", row_key())
+    once = keyed.join(kept.where("NOT again"), "_k", "left_semi")
+    again = keyed.join(kept.where("again"), "_k", "left_semi").dropDuplicates(["_k"])
+    return once.select(docs.columns).unionByName(again.select(docs.columns))

@@ -124,7 +124,7 @@ def pieces(docs: DataFrame, path: str, settings: Settings = Settings()) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = once_a_worker(f"lower words {path}", lambda: WordEncoder(path))
-        for ids, text, row in groups_of_rows(batches, text_column=1):
+        for ids, text, row in groups_of_rows(batches):
             out: list[list] = [[] for _ in arrow]
             for doc_id, t, r in zip(ids, text, row):
                 data = encode(t) + end

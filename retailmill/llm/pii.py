@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailmill.llm.common import map_rows, sampled_ids, texts
+from retailmill.llm.common import give_back, map_rows, sampled_ids, slices, texts
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
@@ -238,7 +238,7 @@ def train(docs: DataFrame, settings: Settings = Settings()) -> Field:
             )
 
     rows = (
-        texts(docs).join(ids, "doc_id").select("text")
+        texts(docs).join(ids, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text")).select("text")
         .mapInArrow(run, "features array<array<int>>, labels array<int>, chain array<array<int>>, skip array<array<int>>").collect()
     )
     rows = sorted(rows, key=str)  # the fit does not depend on the order of arrival
@@ -371,16 +371,16 @@ def redacted(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     field, columns, schema = train(docs, settings), docs.columns, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            k = columns.index("text")
-            text = batch.column(k).to_pylist()
+        k, n = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
+        for part in slices(batches):
+            text = part.column(k).to_pylist()
             found = all_spans([t or "" for t in text], field, settings)
             new = [None if t is None else redact(t, base + more) for t, (base, more) in zip(text, found)]
-            cells = list(batch.columns)
-            cells[k] = pa.array(new, batch.schema.field(k).type)
-            if "n_chars" in columns:
-                n = columns.index("n_chars")
-                cells[n] = pa.array([None if t is None else len(t) for t in new], batch.schema.field(n).type)
-            yield pa.RecordBatch.from_arrays(cells, schema=batch.schema)
+            cells = list(part.columns)
+            cells[k] = pa.array(new, part.schema.field(k).type)
+            if n is not None:
+                cells[n] = pa.array([None if t is None else len(t) for t in new], part.schema.field(n).type)
+            yield pa.RecordBatch.from_arrays(cells, schema=part.schema)
+        give_back()
 
     return docs.mapInArrow(run, schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailmill.llm.common import held_out, map_rows, sampled_ids, texts
+from retailmill.llm.common import give_back, held_out, map_rows, sampled_ids, slices, texts
 
 WORD = re.compile(r"[^\W\d_]+")
 BEGINNINGS = (4, 5, 6)
@@ -93,7 +93,9 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
     known = labels.where(F.col("toxic").isNotNull() & ~held_out())
     ids = sampled_ids(known, settings.max_train)
     per_id = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = texts(docs).join(F.broadcast(per_id), "doc_id").select("text", "toxic")
+    # one row an id, however often an id is repeated
+    rows = texts(docs).join(F.broadcast(per_id), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic")).select("text", "toxic")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows that have a feature, by label: summed within the task first."""
@@ -192,8 +194,9 @@ def keep_clean(docs: DataFrame, labels: DataFrame, settings: Settings = Settings
     model = train(docs, labels, settings)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            text = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            yield batch.filter(pa.array([model.score(t or "") < threshold for t in text], pa.bool_()))
+        for part in slices(batches):
+            text = part.column(part.schema.get_field_index("text")).to_pylist()
+            yield part.filter(pa.array([model.score(t or "") < threshold for t in text], pa.bool_()))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
