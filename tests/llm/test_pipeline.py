@@ -23,7 +23,7 @@ def tables(spark, tmp_path_factory):
     rows += [(100 + k, base[k]) for k in range(5)] + [(110 + k, changed(base[k] + " " + base[k + 1], r, 1)) for k in range(3)]
     rows += [(120 + k, base[k] + " " + base[k + 1]) for k in range(3)]
     rows += [(200 + k, f"{base[k]} {items[k % 3][1]} end") for k in range(4)]
-    rows += [(300 + k, f"write to a{k}@b{k}.example or call +49 30 123456{k}0 {base[9 + k]}") for k in range(4)]
+    rows += [(300 + k, f"write to a{k}@b{k}.example or call +49 30 123456{k}0 {prose(('pii', k), 40, 3000)}") for k in range(4)]
     rows += [(400 + k, f"vile filth scum {prose(('toxic', k), 12, 3000)}") for k in range(20)]
     rows += [(600 + k, prose(("clean", k), 14, 3000)) for k in range(120)]
     rows += [(None, base[7]), (None, None), (500, None), (501, ""), (502, "few words"), (7, base[7]), (7, base[7])]
