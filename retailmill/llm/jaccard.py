@@ -24,7 +24,7 @@ a passage that many texts share, or near copies that are not linked. By counting
 linked sets share other tiles too unless common ones (and empty slices) make up most of
 a set's tiles. So only such *leaning* sets are compared there, in as many common tiles
 as counting leaves open (of a large set, the first 32; ``exact``: all slices and tiles),
-block against block of 8,192 sets: bitmaps first, and only pairs that they allow leave the
+block against block of 1,024 sets: bitmaps first, and only pairs that they allow leave the
 task. Of these a block first reports a forest between components; once it is verified
 and components follow, it reports what is still apart.
 
@@ -55,7 +55,7 @@ BAND = 1.6
 LEANING = 0.31
 #: Pairs between components up to which a tile is compared whole.
 FEW_PAIRS = 28
-BLOCK = 8_192
+BLOCK = 1_024
 TRIES = 32
 
 
