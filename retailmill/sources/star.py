@@ -36,6 +36,13 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(rows: DataFrame, key: str) -> DataFrame:
+    """Narrow rows that multiply and widen in what follows, dealt by key to all tasks: a file is
+    cut at row groups only, so that a few tasks would do all of that. The number of parts is
+    given, or adaptive execution would merge them by their size before they grow."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def _id(prefix: str, column: str) -> Column:
     return F.concat(F.lit(prefix), F.col(column).cast("string"))
 
@@ -240,7 +247,7 @@ def _crm_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily exports. On day 2 one segment has a new status, suppliers join as
     business customers, and one segment's export is delivered twice."""
     nations = load(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    c = load(spark, sf_dir, "customer")
+    c = _spread(load(spark, sf_dir, "customer"), "c_custkey")
     times = F.when(F.col("c_mktsegment") == "AUTOMOBILE", F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(
         F.array(F.lit(1), F.lit(2))
     )

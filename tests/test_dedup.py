@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from retailmill import schemas
 from retailmill.operators import dedup
 from retailmill.operators.latest import latest_per_key
-from retailmill.sources import feeds
+from retailmill.sources import feeds, star
 import samples
 
 DAY_1, DAY_2 = "2025-03-11T10:00:00Z", "2025-03-12T10:00:00Z"
@@ -150,3 +150,10 @@ def test_a_hot_key_is_cut_before_the_shuffle(spark):
     plan = dedup.dedup_table(bronze(spark), schemas.POS)._jdf.queryExecution().executedPlan().toString()
     before = plan[plan.index("Exchange hashpartitioning"):]
     assert "WindowGroupLimit" in before and "Partial" in before
+
+
+def test_customers_of_one_file_widen_in_many_tasks(spark, sf_dir):
+    """The rows of a file of one row group multiply after they are dealt out."""
+    people = star.raw_crm(spark, sf_dir).where("customer_id LIKE 'C%'")
+    tasks = {r.p for r in people.select(F.spark_partition_id().alias("p")).distinct().collect()}
+    assert len(tasks) == int(spark.conf.get("spark.sql.shuffle.partitions"))
