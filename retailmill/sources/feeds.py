@@ -57,15 +57,23 @@ def _json_fields(lines: DataFrame, fields: list[str]) -> DataFrame:
 def _one_value(line: Column) -> Column:
     """Whether nothing follows the first object, where the JSON reader stops.
 
-    With a single closing brace, at the end, nothing can. Other lines are read again in
+    With a single closing brace, at the end, nothing can. Of a flat object, the text without
+    its strings shows where it ends. Other lines are read again in
     two wrappings: what may go on after a value in an array and what may in an object
     have nothing in common, so only a line of exactly one value passes both.
     """
+    unescaped = F.replace(F.replace(line, F.lit("\\\\"), F.lit("")), F.lit('\\"'), F.lit(""))
+    bare = F.regexp_replace(unescaped, '"[^"]*+"', "")
     braces = F.length(line) - F.length(F.replace(line, F.lit("}"), F.lit("")))
     elements = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>")
     member = F.from_json(F.concat(F.lit('{"_line":'), line, F.lit(',"_end":1}')), "_line string, _end int")
     alone = (F.size(elements) == 1) & (member["_end"] == 1)
-    return F.rtrim(line, F.lit(" \t\r\n")).endswith("}") & F.when(braces == 1, True).otherwise(alone)
+    blank, flat = r"[ \t\r\n]*+", r"\{[^{}]*+\}"
+    one = (
+        F.when(braces == 1, True).when(bare.rlike(f"^{blank}{flat}{blank}$"), True)
+        .when(bare.rlike(f"^{blank}{flat}"), False).otherwise(alone)
+    )
+    return F.rtrim(line, F.lit(" \t\r\n")).endswith("}") & one
 
 
 def _field(name: str) -> Column:
