@@ -45,7 +45,8 @@ def iso_local_date(canonical: Column) -> Column:
 
 def _plain_number(text: Column) -> Column:
     # 1_000 is a number in the feeds' dialect
-    return F.regexp_replace(F.trim(text), r"(?<=\d)_(?=\d)", "")
+    trimmed = F.trim(text)
+    return F.when(trimmed.contains("_"), F.regexp_replace(trimmed, r"(?<=\d)_(?=\d)", "")).otherwise(trimmed)
 
 
 def safe_float(text: Column) -> Column:
@@ -75,6 +76,7 @@ def safe_int(text: Column) -> Column:
 def csv_width(line: Column) -> Column:
     """Number of cells: commas outside quoted cells, plus one; none on a blank line."""
     unquoted = F.regexp_replace(line, '(^|,)"[^"]*(?:""[^"]*)*(?:"|$)', "$1")
+    unquoted = F.when(line.contains('"'), unquoted).otherwise(line)
     commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
     return F.when(line == "", 0).otherwise(commas + 1)
 

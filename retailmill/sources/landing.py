@@ -55,6 +55,11 @@ def read_csv(
     )
     names = _header_names(F.col("value"))
     is_header = reduce(or_, [reduce(and_, [F.array_contains(names, k) for k in key]) for key in keys])
+    # a name is part of the line once marks and quotes are gone; few lines need be taken apart
+    low = F.lower("value")
+    marked = low.contains('"') | low.contains("\ufeff")
+    plain = F.when(marked, F.translate(low, "\ufeff\"", "")).otherwise(low)
+    is_header = reduce(or_, [reduce(and_, [plain.contains(k) for k in key]) for key in keys]) & is_header
     # lines that could be headers are few, so only they are collected, a handful a file
     first = (
         text.where(F.col("file_block_start") == 0)
@@ -72,7 +77,8 @@ def read_csv(
     of_file = headers.select(
         "source_file", "_first", F.col("line").isNotNull().alias("_headed"), F.when(~F.col("declared"), F.col("header")).alias("header")
     )
-    lines = text.join(of_file, "source_file", "left").withColumn(
+    # a row a file, which the driver lists anyhow: dealt by file, a large file's lines would be one task's
+    lines = text.join(F.broadcast(of_file), "source_file", "left").withColumn(
         "unheaded", F.coalesce(F.col("_at") == F.col("_first"), F.lit(False))
     )
     lines = lines.where(~(F.col("unheaded") & F.col("_headed"))).select("value", "source_file", "header", "unheaded")

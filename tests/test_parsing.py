@@ -282,3 +282,37 @@ def test_each_line_is_parsed_once(spark):
     assert plan.count("from_json(") == 3  # the fields, and two looks at what follows the object
     crm = feeds.good_rows(feeds.parse_crm(samples.lines(spark, samples.CRM_DAY_1), NOW))
     assert crm._jdf.queryExecution().optimizedPlan().toString().count("from_csv(") == 1
+
+
+def test_lines_of_one_csv_file_are_not_dealt_by_file(spark, tmp_path):
+    """Dealt by file for a join, the lines of a file would all be one task's."""
+    (tmp_path / "a.csv").write_text("customer_id,updated_at\n" + "C1,x\n" * 50)
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        lines = landing.read_csv_lines(spark, str(tmp_path))
+        assert lines.count() == 50
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize(
+    "line, one",
+    [('{"a":"}{"}', True), ('{"a":"\\\\"} {"a":"}"}', False), ('{"a":"\\"}"}{"b":1}', False), ('{"a":1}]{}', False),
+     (' {"a":"x\\\\\\"}"}\t', True), ('{"a":1},{"a":1}', False), ('{"a":{}} {}', False), ('{"a":{"b":"}"}}', True),
+     ('{"a":1}"}', False), ('{"a":1}\\\\}', False)],
+)
+def test_what_follows_an_object(spark, line, one):
+    df = spark.createDataFrame([(line,)], "value string")
+    assert df.select(feeds._one_value(F.col("value"))).first()[0] in ((True,) if one else (False, None))
+
+
+def test_a_flat_line_is_not_read_again(spark, monkeypatch):
+    """Where a flat object ends is seen without the two wrappings."""
+    real = F.from_json
+    monkeypatch.setattr(feeds.F, "from_json", lambda c, schema, *rest: F.raise_error(F.lit("read again")) if schema == "array<string>" else real(c, schema, *rest))
+    df = spark.createDataFrame([('{"a":"}"}',), ('{"a":1} {"a":1}',), ('{"a":1}]{}',)], "value string")
+    assert [bool(r[0]) for r in df.select(feeds._one_value(F.col("value"))).collect()] == [True, False, False]
