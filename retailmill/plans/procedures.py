@@ -125,7 +125,8 @@ def run_batch(
     staged = parsed.observe(seen, *[value.alias(name) for name, value in counts.items()])
     (
         staged.withColumn(STAGED, reason.isNull())
-        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(STAGED).parquet(work_path)
+        .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(STAGED)
+        .parquet(work_path, compression=storage.CODEC)
     )
     stored = spark.read.schema(
         T.StructType([*parsed.schema.fields, T.StructField(STAGED, T.BooleanType())])
@@ -238,7 +239,7 @@ def _days_to_redo(
 
 
 def _put_back(
-    spark: SparkSession, warehouse: Warehouse, spec: TableSpec, run: str, days: list[date | None], others: DataFrame, mode: str
+    spark: SparkSession, warehouse: Warehouse, spec: TableSpec, days: list[date | None], others: DataFrame, mode: str
 ) -> None:
     """Makes the days that an earlier attempt of a run redid what the other loads say."""
     own = storage.on_days(others, spec, days)
@@ -248,8 +249,7 @@ def _put_back(
         candidates = storage.day_list(days_of_keys(spark, own, warehouse.key_days(spec.name), spec))
     copies = storage.on_days(others, spec, list({*days, *candidates}))
     survivors = dedup.dedup_table(copies, spec, mode)
-    staged = f"{warehouse.root}/work/{spec.name}_put_back/run={run}"
-    storage.replace_days(storage.on_days(survivors, spec, days), days, warehouse.table(spec.name), spec, staged)
+    storage.replace_days(storage.on_days(survivors, spec, days), days, warehouse.table(spec.name), spec, None)
 
 
 def run_dedup(
@@ -283,7 +283,7 @@ def run_dedup(
         if with_stream:
             others = others.unionByName(rows.where(F.col(dedup.INGESTED) <= ts_lit(streamed_since)))
         redone = storage.day_list(spark.read.schema("day date").parquet(listed))
-        _put_back(spark, warehouse, spec, run, redone, others, mode)
+        _put_back(spark, warehouse, spec, redone, others, mode)
 
     stored = storage.read_table(spark, path, spec) if storage.exists(spark, path) else None
     if stored is None:
@@ -299,7 +299,8 @@ def run_dedup(
     monitoring.key_sketches(incoming, spec.required[0]).coalesce(1).write.mode("overwrite").parquet(sketched)
     if spec.event_ts not in spec.warehouse_keys:
         note_key_days(incoming, warehouse.key_days(spec.name), spec)
-    storage.replace_days(survivors, days, path, spec, warehouse.work(f"{spec.name}_staged", as_of))
+    # a run that breaks off here is repeated from the raw loads
+    storage.replace_days(survivors, days, path, spec, None)
     return storage.read_table(spark, path, spec)
 
 

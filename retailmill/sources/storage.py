@@ -20,6 +20,10 @@ from retailmill.functions.clock import date_lit
 from retailmill.schemas import TableSpec
 
 
+#: A third smaller than Parquet's usual codec on these tables.
+CODEC = "zstd"
+
+
 def with_partition_date(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Adds the partition column where the table derives it from its event time."""
     if spec.partition_column in df.columns:
@@ -42,7 +46,7 @@ def write_table(df: DataFrame, path: str, spec: TableSpec, mode: str = "append")
             laid_out.write.mode("overwrite" if mode == "replace" else mode)
             .option("partitionOverwriteMode", "static" if mode == "replace" else "dynamic")
             .partitionBy(spec.partition_column)
-            .parquet(path)
+            .parquet(path, compression=CODEC)
         )
 
 
@@ -143,27 +147,44 @@ def on_days(df: DataFrame, spec: TableSpec, days: Sequence[date | None]) -> Data
     return df.where(wanted | day.isNull() if None in days else wanted)
 
 
-def replace_days(df: DataFrame, days: Sequence[date | None], path: str, spec: TableSpec, staged: str) -> None:
+def replace_days(df: DataFrame, days: Sequence[date | None], path: str, spec: TableSpec, staged: str | None) -> None:
     """Makes the rows the whole contents of ``days``.
 
-    The rows are written to ``staged`` first, as they may have been read from the table; from
-    there Spark's dynamic partition overwrite puts them in place, and listed days that got no
-    row are dropped. Doing it again changes nothing.
+    The rows are written to ``staged`` first, so that they are kept if putting them in place
+    breaks off; from there Spark's dynamic partition overwrite puts them in place, and listed days
+    that got no row are dropped. Doing it again changes nothing. Without ``staged`` they go in
+    place at once, for rows that can be made again from elsewhere; they may have been
+    read from the table, whose files stay until the overwrite commits.
     """
     spark = df.sparkSession
-    with_partition_date(df, spec).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged)
+    if staged is None:
+        before = _files(spark, path, spec)
+        write_table(df, path, spec, mode="overwrite")
+        kept = {file.rsplit("/", 2)[-2] for file in before & _files(spark, path, spec)}
+        emptied = [(spec.partition_column, d) for d in days]
+        drop_partitions(spark, path, [p for p in emptied if _folder(*p) in kept])
+        return
+    with_partition_date(df, spec).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(staged, compression=CODEC)
     rows = read_table(spark, staged, spec)
     write_table(rows, path, spec, mode="overwrite")
     filled = set(day_list(days_of(rows, spec)))
     drop_partitions(spark, path, [(spec.partition_column, d) for d in days if d not in filled])
 
 
+def _files(spark: SparkSession, path: str, spec: TableSpec) -> set[str]:
+    """The table's files, as listed for any read of it."""
+    return set(read_table(spark, path, spec).inputFiles()) if exists(spark, path) else set()
+
+
+def _folder(column: str, day: date | None) -> str:
+    return f"{column}={'__HIVE_DEFAULT_PARTITION__' if day is None else day.isoformat()}"
+
+
 def drop_partitions(spark: SparkSession, path: str, partitions: Sequence[tuple[str, date | None]], inside: str = "") -> int:
     """Deletes partition folders of a table, and returns how many there were."""
     n = 0
     for column, day in partitions:
-        name = "__HIVE_DEFAULT_PARTITION__" if day is None else day.isoformat()
-        n += remove(spark, "/".join(p for p in (path, inside, f"{column}={name}") if p))
+        n += remove(spark, "/".join(p for p in (path, inside, _folder(column, day)) if p))
     return n
 
 

@@ -1,3 +1,4 @@
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -185,6 +186,21 @@ def test_dedup_redoes_only_touched_days(spark, tmp_path):
     assert ("c", "2025-01-03", 5.0) in rows and len(rows) == 4 and log == {"c": 1}
 
 
+def test_days_are_replaced_in_one_write(spark, tmp_path):
+    """Rows read from the table itself, a day left empty, a day not listed, rows without a day."""
+    warehouse, spec = procedures.Warehouse(str(tmp_path / "wh")), schemas.ECOM
+    run, path = order_run(spark, warehouse), warehouse.table(spec.name)
+    run(FIRST, [order("a", "2025-01-01T00:00:00Z"), order("b", "2025-01-02T00:00:00Z"), order("c", "2025-01-03T00:00:00Z"), order("u", "never")])
+    assert not list(Path(warehouse.root).rglob("*_staged*"))
+    days = [date(2025, 1, 1), date(2025, 1, 2), date(2025, 2, 1), None]
+    for _ in range(2):
+        stored = storage.read_table(spark, path, spec)
+        storage.replace_days(storage.on_days(stored, spec, days).where("order_id != 'b'"), days, path, spec, None)
+        kept = storage.read_table(spark, path, spec)
+        assert sorted(r.order_id for r in kept.collect()) == ["a", "c", "u"]
+    assert not (Path(path) / "order_date=2025-01-02").exists()
+
+
 def test_a_repeat_with_other_input_gives_what_the_first_would_have(spark, tmp_path):
     run = order_run(spark, procedures.Warehouse(str(tmp_path / "wh")))
     days = lambda got: [(k, d) for k, d, _ in got[0]]
