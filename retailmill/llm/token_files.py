@@ -22,7 +22,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from retailmill.llm.common import id_ranges, once_a_worker, range_of, texts, written
+from retailmill.llm.common import give_back, groups_of_rows, id_ranges, once_a_worker, range_of, texts, written
 from retailmill.llm.token_count import byte_alphabet
 
 SAMPLE = 64
@@ -94,6 +94,30 @@ class EliasFano(NamedTuple):
         return cls(n, low_bits, low, high, np.frombuffer(data, "<u4", offset=16 + a + b))
 
 
+class Kept(dict):
+    """What ``make`` gives for a text, kept if that is short. Two generations bound the size
+    and keep frequent texts."""
+
+    LONGEST = 40
+
+    def __init__(self, make: Callable[[str], bytes], most: int):
+        super().__init__()
+        self.make, self.most, self.before = make, most, {}
+
+    def __missing__(self, text: str) -> bytes:
+        got = self.before.get(text)
+        if got is None:
+            got = self.make(text)
+        if len(text) <= self.LONGEST:
+            self[text] = got
+        return got
+
+    def turn(self) -> None:
+        if len(self) > self.most:
+            self.before = dict(self)
+            self.clear()
+
+
 class Encoder:
     """Ids of whole texts by a byte-level vocabulary of the tokenizers library.
 
@@ -101,8 +125,7 @@ class Encoder:
     which Python's expressions can state for them, and each distinct word is merged once by
     the library's model while it is in the table. In other texts the pattern always starts
     anew at a blank after a character that is none; they are cut there, and pieces that
-    are not plain go to the library whole. Two generations of the table bound its size
-    and keep frequent words.
+    are not plain go to the library whole. Pieces have a table, too.
     """
 
     CUT = re.compile(r"(?<=[\w!-~])(?= )")
@@ -111,15 +134,13 @@ class Encoder:
         r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+"
     )
 
-    def __init__(self, path: str, most: int = 150_000):
+    def __init__(self, path: str, most: int = 60_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.size = self.library.get_vocab_size()
-        self.most = most
-        self.known: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        self.words, self.pieces = Kept(self._merged, most), Kept(self._piece, most)
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.size)]
         stand_in = {b: c for c, b in byte_alphabet().items()}
         self.alphabet = "".join(stand_in[b] for b in range(256))
@@ -137,18 +158,10 @@ class Encoder:
         as_bytes = self.as_bytes
         return b"".join([as_bytes[t.id] for t in self.library.model.tokenize(symbols)])
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        got = list(map(self.known.get, words))
-        if None in got:
-            if len(self.known) > self.most:
-                self.before, self.known = self.known, {}
-            known, before = self.known, self.before
-            for i, ids in enumerate(got):
-                if ids is None:
-                    word = words[i]
-                    ids = known.get(word) or before.get(word) or self._merged(word)
-                    got[i] = known[word] = ids
-        return got
+    def _piece(self, piece: str) -> bytes:
+        if self._plain(piece):
+            return b"".join(map(self.words.__getitem__, self.WORDS.findall(piece)))
+        return self._ids(self.library.encode(piece, add_special_tokens=False).ids)
 
     def _plain(self, text: str) -> bool:
         return self.PLAIN.fullmatch(text) is not None and not any(s in text for s in self.specials)
@@ -157,13 +170,11 @@ class Encoder:
         """Little-endian unsigned 32-bit ids."""
         if not self.by_piece:
             return self._ids(self.library.encode(text, add_special_tokens=False).ids)
+        self.words.turn()
         if self._plain(text):
-            return b"".join(self._words(self.WORDS.findall(text)))
-        return b"".join(
-            b"".join(self._words(self.WORDS.findall(piece))) if self._plain(piece)
-            else self._ids(self.library.encode(piece, add_special_tokens=False).ids)
-            for piece in self.CUT.split(text)
-        )
+            return b"".join(map(self.words.__getitem__, self.WORDS.findall(text)))
+        self.pieces.turn()
+        return b"".join(map(self.pieces.__getitem__, self.CUT.split(text)))
 
 
 BLOCK = (
@@ -198,8 +209,8 @@ def blocks(docs: DataFrame, path: str, end_id: int = 2, block_ids: int = 1 << 18
                      (data.astype("<u2") if narrow else data).tobytes())
             return pa.RecordBatch.from_arrays([pa.array([c], f.type) for c, f in zip(cells, arrow)], schema=arrow)
 
-        for batch in batches:
-            for doc_id, text, its_part in zip(*(c.to_pylist() for c in batch.columns)):
+        for columns in groups_of_rows(batches):
+            for doc_id, text, its_part in zip(*columns):
                 wide = doc_id is not None and lowest is not None and doc_id - lowest >= ID_RANGE
                 if own and (its_part != part or size >= block_ids or wide):
                     yield packed()
@@ -213,6 +224,8 @@ def blocks(docs: DataFrame, path: str, end_id: int = 2, block_ids: int = 1 << 18
                 size += len(ids[-1]) // 4
         if own:
             yield packed()
+        del own, ids
+        give_back()
 
     return rows.mapInArrow(run, BLOCK)
 

@@ -135,6 +135,18 @@ def test_encoder_equals_the_library(text):
 test_encoder_equals_the_library.pair = token_files.Encoder(BYTES, most=20), Tokenizer.from_file(BYTES)
 
 
+def test_pieces_of_other_texts_are_encoded_once():
+    encoder, seen = token_files.Encoder(BYTES, most=50), []
+    make = encoder.pieces.make
+    encoder.pieces.make = lambda piece: seen.append(piece) or make(piece)
+    text = "Слово и 字 дело " * 30 + "я" * 500
+    assert encoder(text) == encoder(text) and len(seen) <= 7
+    assert encoder(text) == np.array(encoder.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    for k in range(1000):
+        encoder(f"п{k} x{k}")
+    assert all(len(t) + len(t.before) <= 2 * 53 and max(map(len, t)) <= t.LONGEST for t in (encoder.words, encoder.pieces))
+
+
 def test_token_files_of_far_apart_ids(spark):
     ids = [None, None, -(1 << 63), -5, 0, 7, 7, (1 << 62) + 9, (1 << 63) - 1]
     files = token_files.write(documents(spark, [(i, "a") for i in ids]), BYTES, ranges=1)
