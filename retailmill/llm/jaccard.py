@@ -394,11 +394,11 @@ def jaccard_components(docs: DataFrame, exact: bool = False) -> DataFrame:
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, exact: bool = False) -> DataFrame:
     """Of each component one row, whole and unchanged: the one with the smallest id, or, if all
     ids are null, the smallest row key; of rows equal in id and text any one. Rows without
-    shingles stay."""
-    rows = labelled(docs)
+    shingles stay. ``exact`` is that of :func:`jaccard_components`."""
+    rows = labelled(docs, exact)
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "k")
     kept = rows.where("label IS NOT NULL").groupBy("label").agg(F.min(order).alias("first")).select("first.k")
     kept = kept.unionByName(rows.where("label IS NULL").select("k").distinct())

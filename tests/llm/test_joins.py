@@ -6,7 +6,8 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from retailmill.llm import decontaminate, jaccard, preference
+import corpus_pipeline
+from retailmill.llm import decontaminate, jaccard, preference, queries
 from retailmill.llm.components import components
 from retailmill.llm.shingles import shingle_sets
 from texts import HARD, documents, prose
@@ -158,6 +159,19 @@ def test_exact_enters_every_slice(spark):
     assert all(len(t["tile"]) <= jaccard.SLICES for t in jaccard.tiles(own))
 
 
+def test_the_queries_leave_nothing_to_chance(spark, monkeypatch):
+    """Both enter every slice of a long set, not its first 64."""
+    text = prose("long", 900, 5000)
+    docs = documents(spark, [(1, text), (2, changed(text, random.Random(4), 18)), (3, "a b c d e f")])
+    most, real = [], jaccard.profiles
+    monkeypatch.setattr(jaccard, "profiles", lambda docs, n: most.append(n) or real(docs, n))
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3]
+    assert [r[2] for r in found(queries.op6_ngram_jaccard(spark, ""))] == [1, 1, 3]
+    assert len(most) == 2 and min(most) > jaccard.SLICES
+
+
 def test_near_duplicates_of_hard_texts(spark):
     assert found(jaccard.jaccard_components(documents(spark, HARD))) == brute_components(HARD)
     empty = documents(spark, [])
