@@ -10,6 +10,13 @@ ones (over about 130 shingles) enter the first 64 slices, in an order by hash, t
 something. At the very threshold at least half of these are expected to be equal, so
 that a linked pair stays unseen with a chance under 1e-9; above it, far less.
 
+``exact`` leaves nothing to chance, with fewer tiles. All shingles are put into one order, and
+a set of n enters the tiles of its first n - ceil(0.8 n) + 1 shingles: two linked sets have 80 %
+of either in common, so one shingle at least that is among the first of both. Any order is
+right; this one has the shingles last that several texts of a sample hold, so that a common
+passage is a tile only of sets that consist of little else. Tiles that several sets enter are
+cut by size, each set in two classes, as linked sets are in the same class or in neighbours.
+
 Compared pairs first meet hashed bitmaps (four to eight bits a shingle): bits in which
 they differ bound the overlap from above. Pairs that the bound allows are settled by
 exact intersection of the sorted hash arrays.
@@ -23,9 +30,9 @@ Tiles with few pairs between components are compared whole. The others are *comm
 a passage that many texts share, or near copies that are not linked. By counting, two
 linked sets share other tiles too unless common ones (and empty slices) make up most of
 a set's tiles. So only such *leaning* sets are compared there, in as many common tiles
-as counting leaves open (of a large set, the first 32; ``exact``: all slices and tiles),
-block against block of 1,024 sets: bitmaps first, and only pairs that they allow leave the
-task. Of these a block first reports a forest between components; once it is verified
+as counting leaves open (of a large set, the first 32; ``exact``: all), block against block
+of 2,048 sets: by bitmaps, in tiles of many sets by ones four times as wide, so that hardly a
+pair leaves the task that is not linked. Of these a block first reports a forest between components; once it is verified
 and components follow, it reports what is still apart.
 
 Defined cases: null and empty texts have no shingles and are their own component;
@@ -36,7 +43,7 @@ null). Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +55,8 @@ from retailmill.llm.components import components, joined_up
 from retailmill.llm.shingles import mixed, shingle_sets
 
 PERCENT = 80
+#: Texts of which shingles are counted to order them, and how many are put last.
+SAMPLED, WIDESPREAD = 8_000, 1 << 16
 SLICES = 64
 BAND = 1.6
 #: Of a large set's tiles, the share that may be common ones: a linked pair then has an
@@ -55,7 +64,9 @@ BAND = 1.6
 LEANING = 0.31
 #: Pairs between components up to which a tile is compared whole.
 FEW_PAIRS = 28
-BLOCK = 1_024
+BLOCK = 2_048
+#: Bits a shingle, at least, of the bitmaps compared in common tiles of more sets than that.
+WIDE, MANY = 16, 64
 TRIES = 32
 
 
@@ -110,9 +121,33 @@ def tiles(own: np.ndarray, most: int = SLICES) -> list[dict]:
     return out
 
 
-def bitmap(own: np.ndarray) -> np.ndarray:
-    """Four to eight bits a shingle, in words of 64 bits; at most 2^16 bits."""
-    bits = min(1 << 16, 1 << max(6, int(4 * len(own) - 1).bit_length()))
+def widespread(docs: DataFrame) -> list[int]:
+    """Hashes of shingles that several texts of a bounded sample hold, the rarest first."""
+    share = int((1 << 20) * min(1.0, SAMPLED / max(1, docs.count())))
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text")).select(F.coalesce("text", F.lit("")).alias("text"))
+    own = map_rows(sample, lambda: lambda text: {"own": [own.view(np.int64) for own in shingle_sets(text)]}, "own array<long>")
+    counts = own.select(F.explode("own").alias("h")).groupBy("h").count().where("count > 1")
+    most = counts.orderBy(F.desc("count"), "h").limit(WIDESPREAD).collect()  # their number is a parameter
+    return [r.h for r in reversed(most)]
+
+
+def first_shingles(own: np.ndarray, last: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """As many of a sorted set's first shingles that a linked set has one of them among its own
+    first. The hashes come in ascending order, then those in ``last`` (sorted) by ``order``."""
+    n = len(own)
+    most = n - (n * PERCENT + 99) // 100 + 1
+    if not len(last):
+        return own[:most]
+    at = np.minimum(np.searchsorted(last, own), len(last) - 1)
+    late = last[at] == own
+    rare = own[~late][:most]
+    return np.concatenate([rare, own[late][np.argsort(order[at[late]])][: most - len(rare)]])
+
+
+def bitmap(own: np.ndarray, width: int = 4) -> np.ndarray:
+    """``width`` bits a shingle to twice as many, in words of 64 bits; at most 2^14 times that."""
+    bits = min(width << 14, 1 << max(6, int(width * len(own) - 1).bit_length()))
     flags = np.zeros(bits, np.uint8)
     flags[(own % np.uint64(bits)).astype(np.int64)] = 1
     return np.packbits(flags, bitorder="little").view(np.int64)
@@ -129,7 +164,18 @@ def row_key() -> Column:
 
 def profiles(docs: DataFrame, most: int = SLICES) -> DataFrame:
     """doc_id, k (row key), n_shingles, v (hash of the whole set, null without shingles), bits, tiles.
-    Within a task mostly only the first copy of a set has bits and tiles."""
+    Within a task mostly only the first copy of a set has bits and tiles. Where ``most`` is over
+    the largest number of slices, the tiles are those of the set's first shingles."""
+    exact = most >= 1 << 31
+    late = np.array(widespread(docs) if exact else [], np.int64).view(np.uint64)
+    order = np.argsort(late)
+    late = late[order]
+
+    def entered(own: np.ndarray) -> list[dict]:
+        if not exact:
+            return tiles(own, most)
+        keys = first_shingles(own, late, order)
+        return [{"band": 0, "allowed": 0, "all_known": True, "tile": keys.view(np.int64)}]
 
     def make():
         seen: set[int] = set()
@@ -145,7 +191,7 @@ def profiles(docs: DataFrame, most: int = SLICES) -> DataFrame:
                 out["n_shingles"].append(len(own))
                 out["v"].append(v)
                 out["bits"].append(bitmap(own) if new else None)
-                out["tiles"].append(tiles(own, most) if new else None)
+                out["tiles"].append(entered(own) if new else None)
             return out
 
         return fn
@@ -191,22 +237,24 @@ def likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(may_link("x", "y")).select("a", "b")
 
 
-def exact_links(near: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """Those of the pairs (a, b) of set hashes that are linked, by their sorted arrays. ``sets``
-    names a row (k) that holds a set (v)."""
-    wanted = near.select(F.col("a").alias("v")).unionByName(near.select(F.col("b").alias("v"))).distinct()
+def of_sets(wanted: DataFrame, sets: DataFrame, docs: DataFrame, of: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """v, own (what ``of`` makes of the sorted set) for the set hashes in ``wanted``."""
     keys = sets.select("k", "v").join(wanted, "v")
 
     def make():
-        def fn(v, text):
-            return {"v": v, "own": [own.view(np.int64) for own in shingle_sets(text)]}
-
-        return fn
+        return lambda v, text: {"v": v, "own": [of(own) for own in shingle_sets(text)]}
 
     rows = docs.select(row_key().alias("k"), F.coalesce("text", F.lit("")).alias("text")).join(keys, "k")
     # rows equal in id and text have the same key
     own = rows.groupBy("v").agg(F.min("text").alias("text"))
-    arrays = scratch.written(map_rows(own, make, "v long, own array<long>"), "arrays")
+    return map_rows(own, make, "v long, own array<long>")
+
+
+def exact_links(near: DataFrame, sets: DataFrame, docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """Those of the pairs (a, b) of set hashes that are linked, by their sorted arrays. ``sets``
+    names a row (k) that holds a set (v)."""
+    wanted = near.select(F.col("a").alias("v")).unionByName(near.select(F.col("b").alias("v"))).distinct()
+    arrays = scratch.written(of_sets(wanted, sets, docs, lambda own: own.view(np.int64)), "arrays")
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -243,33 +291,36 @@ def in_few_pairs(now: DataFrame) -> DataFrame:
 
 
 def leaning(now: DataFrame, scratch: Scratch, exact: bool = False) -> DataFrame:
-    """The sets of common tiles that may share no other tile with a linked one: tile, v,
-    all_tiles (the common tiles that the set is compared in)."""
+    """The sets of common tiles that may share no other tile with a linked one: tile, v."""
     by_set = Window.partitionBy("v", "band")
     rows = now.withColumns({"h": F.count("*").over(by_set), "k": F.row_number().over(by_set.orderBy("tile"))})
     needed = F.when(F.col("all_known"), F.col("h") - F.col("allowed")).otherwise(F.col("h") if exact else F.lit(TRIES))
     rows = rows.where((F.col("h") > F.col("allowed")) & (F.col("k") <= needed)).select("tile", "v").distinct()
-    return scratch.written(rows.withColumn("all_tiles", F.collect_set("tile").over(Window.partitionBy("v"))), "leaning")
+    return scratch.written(rows, "leaning")
 
 
 def in_common_tiles(rows: DataFrame, labels: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
     """Pairs (a, b) of leaning sets that share a common tile, lie in different components
-    and may be linked by their bitmaps. ``forest``: of a block only pairs that tie
-    components not yet tied in it."""
+    and may be linked by their bitmaps (``sets``: v, n, bits, wide). ``forest``: of a block only
+    pairs that tie components not yet tied in it."""
     rows = rows.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
     blocks = rows.groupBy("tile").agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("n"), F.min("label").alias("least"), F.max("label").alias("most")
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("n"),
+        (F.count("*") > MANY).alias("many"),
+        F.min("label").alias("least"),
+        F.max("label").alias("most"),
     )
-    blocks = blocks.where("least != most").select("tile", "n")
+    blocks = blocks.where("least != most").select("tile", "n", "many")
     own = F.pmod(F.xxhash64("v"), F.col("n")).cast("int")
     cells = rows.join(blocks, "tile").select(
-        "tile", "v", "label", "all_tiles", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
+        "tile", "v", "label", "many", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
     )
     cells = cells.select(
-        "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "v", "label", "all_tiles"
-    ).join(sets.select("v", "n", "bits"), "v")
-    cells = cells.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j").select(
-        "tile", "i", "j", "own", "v", "label", "n", "bits", "all_tiles"
+        "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "v", "label", "many"
+    ).join(sets, "v").withColumn("bits", F.when(F.col("many"), F.coalesce("wide", "bits")).otherwise(F.col("bits")))
+    # in order of v, so that the forests of tiles with the same sets are the same
+    cells = cells.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "v").select(
+        "tile", "i", "j", "own", "v", "label", "n", "bits"
     )
 
     def tied(p: np.ndarray, q: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -320,17 +371,12 @@ def in_common_tiles(rows: DataFrame, labels: DataFrame, sets: DataFrame, forest:
             own, v, label, n = (table.column(k).to_numpy() for k in (3, 4, 5, 6))
             i, j = table.column(1).to_numpy(), table.column(2).to_numpy()
             bits = [b.view(np.uint64) for b in table.column(7).to_pandas()] if whole else []
-            entered = [frozenset(t.tolist()) for t in table.column(8).to_pandas()] if whole else []
-            tile = table.column(0).to_numpy()
             found = []
             for a, b in whole:
                 k = np.arange(a, b)
                 x, y = k[own[k] == i[a]], k[own[k] == j[a]]
                 if len(x) and len(y):
                     p, q = compare(v, label, n, bits, x, y)
-                    # a pair is reported by the first of the tiles that both entered
-                    first = np.array([min(entered[g] & entered[h]) == tile[a] for g, h in zip(p, q)], bool)
-                    p, q = p[first], q[first]
                     if forest:
                         keep = tied(p, q, label)
                         p, q = p[keep], q[keep]
@@ -351,6 +397,20 @@ def in_common_tiles(rows: DataFrame, labels: DataFrame, sets: DataFrame, forest:
     return cells.mapInArrow(run, "a long, b long").distinct()
 
 
+def shared_tiles(entered: DataFrame) -> DataFrame:
+    """tile, least (set) of the tiles that several sets enter."""
+    ends = entered.groupBy("tile").agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    return ends.where("least != most").select("tile", "least")
+
+
+def by_size(entered: DataFrame) -> DataFrame:
+    """Tiles cut by the size n of the sets: each set is in two classes, the band. The sizes of a
+    class differ by 1.26, more than those of linked sets, which so have a class in common."""
+    own = F.floor(F.log("n") / F.log(F.lit(1.26))).cast("int")
+    rows = entered.select("v", "tile", F.explode(F.array(own, own + 1)).alias("band"))
+    return rows.withColumn("tile", F.xxhash64("tile", "band"))
+
+
 def labelled(docs: DataFrame, exact: bool = False) -> DataFrame:
     """doc_id, k (row key), n_shingles, v (hash of the set), label (of its component) of every row."""
     scratch = Scratch(docs.sparkSession)
@@ -358,10 +418,13 @@ def labelled(docs: DataFrame, exact: bool = False) -> DataFrame:
     sets = scratch.written(
         rows.where("bits IS NOT NULL").select("v", "k", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["v"]), "sets"
     )
-    entered = rows.where("tiles IS NOT NULL").select("v", F.explode("tiles").alias("t"))
-    entered = entered.select("v", "t.band", "t.allowed", "t.all_known", F.explode("t.tile").alias("tile"))
-    shared = entered.groupBy("tile").agg(F.min("v").alias("least"), F.max("v").alias("most")).where("least != most")
-    members = scratch.written(entered.join(shared.select("tile", "least"), "tile").distinct(), "members")
+    entered = rows.where("tiles IS NOT NULL").select("v", F.col("n_shingles").alias("n"), F.explode("tiles").alias("t"))
+    entered = entered.select("v", "n", "t.band", "t.allowed", "t.all_known", F.explode("t.tile").alias("tile"))
+    if exact:
+        met = entered.select("tile", "v", "n").join(shared_tiles(entered).select("tile"), "tile").distinct()
+        entered = by_size(scratch.written(met, "met")).withColumns({"allowed": F.lit(0), "all_known": F.lit(True)})
+    entered = entered.select("v", "band", "allowed", "all_known", "tile")
+    members = scratch.written(entered.join(shared_tiles(entered), "tile").distinct(), "members")
 
     first = members.where("v != least").select(F.col("least").alias("a"), F.col("v").alias("b")).distinct()
     near = scratch.written(likely(first, sets), "near")
@@ -370,11 +433,15 @@ def labelled(docs: DataFrame, exact: bool = False) -> DataFrame:
 
     few = in_few_pairs(now.where(F.col("pairs") <= FEW_PAIRS)).join(first, ["a", "b"], "left_anti")
     rest = leaning(now.where(F.col("pairs") > FEW_PAIRS), scratch, exact)
-    forest = in_common_tiles(rest, labels, sets, True).join(near, ["a", "b"], "left_anti")
+    many = rest.join(rest.groupBy("tile").count().where(F.col("count") > MANY), "tile").select("v").distinct()
+    wide = of_sets(many, sets, docs, lambda own: bitmap(own, WIDE)).withColumnRenamed("own", "wide")
+    leaners = sets.select("v", "n", "bits").join(rest.select("v").distinct(), "v").join(wide, "v", "left")
+    leaners = scratch.written(leaners, "leaners")
+    forest = in_common_tiles(rest, labels, leaners, True).join(near, ["a", "b"], "left_anti")
     pairs = scratch.written(likely(few, sets).unionByName(forest).distinct(), "pairs")
     labels = scratch.written(joined_up(labels, exact_links(pairs, sets, docs, scratch)), "labels")
     # what is still apart after that
-    late = in_common_tiles(rest, labels, sets, False).join(near.unionByName(pairs), ["a", "b"], "left_anti")
+    late = in_common_tiles(rest, labels, leaners, False).join(near.unionByName(pairs), ["a", "b"], "left_anti")
     late = scratch.written(late, "late")
     labels = joined_up(labels, exact_links(late, sets, docs, scratch))
 

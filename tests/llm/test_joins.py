@@ -172,6 +172,24 @@ def test_the_queries_leave_nothing_to_chance(spark, monkeypatch):
     assert len(most) == 2 and min(most) > jaccard.SLICES
 
 
+def test_exact_sets_enter_a_fifth_of_their_shingles(spark, monkeypatch):
+    """Few tiles a set, and none lost: a passage that many share, near copies at and about the threshold."""
+    monkeypatch.setattr(jaccard, "FEW_PAIRS", 4)
+    monkeypatch.setattr(jaccard, "MANY", 16)
+    r, rows = random.Random(8), []
+    passage = prose("shared", 60)
+    for k in range(25):
+        own = f"{passage} {prose(('mine', k), r.randrange(2, 40), 5000)}"
+        rows += [(len(rows) + i, t) for i, t in enumerate([own, changed(own, r, r.randrange(4))])]
+    for k in range(25):
+        base = prose(("from", k), r.randrange(5, 400), 5000)
+        rows += [(len(rows) + i, t) for i, t in enumerate([base, changed(base, r, 1 + len(base.split()) // 45), base[: len(base) * 4 // 5]])]
+    docs = documents(spark, rows, extra=False)
+    entered = jaccard.profiles(docs, 1 << 31).where("tiles IS NOT NULL").selectExpr("n_shingles AS n", "flatten(tiles.tile) AS tile").collect()
+    assert all(len(x.tile) == x.n - -(-x.n * 4 // 5) + 1 for x in entered)
+    assert found(jaccard.jaccard_components(docs, exact=True)) == brute_components(rows)
+
+
 def test_near_duplicates_of_hard_texts(spark):
     assert found(jaccard.jaccard_components(documents(spark, HARD))) == brute_components(HARD)
     empty = documents(spark, [])
