@@ -31,9 +31,13 @@ a passage that many texts share, or near copies that are not linked. By counting
 linked sets share other tiles too unless common ones (and empty slices) make up most of
 a set's tiles. So only such *leaning* sets are compared there, in as many common tiles
 as counting leaves open (of a large set, the first 32; ``exact``: all), block against block
-of 2,048 sets: by bitmaps, in tiles of many sets by ones four times as wide, so that hardly a
-pair leaves the task that is not linked. Of these a block first reports a forest between components; once it is verified
-and components follow, it reports what is still apart.
+of 2,048 sets. In *crowded* tiles, those of many sets, a pair that the bitmaps allow and whose
+components are apart is settled at once, by 32 bits of each shingle, and then ties its
+components: what leaves the task is a forest of links, so fewer pairs than sets. These
+are verified by whole hashes; should one be no link, the crowded tiles of its sets are compared
+again without ties. In other tiles, and where sets have more than 8,192 shingles, a block first
+reports a forest by bitmaps; once it is verified and components follow, it reports what is
+still apart.
 
 Defined cases: null and empty texts have no shingles and are their own component;
 fewer than five words are one shingle; repeated rows, or a null id, follow their text
@@ -67,6 +71,9 @@ FEW_PAIRS = 28
 BLOCK = 2_048
 #: Bits a shingle, at least, of the bitmaps compared in common tiles of more sets than that.
 WIDE, MANY = 16, 64
+#: Shingles up to which a set comes to crowded tiles with 32 bits of each (more take more room than
+#: the widest bitmap).
+LARGEST = 1 << 13
 TRIES = 32
 
 
@@ -153,6 +160,14 @@ def bitmap(own: np.ndarray, width: int = 4) -> np.ndarray:
     return np.packbits(flags, bitorder="little").view(np.int64)
 
 
+def short_hashes(own: np.ndarray) -> np.ndarray:
+    """The lower 32 bits of each shingle, sorted, two in a word. Sets have at least as many of
+    them in common as shingles, and the same bitmap."""
+    low = np.zeros(len(own) + len(own) % 2, np.uint32)
+    low[: len(own)] = np.sort((own & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+    return low.view(np.int64)
+
+
 def set_hash(own: np.ndarray) -> int:
     return int(mixed(np.array([mixed(own).sum() + np.uint64(len(own))], np.uint64)).view(np.int64)[0])
 
@@ -299,28 +314,33 @@ def leaning(now: DataFrame, scratch: Scratch, exact: bool = False) -> DataFrame:
     return scratch.written(rows, "leaning")
 
 
+def crowds(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """The rows (tile, v), with many (the tile holds many sets) and crowded (and only such that
+    come with short hashes)."""
+    own = rows.join(sets.select("v", "n"), "v").groupBy("tile")
+    own = own.agg((F.count("*") > MANY).alias("many"), (F.max("n") <= LARGEST).alias("short"))
+    return rows.join(own.select("tile", "many", (F.col("many") & F.col("short")).alias("crowded")), "tile")
+
+
 def in_common_tiles(rows: DataFrame, labels: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
-    """Pairs (a, b) of leaning sets that share a common tile, lie in different components
-    and may be linked by their bitmaps (``sets``: v, n, bits, wide). ``forest``: of a block only
-    pairs that tie components not yet tied in it."""
+    """Pairs (a, b) of leaning sets that share a common tile (``rows``: tile, v, many, crowded), lie
+    in different components and may be linked (``sets``: v, n, bits, wide); ``settled`` are those
+    of crowded tiles. ``forest``: of a block only pairs that tie components not yet tied in it."""
     rows = rows.join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
     blocks = rows.groupBy("tile").agg(
-        F.ceil(F.count("*") / BLOCK).cast("int").alias("n"),
-        (F.count("*") > MANY).alias("many"),
-        F.min("label").alias("least"),
-        F.max("label").alias("most"),
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("n"), F.min("label").alias("least"), F.max("label").alias("most")
     )
-    blocks = blocks.where("least != most").select("tile", "n", "many")
+    blocks = blocks.where("least != most").select("tile", "n")
     own = F.pmod(F.xxhash64("v"), F.col("n")).cast("int")
     cells = rows.join(blocks, "tile").select(
-        "tile", "v", "label", "many", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
+        "tile", "v", "label", "many", "crowded", own.alias("own"), F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
     )
     cells = cells.select(
-        "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "v", "label", "many"
+        "tile", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "v", "label", "many", "crowded"
     ).join(sets, "v").withColumn("bits", F.when(F.col("many"), F.coalesce("wide", "bits")).otherwise(F.col("bits")))
     # in order of v, so that the forests of tiles with the same sets are the same
     cells = cells.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j", "v").select(
-        "tile", "i", "j", "own", "v", "label", "n", "bits"
+        "tile", "i", "j", "own", "v", "label", "n", "many", "crowded", "bits"
     )
 
     def tied(p: np.ndarray, q: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -341,20 +361,45 @@ def in_common_tiles(rows: DataFrame, labels: DataFrame, sets: DataFrame, forest:
                 keep.append(k)
         return np.array(keep, np.int64)
 
-    def compare(v, label, n, bits, x, y) -> tuple[np.ndarray, np.ndarray]:
-        """Of the index lists x and y of one cell, the pairs that may be linked."""
+    def compare(label, n, bits, x, y) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Of the index lists x and y of one cell, the pairs that may be linked. ``label`` may
+        change in between."""
         width = min(len(bits[k]) for k in (*x, *y))
         fold = np.stack([np.bitwise_or.reduce(bits[k].reshape(-1, width)) for k in (*x, *y)])
         p, q = fold[: len(x)], fold[len(x) :]
-        step, found = max(1, (1 << 21) // (len(y) * width)), []  # 16 MB at once
+        step = max(1, (1 << 21) // (len(y) * width))  # 16 MB at once
         for a in range(0, len(x), step):
             own = x[a : a + step]
             differ = np.bitwise_count(p[a : a + step, None, :] ^ q[None, :, :]).sum(2, dtype=np.int64)
             size = n[own][:, None] + n[y][None, :]
             most = np.minimum((size - differ) // 2, np.minimum(n[own][:, None], n[y][None, :]))
             at, to = np.nonzero((100 * most >= PERCENT * (size - most)) & (label[own][:, None] != label[y][None, :]))
-            found.append((own[at], y[to]))
-        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+            yield own[at], y[to]
+
+    def settled(label, n, bits, short, x, y) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Likewise, those of them that short hashes allow; with ``forest``, as long as their
+        components are apart."""
+        label = label.copy()
+        for p, q in compare(label, n, bits, x, y):
+            order = np.argsort(p, kind="stable")
+            p, q = p[order], q[order]
+            for own, others in zip(p[np.flatnonzero(np.diff(p, prepend=-1))], np.split(q, np.flatnonzero(np.diff(p)) + 1)):
+                step = max(1, (1 << 20) // n[others].max())
+                for a in range(0, len(others), step):
+                    some = others[a : a + step]
+                    some = some[label[some] != label[own]]
+                    if not len(some):
+                        continue
+                    theirs = np.concatenate([short[k] for k in some])
+                    at = np.minimum(np.searchsorted(short[own], theirs), n[own] - 1)
+                    starts = np.concatenate([[0], np.cumsum(n[some])[:-1]])
+                    common = np.add.reduceat((short[own][at] == theirs).astype(np.int64), starts)
+                    some = some[100 * common >= PERCENT * (n[own] + n[some] - common)]
+                    if forest and len(some):
+                        names, first = np.unique(label[some], return_index=True)
+                        some = some[first]
+                        label[np.isin(label, names)] = label[own]
+                    yield np.full(len(some), own), some
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest = None
@@ -366,35 +411,42 @@ def in_common_tiles(rows: DataFrame, labels: DataFrame, sets: DataFrame, forest:
             whole = list(zip(starts, stops)) if last else list(zip(starts, stops))[:-1]
             return whole, (starts[-1] if len(starts) else 0)
 
-        def pairs(table: pa.Table, last: bool) -> tuple[pa.RecordBatch, pa.Table]:
+        def pairs(table: pa.Table, last: bool) -> tuple[list[pa.RecordBatch], pa.Table]:
             whole, tail = cells_of(table, last)
-            own, v, label, n = (table.column(k).to_numpy() for k in (3, 4, 5, 6))
-            i, j = table.column(1).to_numpy(), table.column(2).to_numpy()
-            bits = [b.view(np.uint64) for b in table.column(7).to_pandas()] if whole else []
-            found = []
+            i, j, own, v, label, n, many, crowded = (table.column(k).to_numpy() for k in range(1, 9))
+            words = [b.view(np.uint64) for b in table.column(9).to_pandas()] if whole else []
+            found: dict[bool, list] = {False: [], True: []}
             for a, b in whole:
-                k = np.arange(a, b)
-                x, y = k[own[k] == i[a]], k[own[k] == j[a]]
-                if len(x) and len(y):
-                    p, q = compare(v, label, n, bits, x, y)
-                    if forest:
-                        keep = tied(p, q, label)
-                        p, q = p[keep], q[keep]
-                    found.append((v[p], v[q]))
-            p, q = (np.concatenate([f[s] for f in found]) if found else np.zeros(0, np.int64) for s in (0, 1))
-            low, high = np.minimum(p, q), np.maximum(p, q)
-            both = np.unique(np.stack([low, high], 1)[low < high], axis=0)
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"]), table.slice(tail)
+                x, y = np.flatnonzero(own[a:b] == i[a]), np.flatnonzero(own[a:b] == j[a])
+                if not len(x) or not len(y):
+                    continue
+                bits, short = words[a:b], []
+                if many[a]:
+                    short = [w.view(np.uint32)[:k] if k <= LARGEST else None for w, k in zip(bits, n[a:b])]
+                    bits = [w if h is None else bitmap(h, WIDE).view(np.uint64) for w, h in zip(bits, short)]
+                its = settled(label[a:b], n[a:b], bits, short, x, y) if crowded[a] else compare(label[a:b], n[a:b], bits, x, y)
+                p, q = (np.concatenate(s) for s in zip((x[:0], x[:0]), *its))
+                if forest and not crowded[a]:
+                    keep = tied(p, q, label[a:b])
+                    p, q = p[keep], q[keep]
+                found[bool(crowded[a])].append((v[a:b][p], v[a:b][q]))
+            out = []
+            for of_crowded, own in found.items():
+                p, q = (np.concatenate([v[:0], *(f[s] for f in own)]) for s in (0, 1))
+                low, high = np.minimum(p, q), np.maximum(p, q)
+                both = np.unique(np.stack([low, high], 1)[low < high], axis=0)
+                out += pa.table({"a": both[:, 0], "b": both[:, 1], "settled": np.full(len(both), of_crowded)}).to_batches()
+            return out, table.slice(tail)
 
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
             out, rest = pairs(table, False)
-            yield out
+            yield from out
         if rest is not None:
-            yield pairs(rest, True)[0]
+            yield from pairs(rest, True)[0]
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    return cells.mapInArrow(run, "a long, b long, settled boolean").distinct()
 
 
 def shared_tiles(entered: DataFrame) -> DataFrame:
@@ -428,22 +480,29 @@ def labelled(docs: DataFrame, exact: bool = False) -> DataFrame:
 
     first = members.where("v != least").select(F.col("least").alias("a"), F.col("v").alias("b")).distinct()
     near = scratch.written(likely(first, sets), "near")
-    labels = components(exact_links(near, sets, docs, scratch))
+    linked = scratch.written(exact_links(near, sets, docs, scratch), "linked")
+    labels = components(linked)
     now = scratch.written(apart(members.drop("least"), labels), "apart")
 
     few = in_few_pairs(now.where(F.col("pairs") <= FEW_PAIRS)).join(first, ["a", "b"], "left_anti")
-    rest = leaning(now.where(F.col("pairs") > FEW_PAIRS), scratch, exact)
-    many = rest.join(rest.groupBy("tile").count().where(F.col("count") > MANY), "tile").select("v").distinct()
-    wide = of_sets(many, sets, docs, lambda own: bitmap(own, WIDE)).withColumnRenamed("own", "wide")
-    leaners = sets.select("v", "n", "bits").join(rest.select("v").distinct(), "v").join(wide, "v", "left")
+    rest = crowds(leaning(now.where(F.col("pairs") > FEW_PAIRS), scratch, exact), sets)
+    rest = scratch.written(rest, "rest")
+    wide = of_sets(rest.where("many").select("v").distinct(), sets, docs, lambda own: short_hashes(own) if len(own) <= LARGEST else bitmap(own, WIDE))
+    leaners = sets.select("v", "n", "bits").join(rest.select("v").distinct(), "v").join(wide.withColumnRenamed("own", "wide"), "v", "left")
     leaners = scratch.written(leaners, "leaners")
-    forest = in_common_tiles(rest, labels, leaners, True).join(near, ["a", "b"], "left_anti")
+    ties = scratch.written(in_common_tiles(rest, labels, leaners, True), "ties")
+    forest = ties.select("a", "b").join(near, ["a", "b"], "left_anti")
     pairs = scratch.written(likely(few, sets).unionByName(forest).distinct(), "pairs")
-    labels = scratch.written(joined_up(labels, exact_links(pairs, sets, docs, scratch)), "labels")
-    # what is still apart after that
-    late = in_common_tiles(rest, labels, leaners, False).join(near.unionByName(pairs), ["a", "b"], "left_anti")
-    late = scratch.written(late, "late")
-    labels = joined_up(labels, exact_links(late, sets, docs, scratch))
+    links = scratch.written(exact_links(pairs, sets, docs, scratch), "linked")
+    labels = scratch.written(joined_up(labels, links), "labels")
+    # what may still be apart after that: crowded tiles only where a tie was no link
+    wrong = ties.where("settled").join(linked.unionByName(links), ["a", "b"], "left_anti")
+    wrong = wrong.select(F.explode(F.array("a", "b")).alias("v")).distinct()
+    again = rest.where("crowded").join(wrong, "v", "left_semi").select("tile").distinct()
+    rest = rest.where("NOT crowded").unionByName(rest.join(again, "tile", "left_semi"))
+    late = in_common_tiles(rest, labels, leaners, False).select("a", "b").distinct()
+    late = scratch.written(late.join(near.unionByName(pairs), ["a", "b"], "left_anti"), "late")
+    labels = joined_up(labels, scratch.written(exact_links(late, sets, docs, scratch), "linked"))
 
     named = rows.select("v").where("v IS NOT NULL").distinct().join(labels, "v", "left")
     named = named.select("v", F.coalesce("label", "v").alias("label"))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,33 @@ def test_pairs_grow_with_a_group_not_its_square(spark, monkeypatch):
     assert counts[1] < 2.6 * counts[0], counts
 
 
+def test_little_is_apart_after_a_forest_of_a_crowd(spark, monkeypatch):
+    """Near copies in several components, of which pairs that the bitmaps allow are not all linked:
+    one that is not must not leave all pairs of its two components to be verified."""
+    seen, verify = [], jaccard.exact_links
+    r = random.Random(1)
+    base = prose("group", 100, 5000)
+    rows = [(k, changed(base, r, 1 + k % 3)) for k in range(600)]
+    monkeypatch.setattr(jaccard, "exact_links", lambda pairs, *rest: seen.append(pairs.count()) or verify(pairs, *rest))
+    assert found(jaccard.jaccard_components(documents(spark, rows, extra=False), exact=True)) == brute_components(rows)
+    assert seen[-1] < len(rows) / 4, seen
+
+
+@pytest.mark.parametrize("largest, bits", [(1 << 13, 32), (1 << 13, 3), (60, 32)])
+def test_crowded_tiles_lose_nothing(spark, monkeypatch, largest, bits):
+    """Also with short hashes that tie sets which are not linked, and sets too large for them."""
+    short = jaccard.short_hashes
+    monkeypatch.setattr(jaccard, "short_hashes", lambda own: short(np.sort(own & np.uint64((1 << bits) - 1))))
+    for name, value in (("LARGEST", largest), ("MANY", 8), ("FEW_PAIRS", 4), ("BLOCK", 32)):
+        monkeypatch.setattr(jaccard, name, value)
+    r = random.Random(bits)
+    rows = []
+    for words in (50, 70):
+        base = prose(("crowd", words), words, 5000)
+        rows += [(len(rows) + k, changed(base, r, 1 + k % 3)) for k in range(90)]
+    assert found(jaccard.jaccard_components(documents(spark, rows, extra=False), exact=True)) == brute_components(rows)
+
+
 def test_exact_enters_every_slice(spark):
     r = random.Random(2)
     rows = []
