@@ -134,11 +134,12 @@ class Encoder:
         r"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+| ?[0-9]+| ?[^\sA-Za-z0-9À-ÖØ-öø-ÿ]+|\s+(?!\S)|\s+"
     )
 
-    def __init__(self, path: str, most: int = 60_000):
+    def __init__(self, path: str, most: int = 160_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.tokenize = self.library.model.tokenize  # the attribute makes a new object at each access
         self.size = self.library.get_vocab_size()
         self.words, self.pieces = Kept(self._merged, most), Kept(self._piece, most)
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.size)]
@@ -154,9 +155,12 @@ class Encoder:
         return np.array(ids, "<u4").tobytes()
 
     def _merged(self, word: str) -> bytes:
-        symbols = word.encode().decode("latin-1").translate(self.alphabet)
+        if word.isascii() and word[1:].isalnum():  # only the first may stand for another character
+            symbols = self.alphabet[ord(word[0])] + word[1:]
+        else:
+            symbols = word.encode().decode("latin-1").translate(self.alphabet)
         as_bytes = self.as_bytes
-        return b"".join([as_bytes[t.id] for t in self.library.model.tokenize(symbols)])
+        return b"".join([as_bytes[t.id] for t in self.tokenize(symbols)])
 
     def _piece(self, piece: str) -> bytes:
         if self._plain(piece):

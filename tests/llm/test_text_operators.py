@@ -124,6 +124,17 @@ def test_elias_fano(steps):
     assert [coded.select(i) for i in range(len(numbers))] == numbers.tolist()
 
 
+def test_a_hundred_thousand_words_are_merged_once():
+    encoder, merged = token_files.Encoder(BYTES), []
+    make = encoder.words.make
+    encoder.words.make = lambda word: merged.append(word) or make(word)
+    texts = [" ".join(f"w{k}" for k in range(a, a + 1000)) for a in range(0, 100_000, 1000)]
+    assert [encoder(t) for t in texts] == [encoder(t) for t in texts]
+    assert len(merged) <= 100_100, len(merged)
+    for text in ("'tis A1 b2\n c\t d", texts[7], "é1 x_y  z- 'll", "a"):
+        assert np.frombuffer(encoder(text), "<u4").tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+
+
 @given(st.one_of(ODD, st.lists(st.sampled_from(["<|endoftext|>", "x", " ", " y1", "é"]), max_size=6).map("".join)))
 @settings(max_examples=300, deadline=None)
 def test_encoder_equals_the_library(text):
